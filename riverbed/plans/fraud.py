@@ -108,14 +108,15 @@ def clients_scd2(deduped: DataFrame) -> DataFrame:
 
 
 # -- facts -------------------------------------------------------------------
-def _fact_select(j: DataFrame, p: str = "_d_", c: str = "_c_") -> DataFrame:
+def _fact_select(j: DataFrame, extra: tuple[str, ...] = (), p: str = "_d_",
+                 c: str = "_c_") -> DataFrame:
     return j.select(
         "trans_num", "trans_ts", "card_num", "amount", "category", "is_fraud",
         F.col(c + "first_name").alias("first_name"), F.col(c + "last_name").alias("last_name"),
         F.col(c + "gender").alias("gender"), F.col(c + "job").alias("job"),
         F.col(c + "city").alias("client_city"), F.col(c + "state").alias("client_state"),
         F.col(p + "merchant").alias("merchant"), F.col(p + "merchant_lat").alias("merchant_lat"),
-        F.col(p + "merchant_long").alias("merchant_long"), "meta_load_ts")
+        F.col(p + "merchant_long").alias("merchant_long"), "meta_load_ts", *extra)
 
 
 def enriched_fact(txn: DataFrame, merchants: DataFrame, client_versions: DataFrame,
@@ -129,7 +130,7 @@ def enriched_fact(txn: DataFrame, merchants: DataFrame, client_versions: DataFra
                                "state", "valid_from", "valid_to")
     j = enrich.join_current(t, m, "merchant", prefix="_d_")
     j = enrich.join_as_of(j, c, "card_num", "trans_ts", prefix="_c_")
-    return _fact_select(j).select(*FACT_COLS, *extra)
+    return _fact_select(j, extra)
 
 
 def trans_merch(txn: DataFrame, merchants: DataFrame) -> DataFrame:

@@ -38,4 +38,91 @@ UNION ALL SELECT 'dt_fraud_full', COUNT(*) FROM fraud_full""",
         "raw_trans", "raw_clients", "raw_merch", "stg_transactions", "merchants_latest",
         "clients_deduped", "clients_scd2", "fraud_full"),
 }
-_ = CLIENT_ATTRS
+
+_CUTS = """
+SELECT * FROM (VALUES (0, TIMESTAMP '0001-01-01 00:00:00', TIMESTAMP '2024-01-11 00:00:00'),
+                      (1, TIMESTAMP '2024-01-11 00:00:00', TIMESTAMP '2024-01-21 00:00:00'),
+                      (2, TIMESTAMP '2024-01-21 00:00:00', TIMESTAMP '9999-12-31 00:00:00')) v(r, lo, hi)"""
+
+_LOAD_DESC = "meta_load_ts DESC, meta_file_row_number DESC, meta_filename DESC"
+
+ORACLE_SQL.update({
+    # Incremental runs over load cuts equal the recomputed result.
+    "txn_invalid_incremental": build(f"""
+SELECT {QUARANTINE} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_num ORDER BY {_LOAD_DESC}) AS rn
+  FROM stg_transactions WHERE validation_status <> 'VALID') WHERE rn = 1""", "stg_transactions"),
+    "merchant_scd1_incremental": build("SELECT * FROM merchants_latest", "merchants_latest"),
+    "client_scd2_snapshot": build(f"""
+SELECT card_num, {CLIENT_ATTRS}, valid_from, meta_filename, meta_file_row_number, meta_load_ts,
+  meta_load_ts AS dbt_updated_at, meta_load_ts AS dbt_valid_from,
+  LEAD(meta_load_ts) OVER (PARTITION BY card_num ORDER BY meta_load_ts) AS dbt_valid_to,
+  md5(card_num || '|' || strftime(meta_load_ts, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id
+FROM clients_deduped""", "clients_deduped"),
+    "client_dim_incremental": build(f"""
+SELECT card_num, {CLIENT_ATTRS}, meta_load_ts, meta_load_ts AS valid_from,
+  LEAD(meta_load_ts) OVER (PARTITION BY card_num ORDER BY meta_load_ts) AS valid_to,
+  LEAD(meta_load_ts) OVER (PARTITION BY card_num ORDER BY meta_load_ts) IS NULL AS is_current,
+  md5(card_num || '|' || strftime(meta_load_ts, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id,
+  meta_load_ts AS dbt_updated_at
+FROM clients_deduped""", "clients_deduped"),
+    # Facts: each trans_num's latest VALID row, enriched with the dimensions
+    # as they were at the run whose load window holds that row.
+    "fraud_incremental": build(f"""
+WITH cuts AS ({_CUTS}),
+lv AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_num ORDER BY {_LOAD_DESC}) AS rn
+                 FROM stg_transactions WHERE validation_status = 'VALID') WHERE rn = 1),
+t AS (SELECT lv.*, cuts.r FROM lv JOIN cuts ON lv.meta_load_ts >= cuts.lo AND lv.meta_load_ts < cuts.hi),
+m AS (
+  SELECT r, merchant, merchant_lat, merchant_long FROM (
+    SELECT cuts.r, s.*, ROW_NUMBER() OVER (PARTITION BY cuts.r, s.merchant ORDER BY
+           s.meta_load_ts DESC, s.meta_file_row_number DESC, s.meta_filename DESC) AS rn
+    FROM stg_merchants s JOIN cuts ON s.meta_load_ts < cuts.hi) WHERE rn = 1),
+cd AS (
+  SELECT r, card_num, {CLIENT_ATTRS}, meta_load_ts AS valid_from FROM (
+    SELECT cuts.r, s.*, ROW_NUMBER() OVER (PARTITION BY cuts.r, s.card_num, s.meta_load_ts
+           ORDER BY s.meta_file_row_number DESC, s.meta_filename DESC) AS rn
+    FROM stg_clients s JOIN cuts ON s.meta_load_ts < cuts.hi) WHERE rn = 1),
+c AS (SELECT *, LEAD(valid_from) OVER (PARTITION BY r, card_num ORDER BY valid_from) AS valid_to FROM cd)
+SELECT t.trans_num, t.trans_ts, t.card_num, t.amount, t.category, t.is_fraud,
+  c.first_name, c.last_name, c.gender, c.job, c.city AS client_city, c.state AS client_state,
+  m.merchant, m.merchant_lat, m.merchant_long, t.meta_load_ts
+FROM t
+LEFT JOIN m ON t.r = m.r AND t.merchant = m.merchant
+LEFT JOIN c ON t.r = c.r AND t.card_num = c.card_num
+  AND t.trans_ts >= c.valid_from AND (t.trans_ts < c.valid_to OR c.valid_to IS NULL)""",
+        "stg_transactions", "stg_merchants", "stg_clients"),
+})
+
+# V1: per (key, batch) latest; a batch changes the key when its row IS
+# DISTINCT FROM the previous batch row; stamp of the last change.
+_CONFORMED = build(f"""
+WITH landing AS (
+  SELECT trans_num_raw AS trans_id, try_strptime(trans_date_raw, '%d-%m-%Y %H:%M') AS trans_ts,
+    category_raw AS category,
+    CASE WHEN lower(trim(is_fraud_raw)) IN ('true', 't', 'yes', 'y', 'on', '1') THEN TRUE
+         WHEN lower(trim(is_fraud_raw)) IN ('false', 'f', 'no', 'n', 'off', '0') THEN FALSE END AS is_fraud,
+    meta_filename, meta_file_row_number, meta_load_ts,
+    CAST((dayofyear(meta_load_ts) - 1) // 5 AS INTEGER) AS batch_id
+  FROM raw_trans),
+per_batch AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_id, batch_id ORDER BY {_LOAD_DESC}) AS rn
+                 FROM landing) WHERE rn = 1),
+flagged AS (
+  SELECT *,
+    (ROW_NUMBER() OVER w = 1
+     OR trans_ts IS DISTINCT FROM LAG(trans_ts) OVER w
+     OR category IS DISTINCT FROM LAG(category) OVER w
+     OR is_fraud IS DISTINCT FROM LAG(is_fraud) OVER w
+     OR meta_filename IS DISTINCT FROM LAG(meta_filename) OVER w) AS changed,
+    TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((batch_id + 1) * 5 AS INTEGER)) AS stamp
+  FROM per_batch WINDOW w AS (PARTITION BY trans_id ORDER BY batch_id)),
+final AS (
+  SELECT *, MAX(CASE WHEN changed THEN stamp END) OVER (PARTITION BY trans_id) AS processed_ts,
+    ROW_NUMBER() OVER (PARTITION BY trans_id ORDER BY batch_id DESC) AS last_rn
+  FROM flagged)
+SELECT trans_id, trans_ts, category, is_fraud, meta_filename AS source_filename, processed_ts
+FROM final WHERE last_rn = 1""", "raw_trans")
+ORACLE_SQL["conformed_upsert"] = _CONFORMED
+ORACLE_SQL["conformed_replay"] = _CONFORMED

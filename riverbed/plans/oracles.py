@@ -27,10 +27,13 @@ def build(select: str, *needed: str) -> str:
 
     for n in needed:
         visit(n)
+    select = select.strip()
     if not order:
-        return select.strip()
+        return select
     parts = ",\n".join(f"{n} AS (\n{CTES[n][1].strip()}\n)" for n in order)
-    return f"WITH {parts}\n{select.strip()}"
+    if select[:5].upper() == "WITH ":  # merge the statement's own CTEs
+        return f"WITH {parts},\n{select[5:]}"
+    return f"WITH {parts}\n{select}"
 
 
 # -- raw tables ----------------------------------------------------------------

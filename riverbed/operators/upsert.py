@@ -125,17 +125,29 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
                  buckets: int = 64):
         self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+        self._cached = None
 
     # -- manifest -----------------------------------------------------------
     def _state(self):
+        """Committed state; read from the log once, then kept up to date by
+        this writer's own commits (one writer per table, as with the
+        reference's single task per target)."""
+        if self._cached is None:
+            self._cached = self._load_state()
+        return self._cached or None
+
+    def refresh(self) -> None:
+        self._cached = None
+
+    def _load_state(self):
         try:
             log = self.spark.read.schema(self._LOG_SCHEMA).json(f"{self.root}/_log")
             # Bounded by versions x touched buckets, never by rows.
             rows = log.collect()
         except Exception:  # nothing committed yet
-            return None
+            return {}
         if not rows:
-            return None
+            return {}
         by_version: dict[int, list] = {}
         for r in rows:
             by_version.setdefault(r.version, []).append(r)
@@ -192,6 +204,11 @@ class KeyedTable:
         rows.append((version, batch_id, -1, full, schema.json()))  # commit marker
         (self.spark.createDataFrame(rows, self._LOG_SCHEMA).coalesce(1)
              .write.mode("errorifexists").json(f"{self.root}/_log/v={version}"))
+        st = self._state() or {"buckets": {}, "batches": set(), "version": -1, "schema": schema}
+        mapping = {} if full else dict(st["buckets"])
+        mapping.update({b: version for b in written})
+        batches = set(st["batches"]) | ({batch_id} if batch_id is not None else set())
+        self._cached = {"buckets": mapping, "batches": batches, "version": version, "schema": schema}
 
     def overwrite(self, df: DataFrame, batch_id=None) -> None:
         """Full build (A14 'table' / first incremental run)."""

@@ -201,3 +201,95 @@ def conformed_replay(spark, sf):
     """H1 backfill form: every batch applied in one pass (= conformed_upsert)."""
     from riverbed.plans.incremental import conformed_replay as replay_all
     return replay_all(_landing(spark, sf))
+
+
+# -- wide-file normalisation (A12, G4) ---------------------------------------------
+def _split(spark, sf):
+    from riverbed.sources.wide import split_wide, wide_from_tables
+    return split_wide(wide_from_tables(spark, sf))
+
+
+@query
+def wide_normalise_trans(spark, sf):
+    """Transaction file of the wide export, full-row distinct."""
+    return _split(spark, sf)["transaction"]
+
+
+@query
+def wide_normalise_client(spark, sf):
+    """Client file of the wide export, full-row distinct."""
+    return _split(spark, sf)["client"]
+
+
+@query
+def wide_normalise_merch(spark, sf):
+    """Merchant file of the wide export, full-row distinct."""
+    return _split(spark, sf)["merchant"]
+
+
+# -- monitoring (M1-M9) ---------------------------------------------------------------
+def _ledger(spark, sf):
+    from riverbed.plans.monitoring import ledger_from_raw
+    return ledger_from_raw(fx.raw_tables(spark, sf))
+
+
+def _runs(spark, sf):
+    from riverbed.plans.monitoring import runs_from_raw
+    return runs_from_raw(fx.raw_tables(spark, sf))
+
+
+@query
+def load_stats(spark, sf):
+    """Pipe performance over the report window."""
+    from riverbed.operators import monitor
+    from riverbed.plans.monitoring import AS_OF, MONTH_HOURS
+    return monitor.load_stats(_ledger(spark, sf), "PIPE_TRANS", AS_OF, MONTH_HOURS)
+
+
+@query
+def load_volume(spark, sf):
+    """M3: bytes and files per pipe and hour."""
+    from riverbed.operators import monitor
+    from riverbed.plans.monitoring import AS_OF, MONTH_HOURS
+    return monitor.load_volume(_ledger(spark, sf), AS_OF, MONTH_HOURS)
+
+
+@query
+def load_error_alert(spark, sf):
+    """M5 + S16 + S18: alert runs that see files with load errors."""
+    from riverbed.operators import monitor
+    return monitor.load_error_alert(_ledger(spark, sf), "PIPE_TRANS", "RAW_TRANS")
+
+
+@query
+def run_failure_alert(spark, sf):
+    """M6: alert runs that see a failed task run."""
+    from riverbed.operators import monitor
+    return monitor.run_failure_alert(_runs(spark, sf), "CONFORMED_UPSERT")
+
+
+@query
+def run_history(spark, sf):
+    """M4 + S14: task runs of the last 24 hours."""
+    from riverbed.operators import monitor
+    from riverbed.plans.monitoring import AS_OF
+    return monitor.run_history(_runs(spark, sf), "CONFORMED_UPSERT", AS_OF, 24)
+
+
+@query
+def refresh_history(spark, sf):
+    """M8 + S17: model refreshes whose name is LIKE 'DT_%'."""
+    from riverbed.operators import monitor
+    return monitor.refresh_history(_runs(spark, sf), "DT_%")
+
+
+@query
+def alert_history(spark, sf):
+    """M7: alerts of the last 24 hours, newest first."""
+    from riverbed.functions.parse import lookback
+    from riverbed.operators import monitor
+    from riverbed.plans.monitoring import AS_OF
+    alerts = (monitor.load_error_alert(_ledger(spark, sf), "PIPE_TRANS", "RAW_TRANS")
+              .unionByName(monitor.run_failure_alert(_runs(spark, sf), "CONFORMED_UPSERT")))
+    return (alerts.filter(F.col("scheduled_time") >= lookback(AS_OF, 24))
+            .orderBy(F.col("scheduled_time").desc(), "alert_name"))

@@ -143,6 +143,13 @@ def typed_landing(raw_trans: DataFrame) -> DataFrame:
         *LINEAGE)
 
 
+def typed_landing_v1(rows: DataFrame) -> DataFrame:
+    """A8 inside the pipe: the picked wide fields typed at load time."""
+    return rows.select(
+        "trans_id", try_timestamp("trans_date_raw", TS_WITHOUT_SECONDS).alias("trans_ts"),
+        "category", try_boolean("is_fraud_raw").alias("is_fraud"), *LINEAGE)
+
+
 def landing_batch(load_ts) -> F.Column:
     """Batch of a landed row: five-day windows of its load time."""
     return F.floor((F.dayofyear(load_ts) - 1) / 5).cast("int")

@@ -257,3 +257,30 @@ SELECT * FROM ({_LOAD_ALERT}
 UNION ALL {_RUN_ALERT}) WHERE scheduled_time >= {_DAY}
 ORDER BY scheduled_time DESC, alert_name""", "ledger", "runs"),
 })
+
+# -- ingestion -------------------------------------------------------------------
+ORACLE_SQL["ingest_csv"] = build(
+    "SELECT trans_num_raw, trans_date_raw, card_num_raw, amount_raw, merchant_raw, category_raw, "
+    "is_fraud_raw FROM raw_trans", "raw_trans")
+
+# Per (key, arrival) the row with the highest event id (highest file row:
+# rows of one key share a file, ordered by event id); every later arrival is
+# a change (its file name differs); stamp of the key's last arrival.
+ORACLE_SQL["ingest_stream_upsert"] = build("""
+WITH ev AS (
+  SELECT 'T' || CAST(event_id - CASE WHEN event_id % 11 = 5 AND event_id >= 1000 THEN 1000 ELSE 0 END AS VARCHAR) AS trans_id,
+    try_strptime(CASE WHEN event_id % 41 = 0 THEN strftime(ts, '%Y-%m-%d')
+                      WHEN event_id % 3 = 0 THEN strftime(ts, '%d-%m-%Y %H:%M')
+                      ELSE strftime(ts, '%d-%m-%Y %H:%M:%S') END, '%d-%m-%Y %H:%M') AS trans_ts,
+    event_type AS category,
+    CASE WHEN event_id % 31 = 0 THEN NULL WHEN event_id % 5 = 0 THEN TRUE
+         WHEN event_id % 7 = 0 THEN TRUE ELSE FALSE END AS is_fraud,
+    event_id, CAST((dayofyear(ts) - 1) // 5 AS INTEGER) AS arrival
+  FROM events),
+per AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_id, arrival ORDER BY event_id DESC) AS rn
+                 FROM ev) WHERE rn = 1)
+SELECT trans_id, trans_ts, category, is_fraud,
+  TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((arrival + 1) * 5 AS INTEGER)) AS processed_ts
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_id ORDER BY arrival DESC) AS r2 FROM per)
+WHERE r2 = 1""")

@@ -293,3 +293,85 @@ def alert_history(spark, sf):
               .unionByName(monitor.run_failure_alert(_runs(spark, sf), "CONFORMED_UPSERT")))
     return (alerts.filter(F.col("scheduled_time") >= lookback(AS_OF, 24))
             .orderBy(F.col("scheduled_time").desc(), "alert_name"))
+
+
+# -- ingestion (A1-A13, M1) -----------------------------------------------------------
+RAW_TRANS_TEXT = ("trans_num_raw", "trans_date_raw", "card_num_raw", "amount_raw", "merchant_raw",
+                  "category_raw", "is_fraud_raw")
+
+
+def _write_raw_trans_csv(spark, sf, path):
+    """Raw transactions as CSV files: NULL amounts as 'NULL' / 'null' tokens,
+    categories padded with unquoted spaces (both undone by the reader)."""
+    from riverbed.sources.csv import write_text_csv
+    t = fx.trans_events(spark, sf)
+    token = F.when(F.col("event_id") % 2 == 0, F.lit("NULL")).otherwise(F.lit("null"))
+    out = t.select(*[F.coalesce(F.col(c), token).alias(c) if c == "amount_raw" else
+                     F.concat(F.lit(" "), F.col(c), F.lit(" ")).alias(c) if c == "category_raw" else
+                     F.col(c) for c in RAW_TRANS_TEXT])
+    write_text_csv(out.repartition(8), path)
+
+
+@query
+def ingest_csv(spark, sf):
+    """CSV files read back as the raw landing table."""
+    import datetime as dt
+
+    from riverbed.session import scratch_path
+    from riverbed.sources.csv import default_positions, read_landing
+    root = scratch_path(spark, "ingest_csv")
+    _write_raw_trans_csv(spark, sf, f"{root}/src")
+    landed = read_landing(spark, f"{root}/src", len(RAW_TRANS_TEXT), default_positions(RAW_TRANS_TEXT),
+                          dt.datetime(2024, 2, 1))
+    return landed.select(*RAW_TRANS_TEXT)
+
+
+@query
+def file_inventory(spark, sf):
+    """The files of a source folder (name, size, modification time)."""
+    from riverbed.session import scratch_path
+    from riverbed.sources.csv import file_inventory as inventory
+    root = scratch_path(spark, "inventory")
+    _write_raw_trans_csv(spark, sf, f"{root}/src")
+    return inventory(spark, f"{root}/src")
+
+
+@query
+def any_rows(spark, sf):
+    """L2: any 10 landed rows (non-deterministic; row count only)."""
+    from riverbed.operators.monitor import any_rows as anyn
+    return anyn(fx.raw_trans(spark, sf), 10)
+
+
+@query
+def ingest_stream_upsert(spark, sf):
+    """V1 wide files delivered in five-day arrivals;
+    after each arrival the pipe runs (availableNow) and the consumer upserts
+    the new landing batches into the conformed table. The file name of the
+    conformed row is a generated part-file name, so it is not returned."""
+    import datetime as dt
+
+    from riverbed.operators.upsert import KeyedTable
+    from riverbed.plans.incremental import upsert_conformed, typed_landing_v1
+    from riverbed.session import scratch_path
+    from riverbed.sources.csv import write_text_csv
+    from riverbed.streaming.ingest import FileIngest, LandingFeed
+
+    root = scratch_path(spark, "stream_upsert")
+    wide = fx.v1_wide(spark, sf)
+    arrivals = sorted(r[0] for r in wide.select("arrival").distinct().collect())  # a handful
+    pipe = FileIngest(spark, f"{root}/src", f"{root}/pipe", n_fields=fx.V1_FIELDS,
+                      positions=fx.V1_POSITIONS, pipe_name="PIPE_V1", table_name="LANDING",
+                      typing=typed_landing_v1)
+    feed = LandingFeed(spark, pipe.landing_path)
+    table = KeyedTable(spark, f"{root}/conformed", ["trans_id"], buckets=16)
+    for k in arrivals:
+        files = (wide.filter(F.col("arrival") == k).repartition(4, "c19")
+                 .sortWithinPartitions("event_id").select(*[f"c{i}" for i in range(1, 24)]))
+        write_text_csv(files, f"{root}/src/arrival={k}")
+        stamp = dt.datetime(2024, 1, 1) + dt.timedelta(days=5 * (k + 1))
+        pipe.clock = lambda _b, s=stamp: s
+        pipe.run_available_now()
+        for b in feed.pending(table.applied_batches()):
+            upsert_conformed(table, feed.batch(b), b, pipe.load_times.get(b, stamp))
+    return table.read().drop("source_filename")

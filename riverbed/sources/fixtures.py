@@ -59,9 +59,14 @@ def trans_num(eid: F.Column) -> F.Column:
 
 
 def raw_trans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trans_events(spark, sf_dir).drop("event_id", "ts", "props")
+
+
+def trans_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_trans plus the event columns it came from (event_id, ts, props)."""
     ev = table(spark, sf_dir, "events")
     eid, ts = F.col("event_id"), F.col("ts")
-    return ev.select(
+    return ev.select("event_id", "ts", "props",
         trans_num(eid).alias("trans_num_raw"),
         F.when(eid % 41 == 0, F.date_format(ts, "yyyy-MM-dd"))
          .when(eid % 3 == 0, F.date_format(ts, "dd-MM-yyyy HH:mm"))
@@ -118,3 +123,26 @@ def raw_merch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"raw_trans": raw_trans(spark, sf_dir), "raw_clients": raw_clients(spark, sf_dir),
             "raw_merch": raw_merch(spark, sf_dir)}
+
+
+# Wide V1 export: 23 text positions; the pipe reads $2 time, $5 category,
+# $19 transaction id and $23 fraud flag, the rest is carried and skipped.
+V1_POSITIONS = {"trans_id": 19, "trans_date_raw": 2, "category": 5, "is_fraud_raw": 23}
+V1_FIELDS = 23
+
+
+def v1_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The V1 wide rows (c1..c23, text) with the event id and arrival window
+    (five-day windows of the event time) used to deliver them in order."""
+    t = trans_events(spark, sf_dir)
+    cols = {i: F.concat(F.lit(f"f{i}_"), (F.col("event_id") % 7).cast("string")) for i in range(1, 24)}
+    cols[1] = F.col("event_id").cast("string")
+    cols[2] = F.col("trans_date_raw")
+    cols[3] = F.col("card_num_raw")
+    cols[4] = F.coalesce(F.col("amount_raw"), F.lit("NULL"))
+    cols[5] = F.col("category_raw")
+    cols[6] = F.col("props")
+    cols[19] = F.col("trans_num_raw")
+    cols[23] = F.col("is_fraud_raw")
+    return t.select("event_id", F.floor((F.dayofyear("ts") - 1) / 5).cast("int").alias("arrival"),
+                    *[cols[i].alias(f"c{i}") for i in range(1, 24)])

@@ -53,16 +53,15 @@ def _layout_regex(layout: str) -> tuple[str, dict[str, int]]:
 
 
 def _iso_text(c: Column, layout: str, with_time: bool) -> Column:
-    """Rewrite a value in ``layout`` to ISO text, or NULL if it does not match."""
+    """Rewrite a value in ``layout`` to ISO text, or NULL if it does not match:
+    one anchored ``rlike`` guard and one ``regexp_replace`` with group
+    references, so the expression stays small after Catalyst inlines it."""
     pattern, g = _layout_regex(layout)
-    part = lambda name, default: (
-        F.regexp_extract(c, pattern, g[name]) if name in g else F.lit(default))
-    date = F.concat_ws("-", part("year", "1970"), part("month", "01"), part("day", "01"))
-    text = date
+    ref = lambda name, default: f"${g[name]}" if name in g else default
+    template = f"{ref('year', '1970')}-{ref('month', '01')}-{ref('day', '01')}"
     if with_time:
-        text = F.concat(date, F.lit(" "), F.concat_ws(
-            ":", part("hour", "00"), part("minute", "00"), part("second", "00")))
-    return F.when(c.rlike(pattern), text)
+        template += f" {ref('hour', '00')}:{ref('minute', '00')}:{ref('second', '00')}"
+    return F.when(c.rlike(pattern), F.regexp_replace(c, pattern, template))
 
 
 def try_timestamp(c: Column | str, layout: str) -> Column:

@@ -70,7 +70,7 @@ def join_as_of_sweep(fact: DataFrame, versions: DataFrame, key: str, fact_ts: st
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = f.unionByName(v)
     carried = u.select(*fcols, "_side", "_t", *[
-        F.last(F.when(F.col("_side") == 0, F.struct(*[F.col(prefix + c) for c in version_cols])),
+        F.last(F.when(F.col("_side") == 0, F.struct(*[F.col(prefix + c).alias(c) for c in version_cols])),
                ignorenulls=True).over(w).alias("_ver")])
     # A fact with a NULL time never matches (as in the interval join).
     return carried.filter(F.col("_side") == 1).select(

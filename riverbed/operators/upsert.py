@@ -20,6 +20,7 @@ follows the batch, not the table.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
 from collections.abc import Sequence
 
@@ -74,6 +75,15 @@ def null_key_rows(df: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
+def stamp_literal(value) -> Column:
+    """A batch stamp as a literal; datetimes become zone-free TIMESTAMP_NTZ."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, _dt.datetime):
+        return F.lit(value).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def merge_frames(target: DataFrame | None, source: DataFrame, keys: Sequence[str], *,
                  tracked: Sequence[str] | None = None,
                  stamp: tuple[str, object] | None = None,
@@ -94,10 +104,11 @@ def merge_frames(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     if order is not None:
         source = latest_per_key(source, keys, order)
     if stamp is not None:
-        source = source.withColumn(stamp[0], F.lit(stamp[1]))
+        source = source.withColumn(stamp[0], stamp_literal(stamp[1]))
     if target is None:
         return source
     cols = target.columns
+    types = {f.name: f.dataType for f in target.schema.fields}
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias(_SRC))
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias(_TGT))
     j = t.join(s, [t[f"_t_{k}"] == s[f"_s_{k}"] for k in keys], "full_outer")
@@ -111,7 +122,8 @@ def merge_frames(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     out = []
     for c in cols:
         if c in source.columns:
-            out.append(F.when(take_src, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c))
+            out.append(F.when(take_src, F.col(f"_s_{c}").cast(types[c]))
+                        .otherwise(F.col(f"_t_{c}")).alias(c))
         else:
             out.append(F.col(f"_t_{c}").alias(c))
     return j.select(*out)
@@ -229,7 +241,7 @@ class KeyedTable:
         if order is not None:
             source = latest_per_key(source, self.keys, order)
         if stamp is not None:
-            source = source.withColumn(stamp[0], F.lit(stamp[1]))
+            source = source.withColumn(stamp[0], stamp_literal(stamp[1]))
         if st is None:
             self._commit(source, 0, batch_id, full=True)
             return True

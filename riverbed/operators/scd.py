@@ -10,9 +10,9 @@
 * ``scd2_dim_delta``     H7: the incremental dimension's delta read from the
                          snapshot.
 
-The per-key ``lead`` is a window partitioned by key: one shuffle by key. A key
-with a very large history is processed by one task that spills its sorted
-group, never by the driver.
+The per-key ``lead`` is a window; with a time bucket (``next_in_key``) it is
+partitioned by (key, bucket), so a key holding a large share of all rows is
+spread over many tasks instead of one task sorting and spilling it.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riverbed.functions.parse import floor_ntz
 from riverbed.operators.dedupe import latest_per_key
 from riverbed.operators.upsert import new_or_newer
 
@@ -39,18 +40,43 @@ def scd1_delta(history: DataFrame, current: DataFrame | None, keys: Sequence[str
     return new_or_newer(latest_per_key(history, keys, order), current, keys, ts_col)
 
 
+def next_in_key(df: DataFrame, key: str, ts_col: str, out: str,
+                bucket: Column | None = None) -> DataFrame:
+    """``out = LEAD(ts) OVER (PARTITION BY key ORDER BY ts)``.
+
+    With ``bucket`` (a coarse function of ``ts``, e.g. its day) the window
+    runs per (key, bucket), so one hot key is spread over as many tasks as
+    it has buckets; the last row of each bucket then takes the first ``ts``
+    of the key's next non-empty bucket, found on a table of one row per
+    (key, bucket) (partially aggregated before its shuffle, and per key only
+    as long as the key's time span in buckets). Same result as the plain
+    window when ``ts`` is unique per key."""
+    if bucket is None:
+        return df.withColumn(out, F.lead(F.col(ts_col)).over(
+            Window.partitionBy(key).orderBy(F.col(ts_col).asc())))
+    b = df.withColumn("_bkt", bucket)
+    local = b.withColumn(out, F.lead(F.col(ts_col)).over(
+        Window.partitionBy(key, "_bkt").orderBy(F.col(ts_col).asc())))
+    firsts = b.groupBy(key, "_bkt").agg(F.min(ts_col).alias("_bfirst"))
+    nxt = firsts.withColumn("_next", F.lead("_bfirst").over(
+        Window.partitionBy(key).orderBy("_bkt"))).select(key, "_bkt", "_next")
+    return (local.join(nxt, [key, "_bkt"], "left")
+            .withColumn(out, F.coalesce(F.col(out), F.col("_next")))
+            .drop("_bkt", "_next"))
+
+
 def scd2_from_history(history: DataFrame, key: str, ts_col: str, *,
                       valid_from: str = "valid_from", valid_to: str = "valid_to",
-                      is_current: str = "is_current") -> DataFrame:
+                      is_current: str = "is_current", bucket: Column | None = None) -> DataFrame:
     """H5: ``valid_to = LEAD(valid_from) OVER (PARTITION BY key ORDER BY
     valid_from)``, ``is_current = valid_to IS NULL``. The input must hold one
     row per (key, ts) (W2). Consecutive rows with equal attributes still open
-    a new version: only the load time matters, as in the reference."""
-    w = Window.partitionBy(key).orderBy(F.col(ts_col).asc())
+    a new version: only the load time matters, as in the reference.
+    ``bucket`` selects the skew-safe form of the window (``next_in_key``)."""
     out = history
     if valid_from not in history.columns:
         out = out.withColumn(valid_from, F.col(ts_col))
-    out = out.withColumn(valid_to, F.lead(F.col(ts_col)).over(w))
+    out = next_in_key(out, key, ts_col, valid_to, bucket)
     return out.withColumn(is_current, F.col(valid_to).isNull())
 
 
@@ -62,7 +88,8 @@ def scd_id(key: str, updated_at: str) -> Column:
 
 def scd2_snapshot_delta(current: DataFrame | None, source: DataFrame, key: str, updated_at: str, *,
                         valid_from: str = "dbt_valid_from", valid_to: str = "dbt_valid_to",
-                        id_col: str = "dbt_scd_id", updated_col: str = "dbt_updated_at") -> DataFrame:
+                        id_col: str = "dbt_scd_id", updated_col: str = "dbt_updated_at",
+                        bucket_unit: str | None = None) -> DataFrame:
     """H6, one snapshot run (timestamp strategy), as rows to upsert on ``id_col``.
 
     * a key not in the snapshot opens a version;
@@ -80,10 +107,9 @@ def scd2_snapshot_delta(current: DataFrame | None, source: DataFrame, key: str,
         src = (src.join(open_v, src[key] == open_v["_o_key"], "left")
                   .filter(F.col("_o_key").isNull() | (F.col(updated_col) > F.col("_o_upd")))
                   .drop("_o_key", "_o_upd"))
-    w = Window.partitionBy(key).orderBy(F.col(updated_col).asc())
-    new_versions = (src.withColumn(valid_from, F.col(updated_col))
-                       .withColumn(valid_to, F.lead(F.col(updated_col)).over(w))
-                       .withColumn(id_col, scd_id(key, updated_col)))
+    bucket = floor_ntz(F.col(updated_col), bucket_unit) if bucket_unit else None
+    new_versions = next_in_key(src.withColumn(valid_from, F.col(updated_col)), key, updated_col,
+                               valid_to, bucket).withColumn(id_col, scd_id(key, updated_col))
     if current is None:
         return new_versions
     first_new = (new_versions.groupBy(key).agg(F.min(updated_col).alias("_close_at"))

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverbed.functions.parse import (DATE_DMY, TS_WITH_SECONDS, TS_WITHOUT_SECONDS,
-                                      first_failure, parse_first, try_boolean, try_date,
-                                      try_decimal)
+                                      first_failure, floor_ntz, parse_first, try_boolean,
+                                      try_date, try_decimal)
 from riverbed.operators import enrich
 from riverbed.operators.dedupe import LINEAGE, latest_by_load, latest_per_key
 from riverbed.operators.scd import scd2_from_history
@@ -101,9 +101,15 @@ def clients_deduped(stg_cli: DataFrame) -> DataFrame:
                          *LINEAGE)
 
 
+# Versions are chained per (card, load day) first, so a card with a very long
+# history is spread over its days (see ``next_in_key``).
+SCD2_BUCKET = "day"
+
+
 def clients_scd2(deduped: DataFrame) -> DataFrame:
     """H5 (dt_clients_scd2): LEAD over load time per card."""
-    out = scd2_from_history(deduped, "card_num", "valid_from")
+    out = scd2_from_history(deduped, "card_num", "valid_from",
+                            bucket=floor_ntz(F.col("valid_from"), SCD2_BUCKET))
     return out.select("card_num", *CLIENT_ATTRS, "valid_from", "meta_load_ts", "valid_to", "is_current")
 
 

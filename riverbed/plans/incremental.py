@@ -58,7 +58,8 @@ DIM_CLIENT_COLS = ("card_num", *fraud.CLIENT_ATTRS, "meta_load_ts", "valid_from"
 
 def snapshot_delta(deduped: DataFrame, current: DataFrame | None) -> DataFrame:
     """clients_snapshot: unique key card_num, timestamp strategy on load time."""
-    delta = scd2_snapshot_delta(current, deduped, "card_num", "meta_load_ts")
+    delta = scd2_snapshot_delta(current, deduped, "card_num", "meta_load_ts",
+                                bucket_unit=fraud.SCD2_BUCKET)
     return delta.select(*SNAPSHOT_COLS)
 
 

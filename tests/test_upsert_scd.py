@@ -162,3 +162,16 @@ def test_as_of_join_cases(spark):
     assert rows(sweep, "t", "_c_name", "_c_valid_from") == rows(j, "t", "_c_name", "_c_valid_from")
     fan = enrich.join_all_versions(facts, versions, "card", prefix="_c_")
     assert fan.count() == 4 * 3 + 1  # four card-1 facts x three versions, + the unknown card
+
+
+def test_bucketed_lead_equals_plain_window(spark):
+    from riverbed.functions.parse import floor_ntz
+    from riverbed.operators.scd import next_in_key
+    # one hot key over many days plus a few small keys
+    data = [("hot", D(2024, 1, 1) + dt.timedelta(hours=7 * i)) for i in range(300)]
+    data += [(f"k{j}", D(2024, 1, 1) + dt.timedelta(days=3 * i)) for j in range(5) for i in range(4)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz")
+    plain = next_in_key(df, "k", "ts", "nxt")
+    bucketed = next_in_key(df, "k", "ts", "nxt", bucket=floor_ntz(F.col("ts"), "day"))
+    assert rows(plain) == rows(bucketed)
+    assert bucketed.filter(F.col("nxt").isNull()).count() == 6

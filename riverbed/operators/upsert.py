@@ -222,6 +222,13 @@ class KeyedTable:
         batches = set(st["batches"]) | ({batch_id} if batch_id is not None else set())
         self._cached = {"buckets": mapping, "batches": batches, "version": version, "schema": schema}
 
+    def create_if_missing(self, schema: T.StructType) -> bool:
+        """``CREATE TABLE IF NOT EXISTS`` (an empty committed version)."""
+        if self._state() is not None:
+            return False
+        self._commit(self.spark.createDataFrame([], schema), 0, None, full=True)
+        return True
+
     def overwrite(self, df: DataFrame, batch_id=None) -> None:
         """Full build (A14 'table' / first incremental run)."""
         st = self._state()

@@ -175,3 +175,14 @@ def test_bucketed_lead_equals_plain_window(spark):
     bucketed = next_in_key(df, "k", "ts", "nxt", bucket=floor_ntz(F.col("ts"), "day"))
     assert rows(plain) == rows(bucketed)
     assert bucketed.filter(F.col("nxt").isNull()).count() == 6
+
+
+def test_create_if_missing_then_overwrite(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4)
+    schema = spark.createDataFrame([], SRC).schema
+    assert t.create_if_missing(schema)
+    assert not t.create_if_missing(schema)
+    assert t.read().count() == 0
+    t.overwrite(spark.createDataFrame([("a", "1", "f")], SRC))
+    t.overwrite(spark.createDataFrame([("b", "2", "f")], SRC))
+    assert rows(t.read(), "k") == [("b",)]  # a full rebuild drops buckets it did not write

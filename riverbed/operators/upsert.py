@@ -132,11 +132,15 @@ def merge_frames(target: DataFrame | None, source: DataFrame, keys: Sequence[str
 class KeyedTable:
     """A keyed Parquet table with versioned buckets (see module docstring)."""
 
-    _LOG_SCHEMA = "version BIGINT, batch_id BIGINT, bucket INT, full BOOLEAN, schema_json STRING"
+    _LOG_SCHEMA = ("version BIGINT, batch_id BIGINT, bucket INT, full BOOLEAN, schema_json STRING, "
+                   "mark STRING")
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
-                 buckets: int = 64):
+                 buckets: int = 64, mark_col: str | None = None):
+        """``mark_col``: a timestamp column whose running maximum is kept in
+        the log, so the high-water mark (G3) costs no scan of the table."""
         self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+        self.mark_col = mark_col
         self._cached = None
 
     # -- manifest -----------------------------------------------------------
@@ -165,6 +169,7 @@ class KeyedTable:
             by_version.setdefault(r.version, []).append(r)
         mapping: dict[int, int] = {}
         batches = set()
+        mark = None
         for v in sorted(by_version):
             entries = by_version[v]
             if any(e.full for e in entries):
@@ -174,13 +179,23 @@ class KeyedTable:
                     mapping[e.bucket] = v
                 if e.batch_id is not None:
                     batches.add(e.batch_id)
+                if e.mark is not None:
+                    mark = _max_mark(mark, _dt.datetime.fromisoformat(e.mark))
         last = max(by_version)
         schema = T.StructType.fromJson(json.loads(by_version[last][0].schema_json))
-        return {"buckets": mapping, "batches": batches, "version": last, "schema": schema}
+        return {"buckets": mapping, "batches": batches, "version": last, "schema": schema,
+                "mark": mark}
 
     def exists(self) -> bool:
         return self._state() is not None
 
+    def mark(self):
+        """Running maximum of ``mark_col`` over everything merged (None when
+        empty): equals ``MAX(mark_col)`` of the table when merged rows only
+        move the mark forward, as incremental models do (H3)."""
+        st = self._state()
+        return None if st is None else st.get("mark")
+
     def applied_batches(self) -> set:
         st = self._state()
         return set() if st is None else st["batches"]
@@ -200,27 +215,43 @@ class KeyedTable:
 
     # -- writes -------------------------------------------------------------
     def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def _commit(self, df: DataFrame, version: int, batch_id, full: bool) -> None:
+        """``pmod(hash(keys), buckets)``: the function Spark's hash
+        partitioning applies, so ``repartition(buckets, *keys)`` puts bucket
+        ``b`` in task ``b`` and a key join needs no second shuffle before the
+        one-file-per-bucket write. (Correctness never depends on this; only
+        the number of files would.)"""
+        return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _batch_mark(self, df: DataFrame):
+        if self.mark_col is None:
+            return None
+        return df.agg(F.max(self.mark_col).alias("m")).first()["m"]
+
+    def _commit(self, df: DataFrame, version: int, batch_id, full: bool,
+                bucketed: bool = False, mark=None) -> None:
+        """Write ``df`` as version ``version`` and log it. ``bucketed``: the
+        rows already carry ``_bucket`` and are clustered by it (each bucket
+        in one task), so no extra shuffle is needed for one file per bucket."""
         data = f"{self.root}/data/v={version}"
-        schema = df.schema
-        # Hash-partition by bucket so each bucket is written by one task as few
-        # files; leftovers of a failed attempt are overwritten, never read.
-        (df.withColumn(_BUCKET, self.bucket_of())
-           .repartition(F.col(_BUCKET))
-           .write.mode("overwrite").partitionBy(_BUCKET).parquet(data))
+        schema = df.drop(_BUCKET).schema if bucketed else df.schema
+        out = df if bucketed else df.withColumn(_BUCKET, self.bucket_of()).repartition(F.col(_BUCKET))
+        # Leftovers of a failed attempt are overwritten, never read.
+        out.write.mode("overwrite").partitionBy(_BUCKET).parquet(data)
         files = self.spark.read.parquet(data).inputFiles() if _has_files(self.spark, data) else []
         written = sorted({int(f.split(f"{_BUCKET}=")[1].split("/")[0]) for f in files})
-        rows = [(version, batch_id, b, full, schema.json()) for b in written]
-        rows.append((version, batch_id, -1, full, schema.json()))  # commit marker
+        st = self._state() or {"buckets": {}, "batches": set(), "version": -1, "schema": schema,
+                               "mark": None}
+        new_mark = mark if full else _max_mark(st.get("mark"), mark)
+        mark_txt = None if new_mark is None else new_mark.isoformat(sep=" ")
+        rows = [(version, batch_id, b, full, schema.json(), mark_txt) for b in written]
+        rows.append((version, batch_id, -1, full, schema.json(), mark_txt))  # commit marker
         (self.spark.createDataFrame(rows, self._LOG_SCHEMA).coalesce(1)
              .write.mode("errorifexists").json(f"{self.root}/_log/v={version}"))
-        st = self._state() or {"buckets": {}, "batches": set(), "version": -1, "schema": schema}
         mapping = {} if full else dict(st["buckets"])
         mapping.update({b: version for b in written})
         batches = set(st["batches"]) | ({batch_id} if batch_id is not None else set())
-        self._cached = {"buckets": mapping, "batches": batches, "version": version, "schema": schema}
+        self._cached = {"buckets": mapping, "batches": batches, "version": version,
+                        "schema": schema, "mark": new_mark}
 
     def create_if_missing(self, schema: T.StructType) -> bool:
         """``CREATE TABLE IF NOT EXISTS`` (an empty committed version)."""
@@ -232,7 +263,8 @@ class KeyedTable:
     def overwrite(self, df: DataFrame, batch_id=None) -> None:
         """Full build (A14 'table' / first incremental run)."""
         st = self._state()
-        self._commit(df, 0 if st is None else st["version"] + 1, batch_id, full=True)
+        self._commit(df, 0 if st is None else st["version"] + 1, batch_id, full=True,
+                     mark=self._batch_mark(df))
 
     def merge(self, source: DataFrame, *, tracked: Sequence[str] | None = None,
               stamp: tuple[str, object] | None = None,
@@ -250,24 +282,38 @@ class KeyedTable:
         if stamp is not None:
             source = source.withColumn(stamp[0], stamp_literal(stamp[1]))
         if st is None:
-            self._commit(source, 0, batch_id, full=True)
+            self._commit(source, 0, batch_id, full=True, mark=self._batch_mark(source))
             return True
         version = st["version"] + 1
         staging = f"{self.root}/_staging/v={version}"
         (source.withColumn(_BUCKET, self.bucket_of())
                .write.mode("overwrite").partitionBy(_BUCKET).parquet(staging))
         files = self.spark.read.parquet(staging).inputFiles() if _has_files(self.spark, staging) else []
-        touched = {int(f.split(f"{_BUCKET}=")[1].split("/")[0]) for f in files}  # <= buckets
+        touched = sorted({int(f.split(f"{_BUCKET}=")[1].split("/")[0]) for f in files})  # <= buckets
         if not touched:
             self._commit(self.spark.createDataFrame([], st["schema"]), version, batch_id, full=False)
             return True
-        staged = self.spark.read.parquet(staging).drop(_BUCKET)
-        target = self.read(buckets=touched)
-        merged = merge_frames(target, staged, self.keys, tracked=tracked)
-        self._commit(merged.select(*st["schema"].fieldNames()), version, batch_id, full=False)
+        staged = self.spark.read.parquet(staging)
+        mark = self._batch_mark(staged)
+        # Both sides hash-partitioned by key into ``buckets`` tasks: one
+        # exchange each serves the key join and the bucketed write.
+        keys = [F.col(k) for k in self.keys]
+        src = staged.drop(_BUCKET).repartition(self.buckets, *keys)
+        tgt = self.read(buckets=set(touched)).repartition(self.buckets, *keys)
+        merged = merge_frames(tgt, src, self.keys, tracked=tracked)
+        self._commit(merged.withColumn(_BUCKET, self.bucket_of()), version, batch_id, full=False,
+                     bucketed=True, mark=mark)
         return True
 
 
+def _max_mark(a, b):
+    if a is None:
+        return b
+    if b is None:
+        return a
+    return max(a, b)
+
+
 def _has_files(spark: SparkSession, path: str) -> bool:
     try:
         return bool(spark.read.parquet(path).inputFiles())

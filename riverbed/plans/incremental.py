@@ -35,9 +35,11 @@ def visible(df: DataFrame, cut) -> DataFrame:
 
 
 # -- H10 incremental -------------------------------------------------------------
-def invalid_delta(txn: DataFrame, current: DataFrame | None) -> DataFrame:
-    """fct_invalid_transactions: invalid rows past the mark, latest per key."""
-    mark = high_water_mark(current, "meta_load_ts")
+def invalid_delta(txn: DataFrame, current: DataFrame | None, mark=None) -> DataFrame:
+    """fct_invalid_transactions: invalid rows past the mark, latest per key.
+    ``mark`` defaults to ``MAX(meta_load_ts)`` of ``current``."""
+    if mark is None:
+        mark = high_water_mark(current, "meta_load_ts")
     rows = after_mark(txn.filter(F.col("validation_status") != fraud.VALID), "meta_load_ts", mark)
     return latest_by_load(rows, ["trans_num"]).select(*fraud.QUARANTINE_COLS)
 
@@ -64,9 +66,10 @@ def snapshot_delta(deduped: DataFrame, current: DataFrame | None) -> DataFrame:
 
 
 def dim_clients_delta(snapshot: DataFrame, current: DataFrame | None,
-                      strict_reference: bool = False) -> DataFrame:
+                      strict_reference: bool = False, mark=None) -> DataFrame:
     """dim_clients: snapshot versions past the dimension's mark (Q1 fix by default)."""
-    mark = high_water_mark(current, "dbt_updated_at")
+    if mark is None:
+        mark = high_water_mark(current, "dbt_updated_at")
     rows = scd2_dim_delta(snapshot, mark, strict_reference=strict_reference)
     return rows.select(
         "card_num", *fraud.CLIENT_ATTRS, "meta_load_ts",
@@ -76,10 +79,11 @@ def dim_clients_delta(snapshot: DataFrame, current: DataFrame | None,
 
 # -- H9 ----------------------------------------------------------------------------
 def fact_delta(txn: DataFrame, dim_merch: DataFrame, dim_cli: DataFrame,
-               current: DataFrame | None) -> DataFrame:
+               current: DataFrame | None, mark=None) -> DataFrame:
     """fct_fraud_full: VALID rows past the fact's mark, enriched with the
     dimensions as they are now; latest row per trans_num (Q5)."""
-    mark = high_water_mark(current, "meta_load_ts")
+    if mark is None:
+        mark = high_water_mark(current, "meta_load_ts")
     rows = after_mark(txn, "meta_load_ts", mark)
     fact = fraud.enriched_fact(rows, dim_merch, dim_cli,
                                extra=("meta_filename", "meta_file_row_number"))
@@ -91,12 +95,14 @@ class FraudWarehouse:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark, self.root = spark, root
-        mk = lambda name, keys: KeyedTable(spark, f"{root}/{name}", keys, buckets)
-        self.invalid = mk("fct_invalid_transactions", ["trans_num"])
+        mk = lambda name, keys, mark=None: KeyedTable(
+            spark, f"{root}/{name}", keys, buckets, mark_col=mark)
+        # High-water marks come from the tables' logs (no scan of the target).
+        self.invalid = mk("fct_invalid_transactions", ["trans_num"], "meta_load_ts")
         self.merchants = mk("dim_merchants", ["merchant"])
         self.snapshot = mk("clients_snapshot", ["dbt_scd_id"])
-        self.clients = mk("dim_clients", ["dbt_scd_id"])
-        self.facts = mk("fct_fraud_full", ["trans_num"])
+        self.clients = mk("dim_clients", ["dbt_scd_id"], "dbt_updated_at")
+        self.facts = mk("fct_fraud_full", ["trans_num"], "meta_load_ts")
 
     def run(self, raw: dict[str, DataFrame], run_id: int, models: Sequence[str] = (
             "invalid", "merchants", "snapshot", "clients", "facts")) -> None:
@@ -104,7 +110,7 @@ class FraudWarehouse:
         dependency order (staging -> snapshot -> dims -> facts)."""
         txn = fraud.stg_transactions(raw["raw_trans"])
         if "invalid" in models:
-            self.invalid.merge(invalid_delta(txn, self.invalid.read_or_none()), batch_id=run_id)
+            self.invalid.merge(invalid_delta(txn, None, self.invalid.mark()), batch_id=run_id)
         if "merchants" in models or "facts" in models:
             stg_m = fraud.stg_merchants(raw["raw_merch"])
             self.merchants.merge(merchants_delta(stg_m, self.merchants.read_or_none()), batch_id=run_id)
@@ -112,11 +118,11 @@ class FraudWarehouse:
             deduped = fraud.clients_deduped(fraud.stg_clients(raw["raw_clients"]))
             self.snapshot.merge(snapshot_delta(deduped, self.snapshot.read_or_none()), batch_id=run_id)
         if "clients" in models or "facts" in models:
-            self.clients.merge(dim_clients_delta(self.snapshot.read(), self.clients.read_or_none()),
+            self.clients.merge(dim_clients_delta(self.snapshot.read(), None, mark=self.clients.mark()),
                                batch_id=run_id)
         if "facts" in models:
-            self.facts.merge(fact_delta(txn, self.merchants.read(), self.clients.read(),
-                                        self.facts.read_or_none()), batch_id=run_id)
+            self.facts.merge(fact_delta(txn, self.merchants.read(), self.clients.read(), None,
+                                        self.facts.mark()), batch_id=run_id)
 
 
 def replay(spark: SparkSession, raw: dict[str, DataFrame], name: str,

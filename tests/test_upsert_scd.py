@@ -186,3 +186,20 @@ def test_create_if_missing_then_overwrite(spark, tmp_dir):
     t.overwrite(spark.createDataFrame([("a", "1", "f")], SRC))
     t.overwrite(spark.createDataFrame([("b", "2", "f")], SRC))
     assert rows(t.read(), "k") == [("b",)]  # a full rebuild drops buckets it did not write
+
+
+def test_merge_writes_one_file_per_bucket_and_keeps_mark(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts")
+    mk = lambda n, day: spark.createDataFrame(
+        [(f"k{i}", str(i), D(2024, 1, day)) for i in range(n)], "k string, v string, ts timestamp_ntz")
+    t.merge(mk(40, 1), batch_id=0)
+    t.merge(mk(10, 3), batch_id=1)
+    assert t.mark() == D(2024, 1, 3)
+    assert high_water_mark(t.read(), "ts") == t.mark()
+    files = [f for f in t.read().inputFiles() if "/data/v=1/" in f]
+    per_bucket = {}
+    for f in files:
+        b = f.split("_bucket=")[1].split("/")[0]
+        per_bucket[b] = per_bucket.get(b, 0) + 1
+    assert per_bucket and max(per_bucket.values()) == 1
+    assert KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts").mark() == D(2024, 1, 3)

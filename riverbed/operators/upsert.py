@@ -22,14 +22,16 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverbed.functions.parse import any_distinct
 from riverbed.operators.dedupe import latest_per_key
+from riverbed.session import path_exists
 
 _SRC, _TGT, _BUCKET = "_src_present", "_tgt_present", "_bucket"
 
@@ -156,6 +158,8 @@ class KeyedTable:
         self._cached = None
 
     def _load_state(self):
+        if not path_exists(self.spark, f"{self.root}/_log"):
+            return {}
         try:
             log = self.spark.read.schema(self._LOG_SCHEMA).json(f"{self.root}/_log")
             # Bounded by versions x touched buckets, never by rows.
@@ -222,33 +226,41 @@ class KeyedTable:
         the number of files would.)"""
         return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
-    def _batch_mark(self, df: DataFrame):
-        if self.mark_col is None:
-            return None
-        return df.agg(F.max(self.mark_col).alias("m")).first()["m"]
+    def _write_observed(self, df: DataFrame, path: str) -> dict:
+        """Write ``df`` (with ``_bucket``) partitioned by bucket and return, from
+        the same job, the buckets written, the row count and the batch's mark
+        (``Observation``: no second pass over the data)."""
+        metrics = [F.collect_set(_BUCKET).alias("buckets"), F.count(F.lit(1)).alias("rows")]
+        if self.mark_col is not None:
+            metrics.append(F.max(self.mark_col).alias("mark"))
+        obs = Observation(f"riverbed-{uuid.uuid4().hex[:8]}")
+        df.observe(obs, *metrics).write.mode("overwrite").partitionBy(_BUCKET).parquet(path)
+        got = obs.get
+        return {"buckets": sorted(got.get("buckets") or []), "rows": got.get("rows", 0),
+                "mark": got.get("mark")}
 
     def _commit(self, df: DataFrame, version: int, batch_id, full: bool,
                 bucketed: bool = False, mark=None) -> None:
         """Write ``df`` as version ``version`` and log it. ``bucketed``: the
         rows already carry ``_bucket`` and are clustered by it (each bucket
-        in one task), so no extra shuffle is needed for one file per bucket."""
+        in one task), so no extra shuffle is needed for one file per bucket.
+        Leftovers of a failed attempt are overwritten, never read."""
         data = f"{self.root}/data/v={version}"
         schema = df.drop(_BUCKET).schema if bucketed else df.schema
         out = df if bucketed else df.withColumn(_BUCKET, self.bucket_of()).repartition(F.col(_BUCKET))
-        # Leftovers of a failed attempt are overwritten, never read.
-        out.write.mode("overwrite").partitionBy(_BUCKET).parquet(data)
-        files = self.spark.read.parquet(data).inputFiles() if _has_files(self.spark, data) else []
-        written = sorted({int(f.split(f"{_BUCKET}=")[1].split("/")[0]) for f in files})
+        written = self._write_observed(out, data)
+        if full:
+            mark = written["mark"]
         st = self._state() or {"buckets": {}, "batches": set(), "version": -1, "schema": schema,
                                "mark": None}
         new_mark = mark if full else _max_mark(st.get("mark"), mark)
         mark_txt = None if new_mark is None else new_mark.isoformat(sep=" ")
-        rows = [(version, batch_id, b, full, schema.json(), mark_txt) for b in written]
+        rows = [(version, batch_id, b, full, schema.json(), mark_txt) for b in written["buckets"]]
         rows.append((version, batch_id, -1, full, schema.json(), mark_txt))  # commit marker
         (self.spark.createDataFrame(rows, self._LOG_SCHEMA).coalesce(1)
              .write.mode("errorifexists").json(f"{self.root}/_log/v={version}"))
         mapping = {} if full else dict(st["buckets"])
-        mapping.update({b: version for b in written})
+        mapping.update({b: version for b in written["buckets"]})
         batches = set(st["batches"]) | ({batch_id} if batch_id is not None else set())
         self._cached = {"buckets": mapping, "batches": batches, "version": version,
                         "schema": schema, "mark": new_mark}
@@ -263,8 +275,7 @@ class KeyedTable:
     def overwrite(self, df: DataFrame, batch_id=None) -> None:
         """Full build (A14 'table' / first incremental run)."""
         st = self._state()
-        self._commit(df, 0 if st is None else st["version"] + 1, batch_id, full=True,
-                     mark=self._batch_mark(df))
+        self._commit(df, 0 if st is None else st["version"] + 1, batch_id, full=True)
 
     def merge(self, source: DataFrame, *, tracked: Sequence[str] | None = None,
               stamp: tuple[str, object] | None = None,
@@ -272,8 +283,9 @@ class KeyedTable:
               batch_id: int | None = None) -> bool:
         """Upsert ``source``; returns False when ``batch_id`` was already applied.
 
-        The deduplicated source is staged once as Parquet: that cuts its
-        lineage, and it is read twice (touched buckets, then the join)."""
+        The deduplicated source is staged once as Parquet (its lineage is cut
+        and it is computed once); the same write reports the touched buckets
+        and the batch's mark, and only those buckets of the target are read."""
         st = self._state()
         if st is not None and batch_id is not None and batch_id in st["batches"]:
             return False
@@ -282,19 +294,16 @@ class KeyedTable:
         if stamp is not None:
             source = source.withColumn(stamp[0], stamp_literal(stamp[1]))
         if st is None:
-            self._commit(source, 0, batch_id, full=True, mark=self._batch_mark(source))
+            self._commit(source, 0, batch_id, full=True)
             return True
         version = st["version"] + 1
         staging = f"{self.root}/_staging/v={version}"
-        (source.withColumn(_BUCKET, self.bucket_of())
-               .write.mode("overwrite").partitionBy(_BUCKET).parquet(staging))
-        files = self.spark.read.parquet(staging).inputFiles() if _has_files(self.spark, staging) else []
-        touched = sorted({int(f.split(f"{_BUCKET}=")[1].split("/")[0]) for f in files})  # <= buckets
+        stage = self._write_observed(source.withColumn(_BUCKET, self.bucket_of()), staging)
+        touched, mark = stage["buckets"], stage["mark"]  # at most ``buckets`` ids
         if not touched:
             self._commit(self.spark.createDataFrame([], st["schema"]), version, batch_id, full=False)
             return True
         staged = self.spark.read.parquet(staging)
-        mark = self._batch_mark(staged)
         # Both sides hash-partitioned by key into ``buckets`` tasks: one
         # exchange each serves the key join and the bucketed write.
         keys = [F.col(k) for k in self.keys]
@@ -312,10 +321,3 @@ def _max_mark(a, b):
     if b is None:
         return a
     return max(a, b)
-
-
-def _has_files(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(path).inputFiles())
-    except Exception:  # an empty write leaves no readable files
-        return False

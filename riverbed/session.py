@@ -69,3 +69,11 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence test on the cluster's file system (HDFS, object store or
+    local), through the Hadoop FileSystem Spark itself uses."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -27,6 +27,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverbed.session import path_exists
 from riverbed.sources.csv import CORRUPT, CsvFormat, pick, read_text_table, with_file_row_number
 
 LoadClock = Callable[[int], dt.datetime]
@@ -126,6 +127,8 @@ class LandingFeed:
 
     def committed_batches(self) -> list[int]:
         """Batch ids with data (from the file listing: no data is read)."""
+        if not path_exists(self.spark, self.path):
+            return []
         try:
             files = self.spark.read.parquet(self.path).inputFiles()
         except Exception:  # nothing landed yet

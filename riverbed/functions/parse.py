@@ -8,6 +8,7 @@ stay inside whole-stage codegen and never call Python per row.
 
 from __future__ import annotations
 
+import datetime as _dt
 import re
 from collections.abc import Iterable, Sequence
 
@@ -136,7 +137,7 @@ def in_half_open(ts: Column, valid_from: Column, valid_to: Column) -> Column:
 
 def lookback(as_of, hours: int) -> Column:
     """``DATEADD('hour', -hours, as_of)`` with an injected ``as_of``."""
-    base = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    base = ntz(as_of)
     return F.timestamp_add("HOUR", F.lit(-hours), base)
 
 
@@ -162,5 +163,13 @@ def floor_ntz(c: Column | str, unit: str) -> Column:
 
 
 def ntz(value) -> Column:
-    """A literal TIMESTAMP_NTZ from a datetime or ISO text."""
+    """A TIMESTAMP_NTZ literal from a datetime, a date or ISO text.
+
+    Built from ISO text, never from ``F.lit(datetime)``: a Python datetime
+    becomes a zoned literal through the driver's local zone, which would
+    shift it whenever that zone differs from the session's."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, (_dt.datetime, _dt.date)):
+        value = value.isoformat(sep=" ") if isinstance(value, _dt.datetime) else value.isoformat()
     return F.lit(value).cast("timestamp_ntz")

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbed.functions.parse import floor_ntz
+from riverbed.functions.parse import floor_ntz, ntz
 from riverbed.operators.dedupe import latest_per_key
 from riverbed.operators.upsert import new_or_newer
 
@@ -132,7 +132,7 @@ def scd2_dim_delta(snapshot: DataFrame, mark, *, updated_col: str = "dbt_updated
     keeps the literal filter."""
     if mark is None:
         return snapshot
-    cond = F.col(updated_col) > F.lit(mark)
+    cond = F.col(updated_col) > ntz(mark)
     if not strict_reference:
-        cond = cond | (F.col(valid_to) > F.lit(mark))
+        cond = cond | (F.col(valid_to) > ntz(mark))
     return snapshot.filter(cond)

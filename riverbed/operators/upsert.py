@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverbed.functions.parse import any_distinct
+from riverbed.functions.parse import any_distinct, ntz
 from riverbed.operators.dedupe import latest_per_key
 from riverbed.session import path_exists
 
@@ -53,7 +53,8 @@ def after_mark(df: DataFrame, col: str, mark, literal_mode: bool = False) -> Dat
     (the reference's behaviour on an empty target, Q3)."""
     if mark is None:
         return df.filter(F.lit(False)) if literal_mode else df
-    return df.filter(F.col(col) > F.lit(mark))
+    lit = ntz(mark) if isinstance(mark, (_dt.datetime, _dt.date)) else F.lit(mark)
+    return df.filter(F.col(col) > lit)
 
 
 def new_or_newer(source: DataFrame, target: DataFrame | None, keys: Sequence[str],
@@ -82,7 +83,7 @@ def stamp_literal(value) -> Column:
     if isinstance(value, Column):
         return value
     if isinstance(value, _dt.datetime):
-        return F.lit(value).cast("timestamp_ntz")
+        return ntz(value)
     return F.lit(value)
 
 

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.functions.parse import TS_WITHOUT_SECONDS, try_boolean, try_timestamp
+from riverbed.functions.parse import TS_WITHOUT_SECONDS, ntz, try_boolean, try_timestamp
 from riverbed.operators.dedupe import LINEAGE, latest_by_load
 from riverbed.operators.scd import scd1_delta, scd2_dim_delta, scd2_snapshot_delta
 from riverbed.operators.upsert import KeyedTable, after_mark, high_water_mark
@@ -31,7 +31,7 @@ LOAD_ORDER = ["meta_load_ts desc", "meta_file_row_number desc", "meta_filename d
 
 def visible(df: DataFrame, cut) -> DataFrame:
     """Rows that had arrived by the cut (``meta_load_ts < cut``)."""
-    return df if cut is None else df.filter(F.col("meta_load_ts") < F.lit(cut))
+    return df if cut is None else df.filter(F.col("meta_load_ts") < ntz(cut))
 
 
 # -- H10 incremental -------------------------------------------------------------

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riverbed.functions.parse import NULL_TOKENS, null_if_tokens
+from riverbed.functions.parse import NULL_TOKENS, ntz, null_if_tokens
 
 CORRUPT = "_corrupt_record"
 
@@ -118,7 +118,7 @@ def read_landing(spark: SparkSession, path: str, n_fields: int, positions: Mappi
     text = read_text_table(spark, path, n_fields, fmt).persist()
     numbered = with_file_row_number(text)
     return numbered.select(*pick(numbered, positions, fmt), "meta_filename", "meta_file_row_number",
-                           F.lit(load_ts).cast("timestamp_ntz").alias("meta_load_ts"))
+                           ntz(load_ts).alias("meta_load_ts"))
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:

@@ -27,6 +27,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverbed.functions.parse import ntz
 from riverbed.session import path_exists
 from riverbed.sources.csv import CORRUPT, CsvFormat, pick, read_text_table, with_file_row_number
 
@@ -78,7 +79,7 @@ class FileIngest:
             numbered = with_file_row_number(batch)
             rows = numbered.select(*pick(numbered, self.positions, self.fmt), "meta_filename",
                                    "meta_file_row_number",
-                                   F.lit(load_ts).cast("timestamp_ntz").alias("meta_load_ts"))
+                                   ntz(load_ts).alias("meta_load_ts"))
             if self.typing is not None:
                 rows = self.typing(rows)
             (rows.write.mode("overwrite")
@@ -94,7 +95,7 @@ class FileIngest:
                  .otherwise(F.lit("LOAD_FAILED")).alias("status"),
                 F.lit(self.pipe_name).alias("pipe_name"), F.lit(self.table_name).alias("table_name"),
                 F.col("meta_filename").alias("file_name"), "file_size", "row_count", "error_count",
-                "pipe_received_time", F.lit(load_ts).cast("timestamp_ntz").alias("last_load_time"))
+                "pipe_received_time", ntz(load_ts).alias("last_load_time"))
             ledger.write.mode("overwrite").parquet(f"{self.ledger_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()

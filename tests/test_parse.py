@@ -98,3 +98,18 @@ def test_seconds_between_counts_boundaries(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 0, 900000), dt.datetime(2024, 1, 1, 0, 0, 1, 100000))],
                                "a timestamp_ntz, b timestamp_ntz")
     assert df.select(P.seconds_between(F.col("a"), F.col("b"))).first()[0] == 1
+
+
+def test_datetime_literals_ignore_session_zone(spark):
+    from riverbed.operators.upsert import after_mark
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10),), (dt.datetime(2024, 1, 1, 12),)],
+                               "ts timestamp_ntz")
+    for zone in ("Asia/Tokyo", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = [r.ts for r in after_mark(df, "ts", dt.datetime(2024, 1, 1, 11)).collect()]
+            lit = df.select(P.ntz(dt.datetime(2024, 1, 1, 11)).alias("x")).first().x
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == [dt.datetime(2024, 1, 1, 12)]
+        assert lit == dt.datetime(2024, 1, 1, 11)

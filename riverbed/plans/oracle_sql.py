@@ -284,3 +284,15 @@ SELECT trans_id, trans_ts, category, is_fraud,
   TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((arrival + 1) * 5 AS INTEGER)) AS processed_ts
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_id ORDER BY arrival DESC) AS r2 FROM per)
 WHERE r2 = 1""")
+
+# -- H15 ---------------------------------------------------------------------------
+ORACLE_SQL["v2_pipeline_fact"] = build("SELECT * FROM fraud_full", "fraud_full")
+ORACLE_SQL["v2_refresh_runs"] = build("""
+SELECT 'DT_TRANSACTIONS' AS name, 'SUCCEEDED' AS state, 'FULL' AS refresh_action,
+       COUNT(*) AS row_count FROM stg_transactions
+UNION ALL SELECT 'DT_MERCHANTS', 'SUCCEEDED', 'FULL', COUNT(*) FROM merchants_latest
+UNION ALL SELECT 'DT_CLIENTS_DEDUPED', 'SUCCEEDED', 'FULL', CAST(NULL AS BIGINT)
+UNION ALL SELECT 'DT_CLIENTS_SCD2', 'SUCCEEDED', 'FULL', COUNT(*) FROM clients_scd2
+UNION ALL SELECT 'DT_FRAUD_FULL', 'SUCCEEDED', 'FULL', CAST(NULL AS BIGINT)
+UNION ALL SELECT 'DT_INVALID_TRANS', 'SUCCEEDED', 'FULL', CAST(NULL AS BIGINT)""",
+    "stg_transactions", "merchants_latest", "clients_scd2")

@@ -77,3 +77,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def scale_conf(input_bytes: int, executors_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Shuffle and scan sizing for a cluster run: about one shuffle partition
+    per ``target_partition_bytes`` of input (never fewer than twice the
+    cores), AQE coalescing small ones and splitting skewed ones at run time."""
+    parts = max(2 * executors_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from riverbed.functions.parse import any_distinct, ntz
 from riverbed.operators.dedupe import latest_per_key
-from riverbed.session import path_exists
+from riverbed.session import list_children
 
 _SRC, _TGT, _BUCKET = "_src_present", "_tgt_present", "_bucket"
 
@@ -137,6 +137,11 @@ class KeyedTable:
 
     _LOG_SCHEMA = ("version BIGINT, batch_id BIGINT, bucket INT, full BOOLEAN, schema_json STRING, "
                    "mark STRING")
+    _CKPT_SCHEMA = ("ckpt BIGINT, bucket INT, version BIGINT, max_batch BIGINT, schema_json STRING, "
+                    "mark STRING")
+    # Batch ids are assumed to increase (as streaming batch ids do): a
+    # checkpoint keeps only the largest applied one.
+    CHECKPOINT_EVERY = 64
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
                  buckets: int = 64, mark_col: str | None = None):
@@ -158,25 +163,38 @@ class KeyedTable:
     def refresh(self) -> None:
         self._cached = None
 
+    def _versions(self, folder: str) -> list[int]:
+        names = list_children(self.spark, f"{self.root}/{folder}")
+        return sorted(int(n[2:]) for n in names if n.startswith("v="))
+
     def _load_state(self):
-        if not path_exists(self.spark, f"{self.root}/_log"):
-            return {}
-        try:
-            log = self.spark.read.schema(self._LOG_SCHEMA).json(f"{self.root}/_log")
-            # Bounded by versions x touched buckets, never by rows.
-            rows = log.collect()
-        except Exception:  # nothing committed yet
-            return {}
-        if not rows:
+        """Latest log checkpoint (one row per bucket) plus the log entries
+        after it: the driver reads at most ``buckets`` + ``CHECKPOINT_EVERY``
+        versions' rows, however long the table has lived."""
+        log_versions = self._versions("_log")
+        if not log_versions:
             return {}
+        ckpts = [c for c in self._versions("_ckpt") if c <= log_versions[-1]]
+        mapping: dict[int, int] = {}
+        batches: set[int] = set()
+        mark, upto, schema_json, last = None, None, None, -1
+        if ckpts:
+            c = ckpts[-1]
+            for r in self.spark.read.schema(self._CKPT_SCHEMA).json(f"{self.root}/_ckpt/v={c}").collect():
+                if r.bucket >= 0:
+                    mapping[r.bucket] = r.version
+                else:
+                    upto, schema_json, last = r.max_batch, r.schema_json, c
+                    mark = _dt.datetime.fromisoformat(r.mark) if r.mark else None
+        paths = [f"{self.root}/_log/v={v}" for v in log_versions if v > last]
+        rows = self.spark.read.schema(self._LOG_SCHEMA).json(paths).collect() if paths else []
         by_version: dict[int, list] = {}
         for r in rows:
             by_version.setdefault(r.version, []).append(r)
-        mapping: dict[int, int] = {}
-        batches = set()
-        mark = None
         for v in sorted(by_version):
             entries = by_version[v]
+            if not any(e.bucket == -1 for e in entries):  # no commit marker: never committed
+                continue
             if any(e.full for e in entries):
                 mapping = {}
             for e in entries:
@@ -186,10 +204,24 @@ class KeyedTable:
                     batches.add(e.batch_id)
                 if e.mark is not None:
                     mark = _max_mark(mark, _dt.datetime.fromisoformat(e.mark))
-        last = max(by_version)
-        schema = T.StructType.fromJson(json.loads(by_version[last][0].schema_json))
-        return {"buckets": mapping, "batches": batches, "version": last, "schema": schema,
-                "mark": mark}
+            last, schema_json = v, entries[0].schema_json
+        if last < 0:
+            return {}
+        schema = T.StructType.fromJson(json.loads(schema_json))
+        return {"buckets": mapping, "batches": batches, "upto": upto, "version": last,
+                "schema": schema, "mark": mark}
+
+    def _checkpoint(self) -> None:
+        """Write the full bucket map of the current version (A15-style
+        compaction of the log; old entries are no longer read)."""
+        st = self._state()
+        known = [b for b in st["batches"]] + ([st["upto"]] if st.get("upto") is not None else [])
+        mark_txt = None if st.get("mark") is None else st["mark"].isoformat(sep=" ")
+        rows = [(st["version"], b, v, None, None, None) for b, v in sorted(st["buckets"].items())]
+        rows.append((st["version"], -1, st["version"], max(known) if known else None,
+                     st["schema"].json(), mark_txt))
+        (self.spark.createDataFrame(rows, self._CKPT_SCHEMA).coalesce(1)
+             .write.mode("overwrite").json(f"{self.root}/_ckpt/v={st['version']}"))
 
     def exists(self) -> bool:
         return self._state() is not None
@@ -201,9 +233,11 @@ class KeyedTable:
         st = self._state()
         return None if st is None else st.get("mark")
 
-    def applied_batches(self) -> set:
+    def applied_batches(self) -> AppliedBatches:
         st = self._state()
-        return set() if st is None else st["batches"]
+        if st is None:
+            return AppliedBatches()
+        return AppliedBatches(st["batches"], st.get("upto"))
 
     def read(self, buckets=None) -> DataFrame:
         st = self._state()
@@ -258,13 +292,16 @@ class KeyedTable:
         mark_txt = None if new_mark is None else new_mark.isoformat(sep=" ")
         rows = [(version, batch_id, b, full, schema.json(), mark_txt) for b in written["buckets"]]
         rows.append((version, batch_id, -1, full, schema.json(), mark_txt))  # commit marker
+        # A version number is only reused after a failed, never-committed attempt.
         (self.spark.createDataFrame(rows, self._LOG_SCHEMA).coalesce(1)
-             .write.mode("errorifexists").json(f"{self.root}/_log/v={version}"))
+             .write.mode("overwrite").json(f"{self.root}/_log/v={version}"))
         mapping = {} if full else dict(st["buckets"])
         mapping.update({b: version for b in written["buckets"]})
         batches = set(st["batches"]) | ({batch_id} if batch_id is not None else set())
-        self._cached = {"buckets": mapping, "batches": batches, "version": version,
-                        "schema": schema, "mark": new_mark}
+        self._cached = {"buckets": mapping, "batches": batches, "upto": st.get("upto"),
+                        "version": version, "schema": schema, "mark": new_mark}
+        if (version + 1) % self.CHECKPOINT_EVERY == 0:
+            self._checkpoint()
 
     def create_if_missing(self, schema: T.StructType) -> bool:
         """``CREATE TABLE IF NOT EXISTS`` (an empty committed version)."""
@@ -288,7 +325,7 @@ class KeyedTable:
         and it is computed once); the same write reports the touched buckets
         and the batch's mark, and only those buckets of the target are read."""
         st = self._state()
-        if st is not None and batch_id is not None and batch_id in st["batches"]:
+        if st is not None and batch_id is not None and batch_id in self.applied_batches():
             return False
         if order is not None:
             source = latest_per_key(source, self.keys, order)
@@ -316,6 +353,20 @@ class KeyedTable:
         return True
 
 
+class AppliedBatches(frozenset):
+    """Batch ids applied to a table: the ids logged since the last log
+    checkpoint, plus every id up to the checkpoint's largest."""
+
+    def __new__(cls, ids=(), upto=None):
+        obj = super().__new__(cls, ids)
+        obj.upto = upto
+        return obj
+
+    def __contains__(self, batch_id) -> bool:
+        return frozenset.__contains__(self, batch_id) or (
+            self.upto is not None and batch_id is not None and batch_id <= self.upto)
+
+
 def _max_mark(a, b):
     if a is None:
         return b

@@ -90,3 +90,13 @@ def scale_conf(input_bytes: int, executors_cores: int, target_partition_bytes: i
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     }
+
+
+def list_children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (empty when missing)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]

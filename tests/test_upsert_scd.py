@@ -203,3 +203,21 @@ def test_merge_writes_one_file_per_bucket_and_keeps_mark(spark, tmp_dir):
         per_bucket[b] = per_bucket.get(b, 0) + 1
     assert per_bucket and max(per_bucket.values()) == 1
     assert KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts").mark() == D(2024, 1, 3)
+
+
+def test_log_checkpoint_bounds_what_the_driver_reads(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(KeyedTable, "CHECKPOINT_EVERY", 3)
+    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts")
+    for b in range(7):
+        batch = spark.createDataFrame([(f"k{b % 3}", str(b), D(2024, 1, 1 + b))],
+                                      "k string, v string, ts timestamp_ntz")
+        assert t.merge(batch, batch_id=b)
+    fresh = KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts")
+    assert rows(fresh.read()) == rows(t.read())
+    assert {r.k: r.v for r in fresh.read().collect()} == {"k0": "6", "k1": "4", "k2": "5"}
+    assert fresh.mark() == D(2024, 1, 7)
+    applied = fresh.applied_batches()
+    assert all(b in applied for b in range(7)) and 7 not in applied
+    assert not fresh.merge(spark.createDataFrame([("k0", "x", D(2024, 2, 1))],
+                                                 "k string, v string, ts timestamp_ntz"), batch_id=2)
+    assert len(applied) < 7  # only the ids after the last checkpoint are listed

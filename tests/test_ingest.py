@@ -80,3 +80,30 @@ def test_stream_ingest_new_files_only_and_ledger(spark, tmp_dir):
                     order=["meta_load_ts desc"])
     assert feed.pending(table.applied_batches()) == []
     assert {r.a: r.b for r in table.read().collect()} == {"k1": "9", "k2": "2", "bad": None}
+
+
+def test_max_files_per_trigger_bounds_batches(spark, tmp_dir):
+    src, tgt = f"{tmp_dir}/in2", f"{tmp_dir}/pipe2"
+    for i in range(3):
+        write(src, f"f{i}.csv", f"h1,h2,h3\nk{i},{i},x\n".encode())
+    pipe = FileIngest(spark, src, tgt, n_fields=3, positions=POS3, pipe_name="P", table_name="T",
+                      clock=lambda b: dt.datetime(2024, 1, 1 + b), max_files_per_trigger=1)
+    pipe.run_available_now()
+    feed = LandingFeed(spark, pipe.landing_path)
+    assert feed.committed_batches() == [0, 1, 2]
+    assert all(feed.batch(b).count() == 1 for b in range(3))
+
+
+def test_scheduled_pipe_picks_up_new_files(spark, tmp_dir):
+    src, tgt = f"{tmp_dir}/in3", f"{tmp_dir}/pipe3"
+    write(src, "a.csv", b"h1,h2,h3\nk1,1,x\n")
+    pipe = FileIngest(spark, src, tgt, n_fields=3, positions=POS3, pipe_name="P", table_name="T",
+                      clock=lambda b: dt.datetime(2024, 1, 1 + b))
+    q = pipe.start(every="1 second")
+    try:
+        q.processAllAvailable()
+        write(src, "b.csv", b"h1,h2,h3\nk2,2,y\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.a for r in pipe.landing().collect()) == ["k1", "k2"]

@@ -58,3 +58,15 @@ def test_keyed_merge_has_one_exchange_per_side(spark, tmp_dir):
     p = seen["plan"]
     assert "FullOuter" in p
     assert p.count("Arguments: hashpartitioning(") == 2  # one exchange per side, none after the join
+
+
+def test_as_of_join_without_broadcast_is_a_sort_merge_join(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(REGISTRY["fraud_full"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin LeftOuter" in p
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p

@@ -91,7 +91,7 @@ def read_text_table(spark: SparkSession, path: str, n_fields: int, fmt: CsvForma
 
 
 def with_file_row_number(df: DataFrame, file_col: str = "meta_filename",
-                         out: str = "meta_file_row_number") -> DataFrame:
+                         out: str = "meta_file_row_number", stage: bool = False) -> DataFrame:
     """A4: 1-based row number inside each file, in file order.
 
     ``monotonically_increasing_id`` grows with the row order inside a scan
@@ -100,9 +100,13 @@ def with_file_row_number(df: DataFrame, file_col: str = "meta_filename",
     sum of the counts in block order gives each block's offset, and
     ``offset + id - first_id + 1`` numbers the row. Only one small row per
     block is aggregated (one per scan split, a proven bound), and it is
-    broadcast back; data rows are not shuffled. The input must be
-    persisted or staged by the caller so that both uses see the same ids."""
+    broadcast back; data rows are not shuffled. Both uses must see the same
+    ids: either the caller persists the input (a micro-batch), or
+    ``stage=True`` materialises the ids once with a reliable ``checkpoint()``
+    in the shared checkpoint folder."""
     ids = df.withColumn("_mid", F.monotonically_increasing_id()).withColumn("_pid", F.spark_partition_id())
+    if stage:
+        ids = ids.checkpoint(eager=True)
     blocks = ids.groupBy(file_col, "_pid").agg(F.min("_mid").alias("_bmin"), F.count(F.lit(1)).alias("_bn"))
     w = Window.partitionBy(file_col).orderBy("_bmin").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_bn").over(w), F.lit(0)))
@@ -115,8 +119,7 @@ def read_landing(spark: SparkSession, path: str, n_fields: int, positions: Mappi
                  load_ts, fmt: CsvFormat = CsvFormat()) -> DataFrame:
     """A9 batch form: the raw landing shape (text columns + file name, row
     number and one load time for the whole batch)."""
-    text = read_text_table(spark, path, n_fields, fmt).persist()
-    numbered = with_file_row_number(text)
+    numbered = with_file_row_number(read_text_table(spark, path, n_fields, fmt), stage=True)
     return numbered.select(*pick(numbered, positions, fmt), "meta_filename", "meta_file_row_number",
                            ntz(load_ts).alias("meta_load_ts"))
 

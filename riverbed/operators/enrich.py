@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbed.functions.parse import in_half_open
@@ -84,6 +84,3 @@ def join_all_versions(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
     archive form). Rows multiply by the version count of their key."""
     return join_current(fact, dim, fact_key, dim_key, prefix)
 
-
-def pick(df: DataFrame, spec: Sequence[Column | str]) -> DataFrame:
-    return df.select(*spec)

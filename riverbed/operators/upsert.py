@@ -72,6 +72,7 @@ def new_or_newer(source: DataFrame, target: DataFrame | None, keys: Sequence[str
 
 
 def null_key_rows(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Rows with a NULL in any key column (they can never match a target row)."""
     cond = F.lit(False)
     for k in keys:
         cond = cond | F.col(k).isNull()
@@ -261,18 +262,20 @@ class KeyedTable:
         the number of files would.)"""
         return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
-    def _write_observed(self, df: DataFrame, path: str) -> dict:
+    def _write_observed(self, df: DataFrame, path: str, nulls: Column | None = None) -> dict:
         """Write ``df`` (with ``_bucket``) partitioned by bucket and return, from
         the same job, the buckets written, the row count and the batch's mark
         (``Observation``: no second pass over the data)."""
         metrics = [F.collect_set(_BUCKET).alias("buckets"), F.count(F.lit(1)).alias("rows")]
         if self.mark_col is not None:
             metrics.append(F.max(self.mark_col).alias("mark"))
+        if nulls is not None:
+            metrics.append(nulls.alias("nulls"))
         obs = Observation(f"riverbed-{uuid.uuid4().hex[:8]}")
         df.observe(obs, *metrics).write.mode("overwrite").partitionBy(_BUCKET).parquet(path)
         got = obs.get
         return {"buckets": sorted(got.get("buckets") or []), "rows": got.get("rows", 0),
-                "mark": got.get("mark")}
+                "mark": got.get("mark"), "nulls": got.get("nulls", 0)}
 
     def _commit(self, df: DataFrame, version: int, batch_id, full: bool,
                 bucketed: bool = False, mark=None) -> None:
@@ -318,7 +321,7 @@ class KeyedTable:
     def merge(self, source: DataFrame, *, tracked: Sequence[str] | None = None,
               stamp: tuple[str, object] | None = None,
               order: Sequence[Column | str] | None = None,
-              batch_id: int | None = None) -> bool:
+              batch_id: int | None = None, null_keys: str = "quarantine") -> bool:
         """Upsert ``source``; returns False when ``batch_id`` was already applied.
 
         The deduplicated source is staged once as Parquet (its lineage is cut
@@ -327,21 +330,41 @@ class KeyedTable:
         st = self._state()
         if st is not None and batch_id is not None and batch_id in self.applied_batches():
             return False
-        if order is not None:
+        # NULL keys never match, so each delivery would insert them again: by
+        # default they go to _quarantine/v=<version> (``null_keys="insert"``
+        # keeps the reference's behaviour).
+        quarantine = null_keys == "quarantine"
+        null_cond = null_key_rows(source, self.keys)
+        if order is not None and quarantine:
+            # every NULL-key row is its own group, so all of them reach the quarantine
+            tagged = source.withColumn("_nk", F.when(null_cond, F.monotonically_increasing_id()))
+            source = latest_per_key(tagged, [*self.keys, "_nk"], order).drop("_nk")
+        elif order is not None:
             source = latest_per_key(source, self.keys, order)
         if stamp is not None:
             source = source.withColumn(stamp[0], stamp_literal(stamp[1]))
         if st is None:
+            if quarantine:
+                bad = source.filter(null_cond)
+                if not bad.isEmpty():
+                    bad.write.mode("overwrite").parquet(f"{self.root}/_quarantine/v=0")
+                source = source.filter(~null_cond)
             self._commit(source, 0, batch_id, full=True)
             return True
         version = st["version"] + 1
         staging = f"{self.root}/_staging/v={version}"
-        stage = self._write_observed(source.withColumn(_BUCKET, self.bucket_of()), staging)
+        stage = self._write_observed(source.withColumn(_BUCKET, self.bucket_of()), staging,
+                                     nulls=F.count(F.when(null_cond, 1)))
         touched, mark = stage["buckets"], stage["mark"]  # at most ``buckets`` ids
+        staged = self.spark.read.parquet(staging)
+        if quarantine and stage["nulls"]:
+            staged.filter(null_cond).drop(_BUCKET).write.mode("overwrite").parquet(
+                f"{self.root}/_quarantine/v={version}")
+        if quarantine:
+            staged = staged.filter(~null_cond)
         if not touched:
             self._commit(self.spark.createDataFrame([], st["schema"]), version, batch_id, full=False)
             return True
-        staged = self.spark.read.parquet(staging)
         # Both sides hash-partitioned by key into ``buckets`` tasks: one
         # exchange each serves the key join and the bucketed write.
         keys = [F.col(k) for k in self.keys]

@@ -221,3 +221,20 @@ def test_log_checkpoint_bounds_what_the_driver_reads(spark, tmp_dir, monkeypatch
     assert not fresh.merge(spark.createDataFrame([("k0", "x", D(2024, 2, 1))],
                                                  "k string, v string, ts timestamp_ntz"), batch_id=2)
     assert len(applied) < 7  # only the ids after the last checkpoint are listed
+
+
+def test_null_keys_are_quarantined_by_default(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4)
+    batch = spark.createDataFrame([("a", "1", "f"), (None, "2", "f")], SRC)
+    t.merge(batch, batch_id=0)
+    t.merge(batch, batch_id=1)
+    assert rows(t.read(), "k") == [("a",)]
+    q = spark.read.parquet(f"{tmp_dir}/_quarantine")
+    assert q.count() == 2 and q.filter("k IS NULL").count() == 2
+    dup = spark.createDataFrame([(None, "3", "f"), (None, "4", "f"), ("a", "5", "f")], SRC)
+    t.merge(dup, batch_id=2, order=["v desc"])
+    assert spark.read.parquet(f"{tmp_dir}/_quarantine").count() == 4  # no NULL row collapsed
+    raw = KeyedTable(spark, tmp_dir + "-insert", ["k"], buckets=4)
+    raw.merge(batch, batch_id=0, null_keys="insert")
+    raw.merge(batch, batch_id=1, null_keys="insert")
+    assert raw.read().filter("k IS NULL").count() == 2  # the reference's behaviour

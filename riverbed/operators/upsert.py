@@ -356,15 +356,15 @@ class KeyedTable:
         stage = self._write_observed(source.withColumn(_BUCKET, self.bucket_of()), staging,
                                      nulls=F.count(F.when(null_cond, 1)))
         touched, mark = stage["buckets"], stage["mark"]  # at most ``buckets`` ids
+        if not touched:  # empty batch: nothing staged, an empty version is logged
+            self._commit(self.spark.createDataFrame([], st["schema"]), version, batch_id, full=False)
+            return True
         staged = self.spark.read.parquet(staging)
         if quarantine and stage["nulls"]:
             staged.filter(null_cond).drop(_BUCKET).write.mode("overwrite").parquet(
                 f"{self.root}/_quarantine/v={version}")
         if quarantine:
             staged = staged.filter(~null_cond)
-        if not touched:
-            self._commit(self.spark.createDataFrame([], st["schema"]), version, batch_id, full=False)
-            return True
         # Both sides hash-partitioned by key into ``buckets`` tasks: one
         # exchange each serves the key join and the bucketed write.
         keys = [F.col(k) for k in self.keys]

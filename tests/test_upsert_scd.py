@@ -238,3 +238,12 @@ def test_null_keys_are_quarantined_by_default(spark, tmp_dir):
     raw.merge(batch, batch_id=0, null_keys="insert")
     raw.merge(batch, batch_id=1, null_keys="insert")
     assert raw.read().filter("k IS NULL").count() == 2  # the reference's behaviour
+
+
+def test_empty_batch_commits_an_empty_version(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts")
+    base = spark.createDataFrame([("a", "1", D(2024, 1, 1))], "k string, v string, ts timestamp_ntz")
+    t.merge(base, batch_id=0)
+    assert t.merge(base.filter(F.lit(False)), batch_id=1)
+    assert rows(t.read(), "k", "v") == [("a", "1")]
+    assert 1 in t.applied_batches() and t.mark() == D(2024, 1, 1)

@@ -296,3 +296,17 @@ UNION ALL SELECT 'DT_CLIENTS_SCD2', 'SUCCEEDED', 'FULL', COUNT(*) FROM clients_s
 UNION ALL SELECT 'DT_FRAUD_FULL', 'SUCCEEDED', 'FULL', CAST(NULL AS BIGINT)
 UNION ALL SELECT 'DT_INVALID_TRANS', 'SUCCEEDED', 'FULL', CAST(NULL AS BIGINT)""",
     "stg_transactions", "merchants_latest", "clients_scd2")
+
+# -- V2 ingest end to end ------------------------------------------------------------
+ORACLE_SQL["ingest_v2_counts"] = build("""
+SELECT 'raw_trans' AS table_name, validation_status AS metric, COUNT(*) AS n
+FROM stg_transactions GROUP BY validation_status
+UNION ALL SELECT 'raw_clients', 'rows', COUNT(*) FROM raw_clients
+UNION ALL SELECT 'raw_clients', 'valid_birth', COUNT(try_strptime(date_birth_raw, '%d-%m-%Y')) FROM raw_clients
+UNION ALL SELECT 'raw_clients', 'cards', COUNT(DISTINCT card_num_raw) FROM raw_clients
+UNION ALL SELECT 'raw_clients', 'job_like', COUNT(CASE WHEN job_raw LIKE '1-%' OR job_raw LIKE '2-%'
+  OR job_raw LIKE '3-%' OR job_raw LIKE '4-%' OR job_raw LIKE '5-%' THEN 1 END) FROM raw_clients
+UNION ALL SELECT 'raw_merch', 'rows', COUNT(*) FROM raw_merch
+UNION ALL SELECT 'raw_merch', 'valid_lat', COUNT(TRY_CAST(trim(merchant_lat_raw) AS DECIMAL(11,8))) FROM raw_merch
+UNION ALL SELECT 'raw_merch', 'merchants', COUNT(DISTINCT merchant_raw) FROM raw_merch""",
+    "stg_transactions", "raw_clients", "raw_merch")

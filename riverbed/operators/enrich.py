@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbed.functions.parse import in_half_open
+from riverbed.functions.parse import floor_ntz, in_half_open
 
 
 def _prefixed(dim: DataFrame, prefix: str) -> DataFrame:
@@ -51,13 +51,17 @@ def join_as_of(fact: DataFrame, versions: DataFrame, fact_key: str, fact_ts: str
 
 def join_as_of_sweep(fact: DataFrame, versions: DataFrame, key: str, fact_ts: str,
                      version_cols: Sequence[str], *, valid_from: str = "valid_from",
-                     prefix: str = "_d_") -> DataFrame:
-    """J2, linear form for keys with very many versions: union facts and
-    versions, order each key by time (a version before a fact at the same
-    instant) and carry the last version forward. Valid when the versions of a
-    key are contiguous (SCD2 built by ``lead``), as they are here; a fact
-    before the first version gets NULLs. Costs one shuffle by key and no
-    pairwise comparison."""
+                     prefix: str = "_d_", bucket_unit: str | None = None) -> DataFrame:
+    """J2, linear form: union facts and versions, order each key by time (a
+    version before a fact at the same instant) and carry the last version
+    forward. Valid when the versions of a key are contiguous (SCD2 built by
+    ``lead``); a fact before the first version gets NULLs. No pairwise
+    comparison at all.
+
+    With ``bucket_unit`` ("day", "hour") the carry runs per (key, bucket),
+    so a key that holds a large share of both facts and versions is spread
+    over its buckets; each bucket is seeded with the key's last version of
+    the earlier buckets, found on a table of one row per (key, bucket)."""
     fcols = fact.columns
     f = fact.select(*fcols, F.col(fact_ts).alias("_t"), F.lit(1).alias("_side"),
                     *[F.lit(None).cast(versions.schema[c].dataType).alias(prefix + c)
@@ -66,14 +70,30 @@ def join_as_of_sweep(fact: DataFrame, versions: DataFrame, key: str, fact_ts: st
                           else F.col(key).alias(c) for c in fcols],
                         F.col(valid_from).alias("_t"), F.lit(0).alias("_side"),
                         *[F.col(c).alias(prefix + c) for c in version_cols])
-    w = (Window.partitionBy(key).orderBy(F.col("_t").asc_nulls_first(), "_side")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = f.unionByName(v)
-    carried = u.select(*fcols, "_side", "_t", *[
-        F.last(F.when(F.col("_side") == 0, F.struct(*[F.col(prefix + c).alias(c) for c in version_cols])),
-               ignorenulls=True).over(w).alias("_ver")])
+    part = [key]
+    if bucket_unit is not None:
+        u = u.withColumn("_b", floor_ntz(F.col("_t"), bucket_unit))
+        part = [key, "_b"]
+    w = (Window.partitionBy(*part).orderBy(F.col("_t").asc_nulls_first(), "_side")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ver = F.struct(*[F.col(prefix + c).alias(c) for c in version_cols])
+    carried = u.select(*fcols, *part[1:], "_side", "_t", F.last(
+        F.when(F.col("_side") == 0, ver), ignorenulls=True).over(w).alias("_ver"))
+    facts = carried.filter(F.col("_side") == 1)
+    if bucket_unit is not None:
+        last_in_bucket = (u.filter(F.col("_side") == 0).groupBy(key, "_b")
+                          .agg(F.max_by(ver, F.col("_t")).alias("_lv")))
+        buckets = u.filter(F.col("_side") == 1).select(key, "_b").distinct()
+        seeds = (buckets.join(last_in_bucket, [key, "_b"], "full")
+                 .withColumn("_seed", F.last("_lv", ignorenulls=True).over(
+                     Window.partitionBy(key).orderBy("_b")
+                     .rowsBetween(Window.unboundedPreceding, -1)))
+                 .select(key, "_b", "_seed"))
+        facts = (facts.join(seeds, [key, "_b"], "left")
+                 .withColumn("_ver", F.coalesce("_ver", "_seed")))
     # A fact with a NULL time never matches (as in the interval join).
-    return carried.filter(F.col("_side") == 1).select(
+    return facts.select(
         *fcols, *[F.when(F.col("_t").isNotNull(), F.col("_ver")[c]).alias(prefix + c)
                   for c in version_cols])
 

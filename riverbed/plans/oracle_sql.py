@@ -310,3 +310,4 @@ UNION ALL SELECT 'raw_merch', 'rows', COUNT(*) FROM raw_merch
 UNION ALL SELECT 'raw_merch', 'valid_lat', COUNT(TRY_CAST(trim(merchant_lat_raw) AS DECIMAL(11,8))) FROM raw_merch
 UNION ALL SELECT 'raw_merch', 'merchants', COUNT(DISTINCT merchant_raw) FROM raw_merch""",
     "stg_transactions", "raw_clients", "raw_merch")
+ORACLE_SQL["fraud_full_sweep"] = build("SELECT * FROM fraud_full", "fraud_full")

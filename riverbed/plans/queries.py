@@ -483,3 +483,10 @@ def ingest_v2_counts(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("table_name", "metric", F.col("n").cast("bigint").alias("n"))
+
+
+@query
+def fraud_full_sweep(spark, sf):
+    """J2 skew-safe form: the enriched fact with the day-bucketed as-of sweep
+    (= fraud_full)."""
+    return fraud.enriched_fact(_txn(spark, sf), _merch(spark, sf), _scd2(spark, sf), as_of="sweep")

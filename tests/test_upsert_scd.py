@@ -247,3 +247,21 @@ def test_empty_batch_commits_an_empty_version(spark, tmp_dir):
     assert t.merge(base.filter(F.lit(False)), batch_id=1)
     assert rows(t.read(), "k", "v") == [("a", "1")]
     assert 1 in t.applied_batches() and t.mark() == D(2024, 1, 1)
+
+
+def test_bucketed_sweep_equals_interval_join_on_a_hot_key(spark):
+    import random
+    rnd = random.Random(7)
+    hist = [("hot", f"n{i}", D(2024, 1, 1) + dt.timedelta(hours=5 * i)) for i in range(120)]
+    hist += [(f"c{j}", f"m{j}", D(2024, 1, 3 + j)) for j in range(4)]
+    versions = scd2_from_history(spark.createDataFrame(hist, CLIENT), "card", "load").select(
+        "card", "name", "valid_from", "valid_to")
+    facts = [(f"t{i}", "hot", D(2023, 12, 31) + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 30)))
+             for i in range(400)]
+    facts += [(f"u{i}", f"c{i % 5}", D(2024, 1, 1) + dt.timedelta(days=i % 9)) for i in range(20)]
+    facts += [("edge", "hot", D(2024, 1, 1, 5)), ("null", "hot", None)]
+    fdf = spark.createDataFrame(facts, "t string, card string, ts timestamp_ntz")
+    expect = rows(enrich.join_as_of(fdf, versions, "card", "ts", prefix="_c_"), "t", "_c_name")
+    for unit in (None, "day"):
+        got = enrich.join_as_of_sweep(fdf, versions, "card", "ts", ["name"], prefix="_c_", bucket_unit=unit)
+        assert rows(got, "t", "_c_name") == expect

@@ -221,7 +221,7 @@ class KeyedTable:
         rows = [(st["version"], b, v, None, None, None) for b, v in sorted(st["buckets"].items())]
         rows.append((st["version"], -1, st["version"], max(known) if known else None,
                      st["schema"].json(), mark_txt))
-        (self.spark.createDataFrame(rows, self._CKPT_SCHEMA).coalesce(1)
+        (local_rows(self.spark, rows, self._CKPT_SCHEMA).coalesce(1)
              .write.mode("overwrite").json(f"{self.root}/_ckpt/v={st['version']}"))
 
     def exists(self) -> bool:
@@ -296,7 +296,7 @@ class KeyedTable:
         rows = [(version, batch_id, b, full, schema.json(), mark_txt) for b in written["buckets"]]
         rows.append((version, batch_id, -1, full, schema.json(), mark_txt))  # commit marker
         # A version number is only reused after a failed, never-committed attempt.
-        (self.spark.createDataFrame(rows, self._LOG_SCHEMA).coalesce(1)
+        (local_rows(self.spark, rows, self._LOG_SCHEMA).coalesce(1)
              .write.mode("overwrite").json(f"{self.root}/_log/v={version}"))
         mapping = {} if full else dict(st["buckets"])
         mapping.update({b: version for b in written["buckets"]})
@@ -376,6 +376,15 @@ class KeyedTable:
         return True
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few driver-side rows as a DataFrame of literals (an inlined array
+    of structs): planned as a local relation, with no Python-side RDD."""
+    fields = [f.strip().split(" ", 1) for f in ddl.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields, strict=True)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 class AppliedBatches(frozenset):
     """Batch ids applied to a table: the ids logged since the last log
     checkpoint, plus every id up to the checkpoint's largest."""

@@ -124,11 +124,13 @@ def read_landing(spark: SparkSession, path: str, n_fields: int, positions: Mappi
                            ntz(load_ts).alias("meta_load_ts"))
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+def file_inventory(spark: SparkSession, path: str, glob: str | None = "*.csv") -> DataFrame:
     """Name, size and modification time of every file (the content
     column is pruned, so no file body is read)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(path)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return (reader.load(path)
             .select(F.col("path").alias("name"), F.col("length").alias("size"),
                     F.col("modificationTime").cast("timestamp_ntz").alias("last_modified")))
 

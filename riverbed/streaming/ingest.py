@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from riverbed.functions.parse import ntz
 from riverbed.session import path_exists
-from riverbed.sources.csv import CORRUPT, CsvFormat, pick, read_text_table, with_file_row_number
+from riverbed.sources.csv import (CORRUPT, CsvFormat, file_inventory, pick, read_text_table,
+                                  with_file_row_number)
 
 LoadClock = Callable[[int], dt.datetime]
 
@@ -96,10 +97,34 @@ class FileIngest:
                 F.lit(self.pipe_name).alias("pipe_name"), F.lit(self.table_name).alias("table_name"),
                 F.col("meta_filename").alias("file_name"), "file_size", "row_count", "error_count",
                 "pipe_received_time", ntz(load_ts).alias("last_load_time"))
+            ledger = ledger.unionByName(self._empty_files(batch, batch_id, load_ts))
             ledger.write.mode("overwrite").parquet(f"{self.ledger_path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
+    def _empty_files(self, batch: DataFrame, batch_id: int, load_ts) -> DataFrame:
+        """Header-only files yield no row, hence no ledger group: take them
+        from the file listing (A13), minus the files already ledgered, as
+        loaded with 0 rows. Only files modified no later than the batch's
+        newest file are taken: those were certainly listed by this batch. An
+        empty file newer than every data file is ledgered by the next batch
+        with data."""
+        hi = batch.agg(F.max("_file_mtime")).first()[0]
+        listed = file_inventory(self.spark, self.source, glob=None).filter(
+            F.col("last_modified") <= ntz(hi))
+        seen = batch.select(F.col("meta_filename").alias("file_name")).distinct()
+        if path_exists(self.spark, self.ledger_path):
+            seen = seen.unionByName(self.ledger().filter(F.col("batch_id") != batch_id)
+                                    .select("file_name"))
+        empty = listed.join(seen, listed["name"] == seen["file_name"], "left_anti")
+        return empty.select(
+            F.lit("LOADED").alias("status"), F.lit(self.pipe_name).alias("pipe_name"),
+            F.lit(self.table_name).alias("table_name"), F.col("name").alias("file_name"),
+            F.col("size").alias("file_size"), F.lit(0).cast("bigint").alias("row_count"),
+            F.lit(0).cast("bigint").alias("error_count"),
+            F.col("last_modified").alias("pipe_received_time"),
+            ntz(load_ts).alias("last_load_time"))
+
     def run_available_now(self) -> None:
         """A6 + A7: process every file not seen yet, then stop."""
         q = (self.stream().writeStream.foreachBatch(self.process_batch)

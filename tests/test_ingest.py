@@ -64,7 +64,9 @@ def test_stream_ingest_new_files_only_and_ledger(spark, tmp_dir):
                       clock=lambda _b: next(stamps))
     write(src, "a.csv", b"h1,h2,h3\nk1,1,x\nk2,2,y\n")
     pipe.run_available_now()
+    write(src, "e.csv", b"h1,h2,h3\n")  # header only: no row, still ledgered
     write(src, "b.csv", b"h1,h2,h3\nk1,9,z\nbad\n")
+    os.utime(local_path(f"{src}/e.csv"), (1, 1))  # older than b.csv for sure
     pipe.run_available_now()
     pipe.run_available_now()  # nothing new: no batch written
     feed = LandingFeed(spark, pipe.landing_path)
@@ -73,6 +75,8 @@ def test_stream_ingest_new_files_only_and_ledger(spark, tmp_dir):
     ledger = {r.file_name.rsplit("/", 1)[1]: r for r in pipe.ledger().collect()}
     assert ledger["a.csv"].row_count == 2 and ledger["a.csv"].status == "LOADED"
     assert ledger["b.csv"].error_count == 1 and ledger["b.csv"].status == "PARTIALLY_LOADED"
+    assert ledger["e.csv"].row_count == 0 and ledger["e.csv"].status == "LOADED"
+    assert len(ledger) == 3
     # consumer: offset kept in the target, replay is a no-op
     table = KeyedTable(spark, f"{tmp_dir}/conformed", ["a"], buckets=4)
     for b in feed.pending(table.applied_batches()):

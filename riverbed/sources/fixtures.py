@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.parse import floor_ntz
-from riverbed.session import scratch_path
+from riverbed.session import path_exists, scratch_path
 
 EPOCH_LOAD = "2024-01-01 00:00:00"
 
@@ -138,7 +138,7 @@ _DERIVE = {"raw_trans": derive_raw_trans, "raw_clients": derive_raw_clients,
 def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     path = _LANDED.get(key)
-    if path is None:
+    if path is None or not path_exists(spark, path):
         path = scratch_path(spark, f"landed-{name}")
         (_DERIVE[name](spark, sf_dir).sortWithinPartitions("meta_load_ts")
          .write.mode("overwrite").parquet(path))

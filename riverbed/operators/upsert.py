@@ -250,6 +250,19 @@ class KeyedTable:
         paths = [f"{self.root}/data/v={v}/{_BUCKET}={b}" for b, v in chosen]
         return self.spark.read.schema(st["schema"]).parquet(*paths)
 
+    def version(self) -> int | None:
+        st = self._state()
+        return None if st is None else st["version"]
+
+    def buckets_since(self, version: int | None) -> set[int] | None:
+        """Buckets rewritten after ``version`` (None: every bucket). Rows
+        inserted or changed since then live only in these buckets, so an
+        incremental consumer reads them instead of the whole table."""
+        st = self._state()
+        if st is None or version is None:
+            return None
+        return {b for b, v in st["buckets"].items() if v > version}
+
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
 

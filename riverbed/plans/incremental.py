@@ -104,6 +104,7 @@ class FraudWarehouse:
         self.snapshot = mk("clients_snapshot", ["dbt_scd_id"], "dbt_updated_at")
         self.clients = mk("dim_clients", ["dbt_scd_id"], "dbt_updated_at")
         self.facts = mk("fct_fraud_full", ["trans_num"], "meta_load_ts")
+        self._snapshot_seen: int | None = None  # snapshot version the dimension has read
 
     def run(self, raw: dict[str, DataFrame], run_id: int, models: Sequence[str] = (
             "invalid", "merchants", "snapshot", "clients", "facts")) -> None:
@@ -132,8 +133,13 @@ class FraudWarehouse:
             deduped = fraud.clients_deduped(new_rows)
             self.snapshot.merge(snapshot_delta(deduped, self.snapshot.read_or_none()), batch_id=run_id)
             if want & {"clients", "facts"}:
-                self.clients.merge(dim_clients_delta(self.snapshot.read(), None,
-                                                     mark=self.clients.mark()), batch_id=run_id)
+                # Only snapshot buckets rewritten since the last run can hold
+                # versions past the dimension's mark (the mark filter decides).
+                changed = self.snapshot.buckets_since(self._snapshot_seen)
+                snap = self.snapshot.read(buckets=changed)
+                self.clients.merge(dim_clients_delta(snap, None, mark=self.clients.mark()),
+                                   batch_id=run_id)
+                self._snapshot_seen = self.snapshot.version()
 
         branches = []
         if "invalid" in want:

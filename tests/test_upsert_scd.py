@@ -265,3 +265,15 @@ def test_bucketed_sweep_equals_interval_join_on_a_hot_key(spark):
     for unit in (None, "day"):
         got = enrich.join_as_of_sweep(fdf, versions, "card", "ts", ["name"], prefix="_c_", bucket_unit=unit)
         assert rows(got, "t", "_c_name") == expect
+
+
+def test_buckets_since_lists_only_rewritten_buckets(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], buckets=8)
+    t.merge(spark.createDataFrame([(f"k{i}", "1", "f") for i in range(40)], SRC), batch_id=0)
+    v0 = t.version()
+    assert t.buckets_since(v0) == set()
+    t.merge(spark.createDataFrame([("k1", "2", "f")], SRC), batch_id=1)
+    changed = t.buckets_since(v0)
+    assert len(changed) == 1
+    assert [r.k for r in t.read(buckets=changed).filter("v = '2'").collect()] == ["k1"]
+    assert t.buckets_since(None) is None

@@ -373,7 +373,7 @@ def ingest_stream_upsert(spark, sf):
         pipe.clock = lambda _b, s=stamp: s
         pipe.run_available_now()
         for b in feed.pending(table.applied_batches()):
-            upsert_conformed(table, feed.batch(b), b, pipe.load_times.get(b, stamp))
+            upsert_conformed(table, feed.batch(b), b, feed.load_time(b))
     return table.read().drop("source_filename")
 
 

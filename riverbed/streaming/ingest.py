@@ -165,5 +165,11 @@ class LandingFeed:
         """One committed batch (partition-pruned read)."""
         return self.spark.read.parquet(self.path).filter(F.col("batch_id") == batch_id).drop("batch_id")
 
+    def load_time(self, batch_id: int):
+        """The batch's load time, read from the landed rows (one row): the
+        stamp a consumer applies, identical on replay or after a restart."""
+        row = self.batch(batch_id).select("meta_load_ts").first()
+        return None if row is None else row[0]
+
     def pending(self, applied: set[int]) -> list[int]:
         return [b for b in self.committed_batches() if b not in applied]

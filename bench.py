@@ -23,7 +23,7 @@ HEADLINE = [
     "fraud_full", "trans_all_clients", "fraud_archive", "newest_rows", "table_counts",
     "conformed_replay", "conformed_upsert", "txn_invalid_incremental", "client_dim_incremental",
     "fraud_incremental", "wide_normalise_trans", "wide_normalise_client", "load_stats",
-    "refresh_history", "ingest_csv",
+    "refresh_history", "ingest_csv", "fraud_full_sweep", "v2_pipeline_fact",
 ]
 
 

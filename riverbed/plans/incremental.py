@@ -219,7 +219,10 @@ def conformed_replay(landing: DataFrame, batch_col: str = "batch_id") -> DataFra
     One shuffle by key, no loop over batches."""
     from pyspark.sql import Window
 
-    per_batch = latest_by_load_in(landing, ["trans_id", batch_col])
+    # One exchange by key serves the (key, batch) dedupe and the per-key
+    # windows; (key, batch) pairs are nearly unique, so a partial limit
+    # before a separate exchange would save little.
+    per_batch = latest_by_load_in(landing.repartition("trans_id"), ["trans_id", batch_col])
     w = Window.partitionBy("trans_id").orderBy(batch_col)
     prev = [F.lag(c).over(w) for c in ("trans_ts", "category", "is_fraud", "meta_filename")]
     cur = [F.col(c) for c in ("trans_ts", "category", "is_fraud", "meta_filename")]

@@ -43,3 +43,12 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+@pytest.mark.parametrize("name", ["conformed_upsert", "txn_invalid_incremental", "ingest_csv"])
+def test_stateful_queries_repeat_identically(spark, name):
+    """Queries that build tables take fresh scratch folders each call."""
+    first = E.queries()[name](spark, SF)
+    a = digest(first.columns, [tuple(r) for r in first.collect()])[0]
+    second = E.queries()[name](spark, SF)
+    assert digest(second.columns, [tuple(r) for r in second.collect()])[0] == a

@@ -59,3 +59,10 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
        doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM d
 """
+
+
+@query
+def op10_pii(spark, sf):
+    """Personal data by weak supervision, DataFrame functions only."""
+    from riverbed.llm.pii import pii_report
+    return pii_report(table(spark, sf, "documents"))

@@ -66,3 +66,10 @@ def op10_pii(spark, sf):
     """Personal data by weak supervision, DataFrame functions only."""
     from riverbed.llm.pii import pii_report
     return pii_report(table(spark, sf, "documents"))
+
+
+@query
+def op4_license_scan(spark, sf):
+    """License labels by a positional rare-token index."""
+    from riverbed.llm.license_scan import scan_licenses
+    return scan_licenses(table(spark, sf, "documents"))

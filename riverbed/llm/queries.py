@@ -73,3 +73,12 @@ def op4_license_scan(spark, sf):
     """License labels by a positional rare-token index."""
     from riverbed.llm.license_scan import scan_licenses
     return scan_licenses(table(spark, sf, "documents"))
+
+
+@query
+def op7_decontaminate(spark, sf):
+    """Benchmark passages by SimHash over item-sized windows."""
+    from riverbed.llm.decontaminate import find_leaks
+    return (find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+            .select("doc_id", "contaminated", "item_ids", F.array_max("similarity").alias("similarity"),
+                    "first_word", "n_words"))

@@ -82,3 +82,10 @@ def op7_decontaminate(spark, sf):
     return (find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
             .select("doc_id", "contaminated", "item_ids", F.array_max("similarity").alias("similarity"),
                     "first_word", "n_words"))
+
+
+@query
+def op9_mixing(spark, sf):
+    """Temperature mix of the sources: one row per drawn document and pass."""
+    from riverbed.llm.mixing import draw
+    return draw(table(spark, sf, "documents")).drop("rid")

@@ -89,3 +89,10 @@ def op9_mixing(spark, sf):
     """Temperature mix of the sources: one row per drawn document and pass."""
     from riverbed.llm.mixing import draw
     return draw(table(spark, sf, "documents")).drop("rid")
+
+
+@query
+def op3_jaccard_join(spark, sf):
+    """Near duplicates at 0.8 over five-word shingles, pruned by posterior."""
+    from riverbed.llm.near_join import similar_texts
+    return similar_texts(table(spark, sf, "documents")).drop("rid")

@@ -96,3 +96,10 @@ def op3_jaccard_join(spark, sf):
     """Near duplicates at 0.8 over five-word shingles, pruned by posterior."""
     from riverbed.llm.near_join import similar_texts
     return similar_texts(table(spark, sf, "documents")).drop("rid")
+
+
+@query
+def op1_lm_score(spark, sf):
+    """Texts scored by deleted interpolation of bigrams and unigrams."""
+    from riverbed.llm.lm_score import score_documents
+    return score_documents(table(spark, sf, "documents"))

@@ -176,6 +176,21 @@ def match_row(s: np.ndarray, w: np.ndarray, hit: np.ndarray, index: ItemIndex) -
     return best
 
 
+def row_matches(column: pa.Array, index: ItemIndex) -> list[dict]:
+    """match_row of each text of a column; texts with too few benchmark
+    shingles for any item are passed over."""
+    s, w, n, _ = weighted_shingles(column)
+    hit = index.hits(s)
+    cut = np.concatenate([[0], np.cumsum(n)])
+    hits = np.concatenate([[0], np.cumsum(hit)])[cut]
+    least = min(index.need.values(), default=1)
+    out: list[dict] = [{} for _ in range(len(n))]
+    for r in np.flatnonzero(np.diff(hits) >= least).tolist():
+        x = slice(int(cut[r]), int(cut[r + 1]))
+        out[r] = match_row(s[x], w[x], hit[x], index)
+    return out
+
+
 def _spans(start, k, lo, hi, limit: int = 100_000):
     """Windows in groups whose text spans about ``limit`` shingles, so the
     prefix sums of a very long text are made piece by piece."""
@@ -196,17 +211,8 @@ def _matches(rows: DataFrame, index: ItemIndex) -> DataFrame:
                 yield one(b)
 
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
-        s, w, n, _ = weighted_shingles(b.column("text"))
-        hit = index.hits(s)
-        cut = np.concatenate([[0], np.cumsum(n)])
-        per_row = np.add.reduceat(np.append(hit, False), cut[:-1]) * (n > 0) if len(n) else n
         out = defaultdict(list)
-        least = min(index.need.values(), default=1)
-        for r in range(b.num_rows):
-            got = {}
-            if n[r] and per_row[r] >= least:
-                x = slice(int(cut[r]), int(cut[r + 1]))
-                got = match_row(s[x], w[x], hit[x], index)
+        for got in row_matches(b.column("text"), index):
             order = sorted(got, key=lambda i: int(index.ids[i]))
             out["item_ids"].append([int(index.ids[i]) for i in order])
             out["similarity"].append([float(got[i][0]) for i in order])
@@ -221,22 +227,26 @@ def _matches(rows: DataFrame, index: ItemIndex) -> DataFrame:
     return rows.mapInArrow(run, SCHEMA)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
-               items_per_slice: int = ITEMS_PER_SLICE) -> DataFrame:
-    """One row per document: rid, doc_id, contaminated, and the items found
-    with their similarity and place (first word and number of words)."""
+def _indexes(benchmark: DataFrame, threshold: float, items_per_slice: int) -> Iterator[ItemIndex]:
+    """The benchmark's items, slice by slice."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"),
                              F.coalesce("text", F.lit("")).alias("text")).filter("item_id IS NOT NULL")
     count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     slices = max(1, -(-count // items_per_slice), -(-size // (5 * WORDS_PER_SLICE)))
-    rows = texts(docs)
-    parts = []
     for k in range(slices):
         part = items if slices == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
         got = part.collect()  # one slice: bounded by its item and word limits
-        parts.append(_matches(rows, ItemIndex([r[0] for r in got], [r[1] for r in got], threshold)))
+        yield ItemIndex([r[0] for r in got], [r[1] for r in got], threshold)
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
+               items_per_slice: int = ITEMS_PER_SLICE) -> DataFrame:
+    """One row per document: rid, doc_id, contaminated, and the items found
+    with their similarity and place (first word and number of words)."""
+    rows = texts(docs)
+    parts = [_matches(rows, index) for index in _indexes(benchmark, threshold, items_per_slice)]
     out = parts[0]
-    if slices > 1:
+    if len(parts) > 1:
         for p in parts[1:]:
             out = out.unionByName(p)
         out = out.groupBy("rid").agg(F.first("doc_id").alias("doc_id"),
@@ -246,8 +256,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
                       "similarity", "first_word", "n_words")
 
 
+def _leaks(index: ItemIndex):
+    @F.arrow_udf("boolean")
+    def leaks(text: pa.Array) -> pa.Array:
+        b = pa.RecordBatch.from_arrays([text], ["text"])
+        return pa.array([x for part in batches_by_bytes(b, "text") for x in map(bool, row_matches(part.column(0), index))],
+                        pa.bool_())
+    return leaks
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` without a benchmark passage."""
-    leaks = find_leaks(docs, benchmark, threshold).filter("contaminated").select(F.col("rid").alias("__leak"))
-    return (docs.withColumn("__rid", F.monotonically_increasing_id())
-            .join(leaks, F.col("__rid") == F.col("__leak"), "left_anti").drop("__rid"))
+    """The rows of ``docs`` without a benchmark passage, all columns as they
+    were; a column function, so nothing is shuffled."""
+    for index in _indexes(benchmark, threshold, ITEMS_PER_SLICE):
+        docs = docs.filter(~_leaks(index)(F.coalesce(F.col("text"), F.lit(""))))
+    return docs

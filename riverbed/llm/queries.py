@@ -103,3 +103,17 @@ def op1_lm_score(spark, sf):
     """Texts scored by deleted interpolation of bigrams and unigrams."""
     from riverbed.llm.lm_score import score_documents
     return score_documents(table(spark, sf, "documents"))
+
+
+@query
+def op5_language_id(spark, sf):
+    """Languages by a byte convolutional network."""
+    from riverbed.llm.language_id import identify
+    return identify(table(spark, sf, "documents"))
+
+
+@query
+def op6_quality(spark, sf):
+    """Quality by co-training a text and a metadata view."""
+    from riverbed.llm.quality import score_quality
+    return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))

@@ -43,6 +43,7 @@ PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A gzip member without content.
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
 GZIP_MAGIC = b"\x1f\x8b\x08"
+FEED_BYTES = 1 << 14
 
 
 def sha1_base32(data: bytes) -> str:
@@ -148,14 +149,16 @@ def _at(data: bytes, at: int) -> tuple[dict | None, bytes, int]:
     """What starts at ``at``: a member (its record, or None if it is empty) or
     a plain record."""
     if data[at: at + 3] == GZIP_MAGIC:
-        z = zlib.decompressobj(31)
+        z, parts, end = zlib.decompressobj(31), [], at
         try:
-            body = z.decompress(memoryview(data)[at:])
+            while not z.eof and end < len(data):  # in steps: what is left over is copied
+                parts.append(z.decompress(data[end: end + FEED_BYTES]))
+                end = min(end + FEED_BYTES, len(data))
         except zlib.error as e:
             raise Bad("member: " + str(e).split(":")[-1].strip()) from None
         if not z.eof:
             raise Bad("member cut short")
-        end = len(data) - len(z.unused_data)
+        body, end = b"".join(parts), end - len(z.unused_data)
         if not body:
             return None, b"", end
         head, block, _ = _parse_record(body, 0, True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbed.llm.common import stage_table
+from riverbed.llm.common import ship_package, stage_table
 from riverbed.llm.decontaminate import drop_leaks
 from riverbed.llm.exact_dedup import drop_exact_duplicates
 from riverbed.llm.mixing import draw
@@ -52,6 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")

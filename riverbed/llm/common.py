@@ -10,6 +10,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +29,20 @@ def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package when they can't import it by themselves:
+    neither PYTHONPATH nor the working folder (which local workers search)
+    leads to it. Files added this way are fetched by each executor."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    sc = spark.sparkContext
+    if root in map(os.path.abspath, filter(None, paths)) or any(
+            f.endswith("/riverbed-package.zip") for f in sc.listFiles):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="riverbed-"), "riverbed-package")
+    sc.addPyFile(shutil.make_archive(base, "zip", root, "riverbed"))
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared scratch space and read it
     back: later steps start from the files, whatever happens to executors."""

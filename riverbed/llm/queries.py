@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverbed.llm.common import ship_package
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -21,6 +23,7 @@ def query(fn):
 
 
 def table(spark, sf, name):
+    ship_package(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

@@ -145,7 +145,7 @@ def words(column: pa.Array, sep: np.ndarray = NON_ALNUM, lower: bool = True,
     outside_of = sep[LOWER] if lower else sep
     value_of = np.where(outside_of, np.uint64(0), _BYTE[LOWER] if lower else _BYTE)
     hashes, starts_all, ends_all = [], [], []
-    for a, b in _row_slices(data, offs, sep):
+    for a, b in _row_slices(data, offs, outside_of):
         part = data[a:b]
         inside = ~outside_of[part]
         starts, ends = inside.copy(), inside.copy()

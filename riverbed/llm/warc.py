@@ -124,7 +124,10 @@ def _parse_record(data: bytes, at: int, exact: bool) -> tuple[dict, bytes, int]:
         k, colon, v = line.partition(b":")
         if not colon:
             raise Bad("malformed header")
-        head[k.strip().lower()] = v.strip()
+        k = k.strip().lower()
+        if k in head and k != b"warc-concurrent-to":  # two headers run together
+            raise Bad("header field repeated")
+        head[k] = v.strip()
     size = head.get(b"content-length", b"")
     if not size.isdigit():
         raise Bad("no content length")

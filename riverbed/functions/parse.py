@@ -49,7 +49,7 @@ def _layout_regex(layout: str) -> tuple[str, dict[str, int]]:
         pattern += re.escape(layout[pos:m.start()]) + _TOKENS[m.group()][0]
         groups[_TOKENS[m.group()][1]] = n
         pos = m.end()
-    pattern += re.escape(layout[pos:]) + "$"
+    pattern += re.escape(layout[pos:]) + r"\z"
     return pattern, groups
 
 

@@ -42,6 +42,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
               .drop(rank_col))
 
 
+def latest_keep_null_keys(df: DataFrame, keys: Sequence[str],
+                          order: Sequence[Column | str] = ("meta_load_ts desc", "meta_file_row_number desc",
+                                                           "meta_filename desc")) -> DataFrame:
+    """Latest row per key; rows with a NULL key are no duplicates of each other
+    and all stay."""
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    own = F.when(null_key, F.monotonically_increasing_id())
+    return latest_per_key(df.withColumn("_nk", own), [*keys, "_nk"], order).drop("_nk")
+
+
 def latest_by_load(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """W1 with the reference's ordering: newest load, then highest row in the
     file, then (own rule for exact ties) the greatest file name."""

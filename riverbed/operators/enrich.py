@@ -92,9 +92,9 @@ def join_as_of_sweep(fact: DataFrame, versions: DataFrame, key: str, fact_ts: st
                  .select(key, "_b", "_seed"))
         facts = (facts.join(seeds, [key, "_b"], "left")
                  .withColumn("_ver", F.coalesce("_ver", "_seed")))
-    # A fact with a NULL time never matches (as in the interval join).
+    # A fact with a NULL key or time never matches (as in the interval join).
     return facts.select(
-        *fcols, *[F.when(F.col("_t").isNotNull(), F.col("_ver")[c]).alias(prefix + c)
+        *fcols, *[F.when(F.col("_t").isNotNull() & F.col(key).isNotNull(), F.col("_ver")[c]).alias(prefix + c)
                   for c in version_cols])
 
 

@@ -59,10 +59,12 @@ def next_in_key(df: DataFrame, key: str, ts_col: str, out: str,
         Window.partitionBy(key, "_bkt").orderBy(F.col(ts_col).asc())))
     firsts = b.groupBy(key, "_bkt").agg(F.min(ts_col).alias("_bfirst"))
     nxt = firsts.withColumn("_next", F.lead("_bfirst").over(
-        Window.partitionBy(key).orderBy("_bkt"))).select(key, "_bkt", "_next")
-    return (local.join(nxt, [key, "_bkt"], "left")
+        Window.partitionBy(key).orderBy("_bkt"))).select(
+            F.col(key).alias("_nkey"), F.col("_bkt").alias("_nbkt"), "_next")
+    # LEAD groups NULL keys, so the join matches them too.
+    return (local.join(nxt, F.col(key).eqNullSafe(F.col("_nkey")) & F.col("_bkt").eqNullSafe(F.col("_nbkt")), "left")
             .withColumn(out, F.coalesce(F.col(out), F.col("_next")))
-            .drop("_bkt", "_next"))
+            .drop("_bkt", "_next", "_nkey", "_nbkt"))
 
 
 def scd2_from_history(history: DataFrame, key: str, ts_col: str, *,
@@ -103,10 +105,10 @@ def scd2_snapshot_delta(current: DataFrame | None, source: DataFrame, key: str,
     src = source.withColumn(updated_col, F.col(updated_at))
     if current is not None:
         open_v = (current.filter(F.col(valid_to).isNull())
-                  .select(F.col(key).alias("_o_key"), F.col(updated_col).alias("_o_upd")))
-        src = (src.join(open_v, src[key] == open_v["_o_key"], "left")
-                  .filter(F.col("_o_key").isNull() | (F.col(updated_col) > F.col("_o_upd")))
-                  .drop("_o_key", "_o_upd"))
+                  .select(F.col(key).alias("_o_key"), F.col(updated_col).alias("_o_upd"), F.lit(True).alias("_o")))
+        src = (src.join(open_v, src[key].eqNullSafe(open_v["_o_key"]), "left")
+                  .filter(F.col("_o").isNull() | (F.col(updated_col) > F.col("_o_upd")))
+                  .drop("_o_key", "_o_upd", "_o"))
     bucket = floor_ntz(F.col(updated_col), bucket_unit) if bucket_unit else None
     new_versions = next_in_key(src.withColumn(valid_from, F.col(updated_col)), key, updated_col,
                                valid_to, bucket).withColumn(id_col, scd_id(key, updated_col))
@@ -115,7 +117,7 @@ def scd2_snapshot_delta(current: DataFrame | None, source: DataFrame, key: str,
     first_new = (new_versions.groupBy(key).agg(F.min(updated_col).alias("_close_at"))
                  .withColumnRenamed(key, "_c_key"))
     closes = (current.filter(F.col(valid_to).isNull())
-              .join(first_new, current[key] == first_new["_c_key"], "inner")
+              .join(first_new, current[key].eqNullSafe(first_new["_c_key"]), "inner")
               .withColumn(valid_to, F.col("_close_at"))
               .drop("_c_key", "_close_at"))
     return closes.select(*new_versions.columns).unionByName(new_versions)

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from riverbed.functions.parse import any_distinct, ntz
 from riverbed.operators.dedupe import latest_per_key
-from riverbed.session import list_children
+from riverbed.session import list_children, path_exists
 
 _SRC, _TGT, _BUCKET = "_src_present", "_tgt_present", "_bucket"
 
@@ -138,10 +138,10 @@ class KeyedTable:
 
     _LOG_SCHEMA = ("version BIGINT, batch_id BIGINT, bucket INT, full BOOLEAN, schema_json STRING, "
                    "mark STRING")
-    _CKPT_SCHEMA = ("ckpt BIGINT, bucket INT, version BIGINT, max_batch BIGINT, schema_json STRING, "
+    _CKPT_SCHEMA = ("ckpt BIGINT, bucket INT, version BIGINT, batch_id BIGINT, schema_json STRING, "
                     "mark STRING")
-    # Batch ids are assumed to increase (as streaming batch ids do): a
-    # checkpoint keeps only the largest applied one.
+    # A log checkpoint lists every applied batch id (one row each), so a late
+    # id is applied whatever the table's age.
     CHECKPOINT_EVERY = 64
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
@@ -178,14 +178,16 @@ class KeyedTable:
         ckpts = [c for c in self._versions("_ckpt") if c <= log_versions[-1]]
         mapping: dict[int, int] = {}
         batches: set[int] = set()
-        mark, upto, schema_json, last = None, None, None, -1
+        mark, schema_json, last = None, None, -1
         if ckpts:
             c = ckpts[-1]
             for r in self.spark.read.schema(self._CKPT_SCHEMA).json(f"{self.root}/_ckpt/v={c}").collect():
                 if r.bucket >= 0:
                     mapping[r.bucket] = r.version
+                elif r.bucket == -2:
+                    batches.add(r.batch_id)
                 else:
-                    upto, schema_json, last = r.max_batch, r.schema_json, c
+                    schema_json, last = r.schema_json, c
                     mark = _dt.datetime.fromisoformat(r.mark) if r.mark else None
         paths = [f"{self.root}/_log/v={v}" for v in log_versions if v > last]
         rows = self.spark.read.schema(self._LOG_SCHEMA).json(paths).collect() if paths else []
@@ -209,18 +211,17 @@ class KeyedTable:
         if last < 0:
             return {}
         schema = T.StructType.fromJson(json.loads(schema_json))
-        return {"buckets": mapping, "batches": batches, "upto": upto, "version": last,
+        return {"buckets": mapping, "batches": batches, "version": last,
                 "schema": schema, "mark": mark}
 
     def _checkpoint(self) -> None:
         """Write the full bucket map of the current version (A15-style
         compaction of the log; old entries are no longer read)."""
         st = self._state()
-        known = [b for b in st["batches"]] + ([st["upto"]] if st.get("upto") is not None else [])
         mark_txt = None if st.get("mark") is None else st["mark"].isoformat(sep=" ")
         rows = [(st["version"], b, v, None, None, None) for b, v in sorted(st["buckets"].items())]
-        rows.append((st["version"], -1, st["version"], max(known) if known else None,
-                     st["schema"].json(), mark_txt))
+        rows += [(st["version"], -2, None, b, None, None) for b in sorted(st["batches"])]
+        rows.append((st["version"], -1, st["version"], None, st["schema"].json(), mark_txt))
         (local_rows(self.spark, rows, self._CKPT_SCHEMA).coalesce(1)
              .write.mode("overwrite").json(f"{self.root}/_ckpt/v={st['version']}"))
 
@@ -234,11 +235,16 @@ class KeyedTable:
         st = self._state()
         return None if st is None else st.get("mark")
 
-    def applied_batches(self) -> AppliedBatches:
+    def applied_batches(self) -> frozenset:
         st = self._state()
-        if st is None:
-            return AppliedBatches()
-        return AppliedBatches(st["batches"], st.get("upto"))
+        return frozenset() if st is None else frozenset(st["batches"])
+
+    def quarantined(self) -> DataFrame | None:
+        """NULL-key rows set aside by merges (None when there are none)."""
+        path = f"{self.root}/_quarantine"
+        if not path_exists(self.spark, path):
+            return None
+        return self.spark.read.schema(self._state()["schema"]).parquet(path)
 
     def read(self, buckets=None) -> DataFrame:
         st = self._state()
@@ -314,8 +320,8 @@ class KeyedTable:
         mapping = {} if full else dict(st["buckets"])
         mapping.update({b: version for b in written["buckets"]})
         batches = set(st["batches"]) | ({batch_id} if batch_id is not None else set())
-        self._cached = {"buckets": mapping, "batches": batches, "upto": st.get("upto"),
-                        "version": version, "schema": schema, "mark": new_mark}
+        self._cached = {"buckets": mapping, "batches": batches, "version": version,
+                        "schema": schema, "mark": new_mark}
         if (version + 1) % self.CHECKPOINT_EVERY == 0:
             self._checkpoint()
 
@@ -343,6 +349,11 @@ class KeyedTable:
         st = self._state()
         if st is not None and batch_id is not None and batch_id in self.applied_batches():
             return False
+        if st is not None:
+            # The target's types first: buckets hash typed keys.
+            types = {f.name: f.dataType for f in st["schema"].fields}
+            source = source.withColumns({c: F.col(c).cast(types[c]) for c in source.columns
+                                         if c in types and source.schema[c].dataType != types[c]})
         # NULL keys never match, so each delivery would insert them again: by
         # default they go to _quarantine/v=<version> (``null_keys="insert"``
         # keeps the reference's behaviour).
@@ -398,20 +409,6 @@ def local_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-class AppliedBatches(frozenset):
-    """Batch ids applied to a table: the ids logged since the last log
-    checkpoint, plus every id up to the checkpoint's largest."""
-
-    def __new__(cls, ids=(), upto=None):
-        obj = super().__new__(cls, ids)
-        obj.upto = upto
-        return obj
-
-    def __contains__(self, batch_id) -> bool:
-        return frozenset.__contains__(self, batch_id) or (
-            self.upto is not None and batch_id is not None and batch_id <= self.upto)
-
-
 def _max_mark(a, b):
     if a is None:
         return b

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.parse import TS_WITHOUT_SECONDS, ntz, try_boolean, try_timestamp
-from riverbed.operators.dedupe import LINEAGE, latest_by_load
+from riverbed.operators.dedupe import LINEAGE, latest_by_load, latest_keep_null_keys
 from riverbed.operators.scd import scd1_delta, scd2_dim_delta, scd2_snapshot_delta
 from riverbed.operators.upsert import KeyedTable, after_mark, high_water_mark
 from riverbed.plans import fraud
@@ -42,7 +42,7 @@ def invalid_delta(txn: DataFrame, current: DataFrame | None, mark=None) -> DataF
     if mark is None:
         mark = high_water_mark(current, "meta_load_ts")
     rows = after_mark(txn.filter(F.col("validation_status") != fraud.VALID), "meta_load_ts", mark)
-    return latest_by_load(rows, ["trans_num"]).select(*fraud.QUARANTINE_COLS)
+    return latest_keep_null_keys(rows, ["trans_num"]).select(*fraud.QUARANTINE_COLS)
 
 
 # -- H4 incremental --------------------------------------------------------------
@@ -85,10 +85,10 @@ def fact_delta(txn: DataFrame, dim_merch: DataFrame, dim_cli: DataFrame,
     dimensions as they are now; latest row per trans_num (Q5)."""
     if mark is None:
         mark = high_water_mark(current, "meta_load_ts")
-    rows = after_mark(txn, "meta_load_ts", mark)
-    fact = fraud.enriched_fact(rows, dim_merch, dim_cli,
-                               extra=("meta_filename", "meta_file_row_number"))
-    return latest_by_load(fact, ["trans_num"]).select(*fraud.FACT_COLS)
+    rows = after_mark(txn.filter(F.col("validation_status") == fraud.VALID), "meta_load_ts", mark)
+    # The joins keep each row once, so the narrow rows are reduced before them.
+    rows = latest_keep_null_keys(rows, ["trans_num"])
+    return fraud.enriched_fact(rows, dim_merch, dim_cli).select(*fraud.FACT_COLS)
 
 
 class FraudWarehouse:
@@ -120,17 +120,13 @@ class FraudWarehouse:
             self.invalid.merge(invalid_delta(txn, None, self.invalid.mark()), batch_id=run_id)
 
         def merchants():
-            # Loads are stamped once per batch and only move forward (Q4), so a
-            # row at or below the table's mark can be neither new nor newer:
-            # each run reads only the rows loaded since the last one.
-            stg_m = after_mark(fraud.stg_merchants(raw["raw_merch"]), "meta_load_ts",
-                               self.merchants.mark())
+            # New or newer is decided per key: a late merchant may carry a load
+            # time at or below the table's largest.
+            stg_m = fraud.stg_merchants(raw["raw_merch"])
             self.merchants.merge(merchants_delta(stg_m, self.merchants.read_or_none()), batch_id=run_id)
 
         def clients():
-            new_rows = after_mark(fraud.stg_clients(raw["raw_clients"]), "meta_load_ts",
-                                  self.snapshot.mark())
-            deduped = fraud.clients_deduped(new_rows)
+            deduped = fraud.clients_deduped(fraud.stg_clients(raw["raw_clients"]))
             self.snapshot.merge(snapshot_delta(deduped, self.snapshot.read_or_none()), batch_id=run_id)
             if want & {"clients", "facts"}:
                 # Only snapshot buckets rewritten since the last run can hold
@@ -216,13 +212,12 @@ def conformed_replay(landing: DataFrame, batch_col: str = "batch_id") -> DataFra
     sequential upsert: per (key, batch) the latest row; a batch changes the
     key when its row IS DISTINCT FROM the key's previous batch row; the
     conformed row is the key's last batch row stamped with its last change.
-    One shuffle by key, no loop over batches."""
+    No loop over batches."""
     from pyspark.sql import Window
 
-    # One exchange by key serves the (key, batch) dedupe and the per-key
-    # windows; (key, batch) pairs are nearly unique, so a partial limit
-    # before a separate exchange would save little.
-    per_batch = latest_by_load_in(landing.repartition("trans_id"), ["trans_id", batch_col])
+    # NULL keys are set aside, as the sequential upsert does; the partial limit
+    # runs before the exchange, so a hot (key, batch) ships one row per task.
+    per_batch = latest_by_load_in(landing.filter(F.col("trans_id").isNotNull()), ["trans_id", batch_col])
     w = Window.partitionBy("trans_id").orderBy(batch_col)
     prev = [F.lag(c).over(w) for c in ("trans_ts", "category", "is_fraud", "meta_filename")]
     cur = [F.col(c) for c in ("trans_ts", "category", "is_fraud", "meta_filename")]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.parse import ntz
-from riverbed.session import path_exists
+from riverbed.session import list_children, path_exists
 from riverbed.sources.csv import (CORRUPT, CsvFormat, file_inventory, pick, read_text_table,
                                   with_file_row_number)
 
@@ -110,8 +110,9 @@ class FileIngest:
         empty file newer than every data file is ledgered by the next batch
         with data."""
         hi = batch.agg(F.max("_file_mtime")).first()[0]
-        listed = file_inventory(self.spark, self.source, glob=None).filter(
-            F.col("last_modified") <= ntz(hi))
+        # With a file limit, a file as old as the newest one read may be unread.
+        old = F.col("last_modified") < ntz(hi) if self.max_files else F.col("last_modified") <= ntz(hi)
+        listed = file_inventory(self.spark, self.source, glob=None).filter(old)
         seen = batch.select(F.col("meta_filename").alias("file_name")).distinct()
         if path_exists(self.spark, self.ledger_path):
             seen = seen.unionByName(self.ledger().filter(F.col("batch_id") != batch_id)
@@ -152,18 +153,17 @@ class LandingFeed:
         self.spark, self.path = spark, landing_path.rstrip("/")
 
     def committed_batches(self) -> list[int]:
-        """Batch ids with data (from the file listing: no data is read)."""
+        """Ids of the batches whose write has ended (folder names and success
+        markers: no data is read, and a half-written batch does not count)."""
         if not path_exists(self.spark, self.path):
             return []
-        try:
-            files = self.spark.read.parquet(self.path).inputFiles()
-        except Exception:  # nothing landed yet
-            return []
-        return sorted({int(f.split("batch_id=")[1].split("/")[0]) for f in files})
+        names = [n for n in list_children(self.spark, self.path) if n.startswith("batch_id=")]
+        return sorted(int(n[len("batch_id="):]) for n in names
+                      if path_exists(self.spark, f"{self.path}/{n}/_SUCCESS"))
 
     def batch(self, batch_id: int) -> DataFrame:
-        """One committed batch (partition-pruned read)."""
-        return self.spark.read.parquet(self.path).filter(F.col("batch_id") == batch_id).drop("batch_id")
+        """One committed batch (its folder only)."""
+        return self.spark.read.parquet(f"{self.path}/batch_id={batch_id}")
 
     def load_time(self, batch_id: int):
         """The batch's load time, read from the landed rows (one row): the

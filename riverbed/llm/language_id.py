@@ -14,8 +14,8 @@ Defined cases: NULL text and texts without a letter are ``und`` with score 0;
 a NULL language is not learned from; a NULL id counts as the empty text in the
 fold; without training windows everything is ``und``; repeated rows repeat
 results; an empty table gives an empty result. Very long texts are scored in
-batches of windows. The number of languages is taken to be bounded (each adds
-its windows to the sample); id, text and language are the only columns read,
+batches of windows. At most ``MAX_LANGUAGES`` languages are learned, the most
+frequent ones; id, text and language are the only columns read,
 and language only to train.
 """
 
@@ -35,6 +35,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 WINDOWS_PER_LANGUAGE = 1500
 MAX_LANGUAGES = 256
+OVERSAMPLE = 3
 EPOCHS, BATCH, RATE = 10, 64, 0.01
 UNKNOWN = "und"
 
@@ -142,9 +143,17 @@ def training_windows(docs: DataFrame, per_language: int = WINDOWS_PER_LANGUAGE)
     text = F.coalesce(F.col("text"), F.lit(""))
     windows = F.greatest(F.floor(F.length(text) / WINDOW), F.lit(1))
     place = F.pmod(F.xxhash64(F.lit(11), "doc_id"), windows) * WINDOW + 1
-    found = (docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-             .select(F.col("lang").cast("string").alias("lang"),
-                     F.xxhash64(F.lit(12), "doc_id", text).alias("h"),
+    learn = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    # Rows of each language, to thin the candidates by hash before they move:
+    # about OVERSAMPLE times what is wanted reaches the ranking, at any size.
+    sizes = (learn.groupBy(F.col("lang").cast("string").alias("lang")).count()
+             .orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES).collect())
+    share = F.lit(0.0)
+    for lang, n in sizes:
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, OVERSAMPLE * per_language / n))).otherwise(share)
+    h = F.xxhash64(F.lit(12), "doc_id", text)
+    found = (learn.filter(F.pmod(h, F.lit(1 << 30)) < share * (1 << 30))
+             .select(F.col("lang").cast("string").alias("lang"), h.alias("h"),
                      F.substring(text, place.cast("int"), F.lit(WINDOW)).alias("window"))
              .filter(F.col("window").rlike(r"\p{L}")))
     first = Window.partitionBy("lang").orderBy("h", "window")

@@ -100,7 +100,7 @@ def with_file_row_number(df: DataFrame, file_col: str = "meta_filename",
     sum of the counts in block order gives each block's offset, and
     ``offset + id - first_id + 1`` numbers the row. Only one small row per
     block is aggregated (one per scan split, a proven bound), and it is
-    broadcast back; data rows are not shuffled. Both uses must see the same
+    joined back (broadcast while small); data rows are not shuffled. Both uses must see the same
     ids: either the caller persists the input (a micro-batch), or
     ``stage=True`` materialises the ids once with a reliable ``checkpoint()``
     in the shared checkpoint folder."""
@@ -110,7 +110,7 @@ def with_file_row_number(df: DataFrame, file_col: str = "meta_filename",
     blocks = ids.groupBy(file_col, "_pid").agg(F.min("_mid").alias("_bmin"), F.count(F.lit(1)).alias("_bn"))
     w = Window.partitionBy(file_col).orderBy("_bmin").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_bn").over(w), F.lit(0)))
-    joined = ids.join(F.broadcast(blocks), [file_col, "_pid"])
+    joined = ids.join(blocks, [file_col, "_pid"])
     return joined.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_bmin") + 1).cast("bigint")) \
                  .drop("_mid", "_pid", "_bmin", "_bn", "_off")
 

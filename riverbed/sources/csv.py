@@ -99,8 +99,8 @@ def with_file_row_number(df: DataFrame, file_col: str = "meta_filename",
     (file, partition) block take the first id and the row count; a running
     sum of the counts in block order gives each block's offset, and
     ``offset + id - first_id + 1`` numbers the row. Only one small row per
-    block is aggregated (one per scan split, a proven bound), and it is
-    joined back (broadcast while small); data rows are not shuffled. Both uses must see the same
+    block is aggregated (one per file and scan split) and joined back, by
+    broadcast only while Spark finds it small. Both uses must see the same
     ids: either the caller persists the input (a micro-batch), or
     ``stage=True`` materialises the ids once with a reliable ``checkpoint()``
     in the shared checkpoint folder."""

@@ -1,21 +1,19 @@
 """Keyed upsert (H1, H2), high-water marks (G3, H3) and new-or-newer deltas.
 
 ``merge_frames`` is the pure DataFrame form: (target, source) -> new target,
-one ``full_outer`` join on the key. ``KeyedTable`` persists it on plain
-Parquet without a MERGE-capable table format:
-
-* rows live in ``data/v=<version>/_bucket=<b>/`` with
-  ``_bucket = pmod(xxhash64(keys), buckets)``;
-* a merge stages the deduplicated source, reads only the buckets the source
-  touches, joins them, and writes those buckets as a new version;
-* ``_log/v=<version>/`` (written last, by Spark) lists the buckets of the
-  version and the source batch id. A version without a log entry was never
-  committed and is ignored, so a lost executor or a crashed driver leaves
-  the table readable, and replaying a batch id that is already logged is a
-  no-op (exactly-once effect on top of at-least-once delivery).
-
-Untouched buckets are neither read nor written, so the cost of a merge
-follows the batch, not the table.
+one ``full_outer`` join on the key. ``KeyedTable`` persists the same result on
+plain Parquet, without a MERGE-capable table format, as append-only batches:
+
+* a merge writes the batch, and nothing else, as one folder
+  ``data/_kind=delta/_seq=<n>/_batch=<id>/_nulls=<rule>``. Its cost follows the
+  batch, whatever the size of the table. Spark's ``_SUCCESS`` marker commits
+  it: an attempt that died is not read, and a batch id whose folder is
+  committed is not applied again (exactly-once effect on top of at-least-once
+  delivery, for late ids too);
+* ``read`` resolves the batches by key: the latest row (H2), or, with tracked
+  columns, the row of the key's last change with that change's stamp (H1);
+* ``compact`` writes the resolved rows as a base folder, from which later
+  reads start. Call it when reads get slower than wanted.
 """
 
 from __future__ import annotations
@@ -24,16 +22,18 @@ import datetime as _dt
 import json
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverbed.functions.parse import any_distinct, ntz
-from riverbed.operators.dedupe import latest_per_key
-from riverbed.session import list_children, path_exists
+from riverbed.operators.dedupe import latest_keep_null_keys, latest_per_key
+from riverbed.session import glob_paths
 
-_SRC, _TGT, _BUCKET = "_src_present", "_tgt_present", "_bucket"
+_SRC, _TGT = "_src_present", "_tgt_present"
+_SEQ, _NULLS = "_seq", "_nulls"
 
 
 def high_water_mark(target: DataFrame | None, col: str, default=None):
@@ -71,7 +71,7 @@ def new_or_newer(source: DataFrame, target: DataFrame | None, keys: Sequence[str
     return joined.filter(keep).select(*source.columns)
 
 
-def null_key_rows(df: DataFrame, keys: Sequence[str]) -> Column:
+def null_key_rows(keys: Sequence[str]) -> Column:
     """Rows with a NULL in any key column (they can never match a target row)."""
     cond = F.lit(False)
     for k in keys:
@@ -133,285 +133,207 @@ def merge_frames(target: DataFrame | None, source: DataFrame, keys: Sequence[str
     return j.select(*out)
 
 
-class KeyedTable:
-    """A keyed Parquet table with versioned buckets (see module docstring)."""
-
-    _LOG_SCHEMA = ("version BIGINT, batch_id BIGINT, bucket INT, full BOOLEAN, schema_json STRING, "
-                   "mark STRING")
-    _CKPT_SCHEMA = ("ckpt BIGINT, bucket INT, version BIGINT, batch_id BIGINT, schema_json STRING, "
-                    "mark STRING")
-    # A log checkpoint lists every applied batch id (one row each), so a late
-    # id is applied whatever the table's age.
-    CHECKPOINT_EVERY = 64
-
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str],
-                 buckets: int = 64, mark_col: str | None = None):
-        """``mark_col``: a timestamp column whose running maximum is kept in
-        the log, so the high-water mark (G3) costs no scan of the table."""
-        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
-        self.mark_col = mark_col
-        self._cached = None
-
-    # -- manifest -----------------------------------------------------------
-    def _state(self):
-        """Committed state; read from the log once, then kept up to date by
-        this writer's own commits (one writer per table, as with the
-        reference's single task per target)."""
-        if self._cached is None:
-            self._cached = self._load_state()
-        return self._cached or None
+class Folder(NamedTuple):
+    """One committed batch or base of a keyed table, read off its path."""
+    kind: str   # "delta" or "base"
+    seq: int    # order of commit
+    batch: int  # source batch id, -1 for none
+    nulls: str  # "quarantine" or "insert": what its NULL-key rows are
+
+    @property
+    def path(self) -> str:
+        return f"_kind={self.kind}/{_SEQ}={self.seq}/_batch={self.batch}/{_NULLS}={self.nulls}"
+
 
+class KeyedTable:
+    """A keyed Parquet table of append-only batches (see module docstring).
+
+    One writer per table, as with the reference's single task per target;
+    any number of readers."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], *,
+                 tracked: Sequence[str] | None = None, mark_col: str | None = None):
+        """``tracked`` (H1): a batch row counts as a change only when one of
+        these columns IS DISTINCT FROM the key's previous row; otherwise the
+        earlier row stays, stamp included. None (H2): the latest row counts.
+        ``mark_col``: the column of the high-water mark (G3)."""
+        self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
+        self.tracked, self.mark_col = None if tracked is None else list(tracked), mark_col
+        self.refresh()
+
+    # -- state: the committed folders -----------------------------------------
     def refresh(self) -> None:
-        self._cached = None
-
-    def _versions(self, folder: str) -> list[int]:
-        names = list_children(self.spark, f"{self.root}/{folder}")
-        return sorted(int(n[2:]) for n in names if n.startswith("v="))
-
-    def _load_state(self):
-        """Latest log checkpoint (one row per bucket) plus the log entries
-        after it: the driver reads at most ``buckets`` + ``CHECKPOINT_EVERY``
-        versions' rows, however long the table has lived."""
-        log_versions = self._versions("_log")
-        if not log_versions:
-            return {}
-        ckpts = [c for c in self._versions("_ckpt") if c <= log_versions[-1]]
-        mapping: dict[int, int] = {}
-        batches: set[int] = set()
-        mark, schema_json, last = None, None, -1
-        if ckpts:
-            c = ckpts[-1]
-            for r in self.spark.read.schema(self._CKPT_SCHEMA).json(f"{self.root}/_ckpt/v={c}").collect():
-                if r.bucket >= 0:
-                    mapping[r.bucket] = r.version
-                elif r.bucket == -2:
-                    batches.add(r.batch_id)
-                else:
-                    schema_json, last = r.schema_json, c
-                    mark = _dt.datetime.fromisoformat(r.mark) if r.mark else None
-        paths = [f"{self.root}/_log/v={v}" for v in log_versions if v > last]
-        rows = self.spark.read.schema(self._LOG_SCHEMA).json(paths).collect() if paths else []
-        by_version: dict[int, list] = {}
-        for r in rows:
-            by_version.setdefault(r.version, []).append(r)
-        for v in sorted(by_version):
-            entries = by_version[v]
-            if not any(e.bucket == -1 for e in entries):  # no commit marker: never committed
-                continue
-            if any(e.full for e in entries):
-                mapping = {}
-            for e in entries:
-                if e.bucket is not None and e.bucket >= 0:
-                    mapping[e.bucket] = v
-                if e.batch_id is not None:
-                    batches.add(e.batch_id)
-                if e.mark is not None:
-                    mark = _max_mark(mark, _dt.datetime.fromisoformat(e.mark))
-            last, schema_json = v, entries[0].schema_json
-        if last < 0:
-            return {}
-        schema = T.StructType.fromJson(json.loads(schema_json))
-        return {"buckets": mapping, "batches": batches, "version": last,
-                "schema": schema, "mark": mark}
-
-    def _checkpoint(self) -> None:
-        """Write the full bucket map of the current version (A15-style
-        compaction of the log; old entries are no longer read)."""
-        st = self._state()
-        mark_txt = None if st.get("mark") is None else st["mark"].isoformat(sep=" ")
-        rows = [(st["version"], b, v, None, None, None) for b, v in sorted(st["buckets"].items())]
-        rows += [(st["version"], -2, None, b, None, None) for b in sorted(st["batches"])]
-        rows.append((st["version"], -1, st["version"], None, st["schema"].json(), mark_txt))
-        (local_rows(self.spark, rows, self._CKPT_SCHEMA).coalesce(1)
-             .write.mode("overwrite").json(f"{self.root}/_ckpt/v={st['version']}"))
+        self._known: list[Folder] | None = None
+        self._schema: T.StructType | None = None
+        self._mark, self._mark_known = None, False
+
+    def _folders(self) -> list[Folder]:
+        """Committed folders in commit order (one listing of names, then kept
+        up to date by this writer's own commits)."""
+        if self._known is None:
+            done = glob_paths(self.spark, f"{self.root}/data/_kind=*/{_SEQ}=*/_batch=*/{_NULLS}=*/_SUCCESS")
+            parts = [[x.split("=", 1)[1] for x in p.split("/")[-5:-1]] for p in done]
+            self._known = sorted((Folder(k, int(q), int(b), n) for k, q, b, n in parts), key=lambda f: f.seq)
+        return self._known
+
+    def _live(self) -> list[Folder]:
+        """The newest base and the batches after it."""
+        folders = self._folders()
+        base = max((i for i, f in enumerate(folders) if f.kind == "base"), default=0)
+        return folders[base:]
 
     def exists(self) -> bool:
-        return self._state() is not None
+        return bool(self._folders())
 
-    def mark(self):
-        """Running maximum of ``mark_col`` over everything merged (None when
-        empty): equals ``MAX(mark_col)`` of the table when merged rows only
-        move the mark forward, as incremental models do (H3)."""
-        st = self._state()
-        return None if st is None else st.get("mark")
+    def version(self) -> int | None:
+        return self._folders()[-1].seq if self.exists() else None
 
     def applied_batches(self) -> frozenset:
-        st = self._state()
-        return frozenset() if st is None else frozenset(st["batches"])
+        return frozenset(f.batch for f in self._folders() if f.batch >= 0)
 
-    def quarantined(self) -> DataFrame | None:
-        """NULL-key rows set aside by merges (None when there are none)."""
-        path = f"{self.root}/_quarantine"
-        if not path_exists(self.spark, path):
-            return None
-        return self.spark.read.schema(self._state()["schema"]).parquet(path)
-
-    def read(self, buckets=None) -> DataFrame:
-        st = self._state()
-        if st is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        chosen = sorted((b, v) for b, v in st["buckets"].items() if buckets is None or b in buckets)
-        if not chosen:
-            return self.spark.createDataFrame([], st["schema"])
-        paths = [f"{self.root}/data/v={v}/{_BUCKET}={b}" for b, v in chosen]
-        return self.spark.read.schema(st["schema"]).parquet(*paths)
+    def schema(self) -> T.StructType:
+        if self._schema is None:
+            at = max(int(p.rsplit("=", 1)[1]) for p in glob_paths(self.spark, f"{self.root}/_schema/{_SEQ}=*")
+                     if int(p.rsplit("=", 1)[1]) <= self.version())
+            text = self.spark.read.text(f"{self.root}/_schema/{_SEQ}={at}", wholetext=True).first()[0]
+            self._schema = T.StructType.fromJson(json.loads(text))
+        return self._schema
 
-    def version(self) -> int | None:
-        st = self._state()
-        return None if st is None else st["version"]
-
-    def buckets_since(self, version: int | None) -> set[int] | None:
-        """Buckets rewritten after ``version`` (None: every bucket). Rows
-        inserted or changed since then live only in these buckets, so an
-        incremental consumer reads them instead of the whole table."""
-        st = self._state()
-        if st is None or version is None:
-            return None
-        return {b for b, v in st["buckets"].items() if v > version}
+    def mark(self):
+        """Maximum of ``mark_col`` over everything merged (None when empty).
+        Merges report their batch's maximum with the write; a fresh handle
+        scans that one column once."""
+        if not self._mark_known and self.exists():
+            self._mark = self._scan(self._folders()).agg(F.max(self.mark_col)).first()[0]
+        self._mark_known = True
+        return self._mark
+
+    # -- reads ------------------------------------------------------------------
+    def _scan(self, folders: Sequence[Folder]) -> DataFrame:
+        extra = [T.StructField(_SEQ, T.LongType()), T.StructField(_NULLS, T.StringType())]
+        data = f"{self.root}/data"
+        rows = (self.spark.read.schema(T.StructType([*self.schema().fields, *extra]))
+                .option("basePath", data).parquet(*[f"{data}/{f.path}" for f in folders]))
+        return rows.select(*self.schema().names, _SEQ, _NULLS)
+
+    def _resolve(self, folders: Sequence[Folder]) -> DataFrame:
+        """One row per key, and the NULL-key rows that were inserted. The H2
+        form ships at most one row per key and task; the H1 form compares a
+        key's rows in order, at most one per batch since the last base."""
+        rows, null_key = self._scan(folders), null_key_rows(self.keys)
+        inserted = any(f.nulls == "insert" for f in folders)
+        if len(folders) == 1:
+            out = rows if inserted else rows.filter(~null_key)
+            return out.drop(_SEQ, _NULLS)
+        keyed = rows.filter(~null_key)
+        if self.tracked is None:
+            out = latest_per_key(keyed, self.keys, [F.col(_SEQ).desc()])
+        else:
+            in_order = Window.partitionBy(*self.keys).orderBy(_SEQ)
+            changed = (F.row_number().over(in_order) == 1) | any_distinct(
+                [F.lag(c).over(in_order) for c in self.tracked], [F.col(c) for c in self.tracked])
+            last = F.max(F.when(F.col("_changed"), F.col(_SEQ))).over(Window.partitionBy(*self.keys))
+            out = (keyed.withColumn("_changed", changed).withColumn("_last", last)
+                   .filter(F.col(_SEQ) == F.col("_last")).drop("_changed", "_last"))
+        if inserted:
+            out = out.unionByName(rows.filter(null_key & (F.col(_NULLS) == "insert")))
+        return out.drop(_SEQ, _NULLS)
+
+    def read(self) -> DataFrame:
+        if not self.exists():
+            raise FileNotFoundError(f"no committed batch under {self.root}")
+        return self._resolve(self._live())
 
     def read_or_none(self) -> DataFrame | None:
         return self.read() if self.exists() else None
 
-    # -- writes -------------------------------------------------------------
-    def bucket_of(self) -> Column:
-        """``pmod(hash(keys), buckets)``: the function Spark's hash
-        partitioning applies, so ``repartition(buckets, *keys)`` puts bucket
-        ``b`` in task ``b`` and a key join needs no second shuffle before the
-        one-file-per-bucket write. (Correctness never depends on this; only
-        the number of files would.)"""
-        return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def _write_observed(self, df: DataFrame, path: str, nulls: Column | None = None) -> dict:
-        """Write ``df`` (with ``_bucket``) partitioned by bucket and return, from
-        the same job, the buckets written, the row count and the batch's mark
-        (``Observation``: no second pass over the data)."""
-        metrics = [F.collect_set(_BUCKET).alias("buckets"), F.count(F.lit(1)).alias("rows")]
-        if self.mark_col is not None:
-            metrics.append(F.max(self.mark_col).alias("mark"))
-        if nulls is not None:
-            metrics.append(nulls.alias("nulls"))
+    def changes_since(self, version: int | None) -> DataFrame:
+        """Current rows of the keys delivered after ``version`` (None: all),
+        so that an incremental consumer reads those batches, not the table.
+        Past a newer base the whole table is returned."""
+        live = self._live()
+        if version is None or live[0].kind == "base" and live[0].seq > version:
+            return self.read()
+        after = [f for f in live if f.seq > version]
+        if not after:
+            return self.read().limit(0)
+        if self.tracked is None:
+            return self._resolve(after)
+        keys = self._scan(after).select(*self.keys).distinct()
+        return self.read().join(keys, self.keys, "left_semi")
+
+    def quarantined(self) -> DataFrame | None:
+        """Every NULL-key row set aside by a merge (None without a table)."""
+        if not self.exists():
+            return None
+        rows = self._scan(self._folders())
+        return (rows.filter(null_key_rows(self.keys) & (F.col(_NULLS) == "quarantine"))
+                .drop(_SEQ, _NULLS))
+
+    # -- writes -----------------------------------------------------------------
+    def _commit(self, kind: str, df: DataFrame, batch_id: int | None, nulls: str) -> None:
+        """Write ``df`` as the next folder; the batch's mark comes from the
+        same job (``Observation``). What a dead attempt left is overwritten."""
+        seq = self.version() + 1 if self.exists() else 0
+        folder = Folder(kind, seq, -1 if batch_id is None else batch_id, nulls)
+        if kind == "base" or not self.exists():
+            text = self.spark.range(1).select(F.lit(df.schema.json()).alias("value"))
+            text.coalesce(1).write.mode("overwrite").text(f"{self.root}/_schema/{_SEQ}={seq}")
+            self._schema = df.schema
+        before = None if kind == "base" or self.mark_col is None else self.mark()
+        mark = F.max(self.mark_col or F.lit(None)).alias("mark")
         obs = Observation(f"riverbed-{uuid.uuid4().hex[:8]}")
-        df.observe(obs, *metrics).write.mode("overwrite").partitionBy(_BUCKET).parquet(path)
-        got = obs.get
-        return {"buckets": sorted(got.get("buckets") or []), "rows": got.get("rows", 0),
-                "mark": got.get("mark"), "nulls": got.get("nulls", 0)}
-
-    def _commit(self, df: DataFrame, version: int, batch_id, full: bool,
-                bucketed: bool = False, mark=None) -> None:
-        """Write ``df`` as version ``version`` and log it. ``bucketed``: the
-        rows already carry ``_bucket`` and are clustered by it (each bucket
-        in one task), so no extra shuffle is needed for one file per bucket.
-        Leftovers of a failed attempt are overwritten, never read."""
-        data = f"{self.root}/data/v={version}"
-        schema = df.drop(_BUCKET).schema if bucketed else df.schema
-        out = df if bucketed else df.withColumn(_BUCKET, self.bucket_of()).repartition(F.col(_BUCKET))
-        written = self._write_observed(out, data)
-        if full:
-            mark = written["mark"]
-        st = self._state() or {"buckets": {}, "batches": set(), "version": -1, "schema": schema,
-                               "mark": None}
-        new_mark = mark if full else _max_mark(st.get("mark"), mark)
-        mark_txt = None if new_mark is None else new_mark.isoformat(sep=" ")
-        rows = [(version, batch_id, b, full, schema.json(), mark_txt) for b in written["buckets"]]
-        rows.append((version, batch_id, -1, full, schema.json(), mark_txt))  # commit marker
-        # A version number is only reused after a failed, never-committed attempt.
-        (local_rows(self.spark, rows, self._LOG_SCHEMA).coalesce(1)
-             .write.mode("overwrite").json(f"{self.root}/_log/v={version}"))
-        mapping = {} if full else dict(st["buckets"])
-        mapping.update({b: version for b in written["buckets"]})
-        batches = set(st["batches"]) | ({batch_id} if batch_id is not None else set())
-        self._cached = {"buckets": mapping, "batches": batches, "version": version,
-                        "schema": schema, "mark": new_mark}
-        if (version + 1) % self.CHECKPOINT_EVERY == 0:
-            self._checkpoint()
+        (df.observe(obs, F.count(F.lit(1)).alias("rows"), mark)
+         .write.mode("overwrite").parquet(f"{self.root}/data/{folder.path}"))
+        self._mark = max((m for m in (before, obs.get["mark"]) if m is not None), default=None)
+        self._mark_known = True
+        self._known = [*self._folders(), folder]
 
     def create_if_missing(self, schema: T.StructType) -> bool:
-        """``CREATE TABLE IF NOT EXISTS`` (an empty committed version)."""
-        if self._state() is not None:
+        """``CREATE TABLE IF NOT EXISTS`` (an empty base)."""
+        if self.exists():
             return False
-        self._commit(self.spark.createDataFrame([], schema), 0, None, full=True)
+        self._commit("base", self.spark.createDataFrame([], schema), None, "quarantine")
         return True
 
-    def overwrite(self, df: DataFrame, batch_id=None) -> None:
-        """Full build (A14 'table' / first incremental run)."""
-        st = self._state()
-        self._commit(df, 0 if st is None else st["version"] + 1, batch_id, full=True)
+    def overwrite(self, df: DataFrame, batch_id: int | None = None) -> None:
+        """Full build (A14 'table'); all rows are kept, NULL keys too."""
+        self._commit("base", df, batch_id, "insert")
 
-    def merge(self, source: DataFrame, *, tracked: Sequence[str] | None = None,
-              stamp: tuple[str, object] | None = None,
-              order: Sequence[Column | str] | None = None,
-              batch_id: int | None = None, null_keys: str = "quarantine") -> bool:
+    def compact(self) -> None:
+        """Write the resolved rows as a new base; the result does not change."""
+        nulls = "insert" if any(f.nulls == "insert" for f in self._live()) else "quarantine"
+        mark = self.mark() if self.mark_col is not None else None
+        self._commit("base", self.read(), None, nulls)
+        self._mark = mark  # quarantined rows count towards it
+
+    def merge(self, source: DataFrame, *, stamp: tuple[str, object] | None = None,
+              order: Sequence[Column | str] | None = None, batch_id: int | None = None,
+              null_keys: str = "quarantine", on_duplicates: str | None = None) -> bool:
         """Upsert ``source``; returns False when ``batch_id`` was already applied.
 
-        The deduplicated source is staged once as Parquet (its lineage is cut
-        and it is computed once); the same write reports the touched buckets
-        and the batch's mark, and only those buckets of the target are read."""
-        st = self._state()
-        if st is not None and batch_id is not None and batch_id in self.applied_batches():
+        The source holds one row per key; ``order`` reduces it to that (Q5),
+        and ``on_duplicates="error"`` refuses it otherwise, at the price of a
+        count by key. NULL keys never match, so each delivery would insert
+        them again: they are set aside (``quarantined``), all of them, unless
+        ``null_keys="insert"`` asks for the reference's behaviour. Columns the
+        source lacks keep the table's values."""
+        if batch_id is not None and batch_id in self.applied_batches():
             return False
-        if st is not None:
-            # The target's types first: buckets hash typed keys.
-            types = {f.name: f.dataType for f in st["schema"].fields}
-            source = source.withColumns({c: F.col(c).cast(types[c]) for c in source.columns
-                                         if c in types and source.schema[c].dataType != types[c]})
-        # NULL keys never match, so each delivery would insert them again: by
-        # default they go to _quarantine/v=<version> (``null_keys="insert"``
-        # keeps the reference's behaviour).
-        quarantine = null_keys == "quarantine"
-        null_cond = null_key_rows(source, self.keys)
-        if order is not None and quarantine:
-            # every NULL-key row is its own group, so all of them reach the quarantine
-            tagged = source.withColumn("_nk", F.when(null_cond, F.monotonically_increasing_id()))
-            source = latest_per_key(tagged, [*self.keys, "_nk"], order).drop("_nk")
-        elif order is not None:
-            source = latest_per_key(source, self.keys, order)
+        null_key = null_key_rows(self.keys)
+        if order is not None:
+            source = latest_keep_null_keys(source, self.keys, order)
+        elif on_duplicates == "error":
+            twice = source.filter(~null_key).groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            if not twice.isEmpty():
+                raise ValueError(f"more than one source row for a key of {self.root}")
         if stamp is not None:
             source = source.withColumn(stamp[0], stamp_literal(stamp[1]))
-        if st is None:
-            if quarantine:
-                bad = source.filter(null_cond)
-                if not bad.isEmpty():
-                    bad.write.mode("overwrite").parquet(f"{self.root}/_quarantine/v=0")
-                source = source.filter(~null_cond)
-            self._commit(source, 0, batch_id, full=True)
-            return True
-        version = st["version"] + 1
-        staging = f"{self.root}/_staging/v={version}"
-        stage = self._write_observed(source.withColumn(_BUCKET, self.bucket_of()), staging,
-                                     nulls=F.count(F.when(null_cond, 1)))
-        touched, mark = stage["buckets"], stage["mark"]  # at most ``buckets`` ids
-        if not touched:  # empty batch: nothing staged, an empty version is logged
-            self._commit(self.spark.createDataFrame([], st["schema"]), version, batch_id, full=False)
-            return True
-        staged = self.spark.read.parquet(staging)
-        if quarantine and stage["nulls"]:
-            staged.filter(null_cond).drop(_BUCKET).write.mode("overwrite").parquet(
-                f"{self.root}/_quarantine/v={version}")
-        if quarantine:
-            staged = staged.filter(~null_cond)
-        # Both sides hash-partitioned by key into ``buckets`` tasks: one
-        # exchange each serves the key join and the bucketed write.
-        keys = [F.col(k) for k in self.keys]
-        src = staged.drop(_BUCKET).repartition(self.buckets, *keys)
-        tgt = self.read(buckets=set(touched)).repartition(self.buckets, *keys)
-        merged = merge_frames(tgt, src, self.keys, tracked=tracked)
-        self._commit(merged.withColumn(_BUCKET, self.bucket_of()), version, batch_id, full=False,
-                     bucketed=True, mark=mark)
+        if self.exists():
+            fields = self.schema().fields
+            missing = [f.name for f in fields if f.name not in source.columns]
+            if missing:
+                source = source.join(self.read().filter(~null_key).select(*self.keys, *missing), self.keys, "left")
+            source = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+        self._commit("delta", source, batch_id, null_keys)
         return True
-
-
-def local_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    """A few driver-side rows as a DataFrame of literals (an inlined array
-    of structs): planned as a local relation, with no Python-side RDD."""
-    fields = [f.strip().split(" ", 1) for f in ddl.split(",")]
-    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields, strict=True)])
-               for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def _max_mark(a, b):
-    if a is None:
-        return b
-    if b is None:
-        return a
-    return max(a, b)

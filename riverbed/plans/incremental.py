@@ -94,11 +94,11 @@ def fact_delta(txn: DataFrame, dim_merch: DataFrame, dim_cli: DataFrame,
 class FraudWarehouse:
     """The V3 tables as keyed Parquet tables under one root."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         mk = lambda name, keys, mark=None: KeyedTable(
-            spark, f"{root}/{name}", keys, buckets, mark_col=mark)
-        # High-water marks come from the tables' logs (no scan of the target).
+            spark, f"{root}/{name}", keys, mark_col=mark)
+        # High-water marks come with the writes (no scan of the target).
         self.invalid = mk("fct_invalid_transactions", ["trans_num"], "meta_load_ts")
         self.merchants = mk("dim_merchants", ["merchant"], "meta_load_ts")
         self.snapshot = mk("clients_snapshot", ["dbt_scd_id"], "dbt_updated_at")
@@ -129,10 +129,9 @@ class FraudWarehouse:
             deduped = fraud.clients_deduped(fraud.stg_clients(raw["raw_clients"]))
             self.snapshot.merge(snapshot_delta(deduped, self.snapshot.read_or_none()), batch_id=run_id)
             if want & {"clients", "facts"}:
-                # Only snapshot buckets rewritten since the last run can hold
+                # Only snapshot batches merged since the last run can hold
                 # versions past the dimension's mark (the mark filter decides).
-                changed = self.snapshot.buckets_since(self._snapshot_seen)
-                snap = self.snapshot.read(buckets=changed)
+                snap = self.snapshot.changes_since(self._snapshot_seen)
                 self.clients.merge(dim_clients_delta(snap, None, mark=self.clients.mark()),
                                    batch_id=run_id)
                 self._snapshot_seen = self.snapshot.version()
@@ -201,10 +200,13 @@ def conformed_source(batch: DataFrame) -> DataFrame:
                          F.col("meta_filename").alias("source_filename"))
 
 
+def conformed_table(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(spark, root, ["trans_id"], tracked=CONFORMED_TRACKED)
+
+
 def upsert_conformed(table: KeyedTable, batch: DataFrame, batch_id: int, stamp) -> bool:
     """H1: changed-only upsert of one landing batch; idempotent per batch id."""
-    return table.merge(conformed_source(batch), tracked=list(CONFORMED_TRACKED),
-                       stamp=("processed_ts", stamp), batch_id=batch_id)
+    return table.merge(conformed_source(batch), stamp=("processed_ts", stamp), batch_id=batch_id)
 
 
 def conformed_replay(landing: DataFrame, batch_col: str = "batch_id") -> DataFrame:

@@ -179,8 +179,7 @@ def _landing(spark, sf):
 def conformed_upsert(spark, sf):
     """A10 + W1 + H1: landing written by batch, each batch upserted in turn
     (changed-only, stamped, idempotent per batch id)."""
-    from riverbed.operators.upsert import KeyedTable
-    from riverbed.plans.incremental import batch_stamp, upsert_conformed
+    from riverbed.plans.incremental import batch_stamp, conformed_table, upsert_conformed
     from riverbed.session import scratch_path
     root = scratch_path(spark, "conformed")
     _landing(spark, sf).write.partitionBy("batch_id").parquet(f"{root}/landing")
@@ -188,7 +187,7 @@ def conformed_upsert(spark, sf):
     # The change feed: committed batches past the consumer's offset, in order
     # (distinct batch ids only: bounded by the number of batches).
     batches = sorted(r[0] for r in landing.select("batch_id").distinct().collect())
-    table = KeyedTable(spark, f"{root}/conformed", ["trans_id"], buckets=16)
+    table = conformed_table(spark, f"{root}/conformed")
     for b in batches:
         if b in table.applied_batches():
             continue
@@ -351,8 +350,7 @@ def ingest_stream_upsert(spark, sf):
     conformed row is a generated part-file name, so it is not returned."""
     import datetime as dt
 
-    from riverbed.operators.upsert import KeyedTable
-    from riverbed.plans.incremental import upsert_conformed, typed_landing_v1
+    from riverbed.plans.incremental import conformed_table, typed_landing_v1, upsert_conformed
     from riverbed.session import scratch_path
     from riverbed.sources.csv import write_text_csv
     from riverbed.streaming.ingest import FileIngest, LandingFeed
@@ -364,7 +362,7 @@ def ingest_stream_upsert(spark, sf):
                       positions=fx.V1_POSITIONS, pipe_name="PIPE_V1", table_name="LANDING",
                       typing=typed_landing_v1)
     feed = LandingFeed(spark, pipe.landing_path)
-    table = KeyedTable(spark, f"{root}/conformed", ["trans_id"], buckets=16)
+    table = conformed_table(spark, f"{root}/conformed")
     for k in arrivals:
         files = (wide.filter(F.col("arrival") == k).repartition(4, "c19")
                  .sortWithinPartitions("event_id").select(*[f"c{i}" for i in range(1, 24)]))

@@ -103,3 +103,10 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern on the cluster's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return [st.getPath().toString() for st in found or []]

@@ -78,7 +78,7 @@ def test_stream_ingest_new_files_only_and_ledger(spark, tmp_dir):
     assert ledger["e.csv"].row_count == 0 and ledger["e.csv"].status == "LOADED"
     assert len(ledger) == 3
     # consumer: offset kept in the target, replay is a no-op
-    table = KeyedTable(spark, f"{tmp_dir}/conformed", ["a"], buckets=4)
+    table = KeyedTable(spark, f"{tmp_dir}/conformed", ["a"])
     for b in feed.pending(table.applied_batches()):
         table.merge(feed.batch(b).select("a", "b", "meta_load_ts"), batch_id=b,
                     order=["meta_load_ts desc"])

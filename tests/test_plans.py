@@ -32,32 +32,19 @@ def test_scans_are_pruned(spark):
     assert "HashAggregate" in p  # partial distinct before the exchange
 
 
-def test_keyed_merge_has_one_exchange_per_side(spark, tmp_dir):
-    import datetime as dt
-
+def test_keyed_read_has_one_exchange(spark, tmp_dir):
     from pyspark.sql import functions as F
 
-    from riverbed.operators import upsert as U
-    t = U.KeyedTable(spark, tmp_dir, ["k"], buckets=8, mark_col="ts")
-    base = spark.range(200).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"),
-                                   F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"))
-    t.merge(base, batch_id=0)
-    seen = {}
-    orig = U.KeyedTable._commit
-
-    def capture(self, df, *a, **k):
-        seen["plan"] = plan(df)
-        return orig(self, df, *a, **k)
-
-    U.KeyedTable._commit = capture
-    try:
-        t.merge(base.limit(20).withColumn("ts", F.lit(str(dt.datetime(2024, 1, 2))).cast("timestamp_ntz")),
-                batch_id=1)
-    finally:
-        U.KeyedTable._commit = orig
-    p = seen["plan"]
-    assert "FullOuter" in p
-    assert p.count("Arguments: hashpartitioning(") == 2  # one exchange per side, none after the join
+    from riverbed.operators.upsert import KeyedTable
+    batch = spark.range(200).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    for tracked, partial in ((None, True), (["v"], False)):
+        t = KeyedTable(spark, f"{tmp_dir}/{partial}", ["k"], tracked=tracked)
+        t.merge(batch, batch_id=0)
+        t.merge(batch.filter("v < 20"), batch_id=1)
+        p = plan(t.read())
+        assert p.count("Arguments: hashpartitioning(") == 1 and "Join" not in p
+        # the latest-row form ships at most one row per key and task
+        assert ("WindowGroupLimit" in p and "Partial" in p) == partial
 
 
 def test_as_of_join_without_broadcast_is_a_sort_merge_join(spark):

@@ -22,7 +22,7 @@ def test_q4_strict_mark_drops_rows_at_the_mark(spark):
 
 
 def test_q5_duplicate_keys_in_a_merge_source(spark, tmp_dir):
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4)
+    t = KeyedTable(spark, tmp_dir, ["k"])
     src = spark.createDataFrame([("a", 1, D(2024, 1, 1)), ("a", 2, D(2024, 1, 2))],
                                 "k string, v int, meta_load_ts timestamp_ntz")
     t.merge(src, order=["meta_load_ts desc"], batch_id=0)

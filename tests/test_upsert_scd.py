@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from riverbed.operators import enrich
@@ -9,6 +10,7 @@ from riverbed.operators.dedupe import latest_by_load, latest_per_key
 from riverbed.operators.scd import (next_in_key, scd1_delta, scd1_full, scd2_dim_delta, scd2_from_history,
                                     scd2_snapshot_delta)
 from riverbed.operators.upsert import KeyedTable, after_mark, high_water_mark, merge_frames
+from riverbed.sources.csv import file_inventory
 
 D = dt.datetime
 TGT = "k string, v string, f string, stamp timestamp_ntz"
@@ -47,24 +49,80 @@ def test_always_update_and_null_keys(spark):
     assert sum(1 for r in got if r[0] is None) == 2
 
 
-def test_keyed_table_replay_and_buckets(spark, tmp_dir):
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=8)
+def test_keyed_table_replay(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], tracked=TRACKED)
     b0 = spark.createDataFrame([(f"k{i}", str(i), "f0") for i in range(50)], SRC)
-    assert t.merge(b0, tracked=TRACKED, stamp=("stamp", D(2024, 1, 1)), batch_id=0)
+    assert t.merge(b0, stamp=("stamp", D(2024, 1, 1)), batch_id=0)
     first = rows(t.read())
     b1 = spark.createDataFrame([("k1", "changed", "f1"), ("k2", "2", "f0"), ("new", "n", "f1")], SRC)
-    assert t.merge(b1, tracked=TRACKED, stamp=("stamp", D(2024, 1, 2)), batch_id=1)
-    assert not t.merge(b1, tracked=TRACKED, stamp=("stamp", D(2024, 1, 3)), batch_id=1)  # replay
+    assert t.merge(b1, stamp=("stamp", D(2024, 1, 2)), batch_id=1)
+    assert not t.merge(b1, stamp=("stamp", D(2024, 1, 3)), batch_id=1)  # replay
     out = {r.k: r for r in t.read().collect()}
     assert len(out) == 51
     assert out["k1"].v == "changed" and out["k1"].stamp == D(2024, 1, 2)
     assert out["k2"].stamp == D(2024, 1, 1)  # unchanged row keeps its stamp
     assert out["new"].stamp == D(2024, 1, 2)
-    # a fresh handle reads the same committed state from the log
-    again = KeyedTable(spark, tmp_dir, ["k"], buckets=8)
+    # a fresh handle reads the same committed state from the folders
+    again = KeyedTable(spark, tmp_dir, ["k"], tracked=TRACKED)
     assert rows(again.read()) == rows(t.read())
     assert again.applied_batches() == {0, 1}
     assert len(first) == 50
+    # compacting changes no row, and an unchanged redelivery after it keeps the stamp
+    again.compact()
+    assert rows(again.read()) == rows(t.read())
+    assert again.merge(b1, stamp=("stamp", D(2024, 1, 9)), batch_id=2)
+    assert rows(again.read()) == rows(t.read())
+    assert rows(KeyedTable(spark, tmp_dir, ["k"], tracked=TRACKED).read()) == rows(t.read())
+
+
+def test_tracked_table_equals_merge_frames(spark, tmp_dir):
+    import random
+    rnd = random.Random(3)
+    t, want = KeyedTable(spark, tmp_dir, ["k"], tracked=TRACKED), None
+    for b in range(5):
+        src = spark.createDataFrame([(f"k{i}", rnd.choice(["1", "2", None]), f"f{rnd.randrange(2)}")
+                                     for i in rnd.sample(range(12), 8)], SRC)
+        stamp = ("stamp", D(2024, 1, 1 + b))
+        t.merge(src, stamp=stamp, batch_id=b)
+        want = merge_frames(want, src, ["k"], tracked=TRACKED, stamp=stamp)
+        if b == 2:
+            t.compact()
+        assert rows(t.read()) == rows(want)
+
+
+def test_a_batch_writes_its_own_rows_only(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"])
+    make = lambda n: spark.range(n).select("id", F.uuid().alias("v")).withColumnRenamed("id", "k")
+    t.merge(make(100_000), batch_id=0)
+    t.merge(make(100), batch_id=1)
+    t.merge(make(100), batch_id=2)
+    size = dict(rows(file_inventory(spark, f"{tmp_dir}/data", "*.parquet")
+                     .groupBy(F.regexp_extract("name", "_batch=([0-9]+)", 1).alias("b")).agg(F.sum("size"))))
+    assert size["1"] < size["0"] / 50 and size["2"] < 1.5 * size["1"]
+    assert t.read().count() == 100_000
+
+
+def test_source_with_duplicates_or_missing_columns(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"])
+    t.merge(spark.createDataFrame([("a", "1", "f"), ("b", "2", "f")], SRC), batch_id=0)
+    twice = spark.createDataFrame([("a", "3", "f"), ("a", "4", "f")], SRC)
+    with pytest.raises(ValueError, match="more than one"):
+        t.merge(twice, batch_id=1, on_duplicates="error")
+    assert t.applied_batches() == {0}
+    t.merge(spark.createDataFrame([("a", "9"), ("c", "5")], "k string, v string"), batch_id=1)
+    assert rows(t.read()) == [("a", "9", "f"), ("b", "2", "f"), ("c", "5", None)]
+
+
+def test_an_unfinished_attempt_is_not_read(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"])
+    t.merge(spark.createDataFrame([("a", "1", "f")], SRC), batch_id=0)
+    half = f"{tmp_dir}/data/_kind=delta/_seq=1/_batch=1/_nulls=quarantine"
+    (spark.createDataFrame([("a", "half", "f")], SRC).write
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half))
+    again = KeyedTable(spark, tmp_dir, ["k"])
+    assert again.applied_batches() == {0} and rows(again.read(), "v") == [("1",)]
+    assert again.merge(spark.createDataFrame([("a", "2", "f")], SRC), batch_id=1)
+    assert rows(KeyedTable(spark, tmp_dir, ["k"]).read(), "v") == [("2",)]
 
 
 def test_high_water_mark_modes(spark):
@@ -178,69 +236,67 @@ def test_bucketed_lead_equals_plain_window(spark):
 
 
 def test_create_if_missing_then_overwrite(spark, tmp_dir):
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4)
+    t = KeyedTable(spark, tmp_dir, ["k"])
     schema = spark.createDataFrame([], SRC).schema
     assert t.create_if_missing(schema)
     assert not t.create_if_missing(schema)
     assert t.read().count() == 0
     t.overwrite(spark.createDataFrame([("a", "1", "f")], SRC))
     t.overwrite(spark.createDataFrame([("b", "2", "f")], SRC))
-    assert rows(t.read(), "k") == [("b",)]  # a full rebuild drops buckets it did not write
+    assert rows(t.read(), "k") == [("b",)]  # a full rebuild drops the rows before it
 
 
-def test_merge_writes_one_file_per_bucket_and_keeps_mark(spark, tmp_dir):
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts")
+def test_mark_is_kept_and_read_back(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], mark_col="ts")
     mk = lambda n, day: spark.createDataFrame(
         [(f"k{i}", str(i), D(2024, 1, day)) for i in range(n)], "k string, v string, ts timestamp_ntz")
     t.merge(mk(40, 1), batch_id=0)
     t.merge(mk(10, 3), batch_id=1)
     assert t.mark() == D(2024, 1, 3)
     assert high_water_mark(t.read(), "ts") == t.mark()
-    files = [f for f in t.read().inputFiles() if "/data/v=1/" in f]
-    per_bucket = {}
-    for f in files:
-        b = f.split("_bucket=")[1].split("/")[0]
-        per_bucket[b] = per_bucket.get(b, 0) + 1
-    assert per_bucket and max(per_bucket.values()) == 1
-    assert KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts").mark() == D(2024, 1, 3)
-
-
-def test_log_checkpoint_bounds_what_the_driver_reads(spark, tmp_dir, monkeypatch):
-    monkeypatch.setattr(KeyedTable, "CHECKPOINT_EVERY", 3)
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts")
+    again = KeyedTable(spark, tmp_dir, ["k"], mark_col="ts")
+    assert again.mark() == D(2024, 1, 3)
+    again.compact()
+    again.merge(mk(1, 2), batch_id=2)
+    assert again.mark() == KeyedTable(spark, tmp_dir, ["k"], mark_col="ts").mark() == D(2024, 1, 3)
+
+
+def test_compaction_between_batches_changes_nothing(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], mark_col="ts")
     for b in range(7):
         batch = spark.createDataFrame([(f"k{b % 3}", str(b), D(2024, 1, 1 + b))],
                                       "k string, v string, ts timestamp_ntz")
         assert t.merge(batch, batch_id=b)
-    fresh = KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts")
+        if b % 3 == 2:
+            t.compact()
+    fresh = KeyedTable(spark, tmp_dir, ["k"], mark_col="ts")
     assert rows(fresh.read()) == rows(t.read())
     assert {r.k: r.v for r in fresh.read().collect()} == {"k0": "6", "k1": "4", "k2": "5"}
     assert fresh.mark() == D(2024, 1, 7)
-    applied = fresh.applied_batches()
-    assert all(b in applied for b in range(7)) and 7 not in applied
+    assert fresh.applied_batches() == set(range(7))
     assert not fresh.merge(spark.createDataFrame([("k0", "x", D(2024, 2, 1))],
                                                  "k string, v string, ts timestamp_ntz"), batch_id=2)
 
 
 def test_null_keys_are_quarantined_by_default(spark, tmp_dir):
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4)
+    t = KeyedTable(spark, tmp_dir, ["k"])
     batch = spark.createDataFrame([("a", "1", "f"), (None, "2", "f")], SRC)
     t.merge(batch, batch_id=0)
     t.merge(batch, batch_id=1)
     assert rows(t.read(), "k") == [("a",)]
-    q = spark.read.parquet(f"{tmp_dir}/_quarantine")
+    q = t.quarantined()
     assert q.count() == 2 and q.filter("k IS NULL").count() == 2
     dup = spark.createDataFrame([(None, "3", "f"), (None, "4", "f"), ("a", "5", "f")], SRC)
     t.merge(dup, batch_id=2, order=["v desc"])
-    assert spark.read.parquet(f"{tmp_dir}/_quarantine").count() == 4  # no NULL row collapsed
-    raw = KeyedTable(spark, tmp_dir + "-insert", ["k"], buckets=4)
+    assert t.quarantined().count() == 4  # no NULL row collapsed
+    raw = KeyedTable(spark, tmp_dir + "-insert", ["k"])
     raw.merge(batch, batch_id=0, null_keys="insert")
     raw.merge(batch, batch_id=1, null_keys="insert")
     assert raw.read().filter("k IS NULL").count() == 2  # the reference's behaviour
 
 
-def test_empty_batch_commits_an_empty_version(spark, tmp_dir):
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4, mark_col="ts")
+def test_empty_batch_is_committed(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"], mark_col="ts")
     base = spark.createDataFrame([("a", "1", D(2024, 1, 1))], "k string, v string, ts timestamp_ntz")
     t.merge(base, batch_id=0)
     assert t.merge(base.filter(F.lit(False)), batch_id=1)
@@ -266,32 +322,32 @@ def test_bucketed_sweep_equals_interval_join_on_a_hot_key(spark):
         assert rows(got, "t", "_c_name") == expect
 
 
-def test_buckets_since_lists_only_rewritten_buckets(spark, tmp_dir):
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=8)
+def test_changes_since_reads_only_later_batches(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"])
     t.merge(spark.createDataFrame([(f"k{i}", "1", "f") for i in range(40)], SRC), batch_id=0)
     v0 = t.version()
-    assert t.buckets_since(v0) == set()
+    assert t.changes_since(v0).count() == 0 and t.changes_since(None).count() == 40
     t.merge(spark.createDataFrame([("k1", "2", "f")], SRC), batch_id=1)
-    changed = t.buckets_since(v0)
-    assert len(changed) == 1
-    assert [r.k for r in t.read(buckets=changed).filter("v = '2'").collect()] == ["k1"]
-    assert t.buckets_since(None) is None
+    assert rows(t.changes_since(v0)) == [("k1", "2", "f")]
+    assert all("_batch=1" in f for f in t.changes_since(v0).inputFiles())
+    t.compact()
+    assert t.changes_since(v0).count() == 40  # a newer base: everything
 
 
 def test_int_keys_into_a_bigint_table_lose_nothing(spark, tmp_dir):
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=16)
+    t = KeyedTable(spark, tmp_dir, ["k"])
     t.merge(spark.range(200).select(F.col("id").alias("k"), F.lit("a").alias("v")), batch_id=0)
     t.merge(spark.createDataFrame([(0, "b"), (500, "c")], "k int, v string"), batch_id=1)
     got = {r.k: r.v for r in t.read().collect()}
     assert len(got) == 201 and got[0] == "b" and got[500] == "c" and got[199] == "a"
 
 
-def test_late_batch_is_applied_after_log_checkpoints(spark, tmp_dir, monkeypatch):
-    monkeypatch.setattr(KeyedTable, "CHECKPOINT_EVERY", 2)
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4)
+def test_late_batch_is_applied(spark, tmp_dir):
+    t = KeyedTable(spark, tmp_dir, ["k"])
     for b in (0, 2, 4, 6):
         t.merge(spark.createDataFrame([(f"k{b}", "x")], "k string, v string"), batch_id=b)
-    again = KeyedTable(spark, tmp_dir, ["k"], buckets=4)
+    t.compact()
+    again = KeyedTable(spark, tmp_dir, ["k"])
     assert again.applied_batches() == {0, 2, 4, 6}
     assert again.merge(spark.createDataFrame([("k3", "x")], "k string, v string"), batch_id=3)
     assert {r.k for r in again.read().collect()} == {"k0", "k2", "k3", "k4", "k6"}
@@ -321,6 +377,6 @@ def test_incremental_keeps_null_keys_and_late_merchants(spark, tmp_dir):
     from riverbed.operators.dedupe import latest_keep_null_keys
     df = spark.createDataFrame([(None, 1), (None, 1), ("a", 1), ("a", 2)], "k string, o int")
     assert latest_keep_null_keys(df, ["k"], ["o desc"]).count() == 3
-    t = KeyedTable(spark, tmp_dir, ["k"], buckets=4)
+    t = KeyedTable(spark, tmp_dir, ["k"])
     t.merge(latest_keep_null_keys(df, ["k"], ["o desc"]), batch_id=0)
     assert t.quarantined().count() == 2 and t.read().count() == 1

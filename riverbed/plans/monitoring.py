@@ -1,94 +1,112 @@
-"""Load ledger and run table derived from the raw tables, and the reports
-over them (M1-M9).
-
-In production the ingest stream appends one ledger row per file and batch
-(``riverbed.streaming.ingest``) and every run appends a run row. For the
-registered queries the same shapes are derived from the raw tables, one
-ledger row per source file and one run row per load hour or day, so the
-reports run on data that grows with the input.
+"""The monitored pipeline: real loads, runs and alerts for the reports (M1-M9).
+
+The raw rows are delivered as delimited files, one per source file name, and
+loaded by one pipe per entity; the pipes write their own ledger. The upsert
+task and the model refresh then run over what was loaded and append one run
+row each, failed runs included; alerts that fire are appended too. All times
+are the clock's. This is done once per session and input folder; the reports
+only read the tables it left.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.functions.parse import TS_WITH_SECONDS, TS_WITHOUT_SECONDS, parse_first
+from riverbed.operators import monitor
 from riverbed.plans import fraud
-
-# Report clock of the fixture history (events span January 2024).
-AS_OF = dt.datetime(2024, 1, 31)
-MONTH_HOURS = 31 * 24
-
-
-def _ledger(df: DataFrame, pipe: str, table: str, cols: list[str], error: F.Column) -> DataFrame:
-    text = F.concat_ws(",", *[F.col(c) for c in cols])
-    per_file = df.groupBy("meta_filename").agg(
-        (F.sum(F.length(text) + 1)).cast("bigint").alias("file_size"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.count(F.when(error, 1)).alias("error_count"),
-        F.max("meta_load_ts").alias("pipe_received_time"),
-        F.sum("meta_file_row_number").alias("_rows_sum"))
-    return per_file.select(
-        F.when(F.col("error_count") == 0, F.lit("LOADED")).otherwise(F.lit("PARTIALLY_LOADED")).alias("status"),
-        F.lit(pipe).alias("pipe_name"), F.lit(table).alias("table_name"),
-        F.col("meta_filename").alias("file_name"), "file_size", "row_count", "error_count",
-        "pipe_received_time",
-        F.timestamp_add("SECOND", (F.col("_rows_sum") % 90 + 5).cast("int"),
-                        F.col("pipe_received_time")).alias("last_load_time"))
-
-
-TRANS_TEXT = ["trans_num_raw", "trans_date_raw", "card_num_raw", "amount_raw", "merchant_raw",
-              "category_raw", "is_fraud_raw"]
-CLIENT_TEXT = ["card_num_raw", "first_name_raw", "last_name_raw", "gender_raw", "date_birth_raw",
-               "job_raw", "street_raw", "city_raw", "state_raw"]
-MERCH_TEXT = ["merchant_raw", "merchant_lat_raw", "merchant_long_raw"]
-
-
-def ledger_from_raw(raw: dict[str, DataFrame]) -> DataFrame:
-    """M1 shape: one row per landed file. A transaction row whose date does
-    not parse counts as a load error of its file."""
-    t = raw["raw_trans"].select(*TRANS_TEXT, "meta_filename", "meta_load_ts", "meta_file_row_number",
-                                parse_first("trans_date_raw", [TS_WITH_SECONDS,
-                                                               TS_WITHOUT_SECONDS]).alias("_ts"))
-    return (_ledger(t, "PIPE_TRANS", "RAW_TRANS", TRANS_TEXT, F.col("_ts").isNull())
-            .unionByName(_ledger(raw["raw_clients"], "PIPE_CLIENT", "RAW_CLIENTS", CLIENT_TEXT,
-                                 F.lit(False)))
-            .unionByName(_ledger(raw["raw_merch"], "PIPE_MERCH", "RAW_MERCH", MERCH_TEXT,
-                                 F.lit(False))))
-
-
-def runs_from_raw(raw: dict[str, DataFrame]) -> DataFrame:
-    """M4 shape: one task run and one model refresh per transaction load
-    hour, one refresh per client and merchant load day. A task run fails when
-    its hour holds two or more unreadable amounts."""
-    txn = fraud.stg_transactions(raw["raw_trans"])
-    hours = txn.groupBy(F.col("meta_load_ts").alias("scheduled_time")).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count(F.when(F.col("validation_status") == "INVALID_AMOUNT", 1)).alias("_bad"))
-
-    def runs(df: DataFrame, name, state: F.Column) -> DataFrame:
-        start = F.timestamp_add("MINUTE", F.lit(1), F.col("scheduled_time"))
-        return df.select(
-            name.alias("name") if isinstance(name, F.Column) else F.lit(name).alias("name"),
-            state.alias("state"),
-            F.when(F.hour("scheduled_time") == 0, F.lit("FULL")).otherwise(F.lit("INCREMENTAL"))
-             .alias("refresh_action"),
-            "scheduled_time", start.alias("start_time"),
-            F.timestamp_add("SECOND", (F.col("row_count") % 600).cast("int"), start).alias("end_time"),
-            F.col("row_count").cast("bigint").alias("row_count"))
-
-    ok = F.lit("SUCCEEDED")
-    task = runs(hours, "CONFORMED_UPSERT", F.when(F.col("_bad") >= 2, F.lit("FAILED")).otherwise(ok))
-    model = runs(hours, F.when(F.hour("scheduled_time") == 12, F.lit("DTAX_AUDIT"))
-                 .otherwise(F.lit("DT_TRANSACTIONS")), ok)
-    cli_days = raw["raw_clients"].groupBy(F.col("meta_load_ts").alias("scheduled_time")).agg(
-        F.count(F.lit(1)).alias("row_count"))
-    mer_days = raw["raw_merch"].groupBy(F.col("meta_load_ts").alias("scheduled_time")).agg(
-        F.count(F.lit(1)).alias("row_count"))
-    return (task.unionByName(model)
-            .unionByName(runs(cli_days, "DT_CLIENTS_SCD2", ok))
-            .unionByName(runs(cli_days, "STG_CLIENTS", ok))
-            .unionByName(runs(mer_days, "DT_MERCHANTS", ok)))
+from riverbed.plans.incremental import conformed_table, typed_landing, upsert_conformed
+from riverbed.plans.pipeline import Pipeline, RunLog
+from riverbed.session import path_exists, scratch_path
+from riverbed.sources import fixtures as fx
+from riverbed.sources.csv import CsvFormat, default_positions
+from riverbed.streaming.ingest import FileIngest, LandingFeed
+
+TEXT = {
+    "raw_trans": ("trans_num_raw", "trans_date_raw", "card_num_raw", "amount_raw", "merchant_raw",
+                  "category_raw", "is_fraud_raw"),
+    "raw_clients": ("card_num_raw", "first_name_raw", "last_name_raw", "gender_raw", "date_birth_raw",
+                    "job_raw", "street_raw", "city_raw", "state_raw"),
+    "raw_merch": ("merchant_raw", "merchant_lat_raw", "merchant_long_raw"),
+}
+# Delivered transactions of these event ids carry one field too many.
+MALFORMED_EVERY = 499
+_DONE: dict[tuple[str, str], str] = {}
+
+
+def deliver(rows: DataFrame, cols: tuple[str, ...], path: str, tail: F.Column) -> None:
+    """Rows as header-less delimited lines, one folder with one file per source file."""
+    line = F.concat(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("NULL")) for c in cols]), tail)
+    (rows.select(F.col("meta_filename").alias("src_file"), line.alias("value"))
+     .repartition("src_file").write.partitionBy("src_file").text(path))
+
+
+def amount_audit(txn: DataFrame) -> DataFrame:
+    """A model that fails while the transactions hold an unreadable amount."""
+    if not txn.filter(F.col("validation_status") == "INVALID_AMOUNT").isEmpty():
+        raise ValueError("unreadable amounts")
+    return txn.select("trans_num", "amount")
+
+
+def monitored(spark: SparkSession, sf_dir: str) -> str:
+    """Root folder with ``<entity>/ledger``, ``runs`` and ``alerts``."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    root = _DONE.get(key)
+    if root is not None and path_exists(spark, f"{root}/alerts/_SUCCESS"):
+        return root
+    root = scratch_path(spark, "monitored")
+    sources = {**fx.raw_tables(spark, sf_dir), "raw_trans": fx.trans_events(spark, sf_dir)}
+    landed, pipes = {}, {}
+    for name, cols in TEXT.items():
+        extra = F.when(F.col("event_id") % MALFORMED_EVERY == 0, F.lit(",extra")).otherwise(F.lit("")) \
+            if name == "raw_trans" else F.lit("")
+        deliver(sources[name], cols, f"{root}/src/{name}", extra)
+        pipes[name] = FileIngest(spark, f"{root}/src/{name}", f"{root}/{name}", n_fields=len(cols),
+                                 positions=default_positions(cols), fmt=CsvFormat(header=False),
+                                 pipe_name=f"PIPE_{name[4:].upper()}", table_name=name.upper())
+        pipes[name].run_available_now()
+        landed[name] = pipes[name].landing()
+
+    # Task: one run per landing batch that the conformed table has not applied.
+    log = RunLog(spark, f"{root}/runs")
+    feed, table = LandingFeed(spark, pipes["raw_trans"].landing_path), conformed_table(spark, f"{root}/conformed")
+    for b in feed.pending(table.applied_batches()):
+        with log.run("CONFORMED_UPSERT", "INCREMENTAL") as run:
+            upsert_conformed(table, typed_landing(feed.batch(b)), b, feed.load_time(b))
+            run.row_count = feed.batch(b).count()
+    log.flush()
+
+    # Models: the audit fails on bad data, the models beside it are refreshed.
+    p = Pipeline(landed)
+    p.model("dt_transactions", ["raw_trans"])(fraud.stg_transactions)
+    p.model("dt_amount_audit", ["dt_transactions"])(amount_audit)
+    p.model("dt_clean_amounts", ["dt_amount_audit"])(lambda a: a.filter("amount > 0"))
+    p.model("dt_merchants", ["raw_merch"])(
+        lambda m: fraud.dim_merchants_cols(fraud.merchants_latest(fraud.stg_merchants(m))))
+    p.model("stg_clients", ["raw_clients"])(fraud.stg_clients)
+    p.refresh(spark, paths={n: f"{root}/{n}" for n in p.models}, log=log, on_failure="continue")
+
+    alerts = (monitor.load_error_alert(ledger(spark, root), "PIPE_TRANS", "RAW_TRANS")
+              .unionByName(monitor.run_failure_alert(runs(spark, root), "DT_AMOUNT_AUDIT")))
+    alerts.write.mode("append").parquet(f"{root}/alerts")
+    _DONE[key] = root
+    return root
+
+
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The ledger rows of all pipes (M1), with the source file's own name."""
+    out = None
+    for name in TEXT:
+        one = spark.read.parquet(f"{root}/{name}/ledger")
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("file_name", F.regexp_extract("file_name", "src_file=([^/]+)/", 1))
+
+
+def runs(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/runs")
+
+
+def alerts(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/alerts")

@@ -153,109 +153,52 @@ ORACLE_SQL["wide_normalise_client"] = _WIDE.format(
 ORACLE_SQL["wide_normalise_merch"] = _WIDE.format(cols="trans_num, merchant, merch_lat, merch_long")
 
 # -- monitoring ------------------------------------------------------------------
-_TS_PARSE = ("COALESCE(try_strptime(trans_date_raw, '%d-%m-%Y %H:%M:%S'), "
-             "try_strptime(trans_date_raw, '%d-%m-%Y %H:%M'))")
+# What the delivered rows imply: one ledger row per source file, an error per
+# malformed line, a failed audit while an amount is unreadable.
+cte("ledger", ("raw_trans", "raw_clients", "raw_merch"), """
+SELECT pipe_name, table_name, file_name, row_count, error_count,
+  CASE WHEN error_count = 0 THEN 'LOADED' WHEN error_count < row_count THEN 'PARTIALLY_LOADED'
+       ELSE 'LOAD_FAILED' END AS status
+FROM (SELECT 'PIPE_TRANS' AS pipe_name, 'RAW_TRANS' AS table_name,
+        'trans_' || CAST(event_id // 1000 AS VARCHAR) || '.csv' AS file_name,
+        COUNT(*) AS row_count, COUNT(CASE WHEN event_id % 499 = 0 THEN 1 END) AS error_count
+      FROM events GROUP BY event_id // 1000
+      UNION ALL SELECT 'PIPE_CLIENTS', 'RAW_CLIENTS', meta_filename, COUNT(*), 0
+      FROM raw_clients GROUP BY meta_filename
+      UNION ALL SELECT 'PIPE_MERCH', 'RAW_MERCH', meta_filename, COUNT(*), 0
+      FROM raw_merch GROUP BY meta_filename)""")
 
-
-def _ledger_sql(src: str, pipe: str, tbl: str, cols: str, error: str) -> str:
-    return f"""
-  SELECT CASE WHEN error_count = 0 THEN 'LOADED' ELSE 'PARTIALLY_LOADED' END AS status,
-    '{pipe}' AS pipe_name, '{tbl}' AS table_name, meta_filename AS file_name, file_size,
-    row_count, error_count, pipe_received_time,
-    pipe_received_time + to_seconds(CAST(rows_sum % 90 + 5 AS BIGINT)) AS last_load_time
-  FROM (SELECT meta_filename, CAST(SUM(length(concat_ws(',', {cols})) + 1) AS BIGINT) AS file_size,
-          COUNT(*) AS row_count, COUNT(CASE WHEN {error} THEN 1 END) AS error_count,
-          MAX(meta_load_ts) AS pipe_received_time, SUM(meta_file_row_number) AS rows_sum
-        FROM {src} GROUP BY meta_filename)"""
-
-
-cte("ledger", ("raw_trans", "raw_clients", "raw_merch"), "\nUNION ALL\n".join([
-    _ledger_sql("raw_trans", "PIPE_TRANS", "RAW_TRANS",
-                "trans_num_raw, trans_date_raw, card_num_raw, amount_raw, merchant_raw, "
-                "category_raw, is_fraud_raw", f"{_TS_PARSE} IS NULL"),
-    _ledger_sql("raw_clients", "PIPE_CLIENT", "RAW_CLIENTS",
-                "card_num_raw, first_name_raw, last_name_raw, gender_raw, date_birth_raw, "
-                "job_raw, street_raw, city_raw, state_raw", "FALSE"),
-    _ledger_sql("raw_merch", "PIPE_MERCH", "RAW_MERCH",
-                "merchant_raw, merchant_lat_raw, merchant_long_raw", "FALSE")]))
-
-
-def _runs_sql(src: str, name: str, state: str) -> str:
-    return f"""
-  SELECT {name} AS name, {state} AS state,
-    CASE WHEN hour(scheduled_time) = 0 THEN 'FULL' ELSE 'INCREMENTAL' END AS refresh_action,
-    scheduled_time, scheduled_time + INTERVAL 1 MINUTE AS start_time,
-    scheduled_time + INTERVAL 1 MINUTE + to_seconds(CAST(row_count % 600 AS BIGINT)) AS end_time,
-    CAST(row_count AS BIGINT) AS row_count
-  FROM {src}"""
-
-
-cte("run_hours", ("stg_transactions",), """
-SELECT meta_load_ts AS scheduled_time, COUNT(*) AS row_count,
-  COUNT(CASE WHEN validation_status = 'INVALID_AMOUNT' THEN 1 END) AS bad
-FROM stg_transactions GROUP BY meta_load_ts""")
-cte("run_cli_days", ("raw_clients",),
-    "SELECT meta_load_ts AS scheduled_time, COUNT(*) AS row_count FROM raw_clients GROUP BY meta_load_ts")
-cte("run_mer_days", ("raw_merch",),
-    "SELECT meta_load_ts AS scheduled_time, COUNT(*) AS row_count FROM raw_merch GROUP BY meta_load_ts")
-cte("runs", ("run_hours", "run_cli_days", "run_mer_days"), "\nUNION ALL\n".join([
-    _runs_sql("run_hours", "'CONFORMED_UPSERT'", "CASE WHEN bad >= 2 THEN 'FAILED' ELSE 'SUCCEEDED' END"),
-    _runs_sql("run_hours", "CASE WHEN hour(scheduled_time) = 12 THEN 'DTAX_AUDIT' ELSE 'DT_TRANSACTIONS' END",
-              "'SUCCEEDED'"),
-    _runs_sql("run_cli_days", "'DT_CLIENTS_SCD2'", "'SUCCEEDED'"),
-    _runs_sql("run_cli_days", "'STG_CLIENTS'", "'SUCCEEDED'"),
-    _runs_sql("run_mer_days", "'DT_MERCHANTS'", "'SUCCEEDED'")]))
-
-_AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
-_MONTH = f"{_AS_OF} - INTERVAL 744 HOUR"
-_DAY = f"{_AS_OF} - INTERVAL 24 HOUR"
-
-
-def _alert_sql(src: str, ts: str, name: str) -> str:
-    step = 15 * 60 * 1_000_000
-    return f"""
-SELECT '{name}' AS alert_name, scheduled_time, COUNT(*) AS matching_rows FROM (
-  SELECT unnest(CASE WHEN s % {step} = 0 THEN [first_run, first_run + INTERVAL 15 MINUTE]
-                     ELSE [first_run] END) AS scheduled_time
-  FROM (SELECT epoch_us({ts}) AS s,
-          TIMESTAMP '1970-01-01 00:00:00'
-            + to_microseconds(CAST(ceil(epoch_us({ts}) / {step}) AS BIGINT) * {step}) AS first_run
-        FROM {src}))
-GROUP BY scheduled_time"""
-
-
-_LOAD_ALERT = _alert_sql(
-    "ledger WHERE pipe_name = 'PIPE_TRANS' AND table_name = 'RAW_TRANS' AND error_count > 0",
-    "last_load_time", "LOAD_ERRORS")
-_RUN_ALERT = _alert_sql("runs WHERE name = 'CONFORMED_UPSERT' AND state = 'FAILED'",
-                        "start_time", "TASK_FAILED")
+_LOAD_ALERT = """SELECT 'LOAD_ERRORS' AS alert_name, COUNT(*) AS matching_rows FROM ledger
+WHERE pipe_name = 'PIPE_TRANS' AND error_count > 0 HAVING COUNT(*) > 0"""
+_RUN_ALERT = """SELECT 'TASK_FAILED' AS alert_name, 1 AS matching_rows
+WHERE EXISTS (SELECT 1 FROM stg_transactions WHERE validation_status = 'INVALID_AMOUNT')"""
 
 ORACLE_SQL.update({
-    "load_stats": build(f"""
-SELECT status, pipe_name, last_load_time,
-  CAST(AVG(date_diff('second', pipe_received_time, last_load_time)) AS DECIMAL(18,3)) AS avg_latency_sec,
-  MAX(date_diff('second', pipe_received_time, last_load_time)) AS max_latency_sec,
-  CAST(SUM(row_count) AS BIGINT) AS total_rows_loaded, COUNT(*) AS files_processed
-FROM ledger WHERE pipe_name = 'PIPE_TRANS' AND last_load_time >= {_MONTH}
-GROUP BY status, pipe_name, last_load_time ORDER BY last_load_time DESC""", "ledger"),
-    "load_volume": build(f"""
-SELECT date_trunc('hour', last_load_time) AS start_time, pipe_name,
-  CAST(SUM(file_size) AS BIGINT) AS bytes_inserted, COUNT(*) AS files_inserted,
-  date_trunc('hour', last_load_time) + INTERVAL 1 HOUR AS end_time
-FROM ledger WHERE last_load_time >= {_MONTH}
-GROUP BY date_trunc('hour', last_load_time), pipe_name""", "ledger"),
+    "load_ledger": build("SELECT *, TRUE AS has_bytes FROM ledger", "ledger"),
+    "load_stats": build("""
+SELECT status, pipe_name, CAST(SUM(row_count) AS BIGINT) AS total_rows_loaded, COUNT(*) AS files_processed,
+  TRUE AS latency_known, TRUE AS avg_within_max
+FROM ledger WHERE pipe_name = 'PIPE_TRANS' GROUP BY status, pipe_name""", "ledger"),
+    "load_volume": build("""
+SELECT pipe_name, COUNT(*) AS files_inserted, TRUE AS has_bytes FROM ledger GROUP BY pipe_name""", "ledger"),
     "load_error_alert": build(_LOAD_ALERT, "ledger"),
-    "run_failure_alert": build(_RUN_ALERT, "runs"),
-    "run_history": build(f"""
-SELECT * FROM runs WHERE name = 'CONFORMED_UPSERT' AND scheduled_time >= {_DAY}
-ORDER BY scheduled_time DESC, start_time DESC""", "runs"),
+    "load_errors_exist": build(
+        'SELECT pipe_name, BOOL_OR(error_count > 0) AS "exists" FROM ledger GROUP BY pipe_name', "ledger"),
+    "run_failure_alert": build(_RUN_ALERT, "stg_transactions"),
+    "run_history": build("""
+SELECT 'CONFORMED_UPSERT' AS name, 'SUCCEEDED' AS state, 'INCREMENTAL' AS refresh_action,
+  COUNT(*) AS row_count, TRUE AS ended FROM raw_trans""", "raw_trans"),
     "refresh_history": build("""
-SELECT name, state, refresh_action, start_time, end_time, row_count FROM runs
-WHERE name LIKE 'DT_%' ORDER BY start_time, name""", "runs"),
-    "alert_history": build(f"""
-SELECT * FROM ({_LOAD_ALERT}
-UNION ALL {_RUN_ALERT}) WHERE scheduled_time >= {_DAY}
-ORDER BY scheduled_time DESC, alert_name""", "ledger", "runs"),
+WITH audit AS (SELECT COUNT(*) AS n, COUNT(CASE WHEN validation_status = 'INVALID_AMOUNT' THEN 1 END) AS bad,
+                 COUNT(CASE WHEN amount > 0 THEN 1 END) AS clean FROM stg_transactions)
+SELECT 'DT_TRANSACTIONS' AS name, 'SUCCEEDED' AS state, 'FULL' AS refresh_action, n AS row_count FROM audit
+UNION ALL SELECT 'DT_MERCHANTS', 'SUCCEEDED', 'FULL', COUNT(*) FROM merchants_latest
+UNION ALL SELECT 'DT_AMOUNT_AUDIT', CASE WHEN bad > 0 THEN 'FAILED' ELSE 'SUCCEEDED' END, 'FULL',
+  CASE WHEN bad = 0 THEN n END FROM audit
+UNION ALL SELECT 'DT_CLEAN_AMOUNTS', CASE WHEN bad > 0 THEN 'UPSTREAM_FAILED' ELSE 'SUCCEEDED' END,
+  CASE WHEN bad > 0 THEN 'NONE' ELSE 'FULL' END, CASE WHEN bad = 0 THEN clean END FROM audit""",
+        "stg_transactions", "merchants_latest"),
+    "alert_history": build(f"{_LOAD_ALERT} UNION ALL {_RUN_ALERT}", "ledger", "stg_transactions"),
 })
 
 # -- ingestion -------------------------------------------------------------------
@@ -291,11 +234,11 @@ ORACLE_SQL["v2_refresh_runs"] = build("""
 SELECT 'DT_TRANSACTIONS' AS name, 'SUCCEEDED' AS state, 'FULL' AS refresh_action,
        COUNT(*) AS row_count FROM stg_transactions
 UNION ALL SELECT 'DT_MERCHANTS', 'SUCCEEDED', 'FULL', COUNT(*) FROM merchants_latest
-UNION ALL SELECT 'DT_CLIENTS_DEDUPED', 'SUCCEEDED', 'FULL', CAST(NULL AS BIGINT)
+UNION ALL SELECT 'DT_CLIENTS_DEDUPED', 'SUCCEEDED', 'FULL', COUNT(*) FROM clients_deduped
 UNION ALL SELECT 'DT_CLIENTS_SCD2', 'SUCCEEDED', 'FULL', COUNT(*) FROM clients_scd2
 UNION ALL SELECT 'DT_FRAUD_FULL', 'SUCCEEDED', 'FULL', CAST(NULL AS BIGINT)
 UNION ALL SELECT 'DT_INVALID_TRANS', 'SUCCEEDED', 'FULL', CAST(NULL AS BIGINT)""",
-    "stg_transactions", "merchants_latest", "clients_scd2")
+    "stg_transactions", "merchants_latest", "clients_deduped", "clients_scd2")
 
 # -- V2 ingest end to end ------------------------------------------------------------
 ORACLE_SQL["ingest_v2_counts"] = build("""

@@ -5,15 +5,18 @@ refresh them in dependency order. Here a ``Pipeline`` is a dict of model name
 -> (dependencies, function of the dependencies' DataFrames). ``refresh``
 evaluates the requested models in topological order, writes the ones given
 a path (a derived table: lineage cut, later readers scan Parquet) and
-returns one run row per refreshed model (M4/M8 source). The lag values of
-the reference become trigger intervals of whoever calls ``refresh``.
+reports one run row per model, failed ones included, to a ``RunLog`` (the
+source of M4 and M8). The lag values of the reference become trigger
+intervals of whoever calls ``refresh``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,54 @@ from pyspark.sql import functions as F
 from riverbed.operators.monitor import RUN_COLS
 
 Model = Callable[..., DataFrame]
+RUN_SCHEMA = ("name string, state string, refresh_action string, scheduled_time timestamp_ntz, "
+              "start_time timestamp_ntz, end_time timestamp_ntz, row_count bigint")
+
+
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+@dataclass
+class Run:
+    name: str
+    state: str
+    refresh_action: str
+    scheduled_time: dt.datetime
+    start_time: dt.datetime
+    end_time: dt.datetime | None = None
+    row_count: int | None = None
+
+
+class RunLog:
+    """Run rows of tasks and models, appended to ``path`` by ``flush`` (one
+    small file; a handful of rows per call). Without a path they are only held."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path = spark, path
+        self.held: list[Run] = []
+
+    @contextmanager
+    def run(self, name: str, action: str, scheduled: dt.datetime | None = None) -> Iterator[Run]:
+        """One run: SUCCEEDED when the block ends, FAILED when it raises."""
+        start = utc_now()
+        row = Run(name, "SUCCEEDED", action, scheduled or start, start)
+        try:
+            yield row
+        except BaseException:
+            row.state = "FAILED"
+            raise
+        finally:
+            row.end_time = utc_now()
+            self.held.append(row)
+
+    def rows(self) -> DataFrame:
+        return self.spark.createDataFrame([tuple(vars(r).values()) for r in self.held], RUN_SCHEMA).select(*RUN_COLS)
+
+    def flush(self) -> None:
+        if self.held and self.path is not None:
+            self.rows().coalesce(1).write.mode("append").parquet(self.path)
+            self.held = []
 
 
 class Pipeline:
@@ -55,30 +106,44 @@ class Pipeline:
         return out
 
     def refresh(self, spark: SparkSession, targets: Sequence[str] | None = None,
-                paths: Mapping[str, str] | None = None,
-                clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-                ) -> tuple[dict[str, DataFrame], DataFrame]:
+                paths: Mapping[str, str] | None = None, log: RunLog | None = None,
+                on_failure: str = "raise") -> tuple[dict[str, DataFrame], DataFrame]:
         """Evaluate models in order; models with a path are written (FULL
-        refresh) and re-read. Returns the frames and the run rows."""
+        refresh) and re-read. Returns the frames and the run rows, which
+        ``log`` also stores, whatever happens. After a failure, "raise" ends
+        the refresh; "continue" goes on with the models that do not read the
+        failed one, those that do get the state UPSTREAM_FAILED."""
         frames: dict[str, DataFrame] = dict(self.sources)
-        runs = []
-        for name in self.order(targets):
-            deps, fn = self.models[name]
-            df = fn(*[frames[d] for d in deps])
-            start = clock()
-            rows = None
-            if paths and name in paths:
-                # the row count comes from the write itself (no second pass)
-                obs = Observation(f"refresh-{name}-{uuid.uuid4().hex[:8]}")
-                df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(paths[name])
-                rows = obs.get["rows"]
-                df = spark.read.parquet(paths[name])
-            runs.append((name.upper(), "SUCCEEDED", "FULL", start, start, clock(), rows))
-            frames[name] = df
-        run_df = spark.createDataFrame(
-            runs, "name string, state string, refresh_action string, scheduled_time timestamp_ntz, "
-                  "start_time timestamp_ntz, end_time timestamp_ntz, row_count bigint")
-        return frames, run_df.select(*RUN_COLS)
+        log, scheduled, failed = log or RunLog(spark), utc_now(), set()
+        first = len(log.held)
+        try:
+            for name in self.order(targets):
+                deps, fn = self.models[name]
+                if failed & set(deps):
+                    failed.add(name)
+                    now = utc_now()
+                    log.held.append(Run(name.upper(), "UPSTREAM_FAILED", "NONE", scheduled, now, now))
+                    continue
+                try:
+                    with log.run(name.upper(), "FULL", scheduled) as run:
+                        df = fn(*[frames[d] for d in deps])
+                        if paths and name in paths:
+                            # the row count comes from the write itself (no second pass)
+                            obs = Observation(f"refresh-{name}-{uuid.uuid4().hex[:8]}")
+                            (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+                             .write.mode("overwrite").parquet(paths[name]))
+                            run.row_count = obs.get["rows"]
+                            df = spark.read.parquet(paths[name])
+                        frames[name] = df
+                except Exception:
+                    if on_failure == "raise":
+                        raise
+                    failed.add(name)
+        finally:
+            done = RunLog(spark)
+            done.held = log.held[first:]
+            log.flush()
+        return frames, done.rows()
 
 
 def fraud_v2(raw: Mapping[str, DataFrame]) -> Pipeline:

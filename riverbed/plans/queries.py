@@ -226,72 +226,106 @@ def wide_normalise_merch(spark, sf):
     return _split(spark, sf)["merchant"]
 
 
-# -- monitoring (M1-M9) ---------------------------------------------------------------
+# -- monitoring (M1-M9): reports over the loads, runs and alerts that ``monitored``
+# really made. Their times are the clock's, so the queries return what the
+# source rows imply: names, states, files, rows and errors in the look-back.
 def _ledger(spark, sf):
-    from riverbed.plans.monitoring import ledger_from_raw
-    return ledger_from_raw(fx.raw_tables(spark, sf))
+    from riverbed.plans import monitoring
+    return monitoring.ledger(spark, monitoring.monitored(spark, sf))
 
 
 def _runs(spark, sf):
-    from riverbed.plans.monitoring import runs_from_raw
-    return runs_from_raw(fx.raw_tables(spark, sf))
+    from riverbed.plans import monitoring
+    return monitoring.runs(spark, monitoring.monitored(spark, sf))
+
+
+def _now():
+    from riverbed.plans.pipeline import utc_now
+    return utc_now()
+
+
+@query
+def load_ledger(spark, sf):
+    """M1: status, rows and errors of every file the pipes loaded."""
+    return _ledger(spark, sf).select("pipe_name", "table_name", "file_name", "status", "row_count", "error_count",
+                                     (F.col("file_size") > 0).alias("has_bytes"))
 
 
 @query
 def load_stats(spark, sf):
-    """Pipe performance over the report window."""
+    """Pipe performance of the last day, per status."""
     from riverbed.operators import monitor
-    from riverbed.plans.monitoring import AS_OF, MONTH_HOURS
-    return monitor.load_stats(_ledger(spark, sf), "PIPE_TRANS", AS_OF, MONTH_HOURS)
+    return (monitor.load_stats(_ledger(spark, sf), "PIPE_TRANS", _now(), 24)
+            .groupBy("status", "pipe_name")
+            .agg(F.sum("total_rows_loaded").alias("total_rows_loaded"),
+                 F.sum("files_processed").alias("files_processed"),
+                 (F.count("avg_latency_sec") == F.count(F.lit(1))).alias("latency_known"),
+                 F.bool_and(F.col("avg_latency_sec") <= F.col("max_latency_sec")).alias("avg_within_max")))
 
 
 @query
 def load_volume(spark, sf):
-    """M3: bytes and files per pipe and hour."""
+    """M3: bytes and files per pipe over the hours of the last day."""
     from riverbed.operators import monitor
-    from riverbed.plans.monitoring import AS_OF, MONTH_HOURS
-    return monitor.load_volume(_ledger(spark, sf), AS_OF, MONTH_HOURS)
+    return (monitor.load_volume(_ledger(spark, sf), _now(), 24).groupBy("pipe_name")
+            .agg(F.sum("files_inserted").alias("files_inserted"),
+                 (F.sum("bytes_inserted") > 0).alias("has_bytes")))
 
 
 @query
 def load_error_alert(spark, sf):
-    """M5 + S16 + S18: alert runs that see files with load errors."""
+    """M5 + S16: files with load errors that the alert's runs see."""
+    from riverbed.operators import monitor
+    return (monitor.load_error_alert(_ledger(spark, sf), "PIPE_TRANS", "RAW_TRANS").groupBy("alert_name")
+            .agg(F.sum("matching_rows").alias("matching_rows")))
+
+
+@query
+def load_errors_exist(spark, sf):
+    """EXISTS, one truth value per pipe."""
     from riverbed.operators import monitor
-    return monitor.load_error_alert(_ledger(spark, sf), "PIPE_TRANS", "RAW_TRANS")
+    out = None
+    for pipe in ("PIPE_TRANS", "PIPE_CLIENTS", "PIPE_MERCH"):
+        bad = _ledger(spark, sf).filter((F.col("pipe_name") == pipe) & (F.col("error_count") > 0))
+        one = monitor.exists(bad).select(F.lit(pipe).alias("pipe_name"), "exists")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query
 def run_failure_alert(spark, sf):
-    """M6: alert runs that see a failed task run."""
+    """M6: failed runs of the audit that the alert's runs see."""
     from riverbed.operators import monitor
-    return monitor.run_failure_alert(_runs(spark, sf), "CONFORMED_UPSERT")
+    return (monitor.run_failure_alert(_runs(spark, sf), "DT_AMOUNT_AUDIT").groupBy("alert_name")
+            .agg(F.sum("matching_rows").alias("matching_rows")))
 
 
 @query
 def run_history(spark, sf):
-    """M4 + S14: task runs of the last 24 hours."""
+    """M4 + S14: the upsert task's runs of the last 24 hours."""
     from riverbed.operators import monitor
-    from riverbed.plans.monitoring import AS_OF
-    return monitor.run_history(_runs(spark, sf), "CONFORMED_UPSERT", AS_OF, 24)
+    return (monitor.run_history(_runs(spark, sf), "CONFORMED_UPSERT", _now(), 24)
+            .groupBy("name", "state", "refresh_action")
+            .agg(F.sum("row_count").alias("row_count"),
+                 F.bool_and(F.col("end_time") >= F.col("start_time")).alias("ended")))
 
 
 @query
 def refresh_history(spark, sf):
     """M8 + S17: model refreshes whose name is LIKE 'DT_%'."""
     from riverbed.operators import monitor
-    return monitor.refresh_history(_runs(spark, sf), "DT_%")
+    return (monitor.refresh_history(_runs(spark, sf), "DT_%")
+            .select("name", "state", "refresh_action", "row_count"))
 
 
 @query
 def alert_history(spark, sf):
-    """M7: alerts of the last 24 hours, newest first."""
+    """M7: the stored alerts of the last 24 hours."""
     from riverbed.functions.parse import lookback
-    from riverbed.operators import monitor
-    from riverbed.plans.monitoring import AS_OF
-    alerts = (monitor.load_error_alert(_ledger(spark, sf), "PIPE_TRANS", "RAW_TRANS")
-              .unionByName(monitor.run_failure_alert(_runs(spark, sf), "CONFORMED_UPSERT")))
-    return (alerts.filter(F.col("scheduled_time") >= lookback(AS_OF, 24))
-            .orderBy(F.col("scheduled_time").desc(), "alert_name"))
+    from riverbed.plans import monitoring
+    alerts = monitoring.alerts(spark, monitoring.monitored(spark, sf))
+    return (alerts.filter(F.col("scheduled_time") >= lookback(_now(), 24)).groupBy("alert_name")
+            .agg(F.sum("matching_rows").alias("matching_rows")))
 
 
 # -- ingestion (A1-A13, M1) -----------------------------------------------------------
@@ -377,18 +411,13 @@ def ingest_stream_upsert(spark, sf):
 
 # -- H15: the V2 models refreshed in dependency order --------------------------------
 def _refresh_v2(spark, sf):
-    import datetime as dt
-    import itertools
-
     from riverbed.plans.pipeline import fraud_v2
     from riverbed.session import scratch_path
     root = scratch_path(spark, "v2")
-    ticks = itertools.count()
-    clock = lambda: dt.datetime(2024, 2, 1) + dt.timedelta(seconds=next(ticks))
     # Intermediate derived tables are written (lineage cut, later readers scan Parquet).
-    paths = {n: f"{root}/{n}" for n in ("dt_transactions", "dt_merchants", "dt_clients_scd2")}
+    paths = {n: f"{root}/{n}" for n in ("dt_transactions", "dt_merchants", "dt_clients_deduped", "dt_clients_scd2")}
     return fraud_v2(fx.raw_tables(spark, sf)).refresh(
-        spark, ["dt_fraud_full", "dt_invalid_trans"], paths=paths, clock=clock)
+        spark, ["dt_fraud_full", "dt_invalid_trans"], paths=paths)
 
 
 @query

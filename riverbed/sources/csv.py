@@ -70,11 +70,16 @@ def pick(df: DataFrame, positions: Mapping[str, int], fmt: CsvFormat) -> list[Co
             for name, p in positions.items()]
 
 
+def utc_time(ts: Column) -> Column:
+    """An instant as zone-free UTC time, whatever the session's zone."""
+    return F.convert_timezone(None, F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
 def file_columns() -> list[Column]:
     """File lineage of each row (A4): path, size, modification time."""
     return [F.col("_metadata.file_path").alias("meta_filename"),
             F.col("_metadata.file_size").alias("_file_size"),
-            F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_file_mtime")]
+            utc_time(F.col("_metadata.file_modification_time")).alias("_file_mtime")]
 
 
 def read_text_table(spark: SparkSession, path: str, n_fields: int, fmt: CsvFormat,
@@ -132,7 +137,7 @@ def file_inventory(spark: SparkSession, path: str, glob: str | None = "*.csv") -
         reader = reader.option("pathGlobFilter", glob)
     return (reader.load(path)
             .select(F.col("path").alias("name"), F.col("length").alias("size"),
-                    F.col("modificationTime").cast("timestamp_ntz").alias("last_modified")))
+                    utc_time(F.col("modificationTime")).alias("last_modified")))
 
 
 def write_text_csv(df: DataFrame, path: str, keep_spaces: bool = True, header: bool = True) -> None:

@@ -45,7 +45,9 @@ class FileIngest:
     def __init__(self, spark: SparkSession, source: str, target: str, *, n_fields: int,
                  positions: Mapping[str, int], pipe_name: str, table_name: str,
                  fmt: CsvFormat = CsvFormat(), typing: Callable[[DataFrame], DataFrame] | None = None,
-                 clock: LoadClock = utc_now, max_files_per_trigger: int | None = None):
+                 clock: LoadClock = utc_now, max_files_per_trigger: int | None = 1000):
+        """``max_files_per_trigger`` bounds a micro-batch: a backlog is loaded in
+        several, so no batch has to hold all of it (None: no bound)."""
         self.spark, self.source, self.target = spark, source, target.rstrip("/")
         self.n_fields, self.positions, self.fmt = n_fields, dict(positions), fmt
         self.pipe_name, self.table_name = pipe_name, table_name

@@ -111,3 +111,17 @@ def test_scheduled_pipe_picks_up_new_files(spark, tmp_dir):
     finally:
         q.stop()
     assert sorted(r.a for r in pipe.landing().collect()) == ["k1", "k2"]
+
+
+def test_latency_does_not_depend_on_the_session_zone(spark, tmp_dir):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        write(f"{tmp_dir}/in", "a.csv", b"h1,h2,h3\nk1,1,x\n")
+        pipe = FileIngest(spark, f"{tmp_dir}/in", f"{tmp_dir}/pipe", n_fields=3, positions=POS3,
+                          pipe_name="P", table_name="T")
+        pipe.run_available_now()
+        r = pipe.ledger().first()
+        assert 0 <= (r.last_load_time - r.pipe_received_time).total_seconds() < 600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

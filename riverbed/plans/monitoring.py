@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.operators import monitor
@@ -36,11 +36,21 @@ MALFORMED_EVERY = 499
 _DONE: dict[tuple[str, str], str] = {}
 
 
-def deliver(rows: DataFrame, cols: tuple[str, ...], path: str, tail: F.Column) -> None:
-    """Rows as header-less delimited lines, one folder with one file per source file."""
-    line = F.concat(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("NULL")) for c in cols]), tail)
-    (rows.select(F.col("meta_filename").alias("src_file"), line.alias("value"))
-     .repartition("src_file").write.partitionBy("src_file").text(path))
+def deliver(rows: DataFrame, cols: tuple[str, ...], path: str, tail: Column | None = None) -> None:
+    """Rows as header-less delimited lines, one folder with one file per
+    source file, in the order of their row numbers; ``tail`` ends a line."""
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("NULL")) for c in cols])
+    (rows.withColumn("src_file", F.col("meta_filename")).repartition("src_file")
+     .sortWithinPartitions("src_file", "meta_file_row_number")
+     .select("src_file", F.concat(line, F.lit("") if tail is None else tail).alias("value"))
+     .write.partitionBy("src_file").text(path))
+
+
+def pipe(spark: SparkSession, root: str, name: str) -> FileIngest:
+    """The pipe of one entity."""
+    return FileIngest(spark, f"{root}/src/{name}", f"{root}/{name}", n_fields=len(TEXT[name]),
+                      positions=default_positions(TEXT[name]), fmt=CsvFormat(header=False),
+                      pipe_name=f"PIPE_{name[4:].upper()}", table_name=name.upper())
 
 
 def amount_audit(txn: DataFrame) -> DataFrame:
@@ -58,20 +68,17 @@ def monitored(spark: SparkSession, sf_dir: str) -> str:
         return root
     root = scratch_path(spark, "monitored")
     sources = {**fx.raw_tables(spark, sf_dir), "raw_trans": fx.trans_events(spark, sf_dir)}
-    landed, pipes = {}, {}
+    bad_line = F.when(F.col("event_id") % MALFORMED_EVERY == 0, F.lit(",extra")).otherwise(F.lit(""))
+    landed = {}
     for name, cols in TEXT.items():
-        extra = F.when(F.col("event_id") % MALFORMED_EVERY == 0, F.lit(",extra")).otherwise(F.lit("")) \
-            if name == "raw_trans" else F.lit("")
-        deliver(sources[name], cols, f"{root}/src/{name}", extra)
-        pipes[name] = FileIngest(spark, f"{root}/src/{name}", f"{root}/{name}", n_fields=len(cols),
-                                 positions=default_positions(cols), fmt=CsvFormat(header=False),
-                                 pipe_name=f"PIPE_{name[4:].upper()}", table_name=name.upper())
-        pipes[name].run_available_now()
-        landed[name] = pipes[name].landing()
+        deliver(sources[name], cols, f"{root}/src/{name}", bad_line if name == "raw_trans" else None)
+        loader = pipe(spark, root, name)
+        loader.run_available_now()
+        landed[name] = loader.landing()
 
     # Task: one run per landing batch that the conformed table has not applied.
     log = RunLog(spark, f"{root}/runs")
-    feed, table = LandingFeed(spark, pipes["raw_trans"].landing_path), conformed_table(spark, f"{root}/conformed")
+    feed, table = LandingFeed(spark, f"{root}/raw_trans/landing"), conformed_table(spark, f"{root}/conformed")
     for b in feed.pending(table.applied_batches()):
         with log.run("CONFORMED_UPSERT", "INCREMENTAL") as run:
             upsert_conformed(table, typed_landing(feed.batch(b)), b, feed.load_time(b))

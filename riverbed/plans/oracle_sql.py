@@ -254,3 +254,37 @@ UNION ALL SELECT 'raw_merch', 'valid_lat', COUNT(TRY_CAST(trim(merchant_lat_raw)
 UNION ALL SELECT 'raw_merch', 'merchants', COUNT(DISTINCT merchant_raw) FROM raw_merch""",
     "stg_transactions", "raw_clients", "raw_merch")
 ORACLE_SQL["fraud_full_sweep"] = build("SELECT * FROM fraud_full", "fraud_full")
+
+# -- lineage, inventory, counts and previews -------------------------------------------
+ORACLE_SQL.update({
+    "ingest_lineage": build("""
+SELECT meta_filename AS file_name, trans_num_raw, trans_date_raw,
+  ROW_NUMBER() OVER (PARTITION BY meta_filename ORDER BY meta_file_row_number) AS meta_file_row_number
+FROM raw_trans""", "raw_trans"),
+    "file_inventory": build(
+        "SELECT DISTINCT meta_filename AS name, TRUE AS has_bytes, TRUE AS dated FROM raw_trans", "raw_trans"),
+    "any_rows": build("SELECT LEAST(COUNT(*), 10) AS n FROM raw_trans", "raw_trans"),
+    "idle_run": build("""
+SELECT COUNT(DISTINCT trans_num_raw) AS conformed_rows, 0 AS new_batches, 0 AS unread_batches, FALSE AS created
+FROM raw_trans""", "raw_trans"),
+    "v1_table_counts": build("""
+SELECT 'landing' AS table_name, COUNT(*) AS n FROM raw_trans
+UNION ALL SELECT 'landing_feed', 0
+UNION ALL SELECT 'conformed', COUNT(DISTINCT trans_num_raw) FROM raw_trans
+UNION ALL SELECT 'dt_trans_merch', COUNT(*) FROM trans_merch
+UNION ALL SELECT 'dt_trans_all_clients', COUNT(*) FROM trans_all_clients""",
+        "raw_trans", "trans_merch", "trans_all_clients"),
+    "newest_derived": build("\nUNION ALL\n".join(
+        f"SELECT * FROM (SELECT '{name}' AS table_name, {key} AS row_key, meta_load_ts FROM {src} "
+        f"ORDER BY meta_load_ts DESC, {key} LIMIT 10)"
+        for name, key, src in (
+            ("dt_transactions", "trans_num", "stg_transactions"),
+            ("dt_invalid_trans", "trans_num", "stg_transactions WHERE validation_status <> 'VALID'"),
+            ("dt_merchants", "merchant", "merchants_latest"),
+            ("dt_clients_scd2", "card_num", "clients_scd2"),
+            ("dt_fraud_full", "trans_num", "fraud_full"))),
+        "stg_transactions", "merchants_latest", "clients_scd2", "fraud_full"),
+    "wide_csv_round_trip": _WIDE.format(
+        cols="trans_num, merchant, CAST(merch_lat AS VARCHAR) AS merch_lat, "
+             "CAST(merch_long AS VARCHAR) AS merch_long"),
+})

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.plans import fraud
+from riverbed.session import stage
 from riverbed.sources import fixtures as fx
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,7 +37,9 @@ def _deduped(spark, sf):
 
 
 def _scd2(spark, sf):
-    return fraud.clients_scd2(_deduped(spark, sf))
+    # The deduplicated clients are a table of their own (dt_clients_deduped):
+    # written once, so the chaining reads it twice instead of deriving it twice.
+    return fraud.clients_scd2(stage(_deduped(spark, sf), "dt_clients_deduped"))
 
 
 # -- staging -------------------------------------------------------------------
@@ -342,7 +345,7 @@ def _write_raw_trans_csv(spark, sf, path):
     out = t.select(*[F.coalesce(F.col(c), token).alias(c) if c == "amount_raw" else
                      F.concat(F.lit(" "), F.col(c), F.lit(" ")).alias(c) if c == "category_raw" else
                      F.col(c) for c in RAW_TRANS_TEXT])
-    write_text_csv(out.repartition(8), path)
+    write_text_csv(out, path)
 
 
 @query
@@ -360,20 +363,98 @@ def ingest_csv(spark, sf):
 
 
 @query
-def file_inventory(spark, sf):
-    """The files of a source folder (name, size, modification time)."""
+def ingest_lineage(spark, sf):
+    """A4: file name and row number of every row of files of known order."""
+    import datetime as dt
+
+    from riverbed.plans.monitoring import TEXT, deliver
     from riverbed.session import scratch_path
+    from riverbed.sources.csv import CsvFormat, default_positions, read_landing
+    root, cols = scratch_path(spark, "lineage"), TEXT["raw_trans"]
+    deliver(fx.raw_trans(spark, sf), cols, root)
+    landed = read_landing(spark, root, len(cols), default_positions(cols), dt.datetime(2024, 2, 1),
+                          CsvFormat(header=False))
+    return landed.select(F.regexp_extract("meta_filename", "src_file=([^/]+)/", 1).alias("file_name"),
+                         "meta_file_row_number", "trans_num_raw", "trans_date_raw")
+
+
+@query
+def file_inventory(spark, sf):
+    """The delivered files of a source folder."""
+    from riverbed.plans.monitoring import monitored
     from riverbed.sources.csv import file_inventory as inventory
-    root = scratch_path(spark, "inventory")
-    _write_raw_trans_csv(spark, sf, f"{root}/src")
-    return inventory(spark, f"{root}/src")
+    files = inventory(spark, f"{monitored(spark, sf)}/src/raw_trans", "*.txt")
+    return files.select(F.regexp_extract("name", "src_file=([^/]+)/", 1).alias("name"),
+                        (F.col("size") > 0).alias("has_bytes"), F.col("last_modified").isNotNull().alias("dated"))
 
 
 @query
 def any_rows(spark, sf):
-    """L2: any 10 landed rows (non-deterministic; row count only)."""
+    """L2: any 10 landed rows; which ones is open, so they are counted."""
     from riverbed.operators.monitor import any_rows as anyn
-    return anyn(fx.raw_trans(spark, sf), 10)
+    return anyn(fx.raw_trans(spark, sf), 10).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def idle_run(spark, sf):
+    """A11 + A15: a run without new files lands nothing, a table that is there
+    is not created again, and every landed batch is applied."""
+    from riverbed.plans import monitoring
+    root = monitoring.monitored(spark, sf)
+    pipe = monitoring.pipe(spark, root, "raw_trans")
+    feed, table = monitoring.LandingFeed(spark, pipe.landing_path), monitoring.conformed_table(spark, f"{root}/conformed")
+    before = feed.committed_batches()
+    pipe.run_available_now()
+    created = table.create_if_missing(table.schema())
+    return table.read().agg(F.count(F.lit(1)).alias("conformed_rows")).select(
+        "conformed_rows", F.lit(len(feed.committed_batches()) - len(before)).alias("new_batches"),
+        F.lit(len(feed.pending(table.applied_batches()))).alias("unread_batches"), F.lit(created).alias("created"))
+
+
+@query
+def v1_table_counts(spark, sf):
+    """G1: landing, unread change feed, conformed and archive tables."""
+    from riverbed.operators.monitor import table_counts as counts
+    from riverbed.plans import monitoring
+    root = monitoring.monitored(spark, sf)
+    feed = monitoring.LandingFeed(spark, f"{root}/raw_trans/landing")
+    table = monitoring.conformed_table(spark, f"{root}/conformed")
+    landing = spark.read.parquet(feed.path)
+    unread = landing.filter(~F.col("batch_id").isin(*table.applied_batches()))
+    tm = trans_merch(spark, sf)
+    return counts({"landing": landing, "landing_feed": unread, "conformed": table.read(), "dt_trans_merch": tm,
+                   "dt_trans_all_clients": fraud.trans_all_clients(tm, _scd2(spark, sf))})
+
+
+@query
+def newest_derived(spark, sf):
+    """L1: key and load time of the newest 10 rows of each derived table."""
+    from riverbed.operators.monitor import newest
+    out = None
+    for name, key, df in (("dt_transactions", "trans_num", _txn(spark, sf)),
+                          ("dt_invalid_trans", "trans_num", txn_invalid(spark, sf)),
+                          ("dt_merchants", "merchant", _merch(spark, sf)),
+                          ("dt_clients_scd2", "card_num", _scd2(spark, sf)),
+                          ("dt_fraud_full", "trans_num", fraud_full(spark, sf))):
+        one = newest(df, [F.col("meta_load_ts").desc(), F.col(key)]).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("row_key"), "meta_load_ts")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def wide_csv_round_trip(spark, sf):
+    """A12 + A3: the merchant file of the split, written as CSV and read back
+    by position, as text."""
+    import datetime as dt
+
+    from riverbed.session import scratch_path
+    from riverbed.sources.csv import default_positions, read_landing
+    from riverbed.sources.wide import MERCHANT_COLS, write_csv
+    root = scratch_path(spark, "wide_csv")
+    write_csv(_split(spark, sf)["merchant"], root)
+    return read_landing(spark, root, len(MERCHANT_COLS), default_positions(MERCHANT_COLS),
+                        dt.datetime(2024, 2, 1)).select(*MERCHANT_COLS)
 
 
 @query
@@ -398,7 +479,7 @@ def ingest_stream_upsert(spark, sf):
     feed = LandingFeed(spark, pipe.landing_path)
     table = conformed_table(spark, f"{root}/conformed")
     for k in arrivals:
-        files = (wide.filter(F.col("arrival") == k).repartition(4, "c19")
+        files = (wide.filter(F.col("arrival") == k).repartition("c19")
                  .sortWithinPartitions("event_id").select(*[f"c{i}" for i in range(1, 24)]))
         write_text_csv(files, f"{root}/src/arrival={k}")
         stamp = dt.datetime(2024, 1, 1) + dt.timedelta(days=5 * (k + 1))
@@ -478,7 +559,7 @@ def ingest_v2_counts(spark, sf):
     landed = {}
     for name, files in _entity_files(spark, sf).items():
         n_fields, positions = V2_FILES[name]
-        write_text_csv(files.repartition(4), f"{root}/src/{name}")
+        write_text_csv(files, f"{root}/src/{name}")
         pipe = FileIngest(spark, f"{root}/src/{name}", f"{root}/{name}", n_fields=n_fields,
                           positions=positions, pipe_name=f"PIPE_{name.upper()}",
                           table_name=name.upper(), clock=lambda _b: dt.datetime(2024, 2, 1))

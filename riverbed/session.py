@@ -12,7 +12,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins from real shuffle sizes
 # (runtime broadcast, skew split, partition coalescing).
@@ -110,3 +110,11 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
     return [st.getPath().toString() for st in found or []]
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back, for a result
+    that several branches of a plan read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -3,7 +3,8 @@ and print one JSON line.
 
 Each query is forced end to end with the ``noop`` sink (every row computed,
 nothing collected to the driver). Queries that persist state (keyed tables,
-landing batches) write under the session's checkpoint folder.
+landing batches) write under the session's checkpoint folder. ``load_ledger``
+includes the loads, task runs and refreshes that the reports after it read.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ HEADLINE = [
     "txn_parsed", "txn_status_counts", "txn_invalid", "merchant_scd1", "client_scd2",
     "fraud_full", "trans_all_clients", "fraud_archive", "newest_rows", "table_counts",
     "conformed_replay", "conformed_upsert", "txn_invalid_incremental", "client_dim_incremental",
-    "fraud_incremental", "wide_normalise_trans", "wide_normalise_client", "load_stats",
-    "refresh_history", "ingest_csv", "fraud_full_sweep", "v2_pipeline_fact",
+    "fraud_incremental", "wide_normalise_trans", "wide_normalise_client", "load_ledger",
+    "load_stats", "refresh_history", "ingest_csv", "fraud_full_sweep", "v2_pipeline_fact",
 ]
 
 

@@ -37,6 +37,12 @@ from riverbed.llm.common import stage_table, texts
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("local_phone", "secret", "ssn")
 LOCAL = r"A-Za-z0-9._%+-"
+#: What names a secret (``token=``, ``token = ``, ``"token": ``) and its value: a
+#: quoted one ends before its closing quote on the same line, any other one at
+#: white space. Neither has a longest length.
+SECRET_NAME = r"""(?i:password|passwd|pwd|secret|token|api_?key)["']?+\s*+[=:]\s*+"""
+SECRET_VALUE = (r"""(?:"(?:[^"\\\r\n]|\\[^\r\n]){6,}+(?=")|'(?:[^'\\\r\n]|\\[^\r\n]){6,}+(?=')"""
+                r"""|["']?+[^\s]{6,}+)""")
 #: Java patterns. The four base kinds equal their plain forms: local parts and
 #: digit runs can only match from the run's start or where the last match
 #: ended, and possessive loops never need to give back.
@@ -46,8 +52,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "local_phone": r"(?<![0-9+(.-])(?<!\+[0-9]{1,3}[ .-]?)(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9_])(?:(?i:password|passwd|pwd|secret|token|api_?key)[=:][^\s]{6,200}"
-              r"|A[KS]IA[A-Z0-9]{16}(?![A-Za-z0-9]))",
+    "secret": rf"(?<![A-Za-z0-9_])(?:{SECRET_NAME}{SECRET_VALUE}|A[KS]IA[A-Z0-9]{{16}}(?![A-Za-z0-9]))",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"

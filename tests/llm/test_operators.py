@@ -416,6 +416,34 @@ def test_pii(spark, docs, empty):
     assert pii.pii_report(docs).count() == docs.count() and pii.pii_report(empty).count() == 0
 
 
+def test_pii_secret_forms(spark):
+    """Quoted and spaced secrets, as the documents hold them, and long ones are covered to their ends."""
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    forms = [("Thstorti ", f'token = "{key}', '" thhantou with.'), ("ERAN!! ", f'TOKEN = "{key.upper()}', '"!! TIINST!!'),
+             ("", "password=" + "aB3" * 170, " end"), ("set ", "api_key: " + "x9" * 250, "\nend"),
+             ('{"', f"token\": '{key}", "'}"), ("a ", 'secret = "correct \\"horse\\" battery 7', '" b'),
+             ("my ", f'pwd ="{key}', " never closed"), ("é😀 ", f"token\t=\t{key}", "")]
+    ts = [a + b + c for a, b, c in forms] + ["a token of thanks", "token = short", "tokens = " + key,
+                                             "token" + " " * 20_000, "token='token=\"" * 2000]
+    df = near_join.stage_table(spark.createDataFrame(list(enumerate(ts)), "doc_id bigint, text string"), "t")
+    got = {r["doc_id"]: r["spans"] for r in rows_of(pii.pii_report(df))}
+    for i, (a, b, _) in enumerate(forms):
+        assert f"secret:{len(a)}:{len(a) + len(b)}" in got[i].split(","), forms[i]
+    assert [got[i] for i in range(len(forms), len(forms) + 4)] == [""] * 4
+
+
+def test_pii_secrets_of_documents(spark):
+    """Every secret of the given documents is in an added span unless a base span meets it."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    form = re.compile(r'token = "[0-9a-f]{40}', re.I)
+    want = {(r["doc_id"], m.start(), m.end()) for r in rows_of(df) for m in form.finditer(r["text"] or "")}
+    spans = [(r["doc_id"], *x.split(":")) for r in rows_of(pii.pii_report(df)) for x in r["spans"].split(",") if x]
+    got = {(d, int(a), int(b)) for d, k, a, b in spans if k == "secret"}
+    base = [(d, int(a), int(b)) for d, k, a, b in spans if k in pii.BASE_KINDS]
+    assert len(want) == 13
+    assert want - got == {(d, a, b) for d, a, b in want if any(d == e and s < b and a < t for e, s, t in base)}
+
+
 def test_em_recovers_reliabilities():
     rnd = random.Random(4)
     true, counts = [0.95, 0.8, 0.6], Counter()

@@ -19,6 +19,9 @@ all text costs one entry per chunk. The number of ranges grows with the input.
 The statistics for expectation-maximisation are a histogram of at most a few
 thousand cells. Each step is written to the shared folder.
 
+Counts are exact 8-byte sums; an answer takes 4 bytes a count unless one of its
+counts needs 8, so none is cut off at any size.
+
 Keys are hashes: at 10**9 distinct n-grams about one pair in 14 would share a
 count.
 
@@ -47,7 +50,7 @@ MIN_BITS, MAX_BITS = 8, 24
 KEY_BITS = 56
 START, END = np.uint64(0x5354415254AA5501), np.uint64(0x454E44454E44AA55)
 HELD_OUT, DELETED, MAIN = 0, 1, 2
-BUCKETS = 32
+BUCKETS = 64
 EM_STEPS = 60
 
 
@@ -143,6 +146,16 @@ def _requests(rows: DataFrame, bits: int) -> DataFrame:
     return rows.select("chunk", "fold", "text").mapInArrow(run, REQUEST)
 
 
+def pack_counts(n: np.ndarray) -> bytes:
+    """One byte of width, then the counts in 4 bytes each, or in 8 if one needs them."""
+    width = 4 if int(n.max(initial=0)) < 1 << 32 else 8
+    return bytes([width]) + n.astype(f"<u{width}").tobytes()
+
+
+def unpack_counts(b: pa.Buffer | bytes) -> np.ndarray:
+    return np.frombuffer(b, f"<u{np.frombuffer(b, np.uint8, 1)[0]}", offset=1)
+
+
 ANSWER = "kind int, range int, chunk bigint, fold int, main binary, every binary, words bigint, tokens bigint, main_tokens bigint"
 
 
@@ -165,22 +178,22 @@ def _answers(requests: DataFrame, bits: int) -> DataFrame:
         uniq, inv = np.unique(keys, return_inverse=True)
         inv = inv.ravel()
         row_fold = np.repeat(folds, sizes)
-        every = np.bincount(inv, n, len(uniq))
-        main = np.bincount(inv, np.where(row_fold == MAIN, n, 0), len(uniq))
+        every, main = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int64)
+        np.add.at(every, inv, n)
+        np.add.at(main, inv, np.where(row_fold == MAIN, n, 0))
         word = every > 0
         if kind == 0:
             word &= uniq != (START_KEY & np.uint64((1 << (KEY_BITS - bits)) - 1)) \
                 if int(START_KEY) >> (KEY_BITS - bits) == rng else True
-        m32, e32 = (np.minimum(x, 2 ** 32 - 1).astype("<u4")[inv] for x in (main, every))
         none = [None]
         rows = t.num_rows
         return pa.table({
             "kind": pa.array([kind] * (rows + 1), pa.int32()), "range": pa.array([rng] * (rows + 1), pa.int32()),
             "chunk": pa.array(t["chunk"].to_pylist() + none, pa.int64()),
             "fold": pa.array(t["fold"].to_pylist() + none, pa.int32()),
-            "main": pa.array([m32[cut[i]: cut[i + 1]].tobytes() if folds[i] == DELETED else b""
+            "main": pa.array([pack_counts(main[inv[cut[i]: cut[i + 1]]]) if folds[i] == DELETED else b""
                               for i in range(rows)] + none, pa.binary()),
-            "every": pa.array([e32[cut[i]: cut[i + 1]].tobytes() for i in range(rows)] + none, pa.binary()),
+            "every": pa.array([pack_counts(every[inv[cut[i]: cut[i + 1]]]) for i in range(rows)] + none, pa.binary()),
             "words": pa.array(none * rows + [int(word.sum())], pa.int64()),
             "tokens": pa.array(none * rows + [int(every[word].sum())], pa.int64()),
             "main_tokens": pa.array(none * rows + [int(main[word].sum())], pa.int64())})
@@ -198,7 +211,7 @@ def _counts(column: pa.Array, answers: pa.Table, field: str):
     got = []
     for kind, k in enumerate((uni, pair)):
         uniq, inv = np.unique(k, return_inverse=True)
-        c = np.concatenate([np.frombuffer(blobs[int(i)].as_buffer(), "<u4") for i in order[kinds == kind]])
+        c = np.concatenate([unpack_counts(blobs[int(i)].as_buffer()) for i in order[kinds == kind]])
         if len(c) != len(uniq):
             raise RuntimeError("counts do not match the chunk's keys: its rows changed between two reads")
         got.append(c[inv.ravel()])

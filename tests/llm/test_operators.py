@@ -209,6 +209,42 @@ def test_lm_against_plain_model(docs):
         assert i == j and x == pytest.approx(y, rel=0.02)  # the histogram's cells are averages
 
 
+@pytest.mark.parametrize("most", [0, 7, 2 ** 32 - 1, 2 ** 32, 2 ** 45])
+def test_lm_counts_keep_their_size(most):
+    n = np.array([3, most, 0], np.int64)
+    b = lm_score.pack_counts(n)
+    assert lm_score.unpack_counts(b).tolist() == n.tolist()
+    assert len(b) == 1 + 3 * (4 if most < 2 ** 32 else 8)
+
+
+def test_lm_counts_beyond_four_bytes(spark, monkeypatch):
+    """With all counts times 10**9, as in a corpus so many times as large, the scores are those of the formula."""
+    ts = ["a b c", "a a a b", "a c", "b a d", "a", "a b", "a c a", "e a", "a b c d", "a a"] * 2
+    df = spark.createDataFrame(list(enumerate(ts)), "doc_id bigint, text string")
+    ask = lm_score._requests
+
+    def larger(rows, bits):
+        def run(batches):
+            for b in batches:
+                at = b.schema.get_field_index("counts")
+                c = pa.array([(np.frombuffer(x, "<u4").astype(np.int64) * 10 ** 9).astype("<u4").tobytes()
+                              for x in b.column(at).to_pylist()], pa.binary())
+                yield b.set_column(at, "counts", c)
+        return ask(rows, bits).mapInArrow(run, lm_score.REQUEST)
+
+    monkeypatch.setattr(lm_score, "_requests", larger)
+    got = {r["doc_id"]: r for r in rows_of(lm_score.score_documents(df, chunk_bytes=6))}
+    toks = [[*t.split(), None] for t in ts]
+    c = Counter(w for i, t in enumerate(toks) if zlib.crc32(str(i).encode()) % 10 for w in t)
+    c = Counter({w: x * 10 ** 9 for w, x in c.items()})
+    n, v = sum(c.values()), len(c)
+    assert c["a"] > 2 ** 32 and c[None] > 2 ** 32
+    for i, t in enumerate(toks):
+        assert got[i]["train_tokens"] == n
+        assert got[i]["base_score"] == pytest.approx(sum(math.log10((c[w] + .1) / (n + .1 * (v + 1))) for w in t), abs=1e-6)
+        assert got[i]["score"] < 0
+
+
 # -- 2: WARC ----------------------------------------------------------------------------
 def plain_pages(pages):
     top = {}

@@ -7,7 +7,10 @@ threshold are fingerprinted; a multi-index finds every item within Hamming
 radius ``RADIUS``: fingerprints are cut into four 16-bit blocks, and two that
 differ in at most 15 bits agree within 3 bits in at least one block, so
 looking up each block among the items' blocks with up to 3 flipped bits misses
-none. Candidates are verified by the exact weighted Jaccard similarity.
+none. Candidates are verified by the exact weighted Jaccard similarity. A match
+near the threshold can lie outside the radius, so the items whose shingles a
+text holds to a sufficient weight are found as well, and windows are verified
+as long as the weight they share allows a better similarity: none is lost.
 
 A window is skipped before fingerprinting only if it holds fewer benchmark
 shingles than any item of its size needs to reach the threshold, which is a
@@ -96,6 +99,13 @@ class ItemIndex:
         self.size = n[keep]
         self.prints = np.array([simhash(*x) for x in self.items], np.uint64)
         self.shingles = np.unique(s)
+        self.total = np.array([int(x[1].sum()) for x in self.items], np.int64)
+        # Items of each shingle, with the weight the shingle has in the item.
+        place = np.searchsorted(self.shingles, s)
+        pair, at = np.unique(place * max(len(n), 1) + np.repeat(np.cumsum(n > 0) - 1, n), return_inverse=True)
+        self.sharing_weight = np.bincount(at.ravel(), w, len(pair)).astype(np.int64)
+        self.sharing_item = pair % max(len(n), 1)
+        self.sharing_cut = np.searchsorted(pair // max(len(n), 1), np.arange(len(self.shingles) + 1))
         self.need = {}  # fewest benchmark shingles in a window of each size
         for i, (_, wt) in enumerate(self.items):
             k = int(np.ceil(threshold * wt.sum() / wt.max() - 1e-9))
@@ -120,6 +130,15 @@ class ItemIndex:
             out[at] = self.shingles[lo] == s[at]
         return out
 
+    def sharing(self, s: np.ndarray) -> np.ndarray:
+        """Items whose weight can be shared to the threshold by a text with
+        these benchmark shingles; no other item reaches it in any window."""
+        place = np.unique(np.searchsorted(self.shingles, s))
+        n = self.sharing_cut[place + 1] - self.sharing_cut[place]
+        at = np.repeat(self.sharing_cut[place], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        shared = np.bincount(self.sharing_item[at], self.sharing_weight[at], len(self.items))
+        return np.flatnonzero(shared >= self.threshold * self.total * (1 - 1e-9))
+
     def lookup(self, prints: np.ndarray, sizes: np.ndarray):
         """(window, item, distance) for all items of the window's size within
         the radius."""
@@ -173,6 +192,20 @@ def match_row(s: np.ndarray, w: np.ndarray, hit: np.ndarray, index: ItemIndex) -
                 sim = weighted_jaccard((s[p: p + q], w[p: p + q]), index.items[i])
                 if sim >= index.threshold and sim > best.get(i, (0,))[0]:
                     best[i] = (sim, p, q)
+    total = np.concatenate([[0], np.cumsum(w)])
+    for i in index.sharing(s[hit]).tolist():
+        own = np.flatnonzero(size == index.size[i])
+        x, y = start[own], k[own]
+        cum = np.concatenate([[0], np.cumsum(np.where(hit & np.isin(s, index.items[i][0]), w, 0))])
+        shared = np.minimum(cum[x + y] - cum[x], index.total[i])
+        most = shared / (total[x + y] - total[x] + index.total[i] - shared)
+        for o in np.argsort(-most, kind="stable").tolist():
+            if most[o] < index.threshold or most[o] <= best.get(i, (0,))[0]:
+                break
+            p, q = int(x[o]), int(y[o])
+            sim = weighted_jaccard((s[p: p + q], w[p: p + q]), index.items[i])
+            if sim >= index.threshold and sim > best.get(i, (0,))[0]:
+                best[i] = (sim, p, q)
     return best
 
 

@@ -164,6 +164,30 @@ def test_multi_index_finds_all_within_radius():
     assert set(zip(w.tolist(), i.tolist(), strict=True)) == want
 
 
+def test_edited_items_near_the_threshold():
+    """Brute force over all windows: items with a changed word, most of them between 0.75 and 0.85."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 12)))
+    items = [[word() for _ in range(rnd.randint(45, 58))] for _ in range(600)]
+    ix = decontaminate.ItemIndex(list(range(len(items))), [" ".join(x) for x in items])
+    edited = []
+    for x in items:
+        y = list(x)
+        y[rnd.randrange(8, 40)] = word()
+        edited.append([word() for _ in range(3)] + y + [word() for _ in range(3)])
+    column = pa.array([" ".join(x) for x in edited])
+    s, w, n, _ = decontaminate.weighted_shingles(column)
+    cut = np.concatenate([[0], np.cumsum(n)])
+    near = 0
+    for j, got in enumerate(decontaminate.row_matches(column, ix)):
+        a, b = s[cut[j]: cut[j + 1]], w[cut[j]: cut[j + 1]]
+        m = int(ix.size[j])
+        want = max(decontaminate.weighted_jaccard((a[p: p + m], b[p: p + m]), ix.items[j]) for p in range(len(a) - m + 1))
+        near += 0.8 <= want < 0.85
+        assert (got[j][0] if j in got else 0) == (want if want >= 0.8 else 0), j
+    assert near > 300
+
+
 # -- 1: language model ---------------------------------------------------------------------
 def test_lm_base_and_order(docs):
     got = rows_of(lm_score.score_documents(docs, chunk_bytes=2000))

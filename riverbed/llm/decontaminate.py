@@ -24,7 +24,8 @@ pass of its own, so what is sent stays bounded.
 Defined cases: NULL texts and items are empty and never match; an item of
 fewer than five words is one shingle and matches only a text of just these
 words; a text shorter than the item is one window; repeated items each
-report; repeated rows repeat results; empty tables give no matches. Only ids
+report; an item with a NULL id counts as any other and is reported as NULL,
+unless an item with an id has the same text; repeated rows repeat results; empty tables give no matches. Only ids
 and texts are read.
 """
 
@@ -89,12 +90,12 @@ def weighted_jaccard(a: tuple, b: tuple) -> float:
 class ItemIndex:
     """Benchmark items ready for lookup."""
 
-    def __init__(self, ids: list[int], item_texts: list[str], threshold: float = THRESHOLD):
+    def __init__(self, ids: list[int | None], item_texts: list[str], threshold: float = THRESHOLD):
         s, w, n, _ = weighted_shingles(pa.array(item_texts, pa.string()))
         cut = np.concatenate([[0], np.cumsum(n)])
         keep = np.flatnonzero(n > 0)
         self.threshold = threshold
-        self.ids = np.array(ids, np.int64)[keep] if len(keep) else np.zeros(0, np.int64)
+        self.ids = [ids[i] for i in keep.tolist()]
         self.items = [(s[cut[i]: cut[i + 1]], w[cut[i]: cut[i + 1]]) for i in keep.tolist()]
         self.size = n[keep]
         self.prints = np.array([simhash(*x) for x in self.items], np.uint64)
@@ -246,8 +247,8 @@ def _matches(rows: DataFrame, index: ItemIndex) -> DataFrame:
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
         out = defaultdict(list)
         for got in row_matches(b.column("text"), index):
-            order = sorted(got, key=lambda i: int(index.ids[i]))
-            out["item_ids"].append([int(index.ids[i]) for i in order])
+            order = sorted(got, key=lambda i: (index.ids[i] is None, index.ids[i] or 0))
+            out["item_ids"].append([index.ids[i] for i in order])
             out["similarity"].append([float(got[i][0]) for i in order])
             out["first_word"].append([int(got[i][1]) for i in order])
             out["n_words"].append([int(got[i][2]) + SHINGLE - 1 for i in order])
@@ -263,8 +264,12 @@ def _matches(rows: DataFrame, index: ItemIndex) -> DataFrame:
 def _indexes(benchmark: DataFrame, threshold: float, items_per_slice: int) -> Iterator[ItemIndex]:
     """The benchmark's items, slice by slice."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"),
-                             F.coalesce("text", F.lit("")).alias("text")).filter("item_id IS NOT NULL")
-    count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+                             F.coalesce("text", F.lit("")).alias("text"))
+    count, size, named = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0)),
+                                   F.count("item_id")).first()
+    if named < count:
+        known = items.filter("item_id IS NOT NULL")
+        items = known.unionByName(items.filter("item_id IS NULL").join(known.select("text"), "text", "left_anti"))
     slices = max(1, -(-count // items_per_slice), -(-size // (5 * WORDS_PER_SLICE)))
     for k in range(slices):
         part = items if slices == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)

@@ -164,6 +164,18 @@ def test_multi_index_finds_all_within_radius():
     assert set(zip(w.tolist(), i.tolist(), strict=True)) == want
 
 
+@pytest.mark.parametrize("per_slice", [decontaminate.ITEMS_PER_SLICE, 1])
+def test_items_without_id(spark, per_slice):
+    one, two = (" ".join(f"{w}{i}" for i in range(20)) for w in ("ba", "ce"))
+    df = spark.createDataFrame([(1, one), (2, two), (3, f"x {one} y {two} z"), (4, "clean")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, one), (7, two), (None, two), (None, None)], "item_id bigint, text string")
+    found = rows_of(decontaminate.find_leaks(df, items, items_per_slice=per_slice))
+    got = {r["doc_id"]: (r["contaminated"], sorted(r["item_ids"], key=str)) for r in found}
+    assert got == {1: (True, [None]), 2: (True, [7]), 3: (True, [7, None]), 4: (False, [])}
+    assert all(len(r["item_ids"]) == len(r["similarity"]) == len(r["first_word"]) for r in found)
+    assert [r["doc_id"] for r in rows_of(decontaminate.drop_leaks(df, items))] == [4]
+
+
 def test_edited_items_near_the_threshold():
     """Brute force over all windows: items with a changed word, most of them between 0.75 and 0.85."""
     rnd = random.Random(11)

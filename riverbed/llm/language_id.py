@@ -14,9 +14,9 @@ Defined cases: NULL text and texts without a letter are ``und`` with score 0;
 a NULL language is not learned from; a NULL id counts as the empty text in the
 fold; without training windows everything is ``und``; repeated rows repeat
 results; an empty table gives an empty result. Very long texts are scored in
-batches of windows. At most ``MAX_LANGUAGES`` languages are learned, the most
-frequent ones; id, text and language are the only columns read,
-and language only to train.
+batches of windows. Every language with a training window is learned, so the
+sample and the network grow with the number of languages, not of rows; id, text
+and language are the only columns read, and language only to train.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 WINDOWS_PER_LANGUAGE = 1500
-MAX_LANGUAGES = 256
 OVERSAMPLE = 3
+#: Windows times languages that are scored at a time, at most.
+CELLS = 1 << 18
 EPOCHS, BATCH, RATE = 10, 64, 0.01
 UNKNOWN = "und"
 
@@ -146,19 +147,18 @@ def training_windows(docs: DataFrame, per_language: int = WINDOWS_PER_LANGUAGE)
     learn = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     # Rows of each language, to thin the candidates by hash before they move:
     # about OVERSAMPLE times what is wanted reaches the ranking, at any size.
-    sizes = (learn.groupBy(F.col("lang").cast("string").alias("lang")).count()
-             .orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES).collect())
-    share = F.lit(0.0)
-    for lang, n in sizes:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, OVERSAMPLE * per_language / n))).otherwise(share)
+    sizes = learn.groupBy(F.col("lang").cast("string").alias("size_lang")).agg(F.count(F.lit(1)).alias("size"))
+    share = F.least(F.lit(1.0), F.lit(float(OVERSAMPLE * per_language)) / F.col("size"))
     h = F.xxhash64(F.lit(12), "doc_id", text)
-    found = (learn.filter(F.pmod(h, F.lit(1 << 30)) < share * (1 << 30))
-             .select(F.col("lang").cast("string").alias("lang"), h.alias("h"),
+    found = (learn.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+             .join(F.broadcast(sizes), F.col("lang") == F.col("size_lang"))  # a row per language
+             .filter(F.pmod(h, F.lit(1 << 30)) < share * (1 << 30))
+             .select("lang", h.alias("h"),
                      F.substring(text, place.cast("int"), F.lit(WINDOW)).alias("window"))
              .filter(F.col("window").rlike(r"\p{L}")))
     first = Window.partitionBy("lang").orderBy("h", "window")
     got = (found.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_language)
-           .select("lang", "window").orderBy("lang", "window").limit(per_language * MAX_LANGUAGES).collect())
+           .select("lang", "window").orderBy("lang", "window").collect())  # at most per_language rows of each
     return [r[0] for r in got], [r[1] for r in got]
 
 
@@ -167,11 +167,14 @@ def fit(docs: DataFrame, per_language: int = WINDOWS_PER_LANGUAGE) -> tuple[Byte
     if not langs:
         return None, []
     names = sorted(set(langs))
-    data, offs = string_buffers(pa.array(windows, pa.string()))
-    x, row, _ = cut_windows(data, offs)
-    first = np.concatenate([[True], row[1:] != row[:-1]])  # a window of 256 characters may have more bytes
-    y = np.array([names.index(x) for x in langs])
-    return train(x[first], y, len(names)), names
+    x = np.empty((len(langs), WINDOW), np.uint8)
+    for i in range(0, len(langs), 8192):
+        data, offs = string_buffers(pa.array(windows[i: i + 8192], pa.string()))
+        cut, row, _ = cut_windows(data, offs)
+        # a window of 256 characters may have more bytes
+        x[i: i + 8192] = cut[np.concatenate([[True], row[1:] != row[:-1]])]
+    place = {k: i for i, k in enumerate(names)}
+    return train(x, np.array([place[k] for k in langs]), len(names)), names
 
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
@@ -180,19 +183,21 @@ SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 def identify(docs: DataFrame, per_language: int = WINDOWS_PER_LANGUAGE) -> DataFrame:
     """One row per document: predicted language and its mean probability."""
     net, names = fit(docs, per_language)
+    step = max(1, 16 * CELLS // max(len(names), 1))
+    piece = min(1 << 20, max(1, CELLS // max(len(names), 1)) * WINDOW)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
                        F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (w.slice(i, step) for w in batches for i in range(0, w.num_rows, step)):
             n = b.num_rows
             known = b.column("letters").to_numpy(zero_copy_only=False)
             pred, score = np.full(n, -1), np.zeros(n)
             if net is not None:
                 data, offs = string_buffers(b.column("text"))
                 total, weight = np.zeros((n, len(names))), np.zeros((n, len(names)))
-                for r0, r1, a, z in _pieces(offs):
+                for r0, r1, a, z in _pieces(offs, piece):
                     cut = np.clip(offs[r0: r1 + 1], a, z)
                     x, row, size = cut_windows(data, cut)
                     lp = net.log_probs(x)

@@ -394,6 +394,24 @@ def test_language_id(spark, empty):
     assert language_id.identify(empty).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    """300 languages, the rarest with one document, and none left out."""
+    rnd = random.Random(6)
+    rows = []
+    for k in range(300):
+        word = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=12))
+        for i in range(1 if k < 100 else 3):
+            doc = next(d for d in itertools.count(1000 * k + 10 * i) if zlib.crc32(str(d).encode()) % 4 != 2)
+            rows.append((doc, " ".join([word] * 20), f"l{k:03}"))
+    df = near_join.stage_table(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), "t")
+    langs, windows = language_id.training_windows(df, 2)
+    assert Counter(langs) == {f"l{k:03}": 1 if k < 100 else 2 for k in range(300)} and all(windows)
+    net, names = language_id.fit(df, 2)
+    assert names == sorted(set(langs)) and net.dense.shape[1] == 300
+    got = rows_of(language_id.identify(df, 2))
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows) and {r["lang_pred"] for r in got} <= set(names)
+
+
 # -- 6: quality ----------------------------------------------------------------------------------
 def test_quality_held_out(spark, docs, empty):
     rnd = random.Random(9)

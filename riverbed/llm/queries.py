@@ -120,3 +120,38 @@ def op6_quality(spark, sf):
     """Quality by co-training a text and a metadata view."""
     from riverbed.llm.quality import score_quality
     return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op11_periodic_runs(spark, sf):
+    """Maximal word runs by suffix-tree extensions; every tenth document's tail
+    is made to repeat first."""
+    from riverbed.llm.periodic_runs import loop_tails, periodic_runs
+    found = periodic_runs(table(spark, sf, "documents"), rewrite=loop_tails)
+    # Exact comparison of length / period by cross products; runs are in order of start and period.
+    best = F.expr("""aggregate(runs, CAST(NULL AS struct<start:bigint,length:bigint,period:bigint>),
+        (a, r) -> CASE WHEN a IS NULL OR r.length * a.period > a.length * r.period THEN r ELSE a END)""")
+    listed = F.expr("""concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))""")
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"),
+                    F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+@query
+def op12_suffix_dedup(spark, sf):
+    """Repeated 200-byte strings removed by a hash-compared suffix sort."""
+    from riverbed.llm.suffix_dedup import remove_repeats
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return (remove_repeats(table(spark, sf, "documents"))
+            .select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                    F.sha2("kept", 256).alias("kept_sha256")))
+
+
+@query
+def op13_whitening(spark, sf):
+    """Embeddings whitened along four Jacobi-Davidson components."""
+    from riverbed.llm.whitening import whiten
+    return whiten(table(spark, sf, "embeddings"))

@@ -83,9 +83,12 @@ def scd2_from_history(history: DataFrame, key: str, ts_col: str, *,
 
 
 def scd_id(key: str, updated_at: str) -> Column:
-    """Version id: md5 of key and update time, with the time in fixed text."""
-    return F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")),
-                             F.coalesce(F.date_format(F.col(updated_at), SCD_ID_TS_FORMAT), F.lit(""))))
+    """Version id: md5 of key and update time, with the time in fixed text.
+    The key comes with its length, and NULL as itself, so no two (key, time)
+    pairs share a text."""
+    text = F.col(key).cast("string")
+    return F.md5(F.concat_ws("|", F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("null")),
+                             F.coalesce(F.date_format(F.col(updated_at), SCD_ID_TS_FORMAT), F.lit("null"))))
 
 
 def scd2_snapshot_delta(current: DataFrame | None, source: DataFrame, key: str, updated_at: str, *,

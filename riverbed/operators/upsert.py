@@ -19,7 +19,6 @@ plain Parquet, without a MERGE-capable table format, as append-only batches:
 from __future__ import annotations
 
 import datetime as _dt
-import json
 import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -192,11 +191,10 @@ class KeyedTable:
         return frozenset(f.batch for f in self._folders() if f.batch >= 0)
 
     def schema(self) -> T.StructType:
+        """The columns of the committed folder that the table starts from: the
+        newest base, or its first batch (later batches take their types)."""
         if self._schema is None:
-            at = max(int(p.rsplit("=", 1)[1]) for p in glob_paths(self.spark, f"{self.root}/_schema/{_SEQ}=*")
-                     if int(p.rsplit("=", 1)[1]) <= self.version())
-            text = self.spark.read.text(f"{self.root}/_schema/{_SEQ}={at}", wholetext=True).first()[0]
-            self._schema = T.StructType.fromJson(json.loads(text))
+            self._schema = self.spark.read.parquet(f"{self.root}/data/{self._live()[0].path}").schema
         return self._schema
 
     def mark(self):
@@ -222,7 +220,7 @@ class KeyedTable:
         key's rows in order, at most one per batch since the last base."""
         rows, null_key = self._scan(folders), null_key_rows(self.keys)
         inserted = any(f.nulls == "insert" for f in folders)
-        if len(folders) == 1:
+        if len(folders) == 1:  # a folder holds one row per key
             out = rows if inserted else rows.filter(~null_key)
             return out.drop(_SEQ, _NULLS)
         keyed = rows.filter(~null_key)
@@ -276,10 +274,6 @@ class KeyedTable:
         same job (``Observation``). What a dead attempt left is overwritten."""
         seq = self.version() + 1 if self.exists() else 0
         folder = Folder(kind, seq, -1 if batch_id is None else batch_id, nulls)
-        if kind == "base" or not self.exists():
-            text = self.spark.range(1).select(F.lit(df.schema.json()).alias("value"))
-            text.coalesce(1).write.mode("overwrite").text(f"{self.root}/_schema/{_SEQ}={seq}")
-            self._schema = df.schema
         before = None if kind == "base" or self.mark_col is None else self.mark()
         mark = F.max(self.mark_col or F.lit(None)).alias("mark")
         obs = Observation(f"riverbed-{uuid.uuid4().hex[:8]}")
@@ -288,6 +282,8 @@ class KeyedTable:
         self._mark = max((m for m in (before, obs.get["mark"]) if m is not None), default=None)
         self._mark_known = True
         self._known = [*self._folders(), folder]
+        if kind == "base":
+            self._schema = None
 
     def create_if_missing(self, schema: T.StructType) -> bool:
         """``CREATE TABLE IF NOT EXISTS`` (an empty base)."""
@@ -296,8 +292,18 @@ class KeyedTable:
         self._commit("base", self.spark.createDataFrame([], schema), None, "quarantine")
         return True
 
-    def overwrite(self, df: DataFrame, batch_id: int | None = None) -> None:
-        """Full build (A14 'table'); all rows are kept, NULL keys too."""
+    def _one_row_per_key(self, df: DataFrame, on_duplicates: str) -> None:
+        if on_duplicates not in ("error", "unique"):
+            raise ValueError("on_duplicates is 'error' or 'unique'")
+        if on_duplicates == "error":
+            twice = (df.filter(~null_key_rows(self.keys)).groupBy(*self.keys)
+                     .agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+            if not twice.isEmpty():
+                raise ValueError(f"more than one row for a key of {self.root}")
+
+    def overwrite(self, df: DataFrame, batch_id: int | None = None, on_duplicates: str = "error") -> None:
+        """Full build (A14 'table'): one row per key, and all NULL-key rows."""
+        self._one_row_per_key(df, on_duplicates)
         self._commit("base", df, batch_id, "insert")
 
     def compact(self) -> None:
@@ -309,12 +315,13 @@ class KeyedTable:
 
     def merge(self, source: DataFrame, *, stamp: tuple[str, object] | None = None,
               order: Sequence[Column | str] | None = None, batch_id: int | None = None,
-              null_keys: str = "quarantine", on_duplicates: str | None = None) -> bool:
+              null_keys: str = "quarantine", on_duplicates: str = "error") -> bool:
         """Upsert ``source``; returns False when ``batch_id`` was already applied.
 
-        The source holds one row per key; ``order`` reduces it to that (Q5),
-        and ``on_duplicates="error"`` refuses it otherwise, at the price of a
-        count by key. NULL keys never match, so each delivery would insert
+        The source holds one row per key, whatever the table holds: ``order``
+        reduces it to that (Q5), else a source with more is refused, at the
+        price of a count by key; ``on_duplicates="unique"`` is the caller's word
+        that there is one, as for sources that were just reduced by key. NULL keys never match, so each delivery would insert
         them again: they are set aside (``quarantined``), all of them, unless
         ``null_keys="insert"`` asks for the reference's behaviour. Columns the
         source lacks keep the table's values."""
@@ -323,10 +330,8 @@ class KeyedTable:
         null_key = null_key_rows(self.keys)
         if order is not None:
             source = latest_keep_null_keys(source, self.keys, order)
-        elif on_duplicates == "error":
-            twice = source.filter(~null_key).groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-            if not twice.isEmpty():
-                raise ValueError(f"more than one source row for a key of {self.root}")
+        else:
+            self._one_row_per_key(source, on_duplicates)
         if stamp is not None:
             source = source.withColumn(stamp[0], stamp_literal(stamp[1]))
         if self.exists():

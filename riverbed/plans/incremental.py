@@ -180,7 +180,7 @@ def typed_landing_v1(rows: DataFrame) -> DataFrame:
     """A8 inside the pipe: the picked wide fields typed at load time."""
     return rows.select(
         "trans_id", try_timestamp("trans_date_raw", TS_WITHOUT_SECONDS).alias("trans_ts"),
-        "category", try_boolean("is_fraud_raw").alias("is_fraud"), *LINEAGE)
+        "category", try_boolean("is_fraud_raw").alias("is_fraud"), *LINEAGE, "meta_malformed")
 
 
 def landing_batch(load_ts) -> F.Column:

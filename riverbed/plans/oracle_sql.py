@@ -57,13 +57,13 @@ SELECT {QUARANTINE} FROM (
 SELECT card_num, {CLIENT_ATTRS}, valid_from, meta_filename, meta_file_row_number, meta_load_ts,
   meta_load_ts AS dbt_updated_at, meta_load_ts AS dbt_valid_from,
   LEAD(meta_load_ts) OVER (PARTITION BY card_num ORDER BY meta_load_ts) AS dbt_valid_to,
-  md5(card_num || '|' || strftime(meta_load_ts, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id
+  md5(COALESCE(CAST(length(card_num) AS VARCHAR) || ':' || card_num, 'null') || '|' || strftime(meta_load_ts, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id
 FROM clients_deduped""", "clients_deduped"),
     "client_dim_incremental": build(f"""
 SELECT card_num, {CLIENT_ATTRS}, meta_load_ts, meta_load_ts AS valid_from,
   LEAD(meta_load_ts) OVER (PARTITION BY card_num ORDER BY meta_load_ts) AS valid_to,
   LEAD(meta_load_ts) OVER (PARTITION BY card_num ORDER BY meta_load_ts) IS NULL AS is_current,
-  md5(card_num || '|' || strftime(meta_load_ts, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id,
+  md5(COALESCE(CAST(length(card_num) AS VARCHAR) || ':' || card_num, 'null') || '|' || strftime(meta_load_ts, '%Y-%m-%d %H:%M:%S.%f')) AS dbt_scd_id,
   meta_load_ts AS dbt_updated_at
 FROM clients_deduped""", "clients_deduped"),
     # Facts: each trans_num's latest VALID row, enriched with the dimensions
@@ -260,6 +260,11 @@ ORACLE_SQL.update({
     "ingest_lineage": build("""
 SELECT meta_filename AS file_name, trans_num_raw, trans_date_raw,
   ROW_NUMBER() OVER (PARTITION BY meta_filename ORDER BY meta_file_row_number) AS meta_file_row_number
+FROM raw_trans""", "raw_trans"),
+    "ingest_late_files": build("""
+SELECT CAST(regexp_extract(meta_filename, '_([0-9]+)', 1) AS INTEGER) % 2 AS run, meta_filename AS file_name,
+  ROW_NUMBER() OVER (PARTITION BY meta_filename ORDER BY meta_file_row_number) AS meta_file_row_number,
+  trans_num_raw
 FROM raw_trans""", "raw_trans"),
     "file_inventory": build(
         "SELECT DISTINCT meta_filename AS name, TRUE AS has_bytes, TRUE AS dated FROM raw_trans", "raw_trans"),

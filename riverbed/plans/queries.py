@@ -388,6 +388,33 @@ def file_inventory(spark, sf):
                         (F.col("size") > 0).alias("has_bytes"), F.col("last_modified").isNotNull().alias("dated"))
 
 
+@query
+def ingest_late_files(spark, sf):
+    """A6 + A7: the files of odd number are delivered after the others were
+    loaded, with times 40 days older. Each file lands once; the last run finds
+    nothing. One row per landed row, with the run it came with."""
+    import datetime as dt
+
+    from riverbed.plans.monitoring import TEXT, deliver, pipe
+    from riverbed.session import glob_paths, scratch_path, set_file_time
+    root, cols = scratch_path(spark, "late_files"), TEXT["raw_trans"]
+    rows = fx.raw_trans(spark, sf).withColumn(
+        "number", F.regexp_extract("meta_filename", "_([0-9]+)", 1).cast("int"))
+    loader = pipe(spark, root, "raw_trans")
+    deliver(rows.filter("number % 2 = 0"), cols, f"{root}/src/raw_trans/first")
+    batches = [loader.run_available_now()]
+    deliver(rows.filter("number % 2 = 1"), cols, f"{root}/src/raw_trans/second")
+    old = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(days=40)
+    # One call per delivered file; the names of the delivery are the driver's.
+    for name in glob_paths(spark, f"{root}/src/raw_trans/second/*/*.txt"):
+        set_file_time(spark, name, old)
+    batches += [loader.run_available_now(), loader.run_available_now()]
+    of_run = F.create_map(*[F.lit(x) for k, ids in enumerate(batches) for b in ids for x in (b, k)])
+    return (loader.landing().withColumn("run", of_run[F.col("batch_id")])
+            .select("run", F.regexp_extract("meta_filename", "src_file=([^/]+)/", 1).alias("file_name"),
+                    "meta_file_row_number", "trans_num_raw"))
+
+
 @query
 def any_rows(spark, sf):
     """L2: any 10 landed rows; which ones is open, so they are counted."""
@@ -485,8 +512,7 @@ def ingest_stream_upsert(spark, sf):
         stamp = dt.datetime(2024, 1, 1) + dt.timedelta(days=5 * (k + 1))
         pipe.clock = lambda _b, s=stamp: s
         pipe.run_available_now()
-        for b in feed.pending(table.applied_batches()):
-            upsert_conformed(table, feed.batch(b), b, feed.load_time(b))
+        feed.consume(lambda rows, b, t: upsert_conformed(table, rows, b, t), f"{root}/conformed_offset")
     return table.read().drop("source_filename")
 
 

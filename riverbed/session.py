@@ -7,6 +7,7 @@ set only when the session has none, as happens in tests.
 
 from __future__ import annotations
 
+import datetime
 import os
 import re
 import tempfile
@@ -65,15 +66,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/riverbed/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few local-filesystem helpers."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test on the cluster's file system (HDFS, object store or
     local), through the Hadoop FileSystem Spark itself uses."""
@@ -82,29 +74,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def scale_conf(input_bytes: int, executors_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
-    """Shuffle and scan sizing for a cluster run: about one shuffle partition
-    per ``target_partition_bytes`` of input (never fewer than twice the
-    cores), AQE coalescing small ones and splitting skewed ones at run time."""
-    parts = max(2 * executors_cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    }
-
-
-def list_children(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries directly under ``path`` (empty when missing)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p)]
-
-
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern on the cluster's file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -112,6 +81,19 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [st.getPath().toString() for st in found or []]
 
 
+def escape_glob(path: str) -> str:
+    """A path as a pattern that matches that path alone."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def set_file_time(spark: SparkSession, path: str, when) -> None:
+    """Give a file the modification time ``when`` (zone-free UTC), as a copy
+    that preserves times does."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    millis = int(when.replace(tzinfo=datetime.timezone.utc).timestamp() * 1000)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(p, millis, -1)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared folder and read back, for a result
     that several branches of a plan read."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riverbed.operators import enrich
 from riverbed.operators.dedupe import latest_by_load, latest_per_key
-from riverbed.operators.scd import (next_in_key, scd1_delta, scd1_full, scd2_dim_delta, scd2_from_history,
+from riverbed.operators.scd import (next_in_key, scd1_delta, scd1_full, scd2_dim_delta, scd2_from_history, scd_id,
                                     scd2_snapshot_delta)
 from riverbed.operators.upsert import KeyedTable, after_mark, high_water_mark, merge_frames
 from riverbed.sources.csv import file_inventory
@@ -380,3 +380,51 @@ def test_incremental_keeps_null_keys_and_late_merchants(spark, tmp_dir):
     t = KeyedTable(spark, tmp_dir, ["k"])
     t.merge(latest_keep_null_keys(df, ["k"], ["o desc"]), batch_id=0)
     assert t.quarantined().count() == 2 and t.read().count() == 1
+
+
+# -- nothing is lost to attempts that died, repeated keys or clashing ids ------------
+def test_a_failed_build_leaves_the_schema_alone(spark, tmp_dir):
+    """A full build with other columns dies half way: the next merge commits at
+    the same sequence number, and no handle reads the dead attempt's columns."""
+    t = KeyedTable(spark, f"{tmp_dir}/dead", ["k"])
+    t.merge(spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string"), batch_id=0)
+    broken = spark.createDataFrame([("a", 1)], "k string, w int").withColumn("w", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        t.overwrite(broken, on_duplicates="unique")
+    assert t.schema().names == ["k", "v"]
+    t.merge(spark.createDataFrame([("c", "3")], "k string, v string"), batch_id=1)
+    for handle in (t, KeyedTable(spark, f"{tmp_dir}/dead", ["k"])):
+        assert {tuple(r) for r in handle.read().collect()} == {("a", "1"), ("b", "2"), ("c", "3")}
+    t.overwrite(spark.createDataFrame([("z", 9)], "k string, w int"))
+    assert [tuple(r) for r in t.read().collect()] == [("z", 9)] and t.schema().names == ["k", "w"]
+
+
+def test_repeated_keys_are_refused_whatever_the_number_of_batches(spark, tmp_dir):
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    for batches in (0, 1):
+        t = KeyedTable(spark, f"{tmp_dir}/twice{batches}", ["k"])
+        if batches:
+            t.merge(spark.createDataFrame([(3, "x")], "k int, v string"), batch_id=0)
+        with pytest.raises(ValueError, match="more than one row"):
+            t.merge(twice, batch_id=1)
+        with pytest.raises(ValueError, match="more than one row"):
+            t.overwrite(twice)
+        t.merge(twice, batch_id=1, order=["v desc"])
+        t.merge(spark.createDataFrame([(4, "y")], "k int, v string"), batch_id=2)
+        assert {(r.k, r.v) for r in t.read().collect()} >= {(1, "b"), (2, "c"), (4, "y")}
+
+
+def test_version_ids_of_null_and_empty_keys_differ(spark, tmp_dir):
+    rows = [(None, D(2024, 1, 1)), ("", D(2024, 1, 1)), ("null", D(2024, 1, 1)), ("1:a", D(2024, 1, 1)),
+            ("a|", D(2024, 1, 1)), ("a", None), ("", None), (None, None)]
+    df = spark.createDataFrame(rows, "card string, t timestamp_ntz")
+    ids = df.withColumn("id", scd_id("card", "t"))
+    assert ids.select("id").distinct().count() == len(rows)
+    source = spark.createDataFrame([(None, "n", D(2024, 1, 1)), ("", "e", D(2024, 1, 1))],
+                                   "card string, v string, t timestamp_ntz")
+    t = KeyedTable(spark, f"{tmp_dir}/ids", ["dbt_scd_id"])
+    t.merge(scd2_snapshot_delta(None, source, "card", "t"), batch_id=0)
+    later = spark.createDataFrame([("", "e2", D(2024, 1, 2))], "card string, v string, t timestamp_ntz")
+    t.merge(scd2_snapshot_delta(t.read(), later, "card", "t"), batch_id=1)
+    assert {(r.card, r.v, r.dbt_valid_to) for r in t.read().collect()} == {
+        (None, "n", None), ("", "e", D(2024, 1, 2)), ("", "e2", None)}

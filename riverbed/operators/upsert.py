@@ -214,11 +214,17 @@ class KeyedTable:
                 .option("basePath", data).parquet(*[f"{data}/{f.path}" for f in folders]))
         return rows.select(*self.schema().names, _SEQ, _NULLS)
 
-    def _resolve(self, folders: Sequence[Folder]) -> DataFrame:
+    def _resolve(self, folders: Sequence[Folder], only: DataFrame | None = None) -> DataFrame:
         """One row per key, and the NULL-key rows that were inserted. The H2
         form ships at most one row per key and task; the H1 form compares a
         key's rows in order, at most one per batch since the last base."""
         rows, null_key = self._scan(folders), null_key_rows(self.keys)
+        if only is not None:
+            names = {c: f"_o{i}" for i, c in enumerate(only.columns)}
+            match = F.lit(True)
+            for c, o in names.items():
+                match = match & F.col(c).eqNullSafe(F.col(o))
+            rows = rows.join(only.withColumnsRenamed(names), match, "left_semi")
         inserted = any(f.nulls == "insert" for f in folders)
         if len(folders) == 1:  # a folder holds one row per key
             out = rows if inserted else rows.filter(~null_key)
@@ -260,6 +266,26 @@ class KeyedTable:
         keys = self._scan(after).select(*self.keys).distinct()
         return self.read().join(keys, self.keys, "left_semi")
 
+    def offset(self) -> int:
+        """The newest applied batch: where a consumer that applies batches in
+        order goes on (-1: at the start)."""
+        return max(self.applied_batches(), default=-1)
+
+    def changes_after(self, batch_id: int) -> DataFrame:
+        """``changes_since`` for consumers that keep a batch id: the current
+        rows of the keys delivered by batches past it."""
+        after = [f.seq for f in self._folders() if f.batch > batch_id]
+        return self.changes_since(min(after) - 1 if after else self.version())
+
+    def read_matching(self, keys: DataFrame) -> DataFrame:
+        """The current rows whose ``keys.columns`` are among ``keys``. These
+        columns are the same in all rows of a table key (the key, or part of
+        it, or what it stands for), so other rows go before batches are resolved
+        and never cross the network."""
+        if not self.exists():
+            raise FileNotFoundError(f"no committed batch under {self.root}")
+        return self._resolve(self._live(), keys)
+
     def quarantined(self) -> DataFrame | None:
         """Every NULL-key row set aside by a merge (None without a table)."""
         if not self.exists():

@@ -4,18 +4,18 @@ keyed tables.
 A model run is ``delta = f(visible sources, current target)`` followed by
 ``KeyedTable.merge(delta)``. ``target is None`` plays the part of the
 reference's "first run" branch. Example queries replay the raw history as a
-few load cuts (rows become visible when their load time passes the cut),
-which is how the incremental path is exercised and compared with a full
+few load cuts (a landing batch holds the rows whose load time is below the
+cut), which is how the incremental path is exercised and compared with a full
 recomputation.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.parse import TS_WITHOUT_SECONDS, ntz, try_boolean, try_timestamp
@@ -23,6 +23,7 @@ from riverbed.operators.dedupe import LINEAGE, latest_by_load, latest_keep_null_
 from riverbed.operators.scd import scd1_delta, scd2_dim_delta, scd2_snapshot_delta
 from riverbed.operators.upsert import KeyedTable, after_mark, high_water_mark
 from riverbed.plans import fraud
+from riverbed.plans.propagate import unread
 from riverbed.session import scratch_path
 
 # Load cuts used to replay the fixture history in three runs.
@@ -30,11 +31,6 @@ DEFAULT_CUTS = (dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), None)
 LOAD_ORDER = ["meta_load_ts desc", "meta_file_row_number desc", "meta_filename desc"]
 
 
-def visible(df: DataFrame, cut) -> DataFrame:
-    """Rows that had arrived by the cut (``meta_load_ts < cut``)."""
-    return df if cut is None else df.filter(F.col("meta_load_ts") < ntz(cut))
-
-
 # -- H10 incremental -------------------------------------------------------------
 def invalid_delta(txn: DataFrame, current: DataFrame | None, mark=None) -> DataFrame:
     """fct_invalid_transactions: invalid rows past the mark, latest per key.
@@ -92,7 +88,13 @@ def fact_delta(txn: DataFrame, dim_merch: DataFrame, dim_cli: DataFrame,
 
 
 class FraudWarehouse:
-    """The V3 tables as keyed Parquet tables under one root."""
+    """The V3 tables as keyed Parquet tables under one root.
+
+    The landing tables carry ``batch_id``, and a load delivers one batch of each.
+    A model's offset is the newest batch that its own table has applied, so it
+    commits with the model's rows: a run reads the batches past it (other
+    folders are pruned), and of the target the rows of the keys in them. What a
+    run reads does not grow with the raw history."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -104,37 +106,48 @@ class FraudWarehouse:
         self.snapshot = mk("clients_snapshot", ["dbt_scd_id"], "dbt_updated_at")
         self.clients = mk("dim_clients", ["dbt_scd_id"], "dbt_updated_at")
         self.facts = mk("fct_fraud_full", ["trans_num"], "meta_load_ts")
-        self._snapshot_seen: int | None = None  # snapshot version the dimension has read
 
-    def run(self, raw: dict[str, DataFrame], run_id: int, models: Sequence[str] = (
+    def run(self, landing: dict[str, DataFrame], run_id: int, models: Sequence[str] = (
             "invalid", "merchants", "snapshot", "clients", "facts")) -> None:
-        """One scheduled run over the raw tables as visible now, in
+        """One scheduled run over the landing batches up to ``run_id``, in
         dependency order (staging -> snapshot -> dims -> facts). Models that
         do not depend on each other are refreshed concurrently: each submits
         its own Spark jobs from a driver thread, and the scheduler shares
-        the executors between them."""
+        the executors between them. A model that has applied the batch is left
+        alone, so a run that died half way is simply run again."""
         want = set(models)
-        txn = fraud.stg_transactions(raw["raw_trans"])
+
+        def fresh(name: str, table: KeyedTable) -> DataFrame:
+            return unread(landing[name], table.offset(), run_id)
+
+        def merge(table: KeyedTable, delta) -> None:
+            if run_id not in table.applied_batches():
+                table.merge(delta(), batch_id=run_id, on_duplicates="unique")
 
         def invalid():
-            self.invalid.merge(invalid_delta(txn, None, self.invalid.mark()), batch_id=run_id)
+            merge(self.invalid, lambda: invalid_delta(
+                fraud.stg_transactions(fresh("raw_trans", self.invalid)), None, self.invalid.mark()))
 
         def merchants():
             # New or newer is decided per key: a late merchant may carry a load
             # time at or below the table's largest.
-            stg_m = fraud.stg_merchants(raw["raw_merch"])
-            self.merchants.merge(merchants_delta(stg_m, self.merchants.read_or_none()), batch_id=run_id)
+            def delta():
+                rows = fraud.stg_merchants(fresh("raw_merch", self.merchants))
+                held = self.merchants.read_matching(rows.select("merchant").distinct()) if self.merchants.exists() else None
+                return merchants_delta(rows, held)
+            merge(self.merchants, delta)
 
         def clients():
-            deduped = fraud.clients_deduped(fraud.stg_clients(raw["raw_clients"]))
-            self.snapshot.merge(snapshot_delta(deduped, self.snapshot.read_or_none()), batch_id=run_id)
+            def delta():
+                rows = fraud.clients_deduped(fraud.stg_clients(fresh("raw_clients", self.snapshot)))
+                held = self.snapshot.read_matching(rows.select("card_num").distinct()) if self.snapshot.exists() else None
+                return snapshot_delta(rows, held)
+            merge(self.snapshot, delta)
             if want & {"clients", "facts"}:
-                # Only snapshot batches merged since the last run can hold
-                # versions past the dimension's mark (the mark filter decides).
-                snap = self.snapshot.changes_since(self._snapshot_seen)
-                self.clients.merge(dim_clients_delta(snap, None, mark=self.clients.mark()),
-                                   batch_id=run_id)
-                self._snapshot_seen = self.snapshot.version()
+                # Only snapshot batches past the dimension's offset can hold
+                # versions past its mark (the mark filter decides).
+                merge(self.clients, lambda: dim_clients_delta(
+                    self.snapshot.changes_after(self.clients.offset()), None, mark=self.clients.mark()))
 
         branches = []
         if "invalid" in want:
@@ -147,16 +160,41 @@ class FraudWarehouse:
             for f in [pool.submit(b) for b in branches]:
                 f.result()  # re-raise a failed branch
         if "facts" in want:
-            self.facts.merge(fact_delta(txn, self.merchants.read(), self.clients.read(), None,
-                                        self.facts.mark()), batch_id=run_id)
+            merge(self.facts, lambda: fact_delta(
+                fraud.stg_transactions(fresh("raw_trans", self.facts)), self.merchants.read(), self.clients.read(),
+                None, self.facts.mark()))
+
+
+def land_batches(spark: SparkSession, raw: dict[str, DataFrame], root: str,
+                 batch: Callable[[str], Column]) -> dict[str, DataFrame]:
+    """The raw tables as landing tables, one folder per batch."""
+    for name, df in raw.items():
+        df.withColumn("batch_id", batch(name)).write.partitionBy("batch_id").parquet(f"{root}/{name}")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in raw}
+
+
+def batch_of_cut(cuts: Sequence) -> Column:
+    """The load that delivers a row: the first cut past its load time."""
+    batch = F.lit(0)
+    for cut in cuts:
+        if cut is not None:
+            batch = batch + (F.col("meta_load_ts") >= ntz(cut)).cast("int")
+    return batch
+
+
+NEEDS = {"invalid": ("raw_trans",), "merchants": ("raw_merch",), "snapshot": ("raw_clients",),
+         "clients": ("raw_clients",), "facts": ("raw_trans", "raw_merch", "raw_clients")}
 
 
 def replay(spark: SparkSession, raw: dict[str, DataFrame], name: str,
            models: Sequence[str], cuts=DEFAULT_CUTS) -> FraudWarehouse:
     """Run the V3 models once per load cut on a fresh warehouse."""
-    wh = FraudWarehouse(spark, scratch_path(spark, name))
-    for run_id, cut in enumerate(cuts):
-        wh.run({k: visible(v, cut) for k, v in raw.items()}, run_id, models)
+    root = scratch_path(spark, name)
+    wh = FraudWarehouse(spark, root)
+    used = {t: raw[t] for m in models for t in NEEDS[m]}
+    landing = land_batches(spark, used, f"{root}/landing", lambda _name: batch_of_cut(cuts))
+    for run_id in range(len(cuts)):
+        wh.run(landing, run_id, models)
     return wh
 
 
@@ -206,7 +244,8 @@ def conformed_table(spark: SparkSession, root: str) -> KeyedTable:
 
 def upsert_conformed(table: KeyedTable, batch: DataFrame, batch_id: int, stamp) -> bool:
     """H1: changed-only upsert of one landing batch; idempotent per batch id."""
-    return table.merge(conformed_source(batch), stamp=("processed_ts", stamp), batch_id=batch_id)
+    return table.merge(conformed_source(batch), stamp=("processed_ts", stamp), batch_id=batch_id,
+                       on_duplicates="unique")
 
 
 def conformed_replay(landing: DataFrame, batch_col: str = "batch_id") -> DataFrame:

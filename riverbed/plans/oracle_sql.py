@@ -228,6 +228,34 @@ SELECT trans_id, trans_ts, category, is_fraud,
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_id ORDER BY arrival DESC) AS r2 FROM per)
 WHERE r2 = 1""")
 
+ORACLE_SQL["fraud_propagated"] = build("SELECT * FROM fraud_full", "fraud_full")
+ORACLE_SQL["fraud_refresh_runs"] = build(f"""
+WITH cuts AS ({_CUTS}),
+t AS (SELECT s.trans_ts, s.card_num, s.merchant, cuts.r FROM stg_transactions s
+      JOIN cuts ON s.meta_load_ts >= cuts.lo AND s.meta_load_ts < cuts.hi WHERE s.validation_status = 'VALID'),
+m AS (SELECT r, merchant, merchant_lat, merchant_long FROM (
+    SELECT cuts.r, s.*, ROW_NUMBER() OVER (PARTITION BY cuts.r, s.merchant ORDER BY
+           s.meta_load_ts DESC, s.meta_file_row_number DESC, s.meta_filename DESC) AS rn
+    FROM stg_merchants s JOIN cuts ON s.meta_file_row_number % 3 <= cuts.r) WHERE rn = 1),
+cd AS (SELECT r, card_num, first_name, last_name, gender, job, city, state, meta_load_ts AS valid_from FROM (
+    SELECT cuts.r, s.*, ROW_NUMBER() OVER (PARTITION BY cuts.r, s.card_num, s.meta_load_ts
+           ORDER BY s.meta_file_row_number DESC, s.meta_filename DESC) AS rn
+    FROM stg_clients s JOIN cuts
+      ON (CAST(regexp_extract(s.meta_filename, '_([0-9]+)', 1) AS INTEGER) + s.meta_file_row_number) % 3 <= cuts.r)
+  WHERE rn = 1),
+changed_m AS (SELECT DISTINCT r, merchant FROM (
+    SELECT * FROM m EXCEPT SELECT r + 1, merchant, merchant_lat, merchant_long FROM m)),
+changed_c AS (SELECT r, card_num, MIN(valid_from) AS since FROM (
+    SELECT * FROM cd EXCEPT SELECT r + 1, card_num, first_name, last_name, gender, job, city, state, valid_from
+    FROM cd) GROUP BY r, card_num)
+SELECT CAST(cuts.r AS INTEGER) AS refresh, 'DT_FRAUD_FULL' AS name, 'SUCCEEDED' AS state,
+  CASE WHEN cuts.r = 0 THEN 'FULL' ELSE 'INCREMENTAL' END AS refresh_action,
+  COUNT(CASE WHEN t.r = cuts.r OR cm.merchant IS NOT NULL OR cc.card_num IS NOT NULL THEN 1 END) AS row_count
+FROM cuts JOIN t ON t.r <= cuts.r
+LEFT JOIN changed_m cm ON cm.r = cuts.r AND cm.merchant = t.merchant
+LEFT JOIN changed_c cc ON cc.r = cuts.r AND cc.card_num = t.card_num AND t.trans_ts >= cc.since
+GROUP BY cuts.r""", "stg_transactions", "stg_merchants", "stg_clients")
+
 # -- H15 ---------------------------------------------------------------------------
 ORACLE_SQL["v2_pipeline_fact"] = build("SELECT * FROM fraud_full", "fraud_full")
 ORACLE_SQL["v2_refresh_runs"] = build("""

@@ -172,6 +172,40 @@ def fraud_incremental(spark, sf):
     return _replay(spark, sf, "facts", ["merchants", "snapshot", "clients", "facts"]).facts.read()
 
 
+def _propagated(spark, sf):
+    """The fact refreshed three times. Client files are delivered in turn, so
+    versions arrive late, between versions that are there; so do merchants."""
+    from riverbed.plans.incremental import DEFAULT_CUTS, batch_of_cut, land_batches
+    from riverbed.plans.pipeline import RunLog
+    from riverbed.plans.propagate import FraudFact
+    from riverbed.session import scratch_path
+    root = scratch_path(spark, "propagated")
+    file_number = F.regexp_extract("meta_filename", "_([0-9]+)", 1).cast("int")
+    batch = {"raw_trans": batch_of_cut(DEFAULT_CUTS), "raw_clients": (file_number + F.col("meta_file_row_number")) % 3,
+             "raw_merch": F.col("meta_file_row_number") % 3}
+    landing = land_batches(spark, fx.raw_tables(spark, sf), f"{root}/landing", lambda n: batch[n].cast("int"))
+    fact, log = FraudFact(spark, root), RunLog(spark)
+    for n in range(3):
+        fact.refresh(landing, n, log)
+    return fact, log
+
+
+@query
+def fraud_propagated(spark, sf):
+    """H8 + H15: the enriched fact kept incrementally, with late client
+    versions and merchants carried to the rows they change (= fraud_full)."""
+    return _propagated(spark, sf)[0].read()
+
+
+@query
+def fraud_refresh_runs(spark, sf):
+    """H15 + M8: action and recomputed rows of each refresh: the new rows and
+    those that a changed merchant or client version reaches, no others."""
+    rows = _propagated(spark, sf)[1].held
+    return spark.createDataFrame([(n, r.name, r.state, r.refresh_action, r.row_count) for n, r in enumerate(rows)],
+                                 "refresh int, name string, state string, refresh_action string, row_count bigint")
+
+
 def _landing(spark, sf):
     from riverbed.plans.incremental import landing_batch, typed_landing
     lan = typed_landing(fx.raw_trans(spark, sf))

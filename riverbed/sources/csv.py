@@ -270,12 +270,25 @@ def numbered_records(spark: SparkSession, path: str | Sequence[str], fmt: CsvFor
                                                   F.lit("\r\n"), F.lit("\n")))
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """Size from which Spark may cut a file into several splits."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:], 0)
+    return int(text[:-1] if unit else text) << unit
+
+
 def read_numbered(spark: SparkSession, path: str | Sequence[str], n_fields: int,
-                  fmt: CsvFormat = CsvFormat()) -> DataFrame:
+                  fmt: CsvFormat = CsvFormat(), largest: int | None = None) -> DataFrame:
     """Every field as text by position, the raw text of malformed rows, the
-    file's name and the row's number in it (header not counted)."""
+    file's name and the row's number in it (header not counted). Files that are
+    one split each are a task each in either way, and the reader's multi-line
+    mode is then the cheaper one; a ``largest`` file of more (None: listed)
+    takes the way in splits."""
     fields = [f.name for f in positional_schema(n_fields)]
-    if not fmt.in_splits:
+    if fmt.in_splits and largest is None:
+        files = file_inventory(spark, path if isinstance(path, str) else list(path), None)
+        largest = files.agg(F.max("size")).first()[0] or 0
+    if not fmt.in_splits or largest <= split_bytes(spark):
         return (with_file_row_number(read_text_table(spark, path, n_fields, fmt))
                 .select(*fields, "meta_filename", "meta_file_row_number"))
     drop = ("header", "multiLine", "encoding", "enforceSchema")
@@ -297,7 +310,7 @@ def read_landing(spark: SparkSession, path: str | Sequence[str], n_fields: int,
                            ntz(load_ts).alias("meta_load_ts"))
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str | None = "*.csv") -> DataFrame:
+def file_inventory(spark: SparkSession, path: str | list[str], glob: str | None = "*.csv") -> DataFrame:
     """Name, size and modification time of every file (the content
     column is pruned, so no file body is read), and ``meta_filename``, the name
     as the rows of the file carry it."""

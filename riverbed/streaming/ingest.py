@@ -109,9 +109,10 @@ class FileIngest:
         """Land and ledger one planned batch; repeating it changes nothing."""
         plan = self.spark.read.schema(PLAN).parquet(f"{self.target}/plan/batch_id={batch_id}")
         # One batch of names, at most ``max_files``.
-        files = plan.select("name", "last_load_time").collect()
+        files = plan.select("name", "file_size", "last_load_time").collect()
         load_ts = files[0]["last_load_time"]
-        numbered = read_numbered(self.spark, [escape_glob(f["name"]) for f in files], self.n_fields, self.fmt)
+        numbered = read_numbered(self.spark, [escape_glob(f["name"]) for f in files], self.n_fields, self.fmt,
+                                 max(f["file_size"] for f in files))
         rows = numbered.select(*pick(numbered, self.positions, self.fmt), "meta_filename", "meta_file_row_number",
                                ntz(load_ts).alias("meta_load_ts"),
                                F.col(CORRUPT).isNotNull().alias("meta_malformed"))

@@ -8,13 +8,21 @@ their role. Files go through Spark's text sink, so they can live on any file
 system Spark writes to: a member is one value, and the line separator is an
 empty gzip member, which decodes to nothing.
 
-Reading. Each file is scanned from its start. A member or version line is
-taken only if it passes all checks (gzip CRC, version line, Content-Length,
-end of record, block and payload digests). After a failed check the reader
-searches for the next valid member or version line and goes on there; the
-bytes between are logged as a ``gap`` row (file, offset, length, reason) and
-nothing else is lost. Gzip members and plain records may be mixed in a file.
-A file is one task; the writer rolls files by ``records_per_file``.
+Reading. Each file is scanned from its start. A record is taken only if it
+passes all checks (version line, Content-Length, end of record, block and
+payload digests). After a failed check the reader searches for the next valid
+member or version line and goes on there; the bytes between are logged as a
+``gap`` row (file, offset, length, reason) and nothing else is lost. Gzip members
+and plain records may be mixed in a file, and a member may hold any number of
+records: its inflated bytes are searched in the same way, so a gap inside a
+member is logged too (``inside``: its place in the inflated bytes; ``offset`` and
+``length`` are the member's). A member whose data end early or fail its CRC gives
+the records before the damage, and the search goes on behind its start.
+
+A file is one task and must be under 2 GB, as Spark hands it over whole. The
+writer rolls files by bytes (``file_bytes``): pages of up to ``LARGE_PAGE`` bytes
+go so many to a file that the file cannot outgrow it, larger ones by the size of
+the largest.
 
 Defined cases: a NULL payload is empty; NULL urls give no target header and
 control characters in urls are percent-encoded; NULL page ids are written as
@@ -87,9 +95,12 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
 
 
-def write_warc(pages: DataFrame, path: str, records_per_file: int = 20_000) -> None:
+LARGE_PAGE, FILE_BYTES, RECORD_BYTES = 64 << 10, 512 << 20, 4 << 10
+
+
+def write_warc(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
     """Write ``pages`` (page_id, url, html; read from files) as WARC archives
-    below ``path``."""
+    of at most about ``file_bytes`` (one page at least) below ``path``."""
     rows = pages.select(F.monotonically_increasing_id().alias("rid"),
                         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string"),
                         F.coalesce("html", F.lit("")).cast("binary").alias("html"))
@@ -101,9 +112,16 @@ def write_warc(pages: DataFrame, path: str, records_per_file: int = 20_000) -> N
         F.col("rid").alias("role_rid"), F.col("top.rid").alias("top"), F.col("top.page_id").alias("top_page"))
     told = rows.join(roles, F.col("rid") == F.col("role_rid")).select(
         "rid", "page_id", "url", "html", "top", "top_page")
-    (told.mapInArrow(_members, "member binary").select(F.col("member").cast("string"))
-     .write.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    url_bytes = F.coalesce(F.octet_length("url"), F.lit(0)) * 3  # percent-encoded at worst
+    largest = rows.agg(F.max(F.octet_length("html") + url_bytes)).first()[0] or 0
+    size = F.octet_length("html") + url_bytes
+    parts = [(told, LARGE_PAGE)] if largest <= LARGE_PAGE else [
+        (told.filter(size <= LARGE_PAGE), LARGE_PAGE), (told.filter(size > LARGE_PAGE), largest)]
+    for part, most in parts:
+        per_file = max(1, min(20_000, file_bytes // (most + RECORD_BYTES)))
+        (part.mapInArrow(_members, "member binary").select(F.col("member").cast("string"))
+         .write.mode("append").option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1")
+         .option("maxRecordsPerFile", per_file).text(path))
 
 
 # -- salvage reader -------------------------------------------------------------------
@@ -111,16 +129,19 @@ class Bad(Exception):
     pass
 
 
-def _parse_record(data: bytes, at: int, exact: bool) -> tuple[dict, bytes, int]:
-    """The record that starts at ``at``: (headers, block, end). ``exact``: it
-    must end with the data (a gzip member holds one record)."""
-    if data[at: at + 7] != b"WARC/1." or data[at + 8: at + 10] != b"\r\n":
+class Short(Bad):
+    """The bytes end before the record does."""
+
+
+def _parse_record(data: bytes, at: int) -> tuple[dict, bytes, int]:
+    """The record that starts at ``at``: (headers, block, end)."""
+    if data[at: at + 7] != b"WARC/1."[: len(data) - at] or data[at + 8: at + 10] != b"\r\n"[: max(0, len(data) - at - 8)]:
         raise Bad("no version line")
     end = data.find(b"\r\n\r\n", at)
     if end < 0:
-        raise Bad("header not ended")
+        raise Short("header not ended")
     head = {}
-    for line in data[at:end].split(b"\r\n")[1:]:
+    for line in bytes(data[at:end]).split(b"\r\n")[1:]:
         k, colon, v = line.partition(b":")
         if not colon:
             raise Bad("malformed header")
@@ -132,11 +153,11 @@ def _parse_record(data: bytes, at: int, exact: bool) -> tuple[dict, bytes, int]:
     if not size.isdigit():
         raise Bad("no content length")
     start, stop = end + 4, end + 4 + int(size)
+    if stop + 4 > len(data):
+        raise Short("content length does not meet the record's end")
     if data[stop: stop + 4] != b"\r\n\r\n":
         raise Bad("content length does not meet the record's end")
-    if exact and stop + 4 != len(data):
-        raise Bad("member goes on after its record")
-    block = data[start:stop]
+    block = bytes(data[start:stop])
     want = head.get(b"warc-block-digest", b"")
     if want[:5] == b"sha1:" and sha1_base32(block).encode() != want[5:]:
         raise Bad("block digest differs")
@@ -148,57 +169,136 @@ def _parse_record(data: bytes, at: int, exact: bool) -> tuple[dict, bytes, int]:
     return head, block, stop + 4
 
 
-def _at(data: bytes, at: int) -> tuple[dict | None, bytes, int]:
-    """What starts at ``at``: a member (its record, or None if it is empty) or
-    a plain record."""
-    if data[at: at + 3] == GZIP_MAGIC:
-        z, parts, end = zlib.decompressobj(31), [], at
-        try:
-            while not z.eof and end < len(data):  # in steps: what is left over is copied
-                parts.append(z.decompress(data[end: end + FEED_BYTES]))
-                end = min(end + FEED_BYTES, len(data))
-        except zlib.error as e:
-            raise Bad("member: " + str(e).split(":")[-1].strip()) from None
-        if not z.eof:
-            raise Bad("member cut short")
-        body, end = b"".join(parts), end - len(z.unused_data)
-        if not body:
-            return None, b"", end
-        head, block, _ = _parse_record(body, 0, True)
-        return head, block, end
-    return _parse_record(data, at, False)
-
-
 _STARTS = re.compile(rb"\x1f\x8b\x08|WARC/1\.[0-9]\r\n")
+_VERSIONS = re.compile(rb"WARC/1\.[0-9]\r\n")
+VERSION_BYTES = 10
+KEPT_BYTES = 16 << 20
+
+
+def _member(data: bytes, at: int) -> Iterator[tuple]:
+    """The records and gaps (start, end, headers or None, block, reason) of
+    the member that starts at ``at``, by place in its inflated bytes, then one
+    row (None, end in the file, None, None, what is wrong with the member). The
+    bytes are inflated in steps, and those of records that are done are let go."""
+    z, buf, base, pos = zlib.decompressobj(31), bytearray(), 0, 0
+    end, error, gap, why = at, "", None, ""
+    while True:
+        done = bool(error) or z.eof or end >= len(data)
+        while pos < len(buf):
+            if len(buf) - pos <= 64 and not buf[pos:].strip(b"\r\n"):  # blank space between records
+                if done and gap is None:
+                    pos = len(buf)
+                break
+            try:
+                head, block, stop = _parse_record(buf, pos)
+            except Bad as e:
+                if isinstance(e, Short) and not done:
+                    break
+                if gap is None:
+                    gap, why = base + pos, str(e)
+                nxt = _VERSIONS.search(buf, pos + 1)
+                if nxt is None and not done:
+                    pos = max(pos + 1, len(buf) - VERSION_BYTES)
+                    break
+                pos = nxt.start() if nxt else len(buf)
+                continue
+            if gap is not None:
+                yield gap, base + pos, None, b"", why
+                gap = None
+            yield base + pos, base + stop, head, block, ""
+            pos = stop
+        if done:
+            break
+        del buf[:pos]
+        base, pos = base + pos, 0
+        size, before = FEED_BYTES, z.copy()
+        while not error:
+            try:
+                buf += z.decompress(data[end: end + size])
+                end = min(end + size, len(data))
+            except zlib.error as e:
+                if size > 1:  # a failed step gives nothing: take it byte by byte up to the damage
+                    z, size = before, 1
+                    continue
+                error = "member: " + str(e).split(":")[-1].strip()
+            if size > 1 or z.eof or end >= len(data):
+                break
+    if not error and not z.eof:
+        error = "member cut short"
+    if gap is not None and not error:
+        yield gap, base + len(buf), None, b"", why
+    yield None, end - len(z.unused_data), None, None, error
+
+
+def _member_rows(data: bytes, at: int) -> tuple[Iterator[tuple], int, str, bool]:
+    """(records and gaps, end, what is wrong, whether there are records) of a
+    member. Large members are gone through twice rather than held."""
+    kept, size, any_record, first_gap = [], 0, False, ""
+    for row in _member(data, at):
+        if row[0] is None:
+            _, end, _, _, error = row
+        else:
+            any_record |= row[2] is not None
+            first_gap = first_gap or row[4]
+            size += len(row[3])
+            if size <= KEPT_BYTES:
+                kept.append(row)
+    rows = kept if size <= KEPT_BYTES else (r for r in _member(data, at) if r[0] is not None)
+    return iter(rows), end, error or ("" if any_record else first_gap), any_record
+
+
+def _starts_here(data: bytes, at: int) -> tuple[Iterator[tuple], int, str, bool]:
+    """What starts at ``at``, as ``_member_rows`` has it; a plain record is
+    told by a start of -1."""
+    if data[at: at + 3] == GZIP_MAGIC:
+        return _member_rows(data, at)
+    try:
+        head, block, end = _parse_record(data, at)
+    except Bad as e:
+        return iter(()), at, str(e), False
+    return iter([(-1, end, head, block, "")]), end, "", True
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
-    """(offset, length, headers, block, reason) of each record, and of each
-    gap with headers None; together they cover the file but for empty members
-    and blank space between records."""
+    """(offset, length, inside, headers, block, reason) of each record, and of
+    each gap with headers None; together they cover the file but for empty
+    members and blank space between records. ``inside`` is the place in a
+    member's inflated bytes, None for plain records and gaps of the file; all
+    records and gaps of one member share its offset and length."""
     at, gap, why = 0, None, ""
     while at < len(data):
-        try:
-            head, block, end = _at(data, at)
-        except Bad as e:
+        rows, end, error, any_record = _starts_here(data, at)
+        if error and not any_record:
             if gap is None:
                 if not data[at:].strip(b"\r\n"):
                     return
-                gap, why = at, str(e)
+                gap, why = at, error
             nxt = _STARTS.search(data, at + 1)
             at = nxt.start() if nxt else len(data)
             continue
         if gap is not None:
-            yield gap, at - gap, None, b"", why
+            yield gap, at - gap, None, None, b"", why
             gap = None
-        if head is not None:
-            yield at, end - at, head, block, ""
+        if error:  # good records before the damage; the next sound start ends what is lost
+            nxt = _STARTS.search(data, at + 1)
+            while nxt:
+                _, _, wrong, some = _starts_here(data, nxt.start())
+                if some or not wrong:
+                    break
+                nxt = _STARTS.search(data, nxt.start() + 1)
+            end = nxt.start() if nxt else len(data)
+        last = 0
+        for inside, stop, head, block, reason in rows:
+            yield at, end - at, None if inside < 0 else inside, head, block, reason
+            last = stop
+        if error:
+            yield at, end - at, last, None, b"", error
         at = end
     if gap is not None:
-        yield gap, len(data) - gap, None, b"", why
+        yield gap, len(data) - gap, None, None, b"", why
 
 
-RECORDS = ("file string, offset bigint, length bigint, kind string, record_id string, page_id bigint, "
+RECORDS = ("file string, offset bigint, length bigint, inside bigint, kind string, record_id string, page_id bigint, "
            "target_uri string, refers_to string, refers_to_page bigint, payload_bytes bigint, "
            "payload_digest string, reason string")
 
@@ -208,7 +308,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
     payload_bytes and payload_digest are computed from the block read, for
     revisits the digest is the header's. ``payload`` adds the block."""
     schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
-                        ("kind", pa.string()), ("record_id", pa.string()), ("page_id", pa.int64()),
+                        ("inside", pa.int64()), ("kind", pa.string()), ("record_id", pa.string()), ("page_id", pa.int64()),
                         ("target_uri", pa.string()), ("refers_to", pa.string()),
                         ("refers_to_page", pa.int64()), ("payload_bytes", pa.int64()),
                         ("payload_digest", pa.string()), ("reason", pa.string()),
@@ -220,15 +320,15 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
         for b in batches:
             for name, content in zip(b.column(0), b.column(1), strict=True):
                 name, out, held = name.as_py(), [], 0
-                for off, size, head, block, why in salvage(content.as_buffer().to_pybytes()):
+                for off, size, inside, head, block, why in salvage(content.as_buffer().to_pybytes()):
                     if head is None:
-                        out.append((name, off, size, "gap", None, None, None, None, None, None, None, why,
+                        out.append((name, off, size, inside, "gap", None, None, None, None, None, None, None, why,
                                     None))
                     else:
                         kind = text(head.get(b"warc-type"))
                         digest = (text(head.get(b"warc-payload-digest")) or "").removeprefix("sha1:") \
                             if kind == "revisit" else sha1_base32(block)
-                        out.append((name, off, size, kind, text(head.get(b"warc-record-id")),
+                        out.append((name, off, size, inside, kind, text(head.get(b"warc-record-id")),
                                     number(head.get(b"x-page-id")), text(head.get(b"warc-target-uri")),
                                     text(head.get(b"warc-refers-to")),
                                     number(head.get(b"x-refers-to-page-id")), len(block), digest, "",

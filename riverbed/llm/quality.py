@@ -4,20 +4,28 @@ The text view sees content: style shares (letters, capitals, digits, marks,
 line ends, repeated words, word length, size) and the presence of words that a
 test on the sample ties to the label. The metadata view sees source, language
 and size. Both are logistic models trained in numpy on a bounded sample of
-labelled documents (``LABELLED``). In each of ``ROUNDS`` rounds each view
-labels the documents of a bounded unlabelled pool (``POOL``) it is surest of,
-and hands them to the other view's training set. Then each view is calibrated
-on labelled documents kept aside, and their log-odds add up, less the prior
-they share.
+labelled documents (``LABELLED``, one row per id). Which words the text view
+sees is counted by Spark over that sample, so a row's features are bounded
+whatever its text's size.
+
+All unlabelled documents are the pool: their features are written once. In each
+of ``ROUNDS`` rounds tasks score all of them with both views; per view and class
+the ``PER_ROUND`` surest texts from ``SURE`` on get that label and join the other
+view's training set (equal texts count once). Then each view is calibrated on
+labelled documents kept aside, and their log-odds add up, less the prior they
+share.
 
 A document is good when its quality is 1 and it is not toxic; it is kept when
 its calibrated probability reaches ``THRESHOLD``. Every document is scored on
 its whole text, as a column function: no shuffle, and all columns stay as they
-are. Only ids of the sample are broadcast (at most LABELLED + 2 x POOL).
+are. Only ids of labelled documents are broadcast (at most LABELLED); the driver
+holds the features of these and of the pseudo-labelled (at most
+4 x ROUNDS x PER_ROUND).
 
 Defined cases: NULL text is empty; NULL metadata is a value of its own; NULL
-labels are not learned from; several labels of a document count as their
-worst; without labels of both kinds all scores are 0.5 and all stay; repeated
+labels are not learned from, and their documents are in no pool; several labels
+of a document count as their worst; of rows that share an id one is learned
+from; without labels of both kinds all scores are 0.5 and all stay; repeated
 rows get equal scores; an empty table gives an empty result. Columns the
 metadata view wants but the table lacks count as NULL.
 """
@@ -31,9 +39,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.llm.common import NON_ALNUM, batches_by_bytes, row_of, string_buffers, words
+from riverbed.llm.common import NON_ALNUM, batches_by_bytes, row_of, stage_table, string_buffers, words
 
-LABELLED, POOL = 6000, 6000
+LABELLED = 6000
 ROUNDS, PER_ROUND, SURE = 4, 300, 0.95
 THRESHOLD = 0.5
 WORD_BITS = 22
@@ -152,8 +160,7 @@ def fit_platt(z: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, fl
 
 @dataclass
 class Views:
-    """Both trained views; ``words`` maps word slots to columns of the text
-    view (0: none)."""
+    """Both trained views; ``word_slots`` are the text view's words, sorted."""
     text: Linear
     meta: Linear
     word_slots: np.ndarray
@@ -165,119 +172,202 @@ class Views:
         return _sigmoid(text_logit + meta_logit - self.prior)
 
 
-# -- sample ---------------------------------------------------------------------------
-def _sample(docs: DataFrame, labels: DataFrame, labelled: int, pool: int):
-    """Rows of the bounded sample: (y or -1, style, word slots, metadata
-    slots)."""
+# -- sample and pool -----------------------------------------------------------------
+def _inputs(docs: DataFrame) -> DataFrame:
+    """What both views see of a document, and a hash of it."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                       metadata_slots(docs).alias("meta"))
+    return rows.withColumn("same", F.xxhash64("text", "meta"))
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
+    """The bounded labelled sample, one row per id: inputs, y and whether the
+    row is kept aside for calibration."""
     good = F.when((F.min("quality") == 1) & (F.max("toxic") == 0), 1).otherwise(0)
     marks = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
-             .groupBy("doc_id").agg(good.alias("y")))
-    order = F.xxhash64(F.lit(31), "doc_id")
-    # Half of the labelled sample from each class, as far as there are any.
-    some = (marks.filter("y = 1").orderBy(order, "doc_id").limit(labelled - labelled // 3)
-            .unionByName(marks.filter("y = 0").orderBy(order, "doc_id").limit(labelled // 3)))
-    ids = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).filter("doc_id IS NOT NULL")
-           .orderBy(F.xxhash64(F.lit(32), "doc_id"), "doc_id").limit(2 * pool))
-    free = (ids.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").distinct()
-            .select("doc_id", F.lit(-1).alias("y")).limit(pool))
-    picked = some.unionByName(free).withColumnsRenamed({"doc_id": "picked_id", "y": "picked_y"})
-    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                        metadata_slots(docs).alias("meta"))
-            .join(F.broadcast(picked), F.col("doc_id") == F.col("picked_id")))  # at most labelled + pool ids
+             .groupBy(F.col("doc_id").cast("bigint").alias("picked_id")).agg(good.alias("y")))
+    order = F.xxhash64(F.lit(31), "picked_id")
+    # At most a third from the documents to reject.
+    some = (marks.filter("y = 1").orderBy(order, "picked_id").limit(labelled - labelled // 3)
+            .unionByName(marks.filter("y = 0").orderBy(order, "picked_id").limit(labelled // 3)))
+    rows = _inputs(docs).join(F.broadcast(some), F.col("doc_id") == F.col("picked_id"))  # at most ``labelled`` ids
+    one = rows.groupBy("doc_id").agg(F.min_by(F.struct("text", "meta", "same", "y"), "same").alias("r"))
+    return one.select("doc_id", "r.*", (F.pmod(F.xxhash64(F.lit(33), "doc_id"), F.lit(5)) == 0).alias("aside"))
+
+
+def _chosen_words(sample: DataFrame) -> np.ndarray:
+    """Slots of the words tied to the label, at most MAX_WORDS, sorted: the
+    difference of two shares in standard errors."""
+    def slots(batches):
+        for whole in batches:
+            for b in batches_by_bytes(whole, "text"):
+                h, n = words(b.column("text"), NON_ALNUM)
+                pair = np.unique((row_of(n).astype(np.int64) << WORD_BITS) | word_slots(h))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((pair & ((1 << WORD_BITS) - 1)).astype(np.int32)),
+                     b.column("y").take(pa.array(pair >> WORD_BITS))], ["slot", "y"])
+
+    known = sample.filter("NOT aside")
+    n1, n0 = known.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
+    counts = (known.select("text", "y").mapInArrow(slots, "slot int, y int").groupBy("slot")
+              .agg(F.count_if(F.col("y") == 1).alias("c1"), F.count_if(F.col("y") == 0).alias("c0")))
+    p = (F.col("c1") + F.col("c0")) / F.lit(max(n1 + n0, 1))
+    spread = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * F.lit(1 / max(n1, 1) + 1 / max(n0, 1)))
+    z = F.abs(F.col("c1") / F.lit(max(n1, 1)) - F.col("c0") / F.lit(max(n0, 1))) / spread
+    top = (counts.withColumn("z", z).filter((F.col("c1") + F.col("c0") >= MIN_ROWS) & (F.col("z") >= MIN_Z))
+           .orderBy(F.col("z").desc(), "slot").limit(MAX_WORDS).select("slot").collect())
+    return np.sort(np.array([r[0] for r in top], np.int64))
+
+
+def _columns(slot: np.ndarray, row: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the chosen words present, each once."""
+    if not len(chosen):
+        none = np.zeros(0, np.int64)
+        return none, none
+    at = np.minimum(np.searchsorted(chosen, slot), len(chosen) - 1)
+    has = np.flatnonzero(chosen[at] == slot)
+    pair = np.unique(row[has] * len(chosen) + at[has])
+    return pair // len(chosen), pair % len(chosen)
+
+
+FEATURES = "style array<double>, cols array<int>"
+
+
+def _features(rows: DataFrame, chosen: np.ndarray, keep: str) -> DataFrame:
+    """``keep`` columns plus style and chosen words of the texts."""
+    names = [c.split()[0] for c in keep.split(", ")]
 
     def run(batches):
         for whole in batches:
             for b in batches_by_bytes(whole, "text"):
                 h, n = words(b.column("text"), NON_ALNUM)
                 style = style_features(b.column("text"), h, n)
-                slot = word_slots(h)
-                cut = np.concatenate([[0], np.cumsum(n)])
+                row, col = _columns(word_slots(h), row_of(n), chosen)
+                cut = np.searchsorted(row, np.arange(len(n) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("picked_y"), b.column("meta"),
-                     pa.array(list(style), pa.list_(pa.float64())),
-                     pa.array([np.unique(slot[cut[i]: cut[i + 1]]).astype(np.int32) for i in range(len(n))],
-                              pa.list_(pa.int32()))], ["doc_id", "y", "meta", "style", "slots"])
+                    [*[b.column(c) for c in names],
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * STYLE),
+                                              pa.array(style.ravel())),
+                     pa.ListArray.from_arrays(pa.array(cut), pa.array(col.astype(np.int32)))],
+                    [*names, "style", "cols"])
 
-    return rows.select("doc_id", "picked_y", "meta", "text").mapInArrow(
-        run, "doc_id bigint, y int, meta array<int>, style array<double>, slots array<int>")
+    return rows.select(*names, "text").mapInArrow(run, f"{keep}, {FEATURES}")
 
 
 def _lists(column) -> tuple[np.ndarray, np.ndarray]:
     """(row, value) of a list column."""
-    column = column.combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     return row_of(np.diff(column.offsets.to_numpy())), column.flatten().to_numpy()
 
 
-def train_views(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Views | None:
-    """Co-train on the sample; None when a class has no labelled document."""
-    t = _sample(docs, labels, labelled, pool).toArrow()
-    if t.num_rows == 0:
-        return None
-    order = np.lexsort((t["y"].to_numpy(), t["doc_id"].to_numpy()))
-    t = t.take(pa.array(order)).combine_chunks()
-    y = t["y"].to_numpy()
-    style = _lists(t["style"])[1].reshape(-1, STYLE)
-    row, slot = _lists(t["slots"])
-    meta_row, meta_slot = _lists(t["meta"])
-    if (y == 1).sum() < 4 or (y == 0).sum() < 4:
-        return None
-    aside = (y >= 0) & (np.arange(len(y)) % 5 == 0)
-    known = (y >= 0) & ~aside
-    # Words tied to the label: difference of two shares, in standard errors.
-    n1, n0 = (known & (y == 1)).sum(), (known & (y == 0)).sum()
-    uniq, inv = np.unique(slot, return_inverse=True)
-    c1 = np.bincount(inv, (known & (y == 1))[row], len(uniq))
-    c0 = np.bincount(inv, (known & (y == 0))[row], len(uniq))
-    p = (c1 + c0) / max(n1 + n0, 1)
-    z = np.abs(c1 / max(n1, 1) - c0 / max(n0, 1)) / np.sqrt(
-        np.maximum(p * (1 - p), 1e-12) * (1 / max(n1, 1) + 1 / max(n0, 1)))
-    ok = np.flatnonzero((c1 + c0 >= MIN_ROWS) & (z >= MIN_Z))
-    ok = ok[np.argsort(-z[ok], kind="stable")][:MAX_WORDS]
-    chosen = np.sort(uniq[ok])
-    at = np.minimum(np.searchsorted(chosen, slot), max(len(chosen) - 1, 0))
-    hit = chosen[at] == slot if len(chosen) else np.zeros(len(slot), bool)
-    row, col = row[hit], at[hit]
-    mean, std = style[known].mean(0), style[known].std(0) + 1e-6
-    dense = np.clip((style - mean) / std, -8, 8)
-    none = np.zeros((len(y), 0))
-
-    def part(mask, view):
+class Inputs:
+    """Rows of features as both views take them."""
+
+    def __init__(self, t, mean: np.ndarray | None = None, std: np.ndarray | None = None, known=None):
+        style = _lists(t["style"])[1].reshape(-1, STYLE)
+        self.mean = style[known].mean(0) if mean is None else mean
+        self.std = style[known].std(0) + 1e-6 if std is None else std
+        self.dense = np.clip((style - self.mean) / self.std, -8, 8)
+        self.present = {"text": _lists(t["cols"]), "meta": _lists(t["meta"])}
+
+    def of(self, view: str, mask=None):
         """One view's inputs of the rows in ``mask``."""
-        place = np.cumsum(mask) - 1
-        r, c = (row, col) if view == "text" else (meta_row, meta_slot)
-        own = mask[r]
-        return (dense if view == "text" else none)[mask], place[r[own]], c[own]
+        row, col = self.present[view]
+        dense = self.dense if view == "text" else self.dense[:, :0]
+        if mask is None:
+            return dense, row, col
+        place, own = np.cumsum(mask) - 1, mask[row]
+        return dense[mask], place[row[own]], col[own]
+
 
+OTHER = {"text": "meta", "meta": "text"}
+
+
+def train_views(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Views | None:
+    """Co-train on sample and pool; None when a class has too few labels."""
+    sample = stage_table(_labelled(docs, labels, labelled), "quality-sample")
+    chosen = _chosen_words(sample)
+    t = _features(sample, chosen, "doc_id bigint, y int, aside boolean, meta array<int>").orderBy("doc_id").toArrow()
+    t = t.combine_chunks()  # at most ``labelled`` rows of bounded size
+    y = t["y"].to_numpy()
+    aside = t["aside"].to_numpy()
+    if min((y[~aside] == 1).sum(), (y[~aside] == 0).sum()) < 4 or not aside.any():
+        return None
+    base = Inputs(t, known=~aside)
     sizes = {"text": max(len(chosen), 1), "meta": META_SLOTS}
-    targets = {v: np.where(known, y, -1).astype(np.float64) for v in sizes}
-    unlabelled = y < 0
+    held = {v: base.of(v, aside) for v in sizes}
+    sets = {v: [(base.of(v, ~aside), y[~aside].astype(np.float64))] for v in sizes}
 
     def fit(view):
-        mask = targets[view] >= 0
-        return fit_linear(*part(mask, view), sizes[view], targets[view][mask],
-                          l2=1e-3 if view == "text" else 1e-2)
+        model = fit_linear(*_joined([x for x, _ in sets[view]]), sizes[view], np.concatenate([z for _, z in sets[view]]),
+                           l2=1e-3 if view == "text" else 1e-2)
+        calibrate(model, held[view], y[aside])
+        return model
 
     models = {v: fit(v) for v in sizes}
+    marked = labels.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("marked_id"))
+    free = _inputs(docs).join(marked, F.col("doc_id") == F.col("marked_id"), "left_anti")
+    pool = stage_table(_features(free, chosen, "same bigint, meta array<int>"), "quality-pool")
+    taken = {v: set() for v in sizes}
     for _ in range(ROUNDS):
-        grown = False
-        for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            model = models[teacher]
-            calibrate(model, part(aside, teacher), y[aside])
-            free = unlabelled & (targets[pupil] < 0)
-            p1 = _sigmoid(model.logit(*part(free, teacher)))
-            where = np.flatnonzero(free)
-            for label, sure in ((1.0, p1), (0.0, 1 - p1)):
-                top = np.argsort(-sure, kind="stable")[:PER_ROUND]
-                top = top[sure[top] >= SURE]
-                targets[pupil][where[top]] = label
-                grown |= len(top) > 0
-        if not grown:
+        picks = _surest(pool, models, base.mean, base.std, taken)  # view -> [(same, label)]
+        if not any(picks.values()):
             break
+        rows = _pool_rows(pool, sorted({h for p in picks.values() for h, _ in p}))
+        found = Inputs(rows, base.mean, base.std)
+        at = {h: i for i, h in enumerate(rows["same"].to_pylist())}
+        for teacher, chosen_rows in picks.items():
+            pupil = OTHER[teacher]
+            taken[pupil] |= {h for h, _ in chosen_rows}
+            target = np.full(len(at), -1.0)
+            target[[at[h] for h, _ in chosen_rows]] = [x for _, x in chosen_rows]
+            if len(chosen_rows):
+                sets[pupil].append((found.of(pupil, target >= 0), target[target >= 0]))
         models = {v: fit(v) for v in sizes}
-    for v, model in models.items():
-        calibrate(model, part(aside, v), y[aside])
     share = (y[aside].sum() + 1) / (aside.sum() + 2)
-    return Views(models["text"], models["meta"], chosen, mean, std, float(np.log(share / (1 - share))))
+    return Views(models["text"], models["meta"], chosen, base.mean, base.std, float(np.log(share / (1 - share))))
+
+
+def _joined(parts):
+    """Inputs of several sets of rows, one after another."""
+    dense = np.concatenate([d for d, _, _ in parts])
+    at = np.cumsum([0, *[len(d) for d, _, _ in parts]])
+    return (dense, np.concatenate([r + a for (_, r, _), a in zip(parts, at, strict=False)]),
+            np.concatenate([c for _, _, c in parts]))
+
+
+def _surest(pool: DataFrame, models: dict, mean, std, taken: dict) -> dict:
+    """Per teaching view the surest texts of the pool and their labels, without
+    those that its pupil has: at most 2 x PER_ROUND. All of the pool is scored
+    in tasks; equal texts are one."""
+    def run(batches):
+        for b in batches:
+            x = Inputs(b, mean, std)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("same"), *[pa.array(_sigmoid(models[v].logit(*x.of(v)))) for v in ("text", "meta")]],
+                ["same", "text", "meta"])
+
+    scored = stage_table(pool.mapInArrow(run, "same bigint, text double, meta double")
+                         .groupBy("same").agg(F.max("text").alias("text"), F.max("meta").alias("meta")), "quality-scores")
+    out = {}
+    for view in ("text", "meta"):
+        had, picks = taken[OTHER[view]], {}
+        for label, sure in ((1.0, F.col(view)), (0.0, 1 - F.col(view))):
+            top = (scored.select("same", sure.alias("sure")).filter(F.col("sure") >= SURE)
+                   .orderBy(F.col("sure").desc(), "same").limit(PER_ROUND + len(had)).collect())
+            for h in [r["same"] for r in top if r["same"] not in had][:PER_ROUND]:
+                picks.setdefault(h, label)
+        out[view] = list(picks.items())
+    return out
+
+
+def _pool_rows(pool: DataFrame, hashes: list[int]):
+    """Features of the picked texts, one row each (at most 4 x PER_ROUND)."""
+    want = pool.sparkSession.createDataFrame([(h,) for h in hashes], "want bigint")
+    rows = pool.join(F.broadcast(want), F.col("same") == F.col("want"))
+    one = rows.groupBy("same").agg(F.first(F.struct("meta", "style", "cols")).alias("r"))
+    return one.select("same", "r.*").orderBy("same").toArrow().combine_chunks()
 
 
 # -- scoring --------------------------------------------------------------------------
@@ -295,17 +385,7 @@ def score_column(views: Views | None, docs: DataFrame) -> Column:
         for part in batches_by_bytes(b, "text"):
             h, n = words(part.column("text"), NON_ALNUM)
             style = np.clip((style_features(part.column("text"), h, n) - views.mean) / views.std, -8, 8)
-            slot, row = word_slots(h), row_of(n)
-            chosen = views.word_slots
-            if len(chosen):
-                table = np.zeros(1 << WORD_BITS, np.int32)
-                table[chosen] = np.arange(1, len(chosen) + 1)
-                col = table[slot]
-                has = np.flatnonzero(col)
-                pair = np.unique(row[has] * len(chosen) + col[has] - 1)  # present or not
-                row, col = pair // len(chosen), pair % len(chosen)
-            else:
-                row = col = np.zeros(0, np.int64)
+            row, col = _columns(word_slots(h), row_of(n), views.word_slots)
             t = views.text.logit(style, row, col)
             m_col = part.column("meta")
             m_row = row_of(np.diff(m_col.offsets.to_numpy()))

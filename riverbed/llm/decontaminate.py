@@ -7,10 +7,14 @@ threshold are fingerprinted; a multi-index finds every item within Hamming
 radius ``RADIUS``: fingerprints are cut into four 16-bit blocks, and two that
 differ in at most 15 bits agree within 3 bits in at least one block, so
 looking up each block among the items' blocks with up to 3 flipped bits misses
-none. Candidates are verified by the exact weighted Jaccard similarity. A match
-near the threshold can lie outside the radius, so the items whose shingles a
-text holds to a sufficient weight are found as well, and windows are verified
-as long as the weight they share allows a better similarity: none is lost.
+none. Candidates are verified by the exact weighted Jaccard similarity.
+
+The radius is a guarantee about fingerprints, not about similarities: a match
+near the threshold can lie outside it. For those alone there is a second way:
+windows whose fingerprint is further than the radius from an item that the text
+holds to a sufficient weight are verified as long as the weight they share
+allows a better similarity. So none is lost; ``find_leaks`` says of each match
+which way found it (``by_index``).
 
 A window is skipped before fingerprinting only if it holds fewer benchmark
 shingles than any item of its size needs to reach the threshold, which is a
@@ -19,7 +23,8 @@ heaviest shingle). That lets one pass without shuffle read the corpus.
 
 The index of at most ``ITEMS_PER_SLICE`` items (and ``WORDS_PER_SLICE`` words)
 goes to the tasks; a larger benchmark is split into slices by hash, each a
-pass of its own, so what is sent stays bounded.
+pass of its own whose matches are written before the next slice's index is
+made, so the driver and what is sent hold one slice at a time.
 
 Defined cases: NULL texts and items are empty and never match; an item of
 fewer than five words is one shingle and matches only a text of just these
@@ -40,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.llm.common import NON_ALNUM, batches_by_bytes, shingles, texts, words
+from riverbed.llm.common import NON_ALNUM, batches_by_bytes, shingles, stage_table, texts, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -160,8 +165,8 @@ class ItemIndex:
 
 
 def match_row(s: np.ndarray, w: np.ndarray, hit: np.ndarray, index: ItemIndex) -> dict:
-    """{item: (similarity, first shingle, shingles)} of one text: the best
-    window of each item that reaches the threshold."""
+    """{item: (similarity, first shingle, shingles, by index)} of one text: the
+    best window of each item that reaches the threshold."""
     n = len(s)
     cum = np.concatenate([[0], np.cumsum(hit)])
     starts, sizes, lens = [], [], []
@@ -177,6 +182,7 @@ def match_row(s: np.ndarray, w: np.ndarray, hit: np.ndarray, index: ItemIndex) -
         return {}
     start, size, k = (np.concatenate(x) for x in (starts, sizes, lens))
     best: dict = {}
+    fingerprint = np.zeros(len(start), np.uint64)
     lo, hi = int(start.min()), int((start + k).max())
     for a, b, pick in _spans(start, k, lo, hi):
         sums = np.zeros((b - a + 1, 64), np.int64)
@@ -184,7 +190,7 @@ def match_row(s: np.ndarray, w: np.ndarray, hit: np.ndarray, index: ItemIndex) -
         st, ln = start[pick], k[pick]
         for c in range(0, len(st), 20_000):
             x, y = st[c: c + 20_000], ln[c: c + 20_000]
-            prints = _pack(sums[x + y - a] - sums[x - a] > 0)
+            prints = fingerprint[pick[c: c + 20_000]] = _pack(sums[x + y - a] - sums[x - a] > 0)
             win, item, dist = index.lookup(prints, size[pick][c: c + 20_000])
             for o in np.argsort(dist, kind="stable").tolist():
                 i, p, q = int(item[o]), int(x[win[o]]), int(y[win[o]])
@@ -192,10 +198,11 @@ def match_row(s: np.ndarray, w: np.ndarray, hit: np.ndarray, index: ItemIndex) -
                     continue
                 sim = weighted_jaccard((s[p: p + q], w[p: p + q]), index.items[i])
                 if sim >= index.threshold and sim > best.get(i, (0,))[0]:
-                    best[i] = (sim, p, q)
+                    best[i] = (sim, p, q, True)
     total = np.concatenate([[0], np.cumsum(w)])
     for i in index.sharing(s[hit]).tolist():
-        own = np.flatnonzero(size == index.size[i])
+        far = np.bitwise_count(fingerprint ^ index.prints[i]) > RADIUS  # the index has seen the others
+        own = np.flatnonzero((size == index.size[i]) & far)
         x, y = start[own], k[own]
         cum = np.concatenate([[0], np.cumsum(np.where(hit & np.isin(s, index.items[i][0]), w, 0))])
         shared = np.minimum(cum[x + y] - cum[x], index.total[i])
@@ -206,7 +213,7 @@ def match_row(s: np.ndarray, w: np.ndarray, hit: np.ndarray, index: ItemIndex) -
             p, q = int(x[o]), int(y[o])
             sim = weighted_jaccard((s[p: p + q], w[p: p + q]), index.items[i])
             if sim >= index.threshold and sim > best.get(i, (0,))[0]:
-                best[i] = (sim, p, q)
+                best[i] = (sim, p, q, False)
     return best
 
 
@@ -234,8 +241,9 @@ def _spans(start, k, lo, hi, limit: int = 100_000):
             yield a, int((start[pick] + k[pick]).max()), pick
 
 
+LISTS = ("item_ids", "similarity", "first_word", "n_words", "by_index")
 SCHEMA = ("rid bigint, doc_id bigint, item_ids array<bigint>, similarity array<double>, "
-          "first_word array<bigint>, n_words array<bigint>")
+          "first_word array<bigint>, n_words array<bigint>, by_index array<boolean>")
 
 
 def _matches(rows: DataFrame, index: ItemIndex) -> DataFrame:
@@ -252,17 +260,18 @@ def _matches(rows: DataFrame, index: ItemIndex) -> DataFrame:
             out["similarity"].append([float(got[i][0]) for i in order])
             out["first_word"].append([int(got[i][1]) for i in order])
             out["n_words"].append([int(got[i][2]) + SHINGLE - 1 for i in order])
+            out["by_index"].append([bool(got[i][3]) for i in order])
         return pa.RecordBatch.from_arrays(
             [b.column("rid"), b.column("doc_id"), pa.array(out["item_ids"], pa.list_(pa.int64())),
              pa.array(out["similarity"], pa.list_(pa.float64())), pa.array(out["first_word"], pa.list_(pa.int64())),
-             pa.array(out["n_words"], pa.list_(pa.int64()))],
-            ["rid", "doc_id", "item_ids", "similarity", "first_word", "n_words"])
+             pa.array(out["n_words"], pa.list_(pa.int64())), pa.array(out["by_index"], pa.list_(pa.bool_()))],
+            ["rid", "doc_id", *LISTS])
 
     return rows.mapInArrow(run, SCHEMA)
 
 
-def _indexes(benchmark: DataFrame, threshold: float, items_per_slice: int) -> Iterator[ItemIndex]:
-    """The benchmark's items, slice by slice."""
+def _indexes(benchmark: DataFrame, threshold: float, items_per_slice: int) -> tuple[int, Iterator[ItemIndex]]:
+    """The number of slices, and the benchmark's items slice by slice."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"),
                              F.coalesce("text", F.lit("")).alias("text"))
     count, size, named = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0)),
@@ -271,27 +280,34 @@ def _indexes(benchmark: DataFrame, threshold: float, items_per_slice: int) -> It
         known = items.filter("item_id IS NOT NULL")
         items = known.unionByName(items.filter("item_id IS NULL").join(known.select("text"), "text", "left_anti"))
     slices = max(1, -(-count // items_per_slice), -(-size // (5 * WORDS_PER_SLICE)))
-    for k in range(slices):
+
+    def one(k: int) -> ItemIndex:
         part = items if slices == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
         got = part.collect()  # one slice: bounded by its item and word limits
-        yield ItemIndex([r[0] for r in got], [r[1] for r in got], threshold)
+        return ItemIndex([r[0] for r in got], [r[1] for r in got], threshold)
+
+    return slices, map(one, range(slices))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                items_per_slice: int = ITEMS_PER_SLICE) -> DataFrame:
     """One row per document: rid, doc_id, contaminated, and the items found
-    with their similarity and place (first word and number of words)."""
+    with their similarity, place (first word and number of words) and whether
+    the fingerprint index found them."""
     rows = texts(docs)
-    parts = [_matches(rows, index) for index in _indexes(benchmark, threshold, items_per_slice)]
-    out = parts[0]
-    if len(parts) > 1:
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        out = out.groupBy("rid").agg(F.first("doc_id").alias("doc_id"),
-                                     *[F.flatten(F.collect_list(c)).alias(c)
-                                       for c in ("item_ids", "similarity", "first_word", "n_words")])
-    return out.select("rid", "doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids",
-                      "similarity", "first_word", "n_words")
+    slices, indexes = _indexes(benchmark, threshold, items_per_slice)
+    if slices == 1:
+        out = _matches(rows, next(indexes))
+    else:
+        found = None
+        for index in indexes:
+            part = stage_table(_matches(rows, index).filter("size(item_ids) > 0").drop("doc_id"), "leaks")
+            found = part if found is None else found.unionByName(part)
+        per = found.groupBy("rid").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in LISTS])
+        none = {c: F.coalesce(F.col(c), F.array().cast(t.dataType)) for c, t in
+                ((f.name, f) for f in per.schema.fields if f.name in LISTS)}
+        out = rows.select("rid", "doc_id").join(per, "rid", "left").withColumns(none)
+    return out.select("rid", "doc_id", (F.size("item_ids") > 0).alias("contaminated"), *LISTS)
 
 
 def _leaks(index: ItemIndex):
@@ -303,9 +319,17 @@ def _leaks(index: ItemIndex):
     return leaks
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
+               items_per_slice: int = ITEMS_PER_SLICE) -> DataFrame:
     """The rows of ``docs`` without a benchmark passage, all columns as they
-    were; a column function, so nothing is shuffled."""
-    for index in _indexes(benchmark, threshold, ITEMS_PER_SLICE):
-        docs = docs.filter(~_leaks(index)(F.coalesce(F.col("text"), F.lit(""))))
-    return docs
+    were; for a benchmark of one slice a column function, so nothing is
+    shuffled, else the rows that some slice matched are taken away."""
+    slices, indexes = _indexes(benchmark, threshold, items_per_slice)
+    if slices == 1:
+        return docs.filter(~_leaks(next(indexes))(F.coalesce(F.col("text"), F.lit(""))))
+    rows, found = texts(docs), None
+    for index in indexes:
+        part = stage_table(_matches(rows, index).filter("size(item_ids) > 0").select("rid"), "leaks")
+        found = part if found is None else found.unionByName(part)
+    return (docs.withColumn("__rid", F.monotonically_increasing_id())
+            .join(found.withColumnRenamed("rid", "__leak"), F.col("__rid") == F.col("__leak"), "left_anti").drop("__rid"))

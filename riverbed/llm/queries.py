@@ -84,7 +84,7 @@ def op7_decontaminate(spark, sf):
     from riverbed.llm.decontaminate import find_leaks
     return (find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
             .select("doc_id", "contaminated", "item_ids", F.array_max("similarity").alias("similarity"),
-                    "first_word", "n_words"))
+                    "first_word", "n_words", "by_index"))
 
 
 @query

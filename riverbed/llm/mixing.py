@@ -4,13 +4,16 @@ Weights are source token shares raised to an exponent and normalised. Exponent
 1 keeps the corpus's own mix, 0 makes all sources equal. It is bisected to the
 smallest value (the flattest mix) that keeps a limit: either the entropy of the
 weights is at most a target, or no source is repeated more than a number of
-times within the budget. Both only ever decide on sums over sources, so each
+times within the budget. Unless told otherwise, the target lies ``FLATTEN`` of
+the way from the corpus's own entropy to that of an even mix, so sources of
+different sizes always get an exponent between 0 and 1. Both only ever decide on sums over sources, so each
 round of the search is one aggregation that tries 32 exponents at once; no
 list of sources is held on the driver.
 
 The budget of each source is dealt out in passes: whole passes over the source,
 then part of one. The last pass takes the source's blocks (of about
-``block_tokens`` tokens, by hash of the document) in the order of a permutation
+``block_tokens`` tokens and at most about ``BLOCK_ROWS`` documents, by hash of
+the document) in the order of a permutation
 keyed by seed, source and pass, until its tokens are used up; in the block that
 straddles the budget, documents are taken in hashed order while they fit.
 Running sums go over 1024 ranges of the permutation first, then over the blocks
@@ -37,7 +40,9 @@ ROUNDS, GRID = 4, 32
 MAX_EXPONENT = 8.0
 RANGES = 1024
 BLOCK_TOKENS = 100_000
+BLOCK_ROWS = 20_000
 MAX_EPOCHS = 4.0
+FLATTEN = 0.5
 SEED = 17
 
 
@@ -76,8 +81,9 @@ def find_exponent(sources: DataFrame, target_entropy: float | None = None, max_e
                   budget: float | None = None) -> float:
     """Smallest exponent in [0, 1] whose mix keeps the limits (the upper end
     if none does); with a target entropy the search goes up to MAX_EXPONENT,
-    as a target below the corpus's own entropy needs an exponent over 1. ``sources``: (source, tokens > 0, total). Without a budget, the
-    budget is the least that draws every source whole once."""
+    as a target below the corpus's own entropy needs an exponent over 1.
+    ``sources``: (source, tokens > 0, total). Without a budget, the budget is
+    the least that draws every source whole once."""
     lo, hi = 0.0, 1.0 if target_entropy is None else MAX_EXPONENT
 
     def fits(entropy, most):
@@ -96,17 +102,28 @@ def find_exponent(sources: DataFrame, target_entropy: float | None = None, max_e
     return hi
 
 
+def flattened_entropy(live: DataFrame, flatten: float) -> float:
+    """The entropy ``flatten`` of the way from that of the sources' own shares
+    to that of as many even ones."""
+    p = F.col("tokens") / F.col("total")
+    own, n = live.agg(-F.sum(p * F.log(p)), F.count(F.lit(1))).first()
+    return own + flatten * (math.log(n) - own)
+
+
 def mixing_weights(counts: DataFrame, target_entropy: float | None = None,
-                   max_epochs: float | None = MAX_EPOCHS, budget: float | None = None):
-    """(sources, exponent): per source tokens, weight, budget, whole passes and
+                   max_epochs: float | None = MAX_EPOCHS, budget: float | None = None,
+                   flatten: float | None = FLATTEN):
+    """(sources, exponent): per source tokens, rows, weight, whole passes and
     the tokens of the last pass."""
     by = counts.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     by = stage_table(by, "mix-sources")
     total = by.agg(F.sum("tokens")).first()[0] or 0
     live = by.filter("tokens > 0").withColumn("total", F.lit(float(total or 1)))
     if not total:
-        return by.select("source", "tokens", F.lit(0.0).alias("weight"), F.lit(1).cast("bigint").alias("passes"),
+        return by.select("source", "tokens", "rows", F.lit(0.0).alias("weight"), F.lit(1).cast("bigint").alias("passes"),
                          F.lit(0.0).alias("rest")), 1.0
+    if target_entropy is None and flatten is not None:
+        target_entropy = flattened_entropy(live, flatten)
     alpha = find_exponent(live, target_entropy, max_epochs, budget)
     x = F.pow(F.col("tokens") / F.lit(float(total)), F.lit(alpha))
     z, least = live.agg(F.sum(x), F.min(x / F.col("tokens"))).first()
@@ -115,7 +132,7 @@ def mixing_weights(counts: DataFrame, target_entropy: float | None = None,
     # A draw within a millionth of a whole pass is that whole pass.
     passes = F.floor(drawn + F.lit(1e-6))
     rest = F.greatest(drawn - passes, F.lit(0.0)) * F.col("tokens")
-    return by.select("source", "tokens", F.when(F.col("tokens") > 0, x / F.lit(float(z))).otherwise(0.0)
+    return by.select("source", "tokens", "rows", F.when(F.col("tokens") > 0, x / F.lit(float(z))).otherwise(0.0)
                      .alias("weight"), passes.cast("bigint").alias("passes"),
                      F.when(rest < 1e-6 * F.col("tokens"), 0.0).otherwise(rest).alias("rest")), alpha
 
@@ -125,13 +142,14 @@ def _hash(*cols: Column) -> Column:
 
 
 def draw(docs: DataFrame, target_entropy: float | None = None, max_epochs: float | None = MAX_EPOCHS,
-         budget: float | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
+         budget: float | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED,
+         flatten: float | None = FLATTEN) -> DataFrame:
     """One row per draw: rid, doc_id, source, n_tokens, weight, epoch (0-based
     pass over the source) and block."""
     counts = stage_table(token_counts(docs), "mix-tokens")
-    sources, _ = mixing_weights(counts, target_entropy, max_epochs, budget)
-    sources = stage_table(sources.withColumn(
-        "n_blocks", F.greatest(F.ceil(F.col("tokens") / F.lit(block_tokens)), F.lit(1)).cast("bigint")), "mix-plan")
+    sources, _ = mixing_weights(counts, target_entropy, max_epochs, budget, flatten)
+    n_blocks = F.greatest(F.ceil(F.col("tokens") / block_tokens), F.ceil(F.col("rows") / BLOCK_ROWS), F.lit(1))
+    sources = stage_table(sources.withColumn("n_blocks", n_blocks.cast("bigint")).drop("rows"), "mix-plan")
     plan = sources.withColumnRenamed("source", "s")
     rows = counts.join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rows = rows.withColumn("block", F.pmod(_hash(F.lit(seed), "source", "doc_id", "rid"), F.col("n_blocks")))

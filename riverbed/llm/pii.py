@@ -17,7 +17,9 @@
 
 Base matches (email, ip, card, phone that pass their checks) always stay; the
 method adds spans of kinds ``local_phone``, ``secret`` and ``ssn`` whose
-probability is at least ``threshold`` and that overlap no base span.
+probability is at least ``threshold`` and that overlap no base span. Their
+patterns are loose (any run of 7 to 11 digits, any token of 20 or more letters
+and digits), so most candidates are for the model to reject.
 
 Defined cases: NULL text is empty and has no span; empty tables give empty
 results; repeated rows each get their own row of results; a NULL id is kept.
@@ -43,6 +45,7 @@ LOCAL = r"A-Za-z0-9._%+-"
 SECRET_NAME = r"""(?i:password|passwd|pwd|secret|token|api_?key)["']?+\s*+[=:]\s*+"""
 SECRET_VALUE = (r"""(?:"(?:[^"\\\r\n]|\\[^\r\n]){6,}+(?=")|'(?:[^'\\\r\n]|\\[^\r\n]){6,}+(?=')"""
                 r"""|["']?+[^\s]{6,}+)""")
+BARE_TOKEN = r"(?<!-)(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{20,}+"
 #: Java patterns. The four base kinds equal their plain forms: local parts and
 #: digit runs can only match from the run's start or where the last match
 #: ended, and possessive loops never need to give back.
@@ -51,9 +54,12 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "local_phone": r"(?<![0-9+(.-])(?<!\+[0-9]{1,3}[ .-]?)(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "secret": rf"(?<![A-Za-z0-9_])(?:{SECRET_NAME}{SECRET_VALUE}|A[KS]IA[A-Z0-9]{{16}}(?![A-Za-z0-9]))",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    # Added kinds are loose: bare digit runs and bare tokens of letters and
+    # digits are candidates too, and the model decides which ones stay.
+    "local_phone": r"(?<![0-9+(.-])(?<!\+[0-9]{1,3}[ .-]?)(?:(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+                   r"|[0-9]{7,11})(?![0-9])",
+    "secret": rf"(?<![A-Za-z0-9_])(?:{SECRET_NAME}{SECRET_VALUE}|A[KS]IA[A-Z0-9]{{16}}(?![A-Za-z0-9])|{BARE_TOKEN})",
+    "ssn": r"(?<![0-9-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{9})(?![0-9-])",
 }
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 CONTEXT_CHARS = 32
@@ -81,7 +87,7 @@ def candidates(rows: DataFrame) -> DataFrame:
     """(rid, kind, start, end, value, before, after) of every pattern match in
     rows (rid, text); end is exclusive, both count code points."""
     may = {"email": F.col("text").contains("@"), "phone": F.col("text").contains("+"),
-           "secret": F.col("text").rlike("(?i)password|passwd|pwd|secret|token|api_?key|A[KS]IA")}
+           "secret": F.col("text").rlike("(?i)password|passwd|pwd|secret|token|api_?key|A[KS]IA|[A-Za-z0-9_-]{20}")}
     found = rows
     for kind, p in PATTERNS.items():
         test = may.get(kind, F.col("text").rlike("[0-9]"))
@@ -139,6 +145,8 @@ def _votes() -> dict[str, Column]:
     def on(kinds, yes):
         return F.when(kind.isin(*kinds), F.when(yes, one).otherwise(no)).otherwise(none)
 
+    # A run of digits without marks is most often a count or a number of something.
+    bare = kind.isin("local_phone", "ssn") & ~value.rlike("[^0-9]")
     context = none
     for k, w in CONTEXT_WORDS.items():
         context = F.when((kind == k) & F.lower("before").rlike(w), one).otherwise(context)
@@ -146,9 +154,10 @@ def _votes() -> dict[str, Column]:
         # regex and checksum labelers
         "lf_rule": F.when(kind.isin(*BASE_KINDS), F.when(F.col("base"), one).otherwise(no)).otherwise(none),
         "lf_count": F.when(kind == "card", F.when(n.between(13, 19), one).otherwise(no))
-                     .when(kind.isin("phone", "local_phone"), F.when(n.between(9, 15), one).otherwise(no))
+                     .when(kind.isin("phone", "local_phone"), F.when(n.between(9, 15), F.when(bare, none).otherwise(one))
+                           .otherwise(no))
                      .when(kind == "ssn", F.when(digits.rlike("^(?!000|666|9)[0-9]{3}(?!00)[0-9]{2}(?!0000)[0-9]{4}$"),
-                                                 one).otherwise(no)).otherwise(none),
+                                                 F.when(bare, none).otherwise(one)).otherwise(no)).otherwise(none),
         "lf_edges": F.when(F.col("before").rlike(r"[\p{L}0-9_]$") | F.col("after").rlike(r"^[\p{L}0-9_]"), no)
                      .otherwise(one),
         "lf_repeat": F.when((n >= 6) & digits.rlike(r"^([0-9])\1+$"), no).otherwise(none),
@@ -158,8 +167,12 @@ def _votes() -> dict[str, Column]:
                        .when((kind == "email") & value.rlike(SAMPLE_DOMAINS), no).otherwise(none),
         "lf_key": F.when((kind == "secret") & value.rlike(KEY_PREFIX),
                          F.when(F.length("value") >= 12, one).otherwise(none)).otherwise(none),
+        # format labelers: bare runs and nameless tokens are most often neither
+        "lf_format": F.when(kind.isin("local_phone", "ssn"), F.when(bare, no).otherwise(one))
+                      .when(kind == "secret", F.when(value.rlike(KEY_PREFIX), one).otherwise(no)).otherwise(none),
         # context labelers
         "lf_context": context,
+        "lf_number": F.when(bare & (context == 0), no).otherwise(none),
         "lf_sentence": F.when(F.col("before").rlike(r"(?:\p{L}+\p{P}?\s+)$|^$"), one).otherwise(none),
     }
 
@@ -177,6 +190,7 @@ def _features() -> dict[str, Column]:
         "right": char_class(F.substring("after", 1, 1)),
         "rule": F.col("base").cast("string"),
         "context": (F.col("lf_context") > 0).cast("string"),
+        "format": F.col("lf_format").cast("string"),
         "known": F.when(F.col("lf_issuer") + F.col("lf_key") + F.col("lf_network") > 0, "yes")
                   .when(F.col("lf_issuer") + F.col("lf_key") + F.col("lf_network") < 0, "no").otherwise("none"),
     }

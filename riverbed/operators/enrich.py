@@ -61,7 +61,8 @@ def join_as_of_sweep(fact: DataFrame, versions: DataFrame, key: str, fact_ts: st
     With ``bucket_unit`` ("day", "hour") the carry runs per (key, bucket),
     so a key that holds a large share of both facts and versions is spread
     over its buckets; each bucket is seeded with the key's last version of
-    the earlier buckets, found on a table of one row per (key, bucket)."""
+    the earlier buckets, found on a table of one row per (key, bucket) (partly
+    aggregated before its shuffle). Both sides are read twice."""
     fcols = fact.columns
     f = fact.select(*fcols, F.col(fact_ts).alias("_t"), F.lit(1).alias("_side"),
                     *[F.lit(None).cast(versions.schema[c].dataType).alias(prefix + c)
@@ -82,10 +83,8 @@ def join_as_of_sweep(fact: DataFrame, versions: DataFrame, key: str, fact_ts: st
         F.when(F.col("_side") == 0, ver), ignorenulls=True).over(w).alias("_ver"))
     facts = carried.filter(F.col("_side") == 1)
     if bucket_unit is not None:
-        last_in_bucket = (u.filter(F.col("_side") == 0).groupBy(key, "_b")
-                          .agg(F.max_by(ver, F.col("_t")).alias("_lv")))
-        buckets = u.filter(F.col("_side") == 1).select(key, "_b").distinct()
-        seeds = (buckets.join(last_in_bucket, [key, "_b"], "full")
+        own = F.col("_side") == 0
+        seeds = (u.groupBy(key, "_b").agg(F.max_by(F.when(own, ver), F.when(own, F.col("_t"))).alias("_lv"))
                  .withColumn("_seed", F.last("_lv", ignorenulls=True).over(
                      Window.partitionBy(key).orderBy("_b")
                      .rowsBetween(Window.unboundedPreceding, -1)))
@@ -98,6 +97,45 @@ def join_as_of_sweep(fact: DataFrame, versions: DataFrame, key: str, fact_ts: st
                   for c in version_cols])
 
 
+# A fact is compared with at most so many versions; cards with more take the sweep.
+MAX_VERSIONS = 1000
+MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(versions: DataFrame, key: str, max_versions: int = MAX_VERSIONS) -> DataFrame:
+    """Keys of more than ``max_versions`` versions: a count with partial
+    aggregation over the key column alone."""
+    return (versions.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .filter((F.col("_n") > max_versions) & F.col(key).isNotNull()).select(key))
+
+
+def join_as_of_routed(fact: DataFrame, versions: DataFrame, key: str, fact_ts: str, version_cols: Sequence[str], *,
+                      valid_from: str = "valid_from", valid_to: str = "valid_to", prefix: str = "_d_",
+                      bucket_unit: str = "day", max_versions: int = MAX_VERSIONS,
+                      max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+    """J2 for any distribution of keys: the equi join with its residual
+    interval compares a fact with every version of its key, so keys of more
+    than ``max_versions`` versions are taken out of it and swept, by day;
+    no fact is ever compared with more, and no key's facts and versions meet in
+    one task unless they are few. Without such keys the plan is the equi join's
+    alone. The hot keys are looked up once, when the plan is made (at most
+    ``max_hot`` names, which are sent to the tasks; with more, all is swept)."""
+    hot = [r[0] for r in hot_keys(versions, key, max_versions).limit(max_hot + 1).collect()]
+    keep = [*fact.columns, *[prefix + c for c in version_cols]]
+    if not hot:
+        return join_as_of(fact, versions, key, fact_ts, valid_from=valid_from, valid_to=valid_to,
+                          prefix=prefix).select(*keep)
+    if len(hot) > max_hot:
+        return join_as_of_sweep(fact, versions, key, fact_ts, version_cols, valid_from=valid_from, prefix=prefix,
+                                bucket_unit=bucket_unit).select(*keep)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    cold = join_as_of(fact.filter(~is_hot), versions.filter(~is_hot), key, fact_ts, valid_from=valid_from,
+                      valid_to=valid_to, prefix=prefix).select(*keep)
+    swept = join_as_of_sweep(fact.filter(is_hot), versions.filter(is_hot), key, fact_ts, version_cols,
+                             valid_from=valid_from, prefix=prefix, bucket_unit=bucket_unit).select(*keep)
+    return cold.unionByName(swept)
+
+
 def join_all_versions(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
                       prefix: str = "_d_") -> DataFrame:
     """Left join to every version of the key, no interval test (the

@@ -126,24 +126,26 @@ def _fact_select(j: DataFrame, extra: tuple[str, ...] = (), p: str = "_d_",
 
 
 def enriched_fact(txn: DataFrame, merchants: DataFrame, client_versions: DataFrame,
-                  extra: tuple[str, ...] = (), as_of: str = "interval") -> DataFrame:
+                  extra: tuple[str, ...] = (), as_of: str = "routed") -> DataFrame:
     """H8 (dt_fraud_full): VALID transactions + current merchant (J1) + the
     client version valid at the transaction time (J2).
 
     ``as_of="interval"``: equi join on the card with the interval as residual
     (broadcast for a small dimension, else sort-merge with AQE skew split).
-    ``as_of="sweep"``: the linear carry-forward form bucketed by day, for
-    cards that are hot on both sides (many versions and many facts)."""
+    ``as_of="sweep"``: the linear carry-forward form bucketed by day.
+    ``as_of="routed"``: the sweep for cards of very many versions, the equi
+    join for all others; which cards these are is looked up first."""
     t = valid(txn).select("trans_num", "trans_ts", "card_num", "amount", "merchant", "category",
                           "is_fraud", "meta_load_ts", *extra)
     m = dim_merchants_cols(merchants)
     c = client_versions.select("card_num", "first_name", "last_name", "gender", "job", "city",
                                "state", "valid_from", "valid_to")
     j = enrich.join_current(t, m, "merchant", prefix="_d_")
+    shown = ["first_name", "last_name", "gender", "job", "city", "state"]
     if as_of == "sweep":
-        j = enrich.join_as_of_sweep(j, c, "card_num", "trans_ts",
-                                    ["first_name", "last_name", "gender", "job", "city", "state"],
-                                    prefix="_c_", bucket_unit=SCD2_BUCKET)
+        j = enrich.join_as_of_sweep(j, c, "card_num", "trans_ts", shown, prefix="_c_", bucket_unit=SCD2_BUCKET)
+    elif as_of == "routed":
+        j = enrich.join_as_of_routed(j, c, "card_num", "trans_ts", shown, prefix="_c_", bucket_unit=SCD2_BUCKET)
     else:
         j = enrich.join_as_of(j, c, "card_num", "trans_ts", prefix="_c_")
     return _fact_select(j, extra)
@@ -189,5 +191,5 @@ def v2_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "dt_clients_deduped": deduped.select("card_num", *CLIENT_ATTRS, "valid_from", "meta_load_ts"),
         "dt_clients_scd2": scd2,
         "dt_invalid_trans": quarantine(txn),
-        "dt_fraud_full": enriched_fact(txn, merch, scd2),
+        "dt_fraud_full": enriched_fact(txn, merch, scd2, as_of="interval"),
     }

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.parse import TS_WITHOUT_SECONDS, ntz, try_boolean, try_timestamp
-from riverbed.operators.dedupe import LINEAGE, latest_by_load, latest_keep_null_keys
+from riverbed.operators.dedupe import LINEAGE, latest_keep_null_keys
 from riverbed.operators.scd import scd1_delta, scd2_dim_delta, scd2_snapshot_delta
 from riverbed.operators.upsert import KeyedTable, after_mark, high_water_mark
 from riverbed.plans import fraud
@@ -232,8 +232,9 @@ def batch_stamp(batch_id: int) -> dt.datetime:
 
 
 def conformed_source(batch: DataFrame) -> DataFrame:
-    """W1 over one landing batch, shaped as the conformed table (no stamp)."""
-    latest = latest_by_load(batch, ["trans_id"])
+    """W1 over one landing batch, shaped as the conformed table (no stamp); its
+    rows without a key all stay, for the table to set aside."""
+    latest = latest_keep_null_keys(batch, ["trans_id"])
     return latest.select("trans_id", "trans_ts", "category", "is_fraud",
                          F.col("meta_filename").alias("source_filename"))
 

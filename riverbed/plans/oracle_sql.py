@@ -51,8 +51,21 @@ ORACLE_SQL.update({
     "txn_invalid_incremental": build(f"""
 SELECT {QUARANTINE} FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_num ORDER BY {_LOAD_DESC}) AS rn
-  FROM stg_transactions WHERE validation_status <> 'VALID') WHERE rn = 1""", "stg_transactions"),
-    "merchant_scd1_incremental": build("SELECT * FROM merchants_latest", "merchants_latest"),
+  FROM stg_transactions WHERE validation_status <> 'VALID' AND trans_num IS NOT NULL) WHERE rn = 1""",
+        "stg_transactions"),
+    # Rows without a key are set aside, every one of them.
+    "quarantined_rows": build("""
+SELECT 'fct_invalid_transactions' AS table_name, validation_status, card_num, merchant, category, meta_load_ts AS at
+FROM stg_transactions WHERE validation_status <> 'VALID' AND trans_num IS NULL
+UNION ALL SELECT 'fct_fraud_full', 'VALID', t.card_num, m.merchant, t.category, t.meta_load_ts
+FROM stg_transactions t LEFT JOIN (
+  SELECT 0 AS r, * FROM merchants_latest) m ON m.merchant = t.merchant
+WHERE t.validation_status = 'VALID' AND t.trans_num IS NULL
+UNION ALL SELECT 'conformed', NULL, NULL, NULL, category_raw,
+  TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(((dayofyear(meta_load_ts) - 1) // 5 + 1) * 5 AS INTEGER))
+FROM raw_trans WHERE trans_num_raw IS NULL""", "stg_transactions", "merchants_latest", "raw_trans"),
+    "merchant_scd1_incremental": build(
+        "SELECT * FROM merchants_latest WHERE merchant IS NOT NULL", "merchants_latest"),
     "client_scd2_snapshot": build(f"""
 SELECT card_num, {CLIENT_ATTRS}, valid_from, meta_filename, meta_file_row_number, meta_load_ts,
   meta_load_ts AS dbt_updated_at, meta_load_ts AS dbt_valid_from,
@@ -72,7 +85,7 @@ FROM clients_deduped""", "clients_deduped"),
 WITH cuts AS ({_CUTS}),
 lv AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_num ORDER BY {_LOAD_DESC}) AS rn
-                 FROM stg_transactions WHERE validation_status = 'VALID') WHERE rn = 1),
+                 FROM stg_transactions WHERE validation_status = 'VALID' AND trans_num IS NOT NULL) WHERE rn = 1),
 t AS (SELECT lv.*, cuts.r FROM lv JOIN cuts ON lv.meta_load_ts >= cuts.lo AND lv.meta_load_ts < cuts.hi),
 m AS (
   SELECT r, merchant, merchant_lat, merchant_long FROM (
@@ -105,7 +118,7 @@ WITH landing AS (
          WHEN lower(trim(is_fraud_raw)) IN ('false', 'f', 'no', 'n', 'off', '0') THEN FALSE END AS is_fraud,
     meta_filename, meta_file_row_number, meta_load_ts,
     CAST((dayofyear(meta_load_ts) - 1) // 5 AS INTEGER) AS batch_id
-  FROM raw_trans),
+  FROM raw_trans WHERE trans_num_raw IS NOT NULL),
 per_batch AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_id, batch_id ORDER BY {_LOAD_DESC}) AS rn
                  FROM landing) WHERE rn = 1),
@@ -155,17 +168,28 @@ ORACLE_SQL["wide_normalise_merch"] = _WIDE.format(cols="trans_num, merchant, mer
 # -- monitoring ------------------------------------------------------------------
 # What the delivered rows imply: one ledger row per source file, an error per
 # malformed line, a failed audit while an amount is unreadable.
-cte("ledger", ("raw_trans", "raw_clients", "raw_merch"), """
-SELECT pipe_name, table_name, file_name, row_count, error_count,
+# Bytes of each delivered transaction line, with its line end.
+cte("trans_bytes", ("raw_trans",), """
+SELECT CAST(regexp_extract(meta_filename, '_([0-9]+)', 1) AS BIGINT) * 1000 + meta_file_row_number - 1 AS event_id,
+  strlen(concat_ws(',', COALESCE(trans_num_raw, 'NULL'), trans_date_raw, COALESCE(card_num_raw, 'NULL'),
+    COALESCE(amount_raw, 'NULL'), COALESCE(merchant_raw, 'NULL'), category_raw, is_fraud_raw)) + 1 AS bytes
+FROM raw_trans""")
+
+cte("ledger", ("raw_trans", "raw_clients", "raw_merch", "trans_bytes"), """
+SELECT pipe_name, table_name, file_name, row_count, error_count, CAST(file_size AS BIGINT) AS file_size,
   CASE WHEN error_count = 0 THEN 'LOADED' WHEN error_count < row_count THEN 'PARTIALLY_LOADED'
        ELSE 'LOAD_FAILED' END AS status
 FROM (SELECT 'PIPE_TRANS' AS pipe_name, 'RAW_TRANS' AS table_name,
         'trans_' || CAST(event_id // 1000 AS VARCHAR) || '.csv' AS file_name,
-        COUNT(*) AS row_count, COUNT(CASE WHEN event_id % 499 = 0 THEN 1 END) AS error_count
-      FROM events GROUP BY event_id // 1000
-      UNION ALL SELECT 'PIPE_CLIENTS', 'RAW_CLIENTS', meta_filename, COUNT(*), 0
+        COUNT(*) AS row_count, COUNT(CASE WHEN event_id % 499 = 0 THEN 1 END) AS error_count,
+        SUM(bytes + CASE WHEN event_id % 499 = 0 THEN 6 ELSE 0 END) AS file_size
+      FROM (SELECT e.event_id, r.bytes FROM events e JOIN trans_bytes r USING (event_id)) GROUP BY event_id // 1000
+      UNION ALL SELECT 'PIPE_CLIENTS', 'RAW_CLIENTS', meta_filename, COUNT(*), 0, SUM(strlen(concat_ws(',',
+        COALESCE(card_num_raw, 'NULL'), first_name_raw, last_name_raw, gender_raw, date_birth_raw, job_raw,
+        street_raw, city_raw, state_raw)) + 1)
       FROM raw_clients GROUP BY meta_filename
-      UNION ALL SELECT 'PIPE_MERCH', 'RAW_MERCH', meta_filename, COUNT(*), 0
+      UNION ALL SELECT 'PIPE_MERCH', 'RAW_MERCH', meta_filename, COUNT(*), 0, SUM(strlen(concat_ws(',',
+        COALESCE(merchant_raw, 'NULL'), merchant_lat_raw, merchant_long_raw)) + 1)
       FROM raw_merch GROUP BY meta_filename)""")
 
 _LOAD_ALERT = """SELECT 'LOAD_ERRORS' AS alert_name, COUNT(*) AS matching_rows FROM ledger
@@ -174,20 +198,20 @@ _RUN_ALERT = """SELECT 'TASK_FAILED' AS alert_name, 1 AS matching_rows
 WHERE EXISTS (SELECT 1 FROM stg_transactions WHERE validation_status = 'INVALID_AMOUNT')"""
 
 ORACLE_SQL.update({
-    "load_ledger": build("SELECT *, TRUE AS has_bytes FROM ledger", "ledger"),
+    "load_ledger": build("SELECT * FROM ledger", "ledger"),
     "load_stats": build("""
-SELECT status, pipe_name, CAST(SUM(row_count) AS BIGINT) AS total_rows_loaded, COUNT(*) AS files_processed,
-  TRUE AS latency_known, TRUE AS avg_within_max
+SELECT status, pipe_name, CAST(SUM(row_count) AS BIGINT) AS total_rows_loaded, COUNT(*) AS files_processed
 FROM ledger WHERE pipe_name = 'PIPE_TRANS' GROUP BY status, pipe_name""", "ledger"),
     "load_volume": build("""
-SELECT pipe_name, COUNT(*) AS files_inserted, TRUE AS has_bytes FROM ledger GROUP BY pipe_name""", "ledger"),
+SELECT pipe_name, COUNT(*) AS files_inserted, CAST(SUM(file_size) AS BIGINT) AS bytes_inserted
+FROM ledger GROUP BY pipe_name""", "ledger"),
     "load_error_alert": build(_LOAD_ALERT, "ledger"),
     "load_errors_exist": build(
         'SELECT pipe_name, BOOL_OR(error_count > 0) AS "exists" FROM ledger GROUP BY pipe_name', "ledger"),
     "run_failure_alert": build(_RUN_ALERT, "stg_transactions"),
     "run_history": build("""
 SELECT 'CONFORMED_UPSERT' AS name, 'SUCCEEDED' AS state, 'INCREMENTAL' AS refresh_action,
-  COUNT(*) AS row_count, TRUE AS ended FROM raw_trans""", "raw_trans"),
+  COUNT(*) AS row_count FROM raw_trans""", "raw_trans"),
     "refresh_history": build("""
 WITH audit AS (SELECT COUNT(*) AS n, COUNT(CASE WHEN validation_status = 'INVALID_AMOUNT' THEN 1 END) AS bad,
                  COUNT(CASE WHEN amount > 0 THEN 1 END) AS clean FROM stg_transactions)
@@ -201,6 +225,35 @@ UNION ALL SELECT 'DT_CLEAN_AMOUNTS', CASE WHEN bad > 0 THEN 'UPSTREAM_FAILED' EL
     "alert_history": build(f"{_LOAD_ALERT} UNION ALL {_RUN_ALERT}", "ledger", "stg_transactions"),
 })
 
+# -- reports over dated ledgers and runs --------------------------------------------
+# Times follow from the events: a file was received when its last event was,
+# and loaded at the next quarter of an hour; a run starts three seconds later.
+cte("dated_files", (), """
+SELECT 'PIPE_' || CAST(event_id // 1000 % 2 AS VARCHAR) AS pipe_name, event_id // 1000 AS file_no,
+  COUNT(*) AS row_count, COUNT(CASE WHEN event_id % 499 = 0 THEN 1 END) AS error_count,
+  CAST(SUM(strlen(event_type) + 20) AS BIGINT) AS file_size, date_trunc('second', MAX(ts)) AS received,
+  to_timestamp((epoch_ms(MAX(ts)) // 900000 + 1) * 900) AT TIME ZONE 'UTC' AS loaded
+FROM events GROUP BY event_id // 1000""")
+_RECENT = "loaded >= (SELECT MAX(loaded) FROM dated_files) - INTERVAL {h} HOUR"
+ORACLE_SQL.update({
+    "load_stats_dated": build(f"""
+SELECT ROW_NUMBER() OVER (ORDER BY loaded DESC, status) AS place, status, pipe_name, loaded AS last_load_time,
+  CAST(AVG(s) AS DECIMAL(18,3)) AS avg_latency_sec, MAX(s) AS max_latency_sec,
+  CAST(SUM(row_count) AS BIGINT) AS total_rows_loaded, COUNT(*) AS files_processed
+FROM (SELECT *, CASE WHEN error_count = 0 THEN 'LOADED' ELSE 'PARTIALLY_LOADED' END AS status,
+        date_diff('second', received, loaded) AS s FROM dated_files)
+WHERE pipe_name = 'PIPE_1' AND {_RECENT.format(h=360)} GROUP BY status, pipe_name, loaded""", "dated_files"),
+    "load_volume_dated": build(f"""
+SELECT date_trunc('hour', loaded) AS start_time, pipe_name, CAST(SUM(file_size) AS BIGINT) AS bytes_inserted,
+  COUNT(*) AS files_inserted, date_trunc('hour', loaded) + INTERVAL 1 HOUR AS end_time
+FROM dated_files WHERE {_RECENT.format(h=360)} GROUP BY date_trunc('hour', loaded), pipe_name""", "dated_files"),
+    "run_history_dated": build(f"""
+SELECT ROW_NUMBER() OVER (ORDER BY loaded DESC, file_no DESC) AS place, 'LOAD_' || pipe_name AS name,
+  CASE WHEN error_count > 2 THEN 'FAILED' ELSE 'SUCCEEDED' END AS state, loaded AS scheduled_time,
+  loaded + to_seconds(3 + file_no) AS start_time, CAST(row_count % 97 + 1 AS BIGINT) AS duration_sec, row_count
+FROM dated_files WHERE pipe_name = 'PIPE_0' AND {_RECENT.format(h=24 * 15)}""", "dated_files"),
+})
+
 # -- ingestion -------------------------------------------------------------------
 ORACLE_SQL["ingest_csv"] = build(
     "SELECT trans_num_raw, trans_date_raw, card_num_raw, amount_raw, merchant_raw, category_raw, "
@@ -219,7 +272,7 @@ WITH ev AS (
     CASE WHEN event_id % 31 = 0 THEN NULL WHEN event_id % 5 = 0 THEN TRUE
          WHEN event_id % 7 = 0 THEN TRUE ELSE FALSE END AS is_fraud,
     event_id, CAST((dayofyear(ts) - 1) // 5 AS INTEGER) AS arrival
-  FROM events),
+  FROM events WHERE event_id % 401 <> 0),
 per AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY trans_id, arrival ORDER BY event_id DESC) AS rn
                  FROM ev) WHERE rn = 1)
@@ -295,7 +348,7 @@ SELECT CAST(regexp_extract(meta_filename, '_([0-9]+)', 1) AS INTEGER) % 2 AS run
   trans_num_raw
 FROM raw_trans""", "raw_trans"),
     "file_inventory": build(
-        "SELECT DISTINCT meta_filename AS name, TRUE AS has_bytes, TRUE AS dated FROM raw_trans", "raw_trans"),
+        "SELECT file_name AS name, file_size AS size FROM ledger WHERE pipe_name = 'PIPE_TRANS'", "ledger"),
     "any_rows": build("SELECT LEAST(COUNT(*), 10) AS n FROM raw_trans", "raw_trans"),
     "idle_run": build("""
 SELECT COUNT(DISTINCT trans_num_raw) AS conformed_rows, 0 AS new_batches, 0 AS unread_batches, FALSE AS created
@@ -309,7 +362,7 @@ UNION ALL SELECT 'dt_trans_all_clients', COUNT(*) FROM trans_all_clients""",
         "raw_trans", "trans_merch", "trans_all_clients"),
     "newest_derived": build("\nUNION ALL\n".join(
         f"SELECT * FROM (SELECT '{name}' AS table_name, {key} AS row_key, meta_load_ts FROM {src} "
-        f"ORDER BY meta_load_ts DESC, {key} LIMIT 10)"
+        f"ORDER BY meta_load_ts DESC, {key} NULLS FIRST LIMIT 10)"
         for name, key, src in (
             ("dt_transactions", "trans_num", "stg_transactions"),
             ("dt_invalid_trans", "trans_num", "stg_transactions WHERE validation_status <> 'VALID'"),

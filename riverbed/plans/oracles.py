@@ -39,15 +39,16 @@ def build(select: str, *needed: str) -> str:
 # -- raw tables ----------------------------------------------------------------
 cte("raw_trans", (), """
 SELECT
-  'T' || CAST(event_id - CASE WHEN event_id % 11 = 5 AND event_id >= 1000 THEN 1000 ELSE 0 END AS VARCHAR) AS trans_num_raw,
+  CASE WHEN event_id % 401 <> 0 THEN
+    'T' || CAST(event_id - CASE WHEN event_id % 11 = 5 AND event_id >= 1000 THEN 1000 ELSE 0 END AS VARCHAR) END AS trans_num_raw,
   CASE WHEN event_id % 41 = 0 THEN strftime(ts, '%Y-%m-%d')
        WHEN event_id % 3 = 0 THEN strftime(ts, '%d-%m-%Y %H:%M')
        ELSE strftime(ts, '%d-%m-%Y %H:%M:%S') END AS trans_date_raw,
-  CAST(user_id AS VARCHAR) AS card_num_raw,
+  CASE WHEN event_id % 211 <> 0 THEN CAST(user_id AS VARCHAR) END AS card_num_raw,
   CASE WHEN event_id % 37 = 0 THEN 'abc'
        WHEN event_id % 43 = 0 THEN NULL
        ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS amount_raw,
-  'M' || CAST(event_id % 120 AS VARCHAR) AS merchant_raw,
+  CASE WHEN event_id % 307 <> 0 THEN 'M' || CAST(event_id % 120 AS VARCHAR) END AS merchant_raw,
   event_type AS category_raw,
   CASE WHEN event_id % 31 = 0 THEN 'maybe' WHEN event_id % 5 = 0 THEN 'on'
        WHEN event_id % 7 = 0 THEN 'TRUE' ELSE '0' END AS is_fraud_raw,
@@ -58,7 +59,7 @@ FROM events""")
 
 cte("raw_clients", (), """
 SELECT
-  CAST(o_custkey // 10 AS VARCHAR) AS card_num_raw,
+  CASE WHEN o_orderkey % 331 <> 0 THEN CAST(o_custkey // 10 AS VARCHAR) END AS card_num_raw,
   'F' || CAST(o_orderkey % 97 AS VARCHAR) AS first_name_raw,
   'L' || CAST(o_orderkey % 89 AS VARCHAR) AS last_name_raw,
   o_orderstatus AS gender_raw,
@@ -74,7 +75,7 @@ FROM orders""")
 
 cte("raw_merch", (), """
 SELECT
-  'M' || CAST(s_suppkey % 80 AS VARCHAR) AS merchant_raw,
+  CASE WHEN s_suppkey % 23 <> 0 THEN 'M' || CAST(s_suppkey % 80 AS VARCHAR) END AS merchant_raw,
   CASE WHEN s_suppkey % 17 = 0 THEN '1000.0'
        ELSE CAST(CAST(CAST(s_acctbal AS DECIMAL(18,2)) / 100 AS DECIMAL(18,4)) AS VARCHAR) END AS merchant_lat_raw,
   CAST(CAST(CAST(s_acctbal AS DECIMAL(18,2)) / -50 AS DECIMAL(18,4)) AS VARCHAR) AS merchant_long_raw,

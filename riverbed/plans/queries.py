@@ -148,6 +148,30 @@ def txn_invalid_incremental(spark, sf):
     return _replay(spark, sf, "invalid", ["invalid"]).invalid.read()
 
 
+@query
+def quarantined_rows(spark, sf):
+    """NULL keys: every row that the keyed tables set aside."""
+    from riverbed.plans.incremental import batch_stamp, conformed_table, landing_batch, typed_landing, upsert_conformed
+    from riverbed.session import scratch_path
+    wh = _replay(spark, sf, "quarantine", ["invalid", "merchants", "snapshot", "clients", "facts"])
+    none = F.lit(None).cast("string")
+    invalid = wh.invalid.quarantined().select(
+        F.lit("fct_invalid_transactions").alias("table_name"), "validation_status", "card_num", "merchant", "category",
+        F.col("meta_load_ts").alias("at"))
+    facts = wh.facts.quarantined().select(
+        F.lit("fct_fraud_full").alias("table_name"), F.lit("VALID").alias("validation_status"), "card_num", "merchant",
+        "category", F.col("meta_load_ts").alias("at"))
+    landing = typed_landing(fx.raw_trans(spark, sf))
+    landing = stage(landing.withColumn("batch_id", landing_batch(F.col("meta_load_ts"))), "quarantine-landing")
+    table = conformed_table(spark, scratch_path(spark, "quarantine-conformed"))
+    for b in sorted(r[0] for r in landing.select("batch_id").distinct().collect()):  # a handful
+        upsert_conformed(table, landing.filter(F.col("batch_id") == b), b, batch_stamp(b))
+    conformed = table.quarantined().select(
+        F.lit("conformed").alias("table_name"), none.alias("validation_status"), none.alias("card_num"),
+        none.alias("merchant"), "category", F.col("processed_ts").alias("at"))
+    return invalid.unionByName(facts).unionByName(conformed)
+
+
 @query
 def merchant_scd1_incremental(spark, sf):
     """J5 + H2 / H4 incremental: equals the full SCD1."""
@@ -285,7 +309,7 @@ def _now():
 def load_ledger(spark, sf):
     """M1: status, rows and errors of every file the pipes loaded."""
     return _ledger(spark, sf).select("pipe_name", "table_name", "file_name", "status", "row_count", "error_count",
-                                     (F.col("file_size") > 0).alias("has_bytes"))
+                                     "file_size")
 
 
 @query
@@ -295,9 +319,7 @@ def load_stats(spark, sf):
     return (monitor.load_stats(_ledger(spark, sf), "PIPE_TRANS", _now(), 24)
             .groupBy("status", "pipe_name")
             .agg(F.sum("total_rows_loaded").alias("total_rows_loaded"),
-                 F.sum("files_processed").alias("files_processed"),
-                 (F.count("avg_latency_sec") == F.count(F.lit(1))).alias("latency_known"),
-                 F.bool_and(F.col("avg_latency_sec") <= F.col("max_latency_sec")).alias("avg_within_max")))
+                 F.sum("files_processed").alias("files_processed")))
 
 
 @query
@@ -305,8 +327,7 @@ def load_volume(spark, sf):
     """M3: bytes and files per pipe over the hours of the last day."""
     from riverbed.operators import monitor
     return (monitor.load_volume(_ledger(spark, sf), _now(), 24).groupBy("pipe_name")
-            .agg(F.sum("files_inserted").alias("files_inserted"),
-                 (F.sum("bytes_inserted") > 0).alias("has_bytes")))
+            .agg(F.sum("files_inserted").alias("files_inserted"), F.sum("bytes_inserted").alias("bytes_inserted")))
 
 
 @query
@@ -343,8 +364,7 @@ def run_history(spark, sf):
     from riverbed.operators import monitor
     return (monitor.run_history(_runs(spark, sf), "CONFORMED_UPSERT", _now(), 24)
             .groupBy("name", "state", "refresh_action")
-            .agg(F.sum("row_count").alias("row_count"),
-                 F.bool_and(F.col("end_time") >= F.col("start_time")).alias("ended")))
+            .agg(F.sum("row_count").alias("row_count")))
 
 
 @query
@@ -365,6 +385,69 @@ def alert_history(spark, sf):
             .agg(F.sum("matching_rows").alias("matching_rows")))
 
 
+# -- the same reports over ledgers and runs whose times follow from the events ---------
+def _dated(spark, sf):
+    """One row per source file: received with its last event, loaded at the
+    next quarter of an hour."""
+    ev = fx.table(spark, sf, "events")
+    number = F.floor(F.col("event_id") / 1000)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    quarter = F.floor(F.timestamp_diff("MILLISECOND", epoch, F.max("ts").cast("timestamp_ntz")) / 900000)
+    return ev.groupBy(number.alias("file_no")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("event_id") % 499 == 0).alias("error_count"),
+        F.sum(F.octet_length("event_type") + 20).cast("bigint").alias("file_size"),
+        F.date_trunc("second", F.max("ts")).cast("timestamp_ntz").alias("pipe_received_time"),
+        F.timestamp_add("MINUTE", (quarter + 1) * 15, epoch).alias("last_load_time"),
+    ).withColumns({"pipe_name": F.concat(F.lit("PIPE_"), (F.col("file_no") % 2).cast("string")),
+                   "status": F.when(F.col("error_count") == 0, "LOADED").otherwise("PARTIALLY_LOADED")})
+
+
+def _placed(df):
+    """Rows with their place in the frame's own order (ids grow along it)."""
+    from pyspark.sql import Window
+    ids = df.withColumn("_id", F.monotonically_increasing_id())
+    return ids.withColumn("place", F.row_number().over(Window.orderBy("_id")).cast("bigint")).drop("_id")
+
+
+def _newest_load(ledger):
+    return ledger.agg(F.max("last_load_time")).first()[0]
+
+
+@query
+def load_stats_dated(spark, sf):
+    """M2 / G2 + S15 + L3: average and maximum latency per load, newest first."""
+    from riverbed.operators import monitor
+    ledger = _dated(spark, sf)
+    return _placed(monitor.load_stats(ledger, "PIPE_1", _newest_load(ledger), 360).orderBy(
+        F.col("last_load_time").desc(), "status"))
+
+
+@query
+def load_volume_dated(spark, sf):
+    """M3: bytes and files per pipe and hour."""
+    from riverbed.operators import monitor
+    ledger = _dated(spark, sf)
+    return monitor.load_volume(ledger, _newest_load(ledger), 360)
+
+
+@query
+def run_history_dated(spark, sf):
+    """M4 + S14 + S15 + L3: runs with their durations, in the report's order."""
+    from riverbed.functions.parse import seconds_between
+    from riverbed.operators import monitor
+    ledger = _dated(spark, sf)
+    start = F.timestamp_add("SECOND", 3 + F.col("file_no"), F.col("last_load_time"))
+    runs = ledger.select(
+        F.concat(F.lit("LOAD_"), F.col("pipe_name")).alias("name"),
+        F.when(F.col("error_count") > 2, "FAILED").otherwise("SUCCEEDED").alias("state"),
+        F.lit("INCREMENTAL").alias("refresh_action"), F.col("last_load_time").alias("scheduled_time"),
+        start.alias("start_time"), F.timestamp_add("SECOND", F.col("row_count") % 97 + 1, start).alias("end_time"),
+        "row_count")
+    found = monitor.run_history(runs, "LOAD_PIPE_0", _newest_load(ledger), 24 * 15)
+    return _placed(found).select("place", "name", "state", "scheduled_time", "start_time", "row_count",
+                                 seconds_between(F.col("start_time"), F.col("end_time")).alias("duration_sec"))
+
+
 # -- ingestion (A1-A13, M1) -----------------------------------------------------------
 RAW_TRANS_TEXT = ("trans_num_raw", "trans_date_raw", "card_num_raw", "amount_raw", "merchant_raw",
                   "category_raw", "is_fraud_raw")
@@ -419,7 +502,7 @@ def file_inventory(spark, sf):
     from riverbed.sources.csv import file_inventory as inventory
     files = inventory(spark, f"{monitored(spark, sf)}/src/raw_trans", "*.txt")
     return files.select(F.regexp_extract("name", "src_file=([^/]+)/", 1).alias("name"),
-                        (F.col("size") > 0).alias("has_bytes"), F.col("last_modified").isNotNull().alias("dated"))
+                        "size")
 
 
 @query

@@ -16,20 +16,23 @@ raw_trans (from events, one row per event)
                   (a later, different row for an existing key)
   trans_date_raw  ISO date (invalid) if event_id % 41 = 0; 'dd-MM-yyyy HH:mm'
                   if event_id % 3 = 0; else with seconds
-  card_num_raw    user_id
+                  NULL if event_id % 401 = 0
+  card_num_raw    user_id; NULL if % 211 = 0
   amount_raw      'abc' if % 37 = 0; NULL if % 43 = 0; else value as decimal(18,2)
-  merchant_raw    'M' || event_id % 120
+  merchant_raw    'M' || event_id % 120; NULL if % 307 = 0
   category_raw    event_type
   is_fraud_raw    'maybe' if % 31 = 0; 'on' if % 5 = 0; 'TRUE' if % 7 = 0; else '0'
   lineage         'trans_' || event_id div 1000 || '.csv'; event_id % 1000 + 1;
                   ts floored to the hour
 raw_clients (from orders, one row per order)
-  card_num_raw    o_custkey div 10 (same range as events.user_id)
+  card_num_raw    o_custkey div 10 (same range as events.user_id); NULL if
+                  o_orderkey % 331 = 0
   date_birth_raw  o_orderdate as dd-MM-yyyy, 'n/a' if o_orderkey % 53 = 0
   lineage         'clients_' || o_orderkey div 1000 || '.csv'; o_orderkey % 1000 + 1;
                   2024-01-01 + (o_orderkey * 7) % 25 days
 raw_merch (from supplier, one row per supplier)
-  merchant_raw    'M' || s_suppkey % 80 (part of the transaction merchants stay unmatched)
+  merchant_raw    'M' || s_suppkey % 80 (part of the transaction merchants stay
+                  unmatched); NULL if s_suppkey % 23 = 0
   lat / long      s_acctbal / 100 and / -50 as decimal(18,4) text; '1000.0' (overflow)
                   if s_suppkey % 17 = 0
   lineage         'merch_' || s_suppkey div 100 || '.csv'; s_suppkey % 100 + 1;
@@ -71,15 +74,15 @@ def trans_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     eid, ts = F.col("event_id"), F.col("ts")
     return ev.select("event_id", "ts", "props",
-        trans_num(eid).alias("trans_num_raw"),
+        F.when(eid % 401 != 0, trans_num(eid)).alias("trans_num_raw"),
         F.when(eid % 41 == 0, F.date_format(ts, "yyyy-MM-dd"))
          .when(eid % 3 == 0, F.date_format(ts, "dd-MM-yyyy HH:mm"))
          .otherwise(F.date_format(ts, "dd-MM-yyyy HH:mm:ss")).alias("trans_date_raw"),
-        F.col("user_id").cast("string").alias("card_num_raw"),
+        F.when(eid % 211 != 0, F.col("user_id").cast("string")).alias("card_num_raw"),
         F.when(eid % 37 == 0, F.lit("abc"))
          .when(eid % 43 == 0, F.lit(None).cast("string"))
          .otherwise(F.col("value").cast("decimal(18,2)").cast("string")).alias("amount_raw"),
-        F.concat(F.lit("M"), (eid % 120).cast("string")).alias("merchant_raw"),
+        F.when(eid % 307 != 0, F.concat(F.lit("M"), (eid % 120).cast("string"))).alias("merchant_raw"),
         F.col("event_type").alias("category_raw"),
         F.when(eid % 31 == 0, F.lit("maybe")).when(eid % 5 == 0, F.lit("on"))
          .when(eid % 7 == 0, F.lit("TRUE")).otherwise(F.lit("0")).alias("is_fraud_raw"),
@@ -93,7 +96,7 @@ def derive_raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return o.select(
-        F.floor(F.col("o_custkey") / 10).cast("string").alias("card_num_raw"),
+        F.when(k % 331 != 0, F.floor(F.col("o_custkey") / 10).cast("string")).alias("card_num_raw"),
         F.concat(F.lit("F"), (k % 97).cast("string")).alias("first_name_raw"),
         F.concat(F.lit("L"), (k % 89).cast("string")).alias("last_name_raw"),
         F.col("o_orderstatus").alias("gender_raw"),
@@ -114,7 +117,7 @@ def derive_raw_merch(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     bal = F.col("s_acctbal").cast("decimal(18,2)")
     return s.select(
-        F.concat(F.lit("M"), (k % 80).cast("string")).alias("merchant_raw"),
+        F.when(k % 23 != 0, F.concat(F.lit("M"), (k % 80).cast("string"))).alias("merchant_raw"),
         F.when(k % 17 == 0, F.lit("1000.0"))
          .otherwise((bal / 100).cast("decimal(18,4)").cast("string")).alias("merchant_lat_raw"),
         (bal / -50).cast("decimal(18,4)").cast("string").alias("merchant_long_raw"),

@@ -428,3 +428,33 @@ def test_version_ids_of_null_and_empty_keys_differ(spark, tmp_dir):
     t.merge(scd2_snapshot_delta(t.read(), later, "card", "t"), batch_id=1)
     assert {(r.card, r.v, r.dbt_valid_to) for r in t.read().collect()} == {
         (None, "n", None), ("", "e", D(2024, 1, 2)), ("", "e2", None)}
+
+
+@pytest.mark.parametrize("limit,most", [(3, 100), (3, 1), (1000, 100)])
+def test_routed_as_of_join(spark, limit, most):
+    """Keys of many versions are swept, the others joined; with too many of
+    them all is swept. The equi join never sees a key above the limit."""
+    cards = {"hot": 60, "warm": 4, "cold": 2, "one": 1, None: 5}
+    versions = [(c, f"{c}{i}", D(2024, 1, 1) + dt.timedelta(hours=7 * i)) for c, n in cards.items() for i in range(n)]
+    v = scd2_from_history(spark.createDataFrame(versions, "card string, name string, t timestamp_ntz")
+                          .withColumn("valid_from", F.col("t")), "card", "valid_from")
+    facts = [(i, c, D(2023, 12, 31) + dt.timedelta(hours=5 * (i % 100))) for c in [*cards, "none"] for i in range(100)]
+    facts += [(1000, "hot", None), (1001, None, None)]
+    f = spark.createDataFrame(facts, "n int, card string, ts timestamp_ntz")
+    want = enrich.join_as_of(f, v, "card", "ts", prefix="_c_").select("n", "card", "ts", "_c_name")
+    seen = []
+    plain = enrich.join_as_of
+
+    def spy(fact, versions, *a, **k):
+        seen.append(versions.groupBy("card").count().agg(F.max("count")).first()[0] or 0)
+        return plain(fact, versions, *a, **k)
+
+    enrich.join_as_of = spy
+    try:
+        got = enrich.join_as_of_routed(f, v, "card", "ts", ["name"], prefix="_c_", max_versions=limit, max_hot=most)
+        assert rows(got, "n", "card", "ts", "_c_name") == rows(want, "n", "card", "ts", "_c_name")
+    finally:
+        enrich.join_as_of = plain
+    assert seen == ([5] if limit == 3 and most == 100 else [] if most == 1 else [60])  # 5: the NULL key, never matched
+    hot = {r.card for r in enrich.hot_keys(v, "card", limit).collect()}
+    assert hot == ({"hot", "warm"} if limit == 3 else set())

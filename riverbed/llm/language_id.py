@@ -5,7 +5,7 @@ of several widths, max pooling and softmax. As the input is one-hot, a filter
 is a sum of table rows, one table per place in the filter, so no embedding is
 needed. The network is trained in numpy on a bounded sample of labelled
 windows (``WINDOWS_PER_LANGUAGE`` per language, one per document, taken in
-hash order) and applied to every window of every whole text. A text's language
+hash order, and ``WINDOWS`` in all, but one of each language at least) and applied to every window of every whole text. A text's language
 maximises the summed log probabilities of its windows, weighted by their bytes.
 
 Scoring is one pass without a shuffle; only the sample moves.
@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbed.llm.common import LOWER, string_buffers
+from riverbed.llm.common import LOWER, stage_table, string_buffers
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
-WINDOWS_PER_LANGUAGE = 1500
+WINDOWS_PER_LANGUAGE, WINDOWS = 1500, 60_000
 OVERSAMPLE = 3
 #: Windows times languages that are scored at a time, at most.
 CELLS = 1 << 18
@@ -147,11 +147,13 @@ def training_windows(docs: DataFrame, per_language: int = WINDOWS_PER_LANGUAGE)
     learn = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     # Rows of each language, to thin the candidates by hash before they move:
     # about OVERSAMPLE times what is wanted reaches the ranking, at any size.
-    sizes = learn.groupBy(F.col("lang").cast("string").alias("size_lang")).agg(F.count(F.lit(1)).alias("size"))
+    sizes = stage_table(learn.groupBy(F.col("lang").cast("string").alias("size_lang"))
+                        .agg(F.count(F.lit(1)).alias("size")), "languages")
+    per_language = max(1, min(per_language, WINDOWS // max(sizes.count(), 1)))
     share = F.least(F.lit(1.0), F.lit(float(OVERSAMPLE * per_language)) / F.col("size"))
     h = F.xxhash64(F.lit(12), "doc_id", text)
     found = (learn.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-             .join(F.broadcast(sizes), F.col("lang") == F.col("size_lang"))  # a row per language
+             .join(sizes, F.col("lang") == F.col("size_lang"))  # broadcast while it is small
              .filter(F.pmod(h, F.lit(1 << 30)) < share * (1 << 30))
              .select("lang", h.alias("h"),
                      F.substring(text, place.cast("int"), F.lit(WINDOW)).alias("window"))

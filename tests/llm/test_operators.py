@@ -428,6 +428,77 @@ def test_every_template_is_found_and_needs_its_key(label, notice, keys):
     key = keys[0].split()
     broken = notice.replace(keys[0], " ".join([*key[:-1], "other"]))
     assert label not in {x for x, _ in labels(broken)}
+    # Words put in, left out and changed elsewhere leave the label in place.
+    w, spots = notice.split(), set()
+    for k in keys:
+        at = next(i for i in range(len(w)) if w[i: i + len(k.split())] == k.split())
+        spots |= set(range(at, at + len(k.split())))
+    free = [i for i in range(len(w)) if i not in spots]
+    if len(w) >= 40:
+        rnd = random.Random(label)
+        change = rnd.sample(free, len(w) // 20)
+        edited = []
+        for i, x in enumerate(w):
+            kind = rnd.randrange(3) if i in change else None
+            edited += {None: [x], 0: [x, "inserted"], 1: [], 2: ["changed"]}[kind]
+        assert label in {x for x, _ in labels("a b c " + " ".join(edited) + " d")}
+
+
+def plain_license_labels(text, index):
+    """Every start of every template: heaviest common subsequence and key phrases, by loops."""
+    h = common.words(pa.array([text or ""]), common.NON_ALNUM)[0].tolist()
+    out = set()
+    for t, label in enumerate(index.labels):
+        tw, wt, give = index.words[t].tolist(), index.weight[t].tolist(), int(index.slack[t])
+        for s in range(-give, len(h)):
+            a = max(s - give, 0)
+            part = h[a: max(s + len(tw) + give, 0)]
+            if len(set(part) & set(tw)) < 0.3 * len(set(tw)):
+                continue
+            table = [[0.0] * (len(part) + 1)]
+            for x, y in zip(tw, wt, strict=True):
+                cur = [0.0]
+                for j, p in enumerate(part):
+                    cur.append(max(table[-1][j + 1], cur[j], table[-1][j] + (y if p == x else 0)))
+                table.append(cur)
+            keys = all(any(part[j: j + len(k)] == k.tolist() and abs(j + a - s - p) <= give for j in range(len(part)))
+                       for p, k in index.keys[t])
+            if keys and table[-1][-1] >= license_scan.MIN_SCORE * sum(wt):
+                out.add(label)
+                break
+    return out
+
+
+def test_license_labels_against_all_starts(spark):
+    """The index finds what an alignment at every start finds, edits included."""
+    rnd = random.Random(12)
+    short = [t for t in license_scan.TEMPLATES if len(t[1].split()) < 60]
+    ts = [None, "", "nothing here but words"]
+    for _ in range(70):
+        filler = [rnd.choice(WORDS) for _ in range(rnd.randrange(0, 12))]
+        label, notice, _ = rnd.choice(short)
+        w = notice.split()
+        if rnd.random() < .5:
+            del w[rnd.randrange(len(w))]
+        if rnd.random() < .5:
+            w.insert(rnd.randrange(len(w) + 1), "extra")
+        ts.append(" ".join(filler + w + filler))
+    df = near_join.stage_table(spark.createDataFrame(list(enumerate(ts)), "doc_id bigint, text string"), "t")
+    index = license_scan.build_index(license_scan.TEMPLATES, *license_scan.document_counts(df))
+    got = {r["doc_id"]: set(filter(None, r["labels"].split(","))) - set(license_scan.BASE_PHRASES.values())
+           for r in rows_of(license_scan.scan_licenses(df))}
+    want = {i: plain_license_labels(t, index) for i, t in enumerate(ts)}
+    assert sum(map(len, want.values())) > 30
+    assert all(got[i] <= want[i] for i in want)
+    # Few rare words of a short notice may fall to its edits; whole ones are never missed.
+    assert sum(len(want[i] - got[i]) for i in want) <= 0.1 * sum(map(len, want.values()))
+
+
+def test_document_counts(spark):
+    df = spark.createDataFrame([("the mit license the",), ("THE gnu",), (None,)], "text string").repartition(3)
+    n, counts = license_scan.document_counts(df)
+    word = lambda x: int(common.words(pa.array([x]))[0][0])
+    assert n == 3 and counts[word("the")] == 2 and counts[word("gnu")] == 1 and counts[word("warranty")] == 0
 
 
 # -- 5: language -------------------------------------------------------------------------------
@@ -450,6 +521,47 @@ def test_language_id(spark, empty):
     assert language_id.identify(empty).count() == 0
 
 
+def test_network_against_plain_loops():
+    """Convolution, pooling, softmax and gradients, by loops and differences."""
+    rng = np.random.default_rng(2)
+    net = language_id.ByteNet(3)
+    wide = lambda a: rng.normal(0, .3, a.shape)
+    net.tables, net.bias = [wide(t) for t in net.tables], [wide(b) for b in net.bias]
+    net.dense, net.out = wide(net.dense), wide(net.out)
+    x = rng.integers(0, 256, (4, 20)).astype(np.uint8)
+
+    def plain(row):
+        pooled = []
+        for w, table, bias in zip(language_id.WIDTHS, net.tables, net.bias, strict=True):
+            for f in range(language_id.FILTERS):
+                best = max(sum(float(table[j, row[i + j], f]) for j in range(w)) for i in range(len(row) - w + 1))
+                pooled.append(max(best + float(bias[f]), 0.0))
+        z = [sum(a * float(net.dense[i, c]) for i, a in enumerate(pooled)) + float(net.out[c]) for c in range(3)]
+        return [v - math.log(sum(map(math.exp, z))) for v in z]
+
+    assert net.log_probs(x) == pytest.approx(np.array([plain(r) for r in x]), abs=1e-9)
+    y = np.array([0, 1, 2, 1])
+    loss = lambda: -net.log_probs(x)[np.arange(4), y].mean()
+    for p, g in zip(net.params(), net.gradients(x, y), strict=True):
+        flat, slope = p.reshape(-1), g.reshape(-1)
+        for i in np.argsort(-np.abs(slope))[:3].tolist():
+            keep = flat[i]
+            flat[i] = keep + 1e-6
+            up = loss()
+            flat[i] = keep - 1e-6
+            down = loss()
+            flat[i] = keep
+            assert (up - down) / 2e-6 == pytest.approx(slope[i], abs=1e-5)
+
+
+def test_the_sample_is_bounded_over_all_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "WINDOWS", 40)
+    rows = [(i, f"text number {i} of it", f"l{i % 10}") for i in range(400)]
+    df = near_join.stage_table(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), "t")
+    langs, _ = language_id.training_windows(df)
+    assert Counter(langs) == {f"l{k}": 4 for k in range(10)}
+
+
 def test_every_language_is_learned(spark):
     """300 languages, the rarest with one document, and none left out."""
     rnd = random.Random(6)

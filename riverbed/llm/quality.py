@@ -8,7 +8,7 @@ labelled documents (``LABELLED``, one row per id). Which words the text view
 sees is counted by Spark over that sample, so a row's features are bounded
 whatever its text's size.
 
-All unlabelled documents are the pool: their features are written once. In each
+All unlabelled documents are the pool: features are written once. In each
 of ``ROUNDS`` rounds tasks score all of them with both views; per view and class
 the ``PER_ROUND`` surest texts from ``SURE`` on get that label and join the other
 view's training set (equal texts count once). Then each view is calibrated on
@@ -307,11 +307,10 @@ def train_views(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) ->
 
     models = {v: fit(v) for v in sizes}
     marked = labels.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("marked_id"))
-    free = _inputs(docs).join(marked, F.col("doc_id") == F.col("marked_id"), "left_anti")
-    pool = stage_table(_features(free, chosen, "same bigint, meta array<int>"), "quality-pool")
+    pool = stage_table(_features(_inputs(docs), chosen, "doc_id bigint, same bigint, meta array<int>"), "quality-pool")
     taken = {v: set() for v in sizes}
     for _ in range(ROUNDS):
-        picks = _surest(pool, models, base.mean, base.std, taken)  # view -> [(same, label)]
+        picks = _surest(pool, marked, models, base.mean, base.std, taken)  # view -> [(same, label)]
         if not any(picks.values()):
             break
         rows = _pool_rows(pool, sorted({h for p in picks.values() for h, _ in p}))
@@ -337,18 +336,22 @@ def _joined(parts):
             np.concatenate([c for _, _, c in parts]))
 
 
-def _surest(pool: DataFrame, models: dict, mean, std, taken: dict) -> dict:
+def _surest(pool: DataFrame, marked: DataFrame, models: dict, mean, std, taken: dict) -> dict:
     """Per teaching view the surest texts of the pool and their labels, without
     those that its pupil has: at most 2 x PER_ROUND. All of the pool is scored
-    in tasks; equal texts are one."""
+    in tasks; documents with labels are taken out of the scores (an id and two
+    numbers a row), and equal texts are one."""
     def run(batches):
         for b in batches:
             x = Inputs(b, mean, std)
             yield pa.RecordBatch.from_arrays(
-                [b.column("same"), *[pa.array(_sigmoid(models[v].logit(*x.of(v)))) for v in ("text", "meta")]],
-                ["same", "text", "meta"])
+                [b.column("doc_id"), b.column("same"),
+                 *[pa.array(_sigmoid(models[v].logit(*x.of(v)))) for v in ("text", "meta")]],
+                ["doc_id", "same", "text", "meta"])
 
-    scored = stage_table(pool.mapInArrow(run, "same bigint, text double, meta double")
+    scores = pool.mapInArrow(run, "doc_id bigint, same bigint, text double, meta double")
+    sure = F.greatest(F.col("text"), 1 - F.col("text"), F.col("meta"), 1 - F.col("meta")) >= SURE
+    scored = stage_table(scores.filter(sure).join(marked, F.col("doc_id") == F.col("marked_id"), "left_anti")
                          .groupBy("same").agg(F.max("text").alias("text"), F.max("meta").alias("meta")), "quality-scores")
     out = {}
     for view in ("text", "meta"):

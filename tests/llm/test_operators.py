@@ -621,9 +621,9 @@ def test_quality_pool_is_whole_and_ids_count_once(spark):
     assert sample.count() == 300 and sample.select("doc_id").distinct().count() == 300
     scored, surest = [], quality._surest
 
-    def spy(pool, *a):
-        scored.append(pool.count())
-        return surest(pool, *a)
+    def spy(pool, marked, *a):
+        scored.append(pool.join(marked, pool["doc_id"] == marked["marked_id"], "left_anti").count())
+        return surest(pool, marked, *a)
 
     quality._surest = spy
     try:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.parse import floor_ntz, lookback, seconds_between
@@ -30,6 +30,18 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def written_table_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """G1 for tables that are written as Parquet: ``COUNT(*)`` is pushed down
+    into the files' footers, one scan per table and no row is read. The
+    settings that allow it belong to a session of their own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = table_counts({name: own.read.parquet(path) for name, path in paths.items()})
+    # Without row groups the pushed count is NULL, though COUNT says it never is.
+    return counts.groupBy("table_name").agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("n"))
+
+
 def newest(df: DataFrame, order: list[Column], n: int = 10) -> DataFrame:
     """L1: newest ``n`` rows (``TakeOrderedAndProject``: top-n per task, then
     a merge of n x tasks rows; never a full sort)."""

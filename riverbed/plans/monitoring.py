@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from riverbed.operators import monitor
 from riverbed.plans import fraud
 from riverbed.plans.incremental import conformed_table, typed_landing, upsert_conformed
-from riverbed.plans.pipeline import Pipeline, RunLog
+from riverbed.plans.pipeline import Pipeline, RunLog, stream_runs
 from riverbed.session import path_exists, scratch_path
 from riverbed.sources import fixtures as fx
 from riverbed.sources.csv import CsvFormat, default_positions
@@ -76,13 +76,11 @@ def monitored(spark: SparkSession, sf_dir: str) -> str:
         loader.run_available_now()
         landed[name] = loader.landing()
 
-    # Task: one run per landing batch that the conformed table has not applied.
+    # Task: the feed's stream, its runs as the stream reports them.
     log = RunLog(spark, f"{root}/runs")
     feed, table = LandingFeed(spark, f"{root}/raw_trans/landing"), conformed_table(spark, f"{root}/conformed")
-    for b in feed.pending(table.applied_batches()):
-        with log.run("CONFORMED_UPSERT", "INCREMENTAL") as run:
-            upsert_conformed(table, typed_landing(feed.batch(b)), b, feed.load_time(b))
-            run.row_count = feed.batch(b).count()
+    query = feed.consume(lambda rows, b, t: upsert_conformed(table, typed_landing(rows), b, t), f"{root}/conformed_offset")
+    log.held += stream_runs(query, "CONFORMED_UPSERT", feed.rows_of_epoch)
     log.flush()
 
     # Models: the audit fails on bad data, the models beside it are refreshed.

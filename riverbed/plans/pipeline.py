@@ -74,6 +74,26 @@ class RunLog:
             self.held = []
 
 
+def stream_runs(query, name: str, rows_of_epoch: Mapping[int, int] | None = None) -> list[Run]:
+    """M4 / M8 from a streaming query's own progress: one run per micro-batch
+    that had input (its trigger's start and duration; ``rows_of_epoch`` gives
+    the rows where the source's count is not what was loaded), and a failed one
+    when the query ended with an exception."""
+    out = []
+    for p in query.recentProgress:
+        if p["numInputRows"] == 0:
+            continue
+        start = dt.datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
+        took = dt.timedelta(milliseconds=p["durationMs"]["triggerExecution"])
+        rows = (rows_of_epoch or {}).get(p["batchId"], p["numInputRows"])
+        out.append(Run(name, "SUCCEEDED", "INCREMENTAL", start, start, start + took, rows))
+    if query.exception() is not None:
+        now = utc_now()
+        begun = out[-1].end_time if out else now
+        out.append(Run(name, "FAILED", "INCREMENTAL", begun, begun, now))
+    return out
+
+
 class Pipeline:
     def __init__(self, sources: Mapping[str, DataFrame]):
         self.sources = dict(sources)

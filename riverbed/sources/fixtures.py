@@ -138,7 +138,8 @@ _DERIVE = {"raw_trans": derive_raw_trans, "raw_clients": derive_raw_clients,
            "raw_merch": derive_raw_merch}
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def landed_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a landed raw table."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
     path = _LANDED.get(key)
     if path is None or not path_exists(spark, path):
@@ -146,7 +147,11 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         (_DERIVE[name](spark, sf_dir).sortWithinPartitions("meta_load_ts")
          .write.mode("overwrite").parquet(path))
         _LANDED[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(landed_path(spark, sf_dir, name))
 
 
 def raw_trans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -172,6 +172,7 @@ class LandingFeed:
     def __init__(self, spark: SparkSession, landing_path: str):
         self.spark, self.path = spark, landing_path.rstrip("/")
         self.ledger_path = f"{self.path.rsplit('/', 1)[0]}/ledger"
+        self.rows_of_epoch: dict[int, int] = {}  # landed rows that each micro-batch of ``consume`` took
 
     def committed_batches(self) -> list[int]:
         """Ids of the ledgered batches: one listing of names, no data is read,
@@ -202,13 +203,17 @@ class LandingFeed:
         ``every`` None: all that is there, then the query ends."""
         if not path_exists(self.spark, self.ledger_path):
             return None
-        schema = "batch_id int, last_load_time timestamp_ntz"
+        schema = "batch_id int, last_load_time timestamp_ntz, row_count bigint"
         rows = (self.spark.readStream.schema(schema).option("maxFileAge", NEVER).parquet(self.ledger_path))
 
-        def step(batch: DataFrame, _epoch: int) -> None:
+        def step(batch: DataFrame, epoch: int) -> None:
             # One row per new batch of the feed.
-            for r in batch.groupBy("batch_id").agg(F.max("last_load_time").alias("t")).orderBy("batch_id").collect():
+            new = batch.groupBy("batch_id").agg(F.max("last_load_time").alias("t"), F.sum("row_count").alias("n"))
+            taken = 0
+            for r in new.orderBy("batch_id").collect():
                 apply(self.batch(r["batch_id"]), r["batch_id"], r["t"])
+                taken += r["n"]
+            self.rows_of_epoch[epoch] = taken
 
         writer = rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
         if every is not None:

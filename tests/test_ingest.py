@@ -10,6 +10,7 @@ import random
 import pytest
 
 from riverbed.operators.upsert import KeyedTable
+from riverbed.plans.pipeline import stream_runs, utc_now
 from riverbed.session import glob_paths
 from riverbed.sources.csv import CsvFormat, file_inventory, quote_state, read_landing, read_numbered
 from riverbed.streaming.ingest import FileIngest, LandingFeed
@@ -205,18 +206,28 @@ def test_feed_as_a_stream_resumes_at_its_own_offset(spark, tmp_dir):
             raise RuntimeError("consumer died")
         seen.append((batch_id, load_time.day, sorted(r.a for r in rows.collect())))
 
+    def broken(*_):
+        raise RuntimeError("always")
+
     feed = LandingFeed(spark, pipe.landing_path)
     assert feed.consume(apply, f"{tmp_dir}/offset") is None  # nothing ledgered yet
     for i in range(2):
         write(src, f"{i}.csv", f"h1,h2,h3\nk{i},1,x\n".encode())
     pipe.run_available_now()
-    feed.consume(apply, f"{tmp_dir}/offset")
-    feed.consume(apply, f"{tmp_dir}/offset")
+    before = utc_now()
+    runs = stream_runs(feed.consume(apply, f"{tmp_dir}/offset"), "T", feed.rows_of_epoch)
+    assert [(r.name, r.state, r.row_count) for r in runs] == [("T", "SUCCEEDED", 2)]  # both batches, a row each
+    assert before - dt.timedelta(seconds=1) <= runs[0].start_time < runs[0].end_time <= utc_now()
+    assert stream_runs(feed.consume(apply, f"{tmp_dir}/offset"), "T") == []
     assert seen == [(0, 1, ["k0"]), (1, 2, ["k1"])]
     write(src, "2.csv", b"h1,h2,h3\nk2,1,x\n")
     pipe.run_available_now()
     with pytest.raises(Exception, match="consumer died"):
         feed.consume(apply, f"{tmp_dir}/offset")
+    query = feed.consume(broken, f"{tmp_dir}/offset2", every="1 second")
+    with pytest.raises(Exception, match="always"):
+        query.processAllAvailable()
+    assert [r.state for r in stream_runs(query, "T")] == ["FAILED"]
     LandingFeed(spark, pipe.landing_path).consume(apply, f"{tmp_dir}/offset")
     assert seen[3:] == [(2, 3, ["k2"])]
     assert len(glob_paths(spark, f"{tgt}/ledger/batch_id=*")) == 3

@@ -29,3 +29,13 @@ def test_like_wildcard_and_exists(spark):
     assert names == {"DT_A", "DTAX"}  # '_' is a wildcard
     assert monitor.exists(runs.filter(F.col("name") == "DTAX")).first()[0] is True
     assert monitor.exists(runs.filter(F.col("name") == "none")).first()[0] is False
+
+
+def test_counts_come_from_footers(spark, tmp_dir):
+    for name, n in (("a", 1000), ("b", 0)):
+        spark.range(n).write.parquet(f"{tmp_dir}/{name}")
+    counts = monitor.written_table_counts(spark, {n: f"{tmp_dir}/{n}" for n in "ab"})
+    assert {r.table_name: r.n for r in counts.collect()} == {"a": 1000, "b": 0}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("PushedAggregation: [COUNT(*)]") == 2
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

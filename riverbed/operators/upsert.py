@@ -13,7 +13,8 @@ plain Parquet, without a MERGE-capable table format, as append-only batches:
 * ``read`` resolves the batches by key: the latest row (H2), or, with tracked
   columns, the row of the key's last change with that change's stamp (H1);
 * ``compact`` writes the resolved rows as a base folder, from which later
-  reads start. Call it when reads get slower than wanted.
+  reads start. A merge calls it once ``compact_after`` batches follow the last
+  base, so a read never resolves more than that.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from riverbed.session import glob_paths
 
 _SRC, _TGT = "_src_present", "_tgt_present"
 _SEQ, _NULLS = "_seq", "_nulls"
+COMPACT_AFTER = 64
 
 
 def high_water_mark(target: DataFrame | None, col: str, default=None):
@@ -151,11 +153,14 @@ class KeyedTable:
     any number of readers."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], *,
-                 tracked: Sequence[str] | None = None, mark_col: str | None = None):
+                 tracked: Sequence[str] | None = None, mark_col: str | None = None,
+                 compact_after: int | None = COMPACT_AFTER):
         """``tracked`` (H1): a batch row counts as a change only when one of
         these columns IS DISTINCT FROM the key's previous row; otherwise the
         earlier row stays, stamp included. None (H2): the latest row counts.
-        ``mark_col``: the column of the high-water mark (G3)."""
+        ``mark_col``: the column of the high-water mark (G3).
+        ``compact_after``: most batches since the last base (None: no limit)."""
+        self.compact_after = compact_after
         self.spark, self.root, self.keys = spark, root.rstrip("/"), list(keys)
         self.tracked, self.mark_col = None if tracked is None else list(tracked), mark_col
         self.refresh()
@@ -367,4 +372,6 @@ class KeyedTable:
                 source = source.join(self.read().filter(~null_key).select(*self.keys, *missing), self.keys, "left")
             source = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
         self._commit("delta", source, batch_id, null_keys)
+        if self.compact_after is not None and len(self._live()) > self.compact_after:
+            self.compact()
         return True

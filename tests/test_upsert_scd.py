@@ -458,3 +458,19 @@ def test_routed_as_of_join(spark, limit, most):
     assert seen == ([5] if limit == 3 and most == 100 else [] if most == 1 else [60])  # 5: the NULL key, never matched
     hot = {r.card for r in enrich.hot_keys(v, "card", limit).collect()}
     assert hot == ({"hot", "warm"} if limit == 3 else set())
+
+
+@pytest.mark.parametrize("tracked", [None, ["v"]])
+def test_merges_compact_by_themselves(spark, tmp_dir, tracked):
+    make = lambda limit: KeyedTable(spark, f"{tmp_dir}/c{limit}", ["k"], tracked=tracked, compact_after=limit)
+    tables = {n: make(n) for n in (3, None)}
+    for b in range(8):
+        rows_ = [(f"k{b % 3}", str(b // 4)), (f"n{b}", "x"), (None, str(b))]
+        for t in tables.values():
+            t.merge(spark.createDataFrame(rows_, "k string, v string"), stamp=("s", D(2024, 1, 1 + b)), batch_id=b)
+            assert t.compact_after is None or len(t._live()) <= t.compact_after
+    got = [sorted(map(str, t.read().collect())) for t in (tables[3], tables[None], make(3))]
+    assert got[0] == got[1] == got[2]
+    assert tables[3].quarantined().count() == tables[None].quarantined().count() == 8
+    assert make(3).offset() == 7 and not make(3).merge(spark.createDataFrame([("k0", "9")], "k string, v string"),
+                                                        stamp=("s", D(2025, 1, 1)), batch_id=2)

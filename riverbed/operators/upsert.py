@@ -221,8 +221,9 @@ class KeyedTable:
 
     def _resolve(self, folders: Sequence[Folder], only: DataFrame | None = None) -> DataFrame:
         """One row per key, and the NULL-key rows that were inserted. The H2
-        form ships at most one row per key and task; the H1 form compares a
-        key's rows in order, at most one per batch since the last base."""
+        form ships at most one row per key and task, and nothing of a base that
+        small batches follow; the H1 form compares a key's rows in order, at
+        most one per batch since the last base."""
         rows, null_key = self._scan(folders), null_key_rows(self.keys)
         if only is not None:
             names = {c: f"_o{i}" for i, c in enumerate(only.columns)}
@@ -235,7 +236,13 @@ class KeyedTable:
             out = rows if inserted else rows.filter(~null_key)
             return out.drop(_SEQ, _NULLS)
         keyed = rows.filter(~null_key)
-        if self.tracked is None:
+        if self.tracked is None and folders[0].kind == "base":
+            # The base gives way to the batches after it by their keys alone:
+            # they are broadcast while they are small, and it is not shuffled.
+            base = keyed.filter(F.col(_SEQ) == folders[0].seq)
+            newer = latest_per_key(keyed.filter(F.col(_SEQ) > folders[0].seq), self.keys, [F.col(_SEQ).desc()])
+            out = base.join(newer.select(*self.keys), self.keys, "left_anti").select(*newer.columns).unionByName(newer)
+        elif self.tracked is None:
             out = latest_per_key(keyed, self.keys, [F.col(_SEQ).desc()])
         else:
             in_order = Window.partitionBy(*self.keys).orderBy(_SEQ)

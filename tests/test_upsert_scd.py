@@ -474,3 +474,19 @@ def test_merges_compact_by_themselves(spark, tmp_dir, tracked):
     assert tables[3].quarantined().count() == tables[None].quarantined().count() == 8
     assert make(3).offset() == 7 and not make(3).merge(spark.createDataFrame([("k0", "9")], "k string, v string"),
                                                         stamp=("s", D(2025, 1, 1)), batch_id=2)
+
+
+def test_a_read_shuffles_the_batches_not_the_base(spark, tmp_dir):
+    t = KeyedTable(spark, f"{tmp_dir}/based", ["k", "j"])
+    make = lambda lo, hi, v: spark.range(lo, hi).select(
+        F.col("id").alias("k"), (F.col("id") % 3).alias("j"), F.lit(v).alias("v"))
+    t.merge(make(0, 3000, "a"), batch_id=0)
+    t.compact()
+    t.merge(make(2990, 3010, "b"), batch_id=1)
+    t.merge(make(3005, 3020, "c"), batch_id=2)
+    got = {r.k: r.v for r in t.read().collect()}
+    assert len(got) == 3020 and [got[k] for k in (0, 2989, 2990, 3004, 3005, 3019)] == ["a", "a", "b", "b", "c", "c"]
+    plan = t.read()._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    executed = t.read()._jdf.queryExecution().executedPlan().toString()
+    assert executed.count("Exchange hashpartitioning") == 2  # both of the batches: their rows and their keys

@@ -186,13 +186,15 @@ NEEDS = {"invalid": ("raw_trans",), "merchants": ("raw_merch",), "snapshot": ("r
          "clients": ("raw_clients",), "facts": ("raw_trans", "raw_merch", "raw_clients")}
 
 
-def replay(spark: SparkSession, raw: dict[str, DataFrame], name: str,
-           models: Sequence[str], cuts=DEFAULT_CUTS) -> FraudWarehouse:
-    """Run the V3 models once per load cut on a fresh warehouse."""
+def replay(spark: SparkSession, raw: dict[str, DataFrame], name: str, models: Sequence[str], cuts=DEFAULT_CUTS,
+           landing: dict[str, DataFrame] | None = None) -> FraudWarehouse:
+    """Run the V3 models once per load cut on a fresh warehouse. ``landing``:
+    the raw tables as landed by batch, where that has been done."""
     root = scratch_path(spark, name)
     wh = FraudWarehouse(spark, root)
-    used = {t: raw[t] for m in models for t in NEEDS[m]}
-    landing = land_batches(spark, used, f"{root}/landing", lambda _name: batch_of_cut(cuts))
+    if landing is None:
+        used = {t: raw[t] for m in models for t in NEEDS[m]}
+        landing = land_batches(spark, used, f"{root}/landing", lambda _name: batch_of_cut(cuts))
     for run_id in range(len(cuts)):
         wh.run(landing, run_id, models)
     return wh

@@ -157,9 +157,22 @@ def table_counts(spark, sf):
 
 
 # -- incremental models (V3) and the V1 upsert ---------------------------------------
+_BY_CUT: dict[tuple[str, str], str] = {}
+
+
 def _replay(spark, sf, name, models):
-    from riverbed.plans.incremental import replay
-    return replay(spark, fx.raw_tables(spark, sf), name, models)
+    """The raw tables are landed by load cut once per session and input."""
+    import os
+
+    from riverbed.plans.incremental import DEFAULT_CUTS, batch_of_cut, land_batches, replay
+    from riverbed.session import path_exists, scratch_path
+    raw = fx.raw_tables(spark, sf)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    root = _BY_CUT.get(key)
+    if root is None or not all(path_exists(spark, f"{root}/{t}/_SUCCESS") for t in raw):
+        root = _BY_CUT[key] = scratch_path(spark, "landing-by-cut")
+        land_batches(spark, raw, root, lambda _name: batch_of_cut(DEFAULT_CUTS))
+    return replay(spark, raw, name, models, landing={t: spark.read.parquet(f"{root}/{t}") for t in raw})
 
 
 @query

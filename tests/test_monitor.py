@@ -39,3 +39,9 @@ def test_counts_come_from_footers(spark, tmp_dir):
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[-1].count("PushedAggregation: [COUNT(*)]") == 2
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_load_stats_looks_at_the_latency_of_every_load(spark):
+    from riverbed.plans.queries import REGISTRY
+    rows = [r.asDict() for r in REGISTRY["load_stats"](spark, "/root/testdata/sf0.001").collect()]
+    assert rows and all(r["latency_known"] is True and r["avg_within_max"] is True for r in rows)

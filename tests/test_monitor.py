@@ -45,3 +45,9 @@ def test_load_stats_looks_at_the_latency_of_every_load(spark):
     from riverbed.plans.queries import REGISTRY
     rows = [r.asDict() for r in REGISTRY["load_stats"](spark, "/root/testdata/sf0.001").collect()]
     assert rows and all(r["latency_known"] is True and r["avg_within_max"] is True for r in rows)
+
+
+def test_run_history_looks_at_the_end_of_every_run(spark):
+    from riverbed.plans.queries import REGISTRY
+    rows = [r.asDict() for r in REGISTRY["run_history"](spark, "/root/testdata/sf0.001").collect()]
+    assert rows and all(r["ended"] is True for r in rows)

@@ -272,3 +272,23 @@ def test_latency_does_not_depend_on_the_session_zone(spark, tmp_dir):
         assert 0 <= (r.last_load_time - r.pipe_received_time).total_seconds() < 600
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_small_files_are_listed_by_few_tasks_and_read_once(spark, tmp_dir):
+    rows = spark.range(0, 1200, 1, 1).selectExpr("id div 10 AS f", "concat('r', id) AS value")
+    (rows.repartition(4, "f").sortWithinPartitions("f", "value").withColumn("file", F.col("f")).drop("f")
+     .write.partitionBy("file").text(tmp_dir))
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    spark.sparkContext.setJobGroup("listing-test", "listing-test")
+    names = [r["name"] for r in file_inventory(spark, tmp_dir, "*.txt").collect()]
+    numbered = read_numbered(spark, names, 1, CsvFormat(header=False), largest=100)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(setting) == before and len(names) == 120
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing-test")
+              for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s is not None) < 120
+    assert numbered._jdf.queryExecution().optimizedPlan().toString().count("csv") == 1
+    got = {(r.meta_filename.split("file=")[1].split("/")[0], r.meta_file_row_number): r.c1 for r in numbered.collect()}
+    assert got == {(str(i // 10), i % 10 + 1): f"r{i}" for i in range(1200)}

@@ -25,6 +25,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverbed.functions.parse import any_distinct
 from riverbed.operators.dedupe import latest_per_key
 from riverbed.operators.upsert import KeyedTable
 from riverbed.plans import fraud
@@ -94,16 +95,23 @@ class FraudFact:
         # A touched card's versions are chained anew over all of its history.
         chained = stage(fraud.clients_scd2(self.history.read_matching(cards).withColumn(
             "valid_from", F.col("meta_load_ts"))), "versions-chained")
-        changed = chained
+        # A version is new, or differs from the one held under its key; one that
+        # only ends earlier ends where a new one begins. Held and chained rows
+        # meet once, by their key.
+        changed = chained.withColumn("_shown_differs", F.lit(True))
         if self.versions.exists():
-            held = self.versions.read_matching(cards).select(*chained.columns)
-            changed = stage(chained.subtract(held), "versions-changed")
-        # A version that only ends earlier ends where a new one begins.
-        shown = changed.select("card_num", *SHOWN_CLIENT, "valid_from")
-        if self.versions.exists():
-            shown = shown.subtract(held.select(*shown.columns))
-        (shown.groupBy("card_num").agg(F.min("valid_from").alias("since"))
+            held = self.versions.read_matching(cards)
+            held = held.select(*[F.col(c).alias(f"_h_{c}") for c in chained.columns], F.lit(True).alias("_held"))
+            pairs = chained.join(held, [chained[k] == held[f"_h_{k}"] for k in self.versions.keys], "left")
+
+            def differs(cols):
+                return F.col("_held").isNull() | any_distinct([F.col(f"_h_{c}") for c in cols], [F.col(c) for c in cols])
+
+            changed = stage(pairs.filter(differs(chained.columns)).select(
+                *chained.columns, differs(SHOWN_CLIENT).alias("_shown_differs")), "versions-changed")
+        (changed.filter("_shown_differs").groupBy("card_num").agg(F.min("valid_from").alias("since"))
          .write.mode("overwrite").parquet(out))
+        changed = changed.drop("_shown_differs")
         self.versions.merge(changed, batch_id=upto, on_duplicates="unique")
 
     def refresh(self, landing: Mapping[str, DataFrame], upto: int, log: RunLog | None = None) -> bool:
@@ -120,7 +128,11 @@ class FraudFact:
             changes = f"{self.root}/changes/batch_id={upto}"
             self._merchants(landing["raw_merch"], upto, f"{changes}/merchants")
             self._cards(landing["raw_clients"], upto, f"{changes}/cards")
-            todo = new
+            # The new rows are parsed once, into their folders, and read from there.
+            folder = f"{self.txn_path}/batch_id={upto}"
+            new.write.mode("overwrite").partitionBy("card_bucket").parquet(folder)
+            new = self.spark.read.schema(new.schema).parquet(folder).select(*new.columns)
+            todo = new.drop("card_bucket")
             if self.facts.exists():
                 old = self.spark.read.parquet(self.txn_path)
                 old = old.filter((F.col("batch_id") <= offset)).drop("batch_id")
@@ -130,8 +142,7 @@ class FraudFact:
                 by_card = old.join(cards, ["card_bucket", "card_num"]).filter("trans_ts >= since")
                 todo = (new.unionByName(old.join(merchants, "merchant", "left_semi").select(*new.columns))
                         .unionByName(by_card.select(*new.columns)).dropDuplicates(LINE))
-            new.write.mode("overwrite").partitionBy("card_bucket").parquet(f"{self.txn_path}/batch_id={upto}")
-            todo = stage(todo.drop("card_bucket"), "facts-todo")
+                todo = stage(todo.drop("card_bucket"), "facts-todo")
             run.row_count = todo.count()
             fact = fraud.enriched_fact(todo.withColumn("validation_status", F.lit(fraud.VALID)), self.merchants.read(),
                                        self.versions.read(), extra=tuple(LINE))

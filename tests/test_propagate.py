@@ -121,3 +121,23 @@ def test_land_batches(spark, tmp_dir):
     raw = {"x": spark.createDataFrame([(D(2024, 1, 1),), (D(2024, 1, 5),)], "meta_load_ts timestamp_ntz")}
     out = land_batches(spark, raw, f"{tmp_dir}/lb", lambda _n: (F.dayofmonth("meta_load_ts") > 3).cast("int"))
     assert sorted(r.batch_id for r in out["x"].collect()) == [0, 1]
+
+
+def test_a_refresh_parses_the_new_rows_once_and_meets_held_versions_once(spark, tmp_dir, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    raw, seen, subtracted = landing(spark), spark.sparkContext.accumulator(0), []
+
+    def count(name):
+        seen.add(1)
+        return name
+
+    counted = F.udf(count, "string").asNondeterministic()
+    raw["raw_trans"] = raw["raw_trans"].coalesce(1).withColumn("meta_filename", counted("meta_filename"))
+    plain = DataFrame.subtract
+    monkeypatch.setattr(DataFrame, "subtract", lambda a, b: subtracted.append(a.columns) or plain(a, b))
+    fact = FraudFact(spark, f"{tmp_dir}/fact")
+    for n in range(3):
+        before = seen.value
+        fact.refresh(raw, n)
+        assert seen.value - before == 45  # all rows of the landing, as the filter follows the count
+    assert all("card_num" not in cols for cols in subtracted)

@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from riverbed.session import scratch_path
 
-SLICE_BYTES = 1 << 20
+#: Text hashed at once; at 8 bytes a byte and a few arrays of these, with the
+#: batches of ``batches_by_bytes`` what a Python worker holds beyond its rows.
+SLICE_BYTES = 1 << 18
 
 
 def spark_of(df: DataFrame) -> SparkSession:
@@ -224,7 +226,7 @@ def row_of(counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(counts)), counts)
 
 
-def batches_by_bytes(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+def batches_by_bytes(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
     """Slices of an Arrow batch whose text holds about ``limit`` bytes."""
     _, offs = string_buffers(batch.column(column))
     at = 0

@@ -77,11 +77,15 @@ def text_names(rows: DataFrame, block_chars: int = BLOCK_CHARS, address=block_ad
         level = stage_table(level, "name-pairs")
         names = _named(level.select("l", "r").distinct(), ["l", "r"], "name")
         names = names.withColumnsRenamed({"l": "nl", "r": "nr"})
-        named = level.join(names, (F.col("l") == F.col("nl")) & F.col("r").eqNullSafe(F.col("nr")))
+        # Written once: the finished texts, the test for others and the next
+        # round read it, none names the pairs again.
+        named = stage_table(level.join(names, (F.col("l") == F.col("nl")) & F.col("r").eqNullSafe(F.col("nr")))
+                            .select("rid", "pos", "n", "last", "name"), "pair-names")
         done.append(named.filter("last AND pos = 0").select("rid", F.col("n").alias("n_blocks"), "name"))
-        level = _paired(named.filter("NOT (last AND pos = 0)").select("rid", "pos", "name", "n"), "n")
-        if level.isEmpty():
+        others = named.filter("NOT (last AND pos = 0)").select("rid", "pos", "name", "n")
+        if others.isEmpty():
             break
+        level = _paired(others, "n")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

@@ -58,6 +58,20 @@ _CLASS[[0x20, 0x09]], _CLASS[[0x0A, 0x0D]], _CLASS[[0x21, 0x3F]] = 3, 4, 5
 #: Marks of ordinary prose.
 _CLASS[[0x2C, 0x2E, 0x27, 0x2D, 0x3A, 0x3B, 0x28, 0x29]] = 8
 STYLE = 13
+#: Bytes whose classes are counted at once.
+CLASS_BYTES = 1 << 18
+
+
+def class_counts(data: np.ndarray, offs: np.ndarray, step: int = CLASS_BYTES) -> np.ndarray:
+    """(rows, 9) bytes of each class, counted ``step`` bytes at a time: the
+    counting takes 24 bytes of memory for each of them, whatever a row's size."""
+    out = np.zeros((len(offs) - 1, 9), np.int64)
+    for a in range(0, len(data), step):
+        b = min(a + step, len(data))
+        lo, hi = np.searchsorted(offs, a, "right") - 1, np.searchsorted(offs, b, "left")
+        place = row_of(np.diff(np.clip(offs[lo: hi + 1], a, b))) * 9 + _CLASS[data[a:b]]
+        out[lo:hi] += np.bincount(place, minlength=(hi - lo) * 9).reshape(-1, 9)
+    return out
 
 
 def style_features(column: pa.Array, h: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -65,7 +79,7 @@ def style_features(column: pa.Array, h: np.ndarray, n: np.ndarray) -> np.ndarray
     data, offs = string_buffers(column)
     rows = len(n)
     size = np.diff(offs)
-    kinds = np.bincount(row_of(size) * 9 + _CLASS[data], minlength=rows * 9)[: rows * 9].reshape(rows, 9)
+    kinds = class_counts(data, offs)
     out = np.zeros((rows, STYLE))
     out[:, :9] = kinds / np.maximum(size, 1)[:, None]
     row = row_of(n)

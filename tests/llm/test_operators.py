@@ -82,6 +82,36 @@ def test_words_and_shingles(monkeypatch, limit):
     assert m.tolist() == [max(1, k - 4) if k else 0 for k in n.tolist()]
 
 
+@pytest.mark.parametrize("step", [1, 7, 64, 1 << 18])
+def test_byte_classes_are_counted_in_slices(step):
+    """Rows that span slices, empty rows at any place, and none at all."""
+    from riverbed.llm.quality import _CLASS, class_counts
+    for ts in (["", "", *[t or "" for t in make_texts()][:40], "", "aB1 !\n" * 50, ""], ["", ""], []):
+        data, offs = common.string_buffers(pa.array(ts, pa.string()))
+        plain = [np.bincount(_CLASS[list(t.encode())], minlength=9).tolist() if t else [0] * 9 for t in ts]
+        assert class_counts(data, offs, step).tolist() == plain
+
+
+def test_worker_memory_beside_its_batch():
+    """What a worker holds beside a batch of texts does not follow the batch."""
+    import tracemalloc
+
+    from riverbed.llm import near_join, quality
+    rng = np.random.default_rng(5)
+    some = ["".join(x) for x in rng.choice(list("abcdefghij      "), (400, 8000))]
+    batch = pa.RecordBatch.from_arrays([pa.array(some * 2)], ["text"])  # 6.4 MB
+    common.words(batch.column("text").slice(0, 1))  # tables that stay
+    tracemalloc.start()
+    try:
+        for part in common.batches_by_bytes(batch, "text"):
+            column = part.column("text")
+            quality.style_features(column, *common.words(column, common.NON_ALNUM))
+            near_join.minhash(*near_join.shingle_sets(column))
+        assert tracemalloc.get_traced_memory()[1] < 32e6
+    finally:
+        tracemalloc.stop()
+
+
 # -- 8: exact duplicates ---------------------------------------------------------------
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact_duplicates(docs, weak):

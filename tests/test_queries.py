@@ -55,3 +55,18 @@ def test_stateful_queries_repeat_identically(spark, name):
     a = digest(first.columns, [tuple(r) for r in first.collect()])[0]
     second = E.queries()[name](spark, SF)
     assert digest(second.columns, [tuple(r) for r in second.collect()])[0] == a
+
+
+def test_quarantine_upserts_read_their_own_batch(spark, monkeypatch):
+    """The landing of ``quarantined_rows`` is laid out by batch."""
+    from riverbed.plans import incremental
+    from riverbed.plans.queries import REGISTRY
+    plain, seen = incremental.upsert_conformed, []
+
+    def spied(table, batch, *rest):
+        seen.extend(batch.inputFiles())
+        return plain(table, batch, *rest)
+
+    monkeypatch.setattr(incremental, "upsert_conformed", spied)
+    assert REGISTRY["quarantined_rows"](spark, "/root/testdata/sf0.001").count()
+    assert seen and all("/batch_id=" in f for f in seen)
